@@ -1,0 +1,29 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a dimension side is left to the shuffle join (and to AQE's
+# own runtime broadcast decision) instead of being hinted for broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint ``df`` for broadcast only when it provably holds <= ``max_rows`` rows.
+
+    The check scans at most ``max_rows + 1`` rows; above the bound the plain
+    DataFrame is returned and Spark plans a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def bounded_values(df: DataFrame, column: str, max_values: int = 1_000_000) -> list:
+    """Distinct values of a small dimension column, collected only after the
+    distinct count has been checked against ``max_values``."""
+    d = df.select(column).distinct()
+    if d.limit(max_values + 1).count() > max_values:
+        raise ValueError(f"{column} has more than {max_values} distinct values")
+    return [r[0] for r in d.collect()]
