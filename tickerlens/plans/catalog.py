@@ -138,3 +138,144 @@ SELECT ticker, {S.part_select('HR', 'lt')}, max(price) AS high, min(price) AS lo
        arg_min(price, {{'t': lt, 's': seq}}) AS open, arg_max(price, {{'t': lt, 's': seq}}) AS close,
        sum(quantity) AS volume
 FROM trades GROUP BY ALL"""))(lambda spark, d: B.price_bars_join_form(trades(spark, d), "HR"))
+
+# ---- ingest: raw feeds, dumps, universes, message batches ---------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from tickerlens.functions import timefn as TF  # noqa: E402
+from tickerlens.operators import universe as U  # noqa: E402
+from tickerlens.sources import readers as R  # noqa: E402
+
+INGEST_EPOCH = 1704067200.0
+
+
+def _trades_from_csv(spark, d):
+    lines = FX.trade_lines_from_events(FX.events(spark, d), INGEST_EPOCH)
+    t = R.parse_trade_lines(lines)
+    return t.select("ingest_epoch", "ticker", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"),
+                    "price", "quantity", "board", "source", "buyer", "seller", "initiator")
+
+
+register("trades_from_csv", S.with_base(f"""
+x AS (SELECT 1)
+SELECT CAST({INGEST_EPOCH} + seq AS DOUBLE) AS ingest_epoch, ticker, strftime(time, '%Y-%m-%d %H:%M:%S') AS time,
+       price, quantity, 'Auto trade' AS board, 'OSE' AS source, '' AS buyer, '' AS seller, '' AS initiator
+FROM trades"""))(_trades_from_csv)
+
+
+def _post_times(spark, d):
+    p = M.post_times(posts(spark, d))
+    return p.select("id", "created_at", *TF.grain_parts(F.col("ts"), "SEC"))
+
+
+register("post_times", S.with_base("""
+x AS (SELECT 1)
+SELECT id, strftime(pts, '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
+       CAST(year(pts) AS INTEGER) AS year, CAST(month(pts) AS INTEGER) AS month, CAST(day(pts) AS INTEGER) AS day,
+       CAST(hour(pts) AS INTEGER) AS hour, CAST(minute(pts) AS INTEGER) AS minute,
+       CAST(floor(second(pts)) AS INTEGER) AS second
+FROM posts"""))(_post_times)
+
+
+def _week_labels(spark, d):
+    p = M.post_times(posts(spark, d))
+    iso = TF.grain_parts(F.col("ts"), "WEEK")
+    cal = TF.grain_parts(F.col("ts"), "WEEK", week_year="calendar")
+    return p.select("id", iso[0].alias("week_year"), iso[1].alias("week"),
+                    F.concat_ws("-", cal[0], cal[1]).alias("calendar_label"))
+
+
+register("week_labels", S.with_base("""
+x AS (SELECT 1)
+SELECT id, CAST(isoyear(pts) AS INTEGER) AS week_year, CAST(week(pts) AS INTEGER) AS week,
+       CAST(year(pts) AS VARCHAR) || '-' || CAST(week(pts) AS VARCHAR) AS calendar_label
+FROM posts"""))(_week_labels)
+
+_DUMP_SQL = """
+dump AS (
+  SELECT ticker, seq, strftime(time, '%Y%m%dT%H%M%S') || ',' || CAST(price AS VARCHAR) || ',' ||
+         CAST(quantity AS VARCHAR) || ',Auto trade,OSE,,,' AS line
+  FROM trades),
+diff AS (
+  SELECT ticker, line FROM dump
+  EXCEPT
+  SELECT ticker, line FROM dump WHERE seq % 3 <> 0)"""
+
+register("trade_dump_diff", S.with_base(_DUMP_SQL + "\nSELECT * FROM diff"))(
+    lambda spark, d: R.trade_dump_diff(FX.trade_dump_lines(FX.events(spark, d), "new"),
+                                       FX.trade_dump_lines(FX.events(spark, d), "old")))
+
+
+def _dump_normalized(spark, d):
+    ev = FX.events(spark, d)
+    out = R.normalize_trade_dump(FX.trade_dump_lines(ev, "new"), FX.trade_dump_lines(ev, "old"), INGEST_EPOCH)
+    return out.select("ticker", "time", "price", "quantity", "value")
+
+
+register("trade_dump_normalized", S.with_base(_DUMP_SQL + f"""
+, p AS (SELECT ticker, string_split(line, ',') AS f FROM diff)
+SELECT ticker, strftime(strptime(f[1], '%Y%m%dT%H%M%S'), '%Y-%m-%d %H:%M:%S') AS time, f[2] AS price, f[3] AS quantity,
+       '{INGEST_EPOCH:.1f}' || ',' || ticker || ',' || strftime(strptime(f[1], '%Y%m%dT%H%M%S'), '%Y-%m-%d %H:%M:%S')
+       || ',' || array_to_string(f[2:8], ',') AS value
+FROM p"""))(_dump_normalized)
+
+_UNIVERSE_SQL = """
+uids AS (SELECT DISTINCT user_id, tk FROM ev),
+universe AS (
+  SELECT 'A' AS list, tk AS Ticker FROM uids WHERE user_id % 2 = 0
+  UNION ALL
+  SELECT 'B' AS list, tk AS Ticker FROM uids WHERE user_id % 3 = 0)"""
+
+
+def _universe(spark, d):
+    return FX.universe_from_events(FX.events(spark, d))
+
+
+register("universe_union", S.with_base(_UNIVERSE_SQL + """
+SELECT DISTINCT '$' || Ticker AS cashtag FROM universe"""))(
+    lambda spark, d: U.ticker_universe(_universe(spark, d), ["A", "B"]))
+
+register("track_list", S.with_base(_UNIVERSE_SQL + """
+, tags AS (SELECT DISTINCT '$' || Ticker AS cashtag FROM universe)
+SELECT string_agg(cashtag, ',' ORDER BY cashtag) AS track FROM tags"""))(
+    lambda spark, d: U.track_list(U.ticker_universe(_universe(spark, d), ["A", "B"])))
+
+register("posts_in_universe", S.with_base(_UNIVERSE_SQL + """
+, tags AS (SELECT DISTINCT '$' || Ticker AS cashtag FROM universe WHERE list = 'A')
+SELECT id, text FROM posts
+WHERE len(list_intersect(regexp_extract_all(text, '\\$[A-Z]+'), (SELECT list(cashtag) FROM tags))) > 0"""))(
+    lambda spark, d: U.posts_in_universe(posts(spark, d), U.ticker_universe(_universe(spark, d), ["A"]))
+    .select("id", "text"))
+
+register("trades_by_exchange", S.with_base(_UNIVERSE_SQL + """
+, ex AS (SELECT Ticker AS ticker, min(CASE list WHEN 'A' THEN 'O' ELSE 'N' END) AS exchange FROM universe GROUP BY 1)
+SELECT t.ticker, e.exchange, t.seq, t.price FROM trades t JOIN ex e ON t.ticker = e.ticker"""))(
+    lambda spark, d: U.trades_by_exchange(_universe(spark, d), trades(spark, d), {"A": "O", "B": "N"})
+    .select("ticker", "exchange", "seq", "price"))
+
+
+def _messages(spark, d):
+    recs = FX.message_batches_from_posts(posts(spark, d))
+    m = R.explode_message_batches(recs)
+    return m.select("id", "created_at", "text", F.col("user.followers_count").alias("followers"),
+                    F.col("user.friends_count").alias("friends"), F.col("user.name").alias("name"))
+
+
+register("message_batches_exploded", S.with_base("""
+x AS (SELECT 1)
+SELECT id, strftime(pts, '%a %b %d %H:%M:%S +0000 %Y') AS created_at, text, followers, friends, uname AS name
+FROM posts WHERE (id // 30) % 11 <> 5"""))(_messages)
+
+register("posts_published", S.with_base("""
+x AS (SELECT 1)
+SELECT '{"id":' || id || ',"created_at":"' || strftime(pts, '%a %b %d %H:%M:%S +0000 %Y') || '","text":"' || text
+       || '","user":{"followers_count":' || followers || ',"friends_count":' || friends
+       || ',"description":"fixture account","name":"' || uname || '"}}' AS value
+FROM posts"""))(lambda spark, d: R.publish_posts(posts(spark, d)))
+
+register("floor_minutes_15", """
+SELECT event_id, strftime(date_trunc('hour', ts) + INTERVAL (15 * (minute(ts) // 15)) MINUTE, '%Y%m%d%H%M%S') AS block,
+       strftime(ts, '%Y-%m-%d') AS day_label
+FROM events""")(
+    lambda spark, d: FX.events(spark, d).select("event_id", TF.floor_minutes(F.col("ts"), 15).alias("block"),
+                                                TF.floor_minutes(F.col("ts"), 0).alias("day_label")))

@@ -93,7 +93,7 @@ def trade_lines_from_events(ev: DataFrame, ingest_epoch: float = 1704067200.0) -
     """Trade lines as the producer publishes them (10 comma fields), each
     followed by an empty line as the landing adds one (quirk Q15)."""
     t = trades_from_events(ev)
-    fields = [F.format_string("%.1f", F.lit(ingest_epoch) + F.col("seq") / 1000.0), F.col("ticker"),
+    fields = [F.format_string("%.1f", F.lit(float(ingest_epoch)) + F.col("seq")), F.col("ticker"),
               F.date_format("time", "yyyy-MM-dd HH:mm:ss"), F.col("price").cast("string"),
               F.col("quantity").cast("string")] + [F.lit(c) for c in TRADE_CONSTANTS]
     line = F.concat_ws(",", *fields)
