@@ -279,3 +279,156 @@ SELECT event_id, strftime(date_trunc('hour', ts) + INTERVAL (15 * (minute(ts) //
 FROM events""")(
     lambda spark, d: FX.events(spark, d).select("event_id", TF.floor_minutes(F.col("ts"), 15).alias("block"),
                                                 TF.floor_minutes(F.col("ts"), 0).alias("day_label")))
+
+# ---- sliding windows, snapshots and serving views -------------------------------------
+from tickerlens.operators import sliding as SL  # noqa: E402
+from tickerlens.operators import views as V  # noqa: E402
+
+_SLIDING_SQL = """
+sl AS (
+  SELECT ticker, (CAST(floor(epoch(pts) / 5) AS BIGINT) + 1 + r.i) * 5000 AS window_end_ms, score
+  FROM occ, range(0, 120) AS r(i)),
+counts AS (
+  SELECT ticker, window_end_ms, count(*) AS frequency, CAST(sum(score) AS BIGINT) AS sentiment
+  FROM sl GROUP BY ALL)"""
+
+register("sliding_counts_pane", S.with_base(_SLIDING_SQL + "\nSELECT * FROM counts"))(
+    lambda spark, d: SL.sliding_counts(posts(spark, d), form="pane"))
+register("sliding_counts_plain", S.with_base(_SLIDING_SQL + "\nSELECT * FROM counts"))(
+    lambda spark, d: SL.sliding_counts(posts(spark, d), form="plain"))
+
+_TOP5_SQL = _SLIDING_SQL + """,
+top5 AS (
+  SELECT * FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY window_end_ms ORDER BY frequency DESC, ticker) - 1 AS BIGINT) AS id
+    FROM counts) WHERE id < 5)"""
+
+register("top5_per_window", S.with_base(_TOP5_SQL + "\nSELECT * FROM top5"))(
+    lambda spark, d: SL.top_per_window(SL.sliding_counts(posts(spark, d)), 5))
+
+
+def _snapshots(spark, d):
+    t = SL.top_per_window(SL.sliding_counts(posts(spark, d)), 5)
+    return t.select(F.col("window_end_ms").alias("timestamp"), "id", "ticker", "frequency", "sentiment")
+
+
+register("live_panel", S.with_base(_TOP5_SQL + """
+, newest AS (
+  SELECT *, row_number() OVER (ORDER BY window_end_ms DESC, id) AS pos
+  FROM (SELECT * FROM top5 ORDER BY window_end_ms DESC, id LIMIT 5))
+SELECT CAST(row_number() OVER (ORDER BY frequency, pos) AS BIGINT) AS position, ticker, frequency,
+       CASE WHEN sentiment > 0 THEN 'green' WHEN sentiment < 0 THEN 'red' ELSE 'blue' END AS colour
+FROM newest"""))(lambda spark, d: V.live_panel(_snapshots(spark, d)))
+
+_RECENT_SQL = """
+newest AS (SELECT * FROM posts ORDER BY pts DESC, id DESC LIMIT 10)"""
+register("recent_posts", S.with_base(_RECENT_SQL + """
+SELECT id, uname AS user, text,
+       year(pts) || '-' || month(pts) || '-' || day(pts) || ' ' || hour(pts) || ':' || minute(pts) || ':' ||
+       CAST(floor(second(pts)) AS INTEGER) AS time
+FROM newest"""))(lambda spark, d: V.recent_posts(posts(spark, d), 10))
+register("recent_posts_text", S.with_base(_RECENT_SQL + "\nSELECT text FROM newest"))(
+    lambda spark, d: V.recent_posts(posts(spark, d), 10).select("text"))
+
+_HOURLY_SQL = f"""
+hourly AS (
+  SELECT {S.part_select('HR', 'pts')}, ticker, count(*) AS frequency, CAST(sum(score) AS BIGINT) AS sentiment
+  FROM occ GROUP BY ALL)"""
+_COLOUR = "CASE WHEN sentiment > 0 THEN 'green' WHEN sentiment < 0 THEN 'red' ELSE 'blue' END AS colour"
+
+register("trending_at_eastern_hour", S.with_base(_HOURLY_SQL + f"""
+SELECT ticker, frequency, {_COLOUR} FROM hourly
+WHERE year = 2024 AND month = 1 AND day = 15 AND hour = 14
+ORDER BY frequency DESC, ticker LIMIT 10"""))(
+    lambda spark, d: V.trending_at(M.mention_series(posts(spark, d), "HR"), "2024_01_15_09", "America/New_York"))
+
+register("trending_by_eastern_hour", S.with_base(_HOURLY_SQL + f"""
+SELECT strftime(timezone('America/New_York', timezone('UTC', make_timestamp(year, month, day, hour, 0, 0))),
+                '%Y_%m_%d_%H') AS local_hour, ticker, frequency, {_COLOUR}, rank
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY year, month, day, hour ORDER BY frequency DESC, ticker) AS BIGINT) AS rank
+      FROM hourly) WHERE rank <= 10"""))(
+    lambda spark, d: V.trending_by_local_hour(M.mention_series(posts(spark, d), "HR"), "America/New_York"))
+
+_MINUTE_SQL = """
+minute_series AS (
+  SELECT ticker, date_trunc('minute', pts) AS m, count(*) AS frequency, CAST(sum(score) AS BIGINT) AS sentiment
+  FROM occ GROUP BY ALL)"""
+
+register("mention_chart", S.with_base(_MINUTE_SQL + """
+SELECT ticker, epoch_ms(m) AS epoch_ms, frequency, CAST(sign(sentiment) AS INTEGER) AS sign FROM minute_series"""))(
+    lambda spark, d: V.mention_chart(M.mention_series(posts(spark, d), "MIN")))
+register("mention_chart_hot", S.with_base(_MINUTE_SQL + """
+SELECT ticker, epoch_ms(m) AS epoch_ms, frequency, CAST(sign(sentiment) AS INTEGER) AS sign
+FROM minute_series WHERE ticker = 'ZZZ'"""))(
+    lambda spark, d: V.mention_chart(M.mention_series(posts(spark, d), "MIN"), "ZZZ"))
+
+register("price_mention_overlay", S.with_base(_MINUTE_SQL + """
+, bars AS (
+  SELECT ticker, epoch_ms(timezone('America/Los_Angeles', date_trunc('minute', lt))) AS epoch_ms,
+         arg_min(price, {'t': lt, 's': seq}) AS open, max(price) AS high, min(price) AS low,
+         arg_max(price, {'t': lt, 's': seq}) AS close
+  FROM trades GROUP BY ALL),
+ms AS (SELECT ticker, epoch_ms(m) AS epoch_ms, frequency FROM minute_series)
+SELECT coalesce(b.ticker, s.ticker) AS ticker, coalesce(b.epoch_ms, s.epoch_ms) AS epoch_ms,
+       b.open, b.high, b.low, b.close, s.frequency
+FROM bars b FULL OUTER JOIN ms s ON b.ticker = s.ticker AND b.epoch_ms = s.epoch_ms"""))(
+    lambda spark, d: V.price_mention_overlay(B.price_bars(trades(spark, d), "MIN"),
+                                             M.mention_series(posts(spark, d), "MIN")))
+
+
+def _down_sql(bucket_expr: str) -> str:
+    return S.with_base(_MINUTE_SQL + f"""
+SELECT ticker, {bucket_expr} AS bucket_ms, CAST(sum(frequency) AS BIGINT) AS frequency,
+       CAST(sum(sentiment) AS BIGINT) AS sentiment
+FROM minute_series GROUP BY ALL""")
+
+
+for _name, _unit, _n, _expr in (
+        ("downsample_5min", "minute", 5, "CAST(floor(epoch(m) / 300) AS BIGINT) * 300000"),
+        ("downsample_6h", "hour", 6, "CAST(floor(epoch(m) / 21600) AS BIGINT) * 21600000"),
+        ("downsample_week", "week", 1, "epoch_ms(date_trunc('week', m))"),
+        ("downsample_3month", "month", 3,
+         "epoch_ms(make_timestamp(year(m), CAST(floor((month(m) - 1) / 3) * 3 + 1 AS BIGINT), 1, 0, 0, 0))")):
+    register(_name, _down_sql(_expr))(
+        (lambda u, n: lambda spark, d: V.downsample(M.mention_series(posts(spark, d), "MIN"), "MIN", u, n))(_unit, _n))
+
+register("lookback_7d", S.with_base(_MINUTE_SQL + """
+SELECT ticker, epoch_ms(m) AS bucket_ms, strftime(m - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M') AS display, frequency, sentiment
+FROM minute_series WHERE m > (SELECT max(m) FROM minute_series) - INTERVAL 7 DAY"""))(
+    lambda spark, d: V.lookback(M.mention_series(posts(spark, d), "MIN"), "MIN", "7 DAYS"))
+
+
+def _merged(spark, d):
+    p = M.post_times(posts(spark, d))
+    batch_posts = p.where(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")).drop("ts")
+    speed_posts = p.where(F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")).drop("ts")
+    return V.merge_views(M.mention_series(batch_posts, "HR"), M.mention_series(speed_posts, "HR"), "HR",
+                         "2024-01-15 00:00:00")
+
+
+register("merged_mention_view", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_merged)
+
+
+def _backfill(spark, d):
+    t = trades(spark, d)
+    return B.backfill_bars(B.price_bars(t, "MIN"), FX.backup_bars_from_trades(t), day=15)
+
+
+register("backfill_minute_bars", S.with_base(f"""
+bars AS (
+  SELECT ticker, {S.part_select('MIN', 'lt')}, max(price) AS high, min(price) AS low,
+         arg_min(price, {{'t': lt, 's': seq}}) AS open, arg_max(price, {{'t': lt, 's': seq}}) AS close,
+         sum(quantity) AS volume
+  FROM trades GROUP BY ALL),
+backup AS (
+  SELECT ticker, CAST(floor(epoch(timezone('Europe/Oslo', time)) / 60) AS BIGINT) * 60 AS epoch,
+         arg_max(price, {{'t': time, 's': seq}}) AS close, max(price) AS high, min(price) AS low,
+         arg_min(price, {{'t': time, 's': seq}}) AS open, CAST(count(*) AS DOUBLE) AS volume
+  FROM trades GROUP BY ALL),
+bl AS (SELECT *, timezone('America/Los_Angeles', to_timestamp(epoch)) AS loc FROM backup),
+bk AS (
+  SELECT ticker, {S.part_select('MIN', 'loc')}, high, low, open, close, volume
+  FROM bl WHERE day(loc) = 15)
+SELECT * FROM bk
+UNION ALL
+SELECT b.* FROM bars b ANTI JOIN bk USING (ticker, year, month, day, hour, minute)"""))(_backfill)

@@ -141,10 +141,11 @@ def message_batches_from_posts(posts: DataFrame) -> DataFrame:
                                                                  F.col("messages"))).alias("value"))
 
 
-def backup_bars_from_trades(trades: DataFrame) -> DataFrame:
+def backup_bars_from_trades(trades: DataFrame, venue_tz: str = "Europe/Oslo") -> DataFrame:
     """Second vendor's minute bars: ticker, epoch (UTC minute), close, high, low,
     open, volume — volume counts trades instead of summing quantity."""
-    minute = F.timestamp_diff("MINUTE", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("time")) * 60
+    utc = F.convert_timezone(F.lit(venue_tz), F.lit("UTC"), F.col("time"))
+    minute = F.timestamp_diff("MINUTE", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), utc) * 60
     ordk = F.struct("time", "seq")
     return (trades.groupBy("ticker", minute.alias("epoch"))
             .agg(F.max_by("price", ordk).alias("close"), F.max("price").alias("high"),
