@@ -432,3 +432,104 @@ bk AS (
 SELECT * FROM bk
 UNION ALL
 SELECT b.* FROM bars b ANTI JOIN bk USING (ticker, year, month, day, hour, minute)"""))(_backfill)
+
+# ---- sinks: write, read back ---------------------------------------------------------------
+from tickerlens.session import scratch_path  # noqa: E402
+from tickerlens.sinks import tables as SK  # noqa: E402
+from tickerlens.streaming import landing as SLAND  # noqa: E402
+from tickerlens.streaming import sources as SSRC  # noqa: E402
+from tickerlens.streaming import totals as STOT  # noqa: E402
+from tickerlens.streaming import trending as STRD  # noqa: E402
+
+
+def _sink_roundtrip(spark, d):
+    path = scratch_path(spark, "series_hr")
+    SK.write_series(M.mention_series(posts(spark, d), "HR"), path, "HR")
+    return spark.read.parquet(path).select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
+
+
+register("sink_roundtrip", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_sink_roundtrip)
+
+
+def _upsert_roundtrip(spark, d):
+    p = M.post_times(posts(spark, d))
+    early = p.where(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")).drop("ts")
+    late = p.where(F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")).drop("ts")
+    log = SK.KeyedLog(spark, scratch_path(spark, "upsert_hr"), ["year", "month", "day", "hour", "ticker"])
+    log.write_batch(M.mention_series(early, "HR"), 0)
+    log.write_batch(M.mention_series(late, "HR"), 1)
+    log.write_batch(M.mention_series(late, "HR"), 1)  # a replayed batch rewrites its own partition
+    return log.read()
+
+
+register("upsert_roundtrip", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_upsert_roundtrip)
+
+_LINES_SQL = S.with_base("""
+x AS (SELECT 1)
+SELECT '{"id":' || id || ',"created_at":"' || strftime(pts, '%a %b %d %H:%M:%S +0000 %Y') || '","text":"' || text
+       || '","user":{"followers_count":' || followers || ',"friends_count":' || friends
+       || ',"description":"fixture account","name":"' || uname || '"}}' AS value
+FROM posts""")
+
+
+def _staged_posts(spark, d, n_files=8, ordered=False):
+    lines = FX.posts_from_events(FX.events(spark, d))
+    df = FX.post_lines(lines).withColumn("id", F.get_json_object("value", "$.id").cast("long"))
+    return SSRC.stage_files(df, scratch_path(spark, "post_lines"), n_files, "id", ordered)
+
+
+def _compacted(spark, d):
+    src = _staged_posts(spark, d)
+    return SK.compact_lines(spark, src, scratch_path(spark, "compacted"), 2)
+
+
+register("compacted_lines", _LINES_SQL)(_compacted)
+
+
+def _result_text(spark, d):
+    df = M.trending(posts(spark, d), "HR", k=5)
+    path = scratch_path(spark, "result_hr")
+    SK.write_results(df, path, "json")
+    return spark.read.schema(df.schema).json(path)
+
+
+register("result_text", _rank_sql("HR", 5))(_result_text)
+
+
+# ---- streaming ------------------------------------------------------------------------------
+def _stream_totals(spark, d, watermark=None):
+    src = _staged_posts(spark, d, 8, ordered=watermark is not None)
+    q, log = STOT.run_totals(spark, SSRC.read_post_stream(spark, src, 1), "HR", scratch_path(spark, "totals"),
+                             scratch_path(spark, "totals_ckpt"), watermark=watermark)
+    q.awaitTermination()
+    return log.read().select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
+
+
+register("stream_mention_series_hr", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_stream_totals)
+register("stream_watermarked", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(
+    lambda spark, d: _stream_totals(spark, d, watermark="1 hour"))
+
+
+def _stream_sliding(spark, d):
+    src = _staged_posts(spark, d, 8)
+    q, log = STRD.run_top_trending(spark, SSRC.read_post_stream(spark, src, 1), scratch_path(spark, "slide"),
+                                   scratch_path(spark, "snapshots"), scratch_path(spark, "slide_ckpt"))
+    q.awaitTermination()
+    return log.read()
+
+
+register("stream_sliding_counts", S.with_base(_SLIDING_SQL + "\nSELECT * FROM counts"))(_stream_sliding)
+register("stream_top5", S.with_base(_TOP5_SQL + "\nSELECT * FROM top5"))(
+    lambda spark, d: SL.top_per_window(_stream_sliding(spark, d), 5))
+
+
+def _landed(spark, d):
+    src = _staged_posts(spark, d, 8)
+    out = scratch_path(spark, "landed")
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", 2).load(src)
+    q = SLAND.land_raw(lines, out, scratch_path(spark, "landed_ckpt"), 15, 1000)
+    q.awaitTermination()
+    return spark.read.text(out).select("value")
+
+
+register("stream_landed_raw", _LINES_SQL)(_landed)
