@@ -16,7 +16,7 @@ def latest_per_key(df: DataFrame, keys: list[str], version: str) -> DataFrame:
     values = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in values])
     out = df.groupBy(*keys).agg(F.max_by(packed, F.col(version)).alias("_row"))
-    return out.select(*keys, *[F.col("_row." + c).alias(c) for c in values])
+    return out.select(*[F.col(c) if c in keys else F.col("_row." + c).alias(c) for c in df.columns])
 
 
 def upsert(existing: DataFrame, updates: DataFrame, keys: list[str], version: str | None = None) -> DataFrame:

@@ -36,7 +36,8 @@ def occurrences_at_time(posts: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) ->
 
 
 def sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5 seconds",
-                   form: str = "pane", lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
+                   form: str = "pane", lexicon: Lexicon = DEFAULT_LEXICON,
+                   block_panes: int | None = None) -> DataFrame:
     """ticker, window_end_ms (epoch ms, UTC wall clock), frequency, sentiment."""
     w, s = _seconds(window), _seconds(slide)
     if w % s:
@@ -49,6 +50,15 @@ def sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5
         panes = (occ.select("ticker", pane.alias("pane"), "score")
                  .groupBy("ticker", "pane")
                  .agg(F.count(F.lit(1)).alias("n"), F.sum("score").cast("long").alias("sc")))
+        # The pane table is small, so AQE would coalesce it into very few
+        # partitions right before a k-fold expansion. Spread it over a fixed
+        # number of partitions by (ticker, time block) instead: neighbouring
+        # panes of one ticker share a task, so the partial aggregate below
+        # merges their overlapping windows before the shuffle, and a hot
+        # ticker is split by block rather than landing in one task.
+        n_parts = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        block = F.floor(F.col("pane") / (block_panes or 4 * k))
+        panes = panes.repartition(n_parts, F.col("ticker"), block)
         expanded = panes.select("ticker", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + k)).alias("end"),
                                 "n", "sc")
         out = expanded.groupBy("ticker", "end").agg(F.sum("n").alias("frequency"), F.sum("sc").alias("sentiment"))
@@ -64,5 +74,6 @@ def sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5
 def top_per_window(counts: DataFrame, k: int = 5) -> DataFrame:
     """Rank 0..k-1 per window by frequency desc, ticker asc (STM-7, WIN-4)."""
     w = Window.partitionBy("window_end_ms").orderBy(F.desc("frequency"), F.asc("ticker"))
-    return (counts.withColumn("id", (F.row_number().over(w) - 1).cast("long"))
-            .where(F.col("id") < k))
+    # Filter on the raw row_number so Catalyst plans a WindowGroupLimit.
+    ranked = counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    return ranked.withColumn("id", (F.col("_rn") - 1).cast("long")).drop("_rn")
