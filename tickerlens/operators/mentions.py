@@ -91,6 +91,25 @@ def trending(posts: DataFrame, grain: str, k: int | None = None, distinct_freque
     return top_trending(mention_series(posts, grain, lexicon), grain, k, distinct_frequency)
 
 
+def trending_lists(ranked: DataFrame, grain: str, k: int = 5) -> DataFrame:
+    """Per bucket, the top-k tickers as one ordered list (AGG-12, list form).
+
+    Only rows with rank <= k reach the collect, so no list exceeds k."""
+    parts = list(grain_columns(grain))
+    top = ranked.where(F.col("rank") <= k)
+    return (top.groupBy(*parts)
+            .agg(F.array_sort(F.collect_list(F.struct("rank", "ticker"))).alias("_l"))
+            .select(*parts, F.transform("_l", lambda x: x["ticker"]).alias("tickers")))
+
+
+def sorted_series(series: DataFrame, grain: str) -> DataFrame:
+    """Global order bucket desc, frequency desc, ticker asc on typed parts
+    (SRT-1; numeric, so months sort correctly, quirk Q6). A range-partitioned
+    sort: use only where a total order is the output."""
+    parts = list(grain_columns(grain))
+    return series.orderBy(*[F.desc(c) for c in parts], F.desc("frequency"), F.asc("ticker"))
+
+
 def sentiment_extremes(posts: DataFrame, grain: str, k: int = 5, positive: bool = True,
                        lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """The k most positive (or negative) post-ticker occurrences per bucket

@@ -77,6 +77,12 @@ def mention_chart(series_min: DataFrame, ticker: str | None = None) -> DataFrame
             .sortWithinPartitions("ticker", "epoch_ms"))
 
 
+def chart_points(chart: DataFrame, y_cols=("frequency",)) -> DataFrame:
+    """Each chart row as a JSON tuple ``[epoch_ms, y...]`` (ARR-3, JSN-2)."""
+    return chart.select("ticker", "epoch_ms",
+                        F.to_json(F.array(F.col("epoch_ms"), *[F.col(c).cast("long") for c in y_cols])).alias("point"))
+
+
 def price_mention_overlay(bars_min: DataFrame, series_min: DataFrame, ticker: str | None = None,
                           bars_tz: str = "America/Los_Angeles") -> DataFrame:
     """OHLC and mention count of a ticker on one epoch-ms axis (SRV-5, JOI-6, DAT-11).

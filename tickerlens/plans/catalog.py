@@ -533,3 +533,18 @@ def _landed(spark, d):
 
 
 register("stream_landed_raw", _LINES_SQL)(_landed)
+
+# ---- list form, global order, chart tuples ----------------------------------------------------
+register("top5_lists_per_hour", S.with_base(_HOURLY_SQL + """
+, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY year, month, day, hour ORDER BY frequency DESC, ticker) AS rank
+  FROM hourly)
+SELECT year, month, day, hour, list(ticker ORDER BY rank) AS tickers FROM ranked WHERE rank <= 5 GROUP BY ALL"""))(
+    lambda spark, d: M.trending_lists(M.trending(posts(spark, d), "HR", k=5), "HR", 5))
+
+register("mention_series_sorted", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(
+    lambda spark, d: M.sorted_series(M.mention_series(posts(spark, d), "HR"), "HR"))
+
+register("mention_chart_points", S.with_base(_MINUTE_SQL + """
+SELECT ticker, epoch_ms(m) AS epoch_ms, '[' || epoch_ms(m) || ',' || frequency || ']' AS point FROM minute_series"""))(
+    lambda spark, d: V.chart_points(V.mention_chart(M.mention_series(posts(spark, d), "MIN"))))
