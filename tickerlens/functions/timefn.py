@@ -122,9 +122,21 @@ def parse_post_time(created_at) -> Column:
     return F.to_timestamp_ntz(s, F.lit("MMM dd HH:mm:ss yyyy"))
 
 
+_DAY_NAMES = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")  # dayofweek 1..7
+_MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
 def format_post_time(ts) -> Column:
-    """NTZ -> ``EEE MMM dd HH:mm:ss +0000 yyyy``."""
-    return F.date_format(_col(ts), "EEE MMM dd HH:mm:ss '+0000' yyyy")
+    """NTZ -> ``EEE MMM dd HH:mm:ss +0000 yyyy``, assembled from wall-clock
+    parts so no session zone is involved (``date_format`` would cast to the
+    session zone first)."""
+    t = _col(ts)
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    day = F.element_at(F.array(*[F.lit(d) for d in _DAY_NAMES]), F.dayofweek(t))
+    mon = F.element_at(F.array(*[F.lit(m) for m in _MONTH_NAMES]), F.month(t))
+    return F.concat(day, F.lit(" "), mon, F.lit(" "), two(F.dayofmonth(t)), F.lit(" "), two(F.hour(t)), F.lit(":"),
+                    two(F.minute(t)), F.lit(":"), two(F.second(t)), F.lit(" +0000 "),
+                    F.lpad(F.year(t).cast("string"), 4, "0"))
 
 
 def convert_zone(ts, from_tz: str, to_tz: str) -> Column:
