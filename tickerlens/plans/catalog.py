@@ -473,8 +473,7 @@ FROM posts""")
 
 
 def _staged_posts(spark, d, n_files=8, ordered=False):
-    lines = FX.posts_from_events(FX.events(spark, d))
-    df = FX.post_lines(lines).withColumn("id", F.get_json_object("value", "$.id").cast("long"))
+    df = FX.post_lines(FX.posts_from_events(FX.events(spark, d)), keep=("id",))
     return SSRC.stage_files(df, scratch_path(spark, "post_lines"), n_files, "id", ordered)
 
 
@@ -497,8 +496,8 @@ register("result_text", _rank_sql("HR", 5))(_result_text)
 
 
 # ---- streaming ------------------------------------------------------------------------------
-def _stream_totals(spark, d, watermark=None):
-    src = _staged_posts(spark, d, 8, ordered=watermark is not None)
+def _stream_totals(spark, d, watermark=None, src=None):
+    src = src or _staged_posts(spark, d, 8, ordered=watermark is not None)
     q, log = STOT.run_totals(spark, SSRC.read_post_stream(spark, src, 1), "HR", scratch_path(spark, "totals"),
                              scratch_path(spark, "totals_ckpt"), watermark=watermark)
     q.awaitTermination()

@@ -77,9 +77,10 @@ def posts_from_events(ev: DataFrame) -> DataFrame:
                      text.alias("text"), user.alias("user"))
 
 
-def post_lines(posts: DataFrame) -> DataFrame:
-    """The raw feed: one JSON document per line in ``value`` (SNK-8 shape)."""
-    return posts.select(F.to_json(F.struct(*[F.col(c) for c in posts.columns])).alias("value"))
+def post_lines(posts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The raw feed: one JSON document per line in ``value`` (SNK-8 shape),
+    plus any ``keep`` columns carried alongside."""
+    return posts.select(F.to_json(F.struct(*[F.col(c) for c in posts.columns])).alias("value"), *keep)
 
 
 def trades_from_events(ev: DataFrame) -> DataFrame:

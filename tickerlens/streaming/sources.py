@@ -17,7 +17,8 @@ def stage_files(df: DataFrame, path: str, n_files: int, order_col: str, ordered:
     the order, which a file stream with a watermark needs; slice bounds come
     from exact quantiles (a handful of scalars on the driver)."""
     if not ordered:
-        (df.repartitionByRange(n_files, order_col).sortWithinPartitions(order_col)
+        # Hash placement is deterministic on retry and needs no sampling pass.
+        (df.repartition(n_files, order_col).sortWithinPartitions(order_col)
          .select("value").write.mode("overwrite").text(path))
         return path
     probs = [i / n_files for i in range(1, n_files)]
