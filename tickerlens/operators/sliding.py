@@ -63,7 +63,15 @@ def sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5
                                 "n", "sc")
         out = expanded.groupBy("ticker", "end").agg(F.sum("n").alias("frequency"), F.sum("sc").alias("sentiment"))
     elif form == "plain":
-        expanded = occ.select("ticker", F.explode(F.sequence(pane + 1, pane + k)).alias("end"), "score")
+        # Each occurrence is expanded on its own. The expansion is moved off
+        # the scan tasks (whose size follows the input files) onto a fixed
+        # number of partitions keyed by (ticker, time block), so neighbouring
+        # occurrences of a ticker still combine map-side.
+        n_parts = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = occ.select("ticker", pane.alias("pane"), "score")
+        spread = spread.repartition(n_parts, F.col("ticker"), F.floor(F.col("pane") / (block_panes or 4 * k)))
+        expanded = spread.select("ticker", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + k)).alias("end"),
+                                 "score")
         out = expanded.groupBy("ticker", "end").agg(F.count(F.lit(1)).alias("frequency"),
                                                     F.sum("score").cast("long").alias("sentiment"))
     else:
