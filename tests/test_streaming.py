@@ -99,3 +99,25 @@ def test_keyed_log_replay_is_idempotent(spark):
     log.write_batch(b, 1)
     assert sorted(tuple(r) for r in log.read().collect()) == [(1, "a"), (2, "B"), (3, "C")]
     assert log.history().count() == 4
+
+
+def test_keyed_log_compaction(spark):
+    log = KeyedLog(spark, scratch_path(spark, "t_kc"), ["k"])
+    log.write_batch(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), 0)
+    log.write_batch(spark.createDataFrame([(2, "B")], "k int, v string"), 1)
+    assert log.compact() == 1 and log.snapshot_version() == 1
+    log.write_batch(spark.createDataFrame([(3, "C"), (1, "A")], "k int, v string"), 2)
+    assert sorted(tuple(r) for r in log.read().collect()) == [(1, "A"), (2, "B"), (3, "C")]
+    log.write_batch(spark.createDataFrame([(3, "c2")], "k int, v string"), 2)  # replay of batch 2
+    assert sorted(tuple(r) for r in log.read().collect()) == [(1, "a"), (2, "B"), (3, "c2")]
+    assert log.compact() == 2 and log.compact() == 2
+
+
+def test_stream_totals_with_compaction(spark, sf_dir):
+    src = _staged(spark, sf_dir, 4)
+    q, log = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "DAY", scratch_path(spark, "t_totc"),
+                           scratch_path(spark, "t_ckc"), compact_every=2)
+    q.awaitTermination()
+    assert log.snapshot_version() is not None
+    batch = M.mention_series(FX.posts_from_events(FX.events(spark, sf_dir)), "DAY")
+    assert _same(log.read(), batch)

@@ -67,22 +67,74 @@ def show(df: DataFrame, n: int = 20) -> None:
 class KeyedLog:
     """A table with one live row per key (SNK-4, SNK-5).
 
-    Writes land in a ``batch_id=<n>`` partition with dynamic partition
-    overwrite, so replaying a batch after a failure rewrites exactly that
-    partition (idempotent). Reads keep the row of the newest batch per key
-    through a partial aggregate, never a sort of one key's history.
+    Layout: ``<path>/batch_id=<n>/`` holds the rows written by batch n;
+    ``<path>/_snapshot/version=<v>/`` holds all batches <= v folded to one row
+    per key. Writing a batch overwrites only its own folder, so replaying a
+    batch after a failure is idempotent. Reads take the newest complete
+    snapshot plus the batch folders after it (partition pruning on the folder
+    names) and keep the newest row per key through a partial aggregate.
+    ``compact`` writes a new snapshot version; nothing is read and written in
+    the same folder, and older folders stay as they are.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str]):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
 
+    # -- file listing through the Hadoop FileSystem of the path -------------
+    def _fs_list(self, sub: str, prefix: str, need_success: bool) -> list[int]:
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path + sub)
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(prefix):
+                if need_success and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                    continue
+                out.append(int(name[len(prefix):]))
+        return sorted(out)
+
+    def batch_ids(self) -> list[int]:
+        return self._fs_list("", "batch_id=", need_success=True)
+
+    def snapshot_version(self):
+        v = self._fs_list("/_snapshot", "version=", need_success=True)
+        return v[-1] if v else None
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         # Overwriting the batch's own folder is the whole commit: a replay of
         # the same batch id replaces exactly the rows it wrote before.
         df.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
 
     def history(self) -> DataFrame:
+        """Every batch folder as written (``batch_id`` from the folder name)."""
         return self.spark.read.parquet(self.path)
 
     def read(self) -> DataFrame:
-        return latest_per_key(self.history(), self.keys, "batch_id").drop("batch_id")
+        v = self.snapshot_version()
+        later = [b for b in self.batch_ids() if v is None or b > v]
+        parts = []
+        if v is not None:
+            parts.append(self.spark.read.parquet(f"{self.path}/_snapshot/version={v}")
+                         .withColumn("batch_id", F.lit(v).cast("long")))
+        if later:
+            inc = self.history()
+            if v is not None:
+                inc = inc.where(F.col("batch_id") > v)
+            parts.append(inc)
+        if not parts:
+            raise FileNotFoundError(f"keyed log {self.path} is empty")
+        u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return latest_per_key(u, self.keys, "batch_id").drop("batch_id")
+
+    def compact(self):
+        """Fold everything written so far into a new snapshot version; returns it."""
+        ids = self.batch_ids()
+        v = self.snapshot_version()
+        top = max(ids + ([v] if v is not None else []), default=None)
+        if top is None or top == v:
+            return v
+        self.read().write.mode("overwrite").parquet(f"{self.path}/_snapshot/version={top}")
+        return top

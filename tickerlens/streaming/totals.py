@@ -52,16 +52,22 @@ def stream_mention_series(posts: DataFrame, grain: str, watermark: str | None =
 
 def run_totals(spark: SparkSession, posts: DataFrame, grain: str, table_path: str, checkpoint: str,
                watermark: str | None = None, available_now: bool = True,
-               processing_time: str = "60 seconds"):
+               processing_time: str = "60 seconds", compact_every: int | None = None):
     """Start the totals query into a keyed log (SNK-5, STM-1, STM-2).
 
     ``available_now`` drains what is there and stops (tests, backfills);
-    otherwise it runs on a processing-time trigger. Returns
+    otherwise it runs on a processing-time trigger. ``compact_every`` folds
+    the keyed log into a new snapshot every n batches. Returns
     ``(query, KeyedLog)``."""
     keys = list(grain_columns(grain)) + ["ticker"]
     log = KeyedLog(spark, table_path, keys)
     agg = stream_mention_series(posts, grain, watermark)
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        log.write_batch(df, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            log.compact()
+
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, batch_id: log.write_batch(df, batch_id)))
+         .foreachBatch(per_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start(), log
