@@ -505,6 +505,17 @@ def _stream_totals(spark, d, watermark=None, src=None):
 
 
 register("stream_mention_series_hr", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_stream_totals)
+
+
+def _stream_additive(spark, d):
+    src = _staged_posts(spark, d, 8)
+    q, read = STOT.run_totals_additive(spark, SSRC.read_post_stream(spark, src, 1), "HR",
+                                       scratch_path(spark, "additive"), scratch_path(spark, "additive_ckpt"))
+    q.awaitTermination()
+    return read().select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
+
+
+register("stream_mention_series_additive", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_stream_additive)
 register("stream_watermarked", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(
     lambda spark, d: _stream_totals(spark, d, watermark="1 hour"))
 
