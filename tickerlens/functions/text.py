@@ -42,6 +42,11 @@ def post_score(text, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     return F.aggregate(tokens(text), F.lit(0), lambda acc, w: acc + lexicon.polarity(w))
 
 
+def strip_quotes(s) -> Column:
+    """Remove single and double quotes, as the dashboard does for authors (STR-6)."""
+    return F.regexp_replace(_col(s), "['\"]+", "")
+
+
 def colour(sentiment) -> Column:
     """green / red / blue class of a sentiment value (MTH-3)."""
     s = _col(sentiment)

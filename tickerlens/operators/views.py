@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.functions.text import colour, sentiment_sign
+from tickerlens.functions.text import colour, sentiment_sign, strip_quotes
 from tickerlens.functions.timefn import (display_shift, grain_columns, local_hour_to_utc,
                                          local_to_epoch_millis, parse_post_time, parts_label,
                                          parts_to_timestamp, _epoch_ntz)
@@ -35,7 +35,7 @@ def live_panel(snapshots: DataFrame, n: int = 5) -> DataFrame:
 def recent_posts(posts: DataFrame, n: int = 10) -> DataFrame:
     """The n newest posts with author and unpadded ``y-m-d h:m:s`` time (SRV-1, SRV-2, DAT-13)."""
     ts = parse_post_time(F.col("created_at"))
-    newest = (posts.select("id", F.col("user.name").alias("user"), "text", ts.alias("ts"))
+    newest = (posts.select("id", strip_quotes(F.col("user.name")).alias("user"), "text", ts.alias("ts"))
               .orderBy(F.desc("ts"), F.desc("id")).limit(n))
     return newest.select("id", "user", "text",
                          F.concat_ws("-", F.year("ts"), F.month("ts"), F.dayofmonth("ts")).alias("_d"),

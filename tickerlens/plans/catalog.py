@@ -451,6 +451,30 @@ def _sink_roundtrip(spark, d):
 register("sink_roundtrip", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_sink_roundtrip)
 
 
+def _bars_sink(spark, d):
+    path = scratch_path(spark, "bars_min")
+    SK.write_bars(B.price_bars(trades(spark, d), "MIN"), path, "MIN")
+    return spark.read.parquet(path).select("ticker", "year", "month", "day", "hour", "minute",
+                                           "high", "low", "open", "close", "volume")
+
+
+register("bars_sink_roundtrip", S.with_base(f"""
+x AS (SELECT 1)
+SELECT ticker, {S.part_select('MIN', 'lt')}, max(price) AS high, min(price) AS low,
+       arg_min(price, {{'t': lt, 's': seq}}) AS open, arg_max(price, {{'t': lt, 's': seq}}) AS close,
+       sum(quantity) AS volume
+FROM trades GROUP BY ALL"""))(_bars_sink)
+
+
+def _trending_sink(spark, d):
+    path = scratch_path(spark, "trending_day")
+    SK.write_trending(M.trending(posts(spark, d), "DAY", k=10), path, "DAY")
+    return spark.read.parquet(path).select("year", "month", "day", "ticker", "frequency", "sentiment", "rank")
+
+
+register("trending_sink_roundtrip", _rank_sql("DAY", 10))(_trending_sink)
+
+
 def _upsert_roundtrip(spark, d):
     p = M.post_times(posts(spark, d))
     early = p.where(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")).drop("ts")
