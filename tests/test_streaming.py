@@ -121,3 +121,15 @@ def test_stream_totals_with_compaction(spark, sf_dir):
     assert log.snapshot_version() is not None
     batch = M.mention_series(FX.posts_from_events(FX.events(spark, sf_dir)), "DAY")
     assert _same(log.read(), batch)
+
+
+def test_sliding_pane_stream_equals_batch(spark, sf_dir):
+    src = _staged(spark, sf_dir, 3)
+    snaps = scratch_path(spark, "t_psnap")
+    q, log = STR.run_top_trending_panes(spark, SS.read_post_stream(spark, src, 1), scratch_path(spark, "t_pp"),
+                                        scratch_path(spark, "t_pc"), snaps, scratch_path(spark, "t_pck"), k=5)
+    q.awaitTermination()
+    batch = SL.sliding_counts(FX.posts_from_events(FX.events(spark, sf_dir)))
+    assert _same(log.read(), batch)
+    s = spark.read.parquet(snaps)
+    assert s.select("batch_id").distinct().count() == 3 and s.agg(F.max("id")).first()[0] <= 4

@@ -553,6 +553,18 @@ def _stream_sliding(spark, d):
 
 
 register("stream_sliding_counts", S.with_base(_SLIDING_SQL + "\nSELECT * FROM counts"))(_stream_sliding)
+
+
+def _stream_sliding_panes(spark, d):
+    src = _staged_posts(spark, d, 8)
+    q, log = STRD.run_top_trending_panes(spark, SSRC.read_post_stream(spark, src, 1), scratch_path(spark, "panes"),
+                                         scratch_path(spark, "pane_counts"), scratch_path(spark, "pane_snapshots"),
+                                         scratch_path(spark, "panes_ckpt"))
+    q.awaitTermination()
+    return log.read()
+
+
+register("stream_sliding_counts_panes", S.with_base(_SLIDING_SQL + "\nSELECT * FROM counts"))(_stream_sliding_panes)
 register("stream_top5", S.with_base(_TOP5_SQL + "\nSELECT * FROM top5"))(
     lambda spark, d: SL.top_per_window(_stream_sliding(spark, d), 5))
 

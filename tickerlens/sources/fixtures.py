@@ -31,6 +31,8 @@ DESCRIPTION = "fixture account"
 TRADE_CONSTANTS = ("Auto trade", "OSE", "", "", "")  # board, source, buyer, seller, initiator
 UNIVERSE_LISTS = ("A", "B")   # A: even user_id, B: user_id divisible by 3
 MESSAGES_PER_FETCH = 30       # one fetch returns at most this many posts
+FAILED_FETCH_EVERY = 11       # fetch groups with fetch % 11 == 5 answer status 429
+FAILED_FETCH_AT = 5
 # ------------------------------------------------------------------------------
 
 
@@ -137,7 +139,7 @@ def message_batches_from_posts(posts: DataFrame) -> DataFrame:
     grouped = (posts.withColumn("symbol", tk)
                .groupBy("symbol", F.floor(F.col("id") / MESSAGES_PER_FETCH).alias("fetch"))
                .agg(F.collect_list(F.struct("id", "created_at", "text", "user")).alias("messages")))
-    status = F.when(F.col("fetch") % 11 == 5, F.lit(429)).otherwise(F.lit(200))
+    status = F.when(F.col("fetch") % FAILED_FETCH_EVERY == FAILED_FETCH_AT, F.lit(429)).otherwise(F.lit(200))
     return grouped.select("symbol", "fetch", F.to_json(F.struct(F.struct(status.alias("status")).alias("response"),
                                                                  F.col("messages"))).alias("value"))
 

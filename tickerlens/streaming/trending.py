@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
 from tickerlens.functions.text import cashtags, post_score, strip_cashtag
 from tickerlens.functions.timefn import _epoch_ntz, parse_post_time
-from tickerlens.operators.sliding import top_per_window
+from tickerlens.operators.sliding import _seconds, top_per_window
 from tickerlens.sinks.tables import KeyedLog
 
 
@@ -39,24 +39,90 @@ def stream_sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: s
 def run_top_trending(spark: SparkSession, posts: DataFrame, counts_path: str, snapshots_path: str,
                      checkpoint: str, window: str = "10 minutes", slide: str = "5 seconds", k: int = 5,
                      available_now: bool = True, processing_time: str = "5 seconds"):
-    """Start the sliding top-k query. Returns ``(query, counts KeyedLog)``;
-    snapshots (timestamp, id, ticker, frequency, sentiment, batch_id) are
-    appended to ``snapshots_path``, one set per micro-batch (SNK-6, DAT-14)."""
+    """Start the sliding top-k query (plain state: one row per window and
+    ticker). Returns ``(query, counts KeyedLog)``; snapshots (timestamp, id,
+    ticker, frequency, sentiment, written_at, batch_id) are appended under
+    ``snapshots_path``, one set per micro-batch (SNK-6, DAT-14)."""
     log = KeyedLog(spark, counts_path, ["window_end_ms", "ticker"])
 
+    w_ms, s_ms = _seconds(window) * 1000, _seconds(slide) * 1000
+
     def per_batch(df: DataFrame, batch_id: int) -> None:
         log.write_batch(df, batch_id)
-        newest = df.agg(F.max("window_end_ms")).first()[0]
-        if newest is None:
-            return
-        current = log.read().where(F.col("window_end_ms") == F.lit(newest))
-        snap = top_per_window(current, k).select(
-            F.col("window_end_ms").alias("timestamp"), "id", "ticker", "frequency", "sentiment",
-            F.lit(int(batch_id)).cast("long").alias("batch_id"), F.current_timestamp().alias("written_at"))
-        snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("batch_id").parquet(snapshots_path)
+        _snapshot(log, df, batch_id, snapshots_path, k, w_ms, s_ms)
 
     w = (stream_sliding_counts(posts, window, slide).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint).foreachBatch(per_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start(), log
+
+
+def _snapshot(log: KeyedLog, changed: DataFrame, batch_id: int, path: str, k: int, w_ms: int, s_ms: int) -> None:
+    """Top-k of the window that ends right after the newest event of the
+    batch ("the last window as of now"), appended with its rank from 0."""
+    last_end = changed.agg(F.max("window_end_ms")).first()[0]
+    if last_end is None:
+        return
+    # The newest event touched windows ending up to one window length later;
+    # the current window is the earliest of those that contains it.
+    current_end = last_end - (w_ms - s_ms)
+    current = log.read().where(F.col("window_end_ms") == F.lit(current_end))
+    snap = top_per_window(current, k).select(
+        F.col("window_end_ms").alias("timestamp"), "id", "ticker", "frequency", "sentiment",
+        F.current_timestamp().alias("written_at"))
+    snap.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+
+
+def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: str, counts_path: str,
+                           snapshots_path: str, checkpoint: str, window: str = "10 minutes",
+                           slide: str = "5 seconds", k: int = 5, available_now: bool = True,
+                           processing_time: str = "5 seconds", lexicon: Lexicon = DEFAULT_LEXICON):
+    """Pane form of the sliding top-k (STM-4 at scale).
+
+    The stream keeps one state row per (ticker, slide-sized pane) instead of
+    one per (ticker, window): window/slide times less state. Each micro-batch
+    upserts its changed panes, then recomputes only the windows those panes
+    touch from the pane log restricted to the batch's pane range (a pushed-down
+    range filter), upserts them into the window-count log and appends the
+    current top-k snapshot. Returns ``(query, counts KeyedLog)``."""
+    w_s, s_s = _seconds(window), _seconds(slide)
+    if w_s % s_s:
+        raise ValueError("window must be a multiple of slide")
+    n_win = w_s // s_s
+    panes_log = KeyedLog(spark, panes_path, ["ticker", "pane"])
+    counts_log = KeyedLog(spark, counts_path, ["window_end_ms", "ticker"])
+
+    ts = parse_post_time(F.col("created_at"))
+    occ = posts.select(ts.alias("ts"), post_score(F.col("text"), lexicon).alias("score"),
+                       F.explode(cashtags(F.col("text"))).alias("tag"))
+    pane = F.floor(F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts")) / s_s)
+    panes = (occ.select(strip_cashtag(F.col("tag")).alias("ticker"), pane.alias("pane"), "score")
+             .groupBy("ticker", "pane")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("score").cast("long").alias("sc")))
+
+    def per_batch(changed: DataFrame, batch_id: int) -> None:
+        changed.persist()
+        try:
+            panes_log.write_batch(changed, batch_id)
+            lo, hi = changed.agg(F.min("pane"), F.max("pane")).first()
+            if lo is None:
+                return
+            touched = (changed.select("ticker", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + n_win))
+                                      .alias("end")).distinct())
+            near = panes_log.read().where(F.col("pane").between(lo - n_win + 1, hi + n_win - 1))
+            wins = (near.select("ticker", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + n_win)).alias("end"),
+                                "n", "sc")
+                    .join(touched, ["ticker", "end"], "left_semi")
+                    .groupBy("ticker", "end").agg(F.sum("n").alias("frequency"), F.sum("sc").alias("sentiment")))
+            out = wins.select("ticker", (F.col("end") * (s_s * 1000)).alias("window_end_ms"), "frequency",
+                              "sentiment")
+            counts_log.write_batch(out, batch_id)
+            _snapshot(counts_log, out, batch_id, snapshots_path, k, w_s * 1000, s_s * 1000)
+        finally:
+            changed.unpersist()
+
+    w = (panes.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(per_batch))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start(), counts_log
+
