@@ -133,3 +133,13 @@ def test_sliding_pane_stream_equals_batch(spark, sf_dir):
     assert _same(log.read(), batch)
     s = spark.read.parquet(snaps)
     assert s.select("batch_id").distinct().count() == 3 and s.agg(F.max("id")).first()[0] <= 4
+
+
+def test_state_partitions_do_not_leak(spark, sf_dir):
+    src = _staged(spark, sf_dir, 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q, log = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "DAY", scratch_path(spark, "t_sp"),
+                           scratch_path(spark, "t_spck"), state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3

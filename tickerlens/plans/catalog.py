@@ -520,10 +520,17 @@ register("result_text", _rank_sql("HR", 5))(_result_text)
 
 
 # ---- streaming ------------------------------------------------------------------------------
+def _state_partitions(spark) -> int:
+    """State/shuffle partitions for the fixture streams: sized to the cores,
+    since the staged feed is small; the count is kept in each checkpoint."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _stream_totals(spark, d, watermark=None, src=None):
     src = src or _staged_posts(spark, d, 8, ordered=watermark is not None)
     q, log = STOT.run_totals(spark, SSRC.read_post_stream(spark, src, 1), "HR", scratch_path(spark, "totals"),
-                             scratch_path(spark, "totals_ckpt"), watermark=watermark)
+                             scratch_path(spark, "totals_ckpt"), watermark=watermark,
+                             state_partitions=_state_partitions(spark))
     q.awaitTermination()
     return log.read().select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
 
@@ -534,7 +541,8 @@ register("stream_mention_series_hr", S.with_base(_HOURLY_SQL + "\nSELECT * FROM
 def _stream_additive(spark, d):
     src = _staged_posts(spark, d, 8)
     q, read = STOT.run_totals_additive(spark, SSRC.read_post_stream(spark, src, 1), "HR",
-                                       scratch_path(spark, "additive"), scratch_path(spark, "additive_ckpt"))
+                                       scratch_path(spark, "additive"), scratch_path(spark, "additive_ckpt"),
+                                       state_partitions=_state_partitions(spark))
     q.awaitTermination()
     return read().select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
 
@@ -547,7 +555,8 @@ register("stream_watermarked", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly
 def _stream_sliding(spark, d):
     src = _staged_posts(spark, d, 8)
     q, log = STRD.run_top_trending(spark, SSRC.read_post_stream(spark, src, 1), scratch_path(spark, "slide"),
-                                   scratch_path(spark, "snapshots"), scratch_path(spark, "slide_ckpt"))
+                                   scratch_path(spark, "snapshots"), scratch_path(spark, "slide_ckpt"),
+                                   state_partitions=_state_partitions(spark))
     q.awaitTermination()
     return log.read()
 
@@ -559,7 +568,8 @@ def _stream_sliding_panes(spark, d):
     src = _staged_posts(spark, d, 8)
     q, log = STRD.run_top_trending_panes(spark, SSRC.read_post_stream(spark, src, 1), scratch_path(spark, "panes"),
                                          scratch_path(spark, "pane_counts"), scratch_path(spark, "pane_snapshots"),
-                                         scratch_path(spark, "panes_ckpt"))
+                                         scratch_path(spark, "panes_ckpt"),
+                                         state_partitions=_state_partitions(spark))
     q.awaitTermination()
     return log.read()
 
@@ -573,7 +583,8 @@ def _landed(spark, d):
     src = _staged_posts(spark, d, 8)
     out = scratch_path(spark, "landed")
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", 2).load(src)
-    q = SLAND.land_raw(lines, out, scratch_path(spark, "landed_ckpt"), 15, 1000)
+    q = SLAND.land_raw(lines, out, scratch_path(spark, "landed_ckpt"), 15, 1000,
+                       state_partitions=_state_partitions(spark))
     q.awaitTermination()
     return spark.read.text(out).select("value")
 

@@ -8,6 +8,7 @@ happens in local tests.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -58,3 +59,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, conf: dict):
+    """Set session settings for the duration of a block, then restore them.
+
+    A streaming query clones the session when it starts, so settings in force
+    at ``start()`` (for example the number of state partitions, which the
+    checkpoint then keeps) apply to that query only."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            if v is not None:
+                spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def start_stream(writer, spark: SparkSession, state_partitions: int | None):
+    """``writer.start()`` with the stream's shuffle/state partition count."""
+    with session_conf(spark, {"spark.sql.shuffle.partitions": state_partitions}):
+        return writer.start()

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerlens.functions.timefn import floor_minutes
+from tickerlens.session import start_stream
 
 
 def land_raw(stream: DataFrame, path: str, checkpoint: str, block_minutes: int = 15,
              max_records_per_file: int = 100_000, time_col: str | None = None,
-             available_now: bool = True, processing_time: str = "60 seconds"):
+             available_now: bool = True, processing_time: str = "60 seconds",
+             state_partitions: int | None = None):
     """Start the landing query; ``time_col`` names an arrival-time column
     (e.g. the bus ``timestamp``), else processing time labels the block."""
     t = F.col(time_col).cast("timestamp_ntz") if time_col else F.localtimestamp()
@@ -25,4 +27,4 @@ def land_raw(stream: DataFrame, path: str, checkpoint: str, block_minutes: int =
     w = (out.writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint)
          .option("maxRecordsPerFile", max_records_per_file).partitionBy("block"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
+    return start_stream(w, stream.sparkSession, state_partitions)

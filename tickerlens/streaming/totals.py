@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
 from tickerlens.functions.text import cashtags, post_score, strip_cashtag
 from tickerlens.functions.timefn import grain_columns, grain_parts, normalize_grain, parse_post_time
+from tickerlens.session import start_stream
 from tickerlens.sinks.tables import KeyedLog
 
 _WINDOWS = {"SEC": ("1 second", None), "MIN": ("1 minute", None), "HR": ("1 hour", None),
@@ -52,7 +53,8 @@ def stream_mention_series(posts: DataFrame, grain: str, watermark: str | None =
 
 def run_totals(spark: SparkSession, posts: DataFrame, grain: str, table_path: str, checkpoint: str,
                watermark: str | None = None, available_now: bool = True,
-               processing_time: str = "60 seconds", compact_every: int | None = None):
+               processing_time: str = "60 seconds", compact_every: int | None = None,
+               state_partitions: int | None = None):
     """Start the totals query into a keyed log (SNK-5, STM-1, STM-2).
 
     ``available_now`` drains what is there and stops (tests, backfills);
@@ -70,11 +72,12 @@ def run_totals(spark: SparkSession, posts: DataFrame, grain: str, table_path: st
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(per_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start(), log
+    return start_stream(w, spark, state_partitions), log
 
 
 def run_totals_additive(spark: SparkSession, posts: DataFrame, grain: str, table_path: str, checkpoint: str,
-                        available_now: bool = True, processing_time: str = "60 seconds"):
+                        available_now: bool = True, processing_time: str = "60 seconds",
+                        state_partitions: int | None = None):
     """Stateless alternative with the reference's per-batch shape (JOI-3,
     STM-8, AGG-9): each micro-batch reduces its own posts to frequency and
     sentiment per (bucket, ticker) via the join form, writes them to its batch
@@ -101,4 +104,4 @@ def run_totals_additive(spark: SparkSession, posts: DataFrame, grain: str, table
 
     w = posts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start(), read
+    return start_stream(w, spark, state_partitions), read

@@ -17,6 +17,7 @@ from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
 from tickerlens.functions.text import cashtags, post_score, strip_cashtag
 from tickerlens.functions.timefn import _epoch_ntz, parse_post_time
 from tickerlens.operators.sliding import _seconds, top_per_window
+from tickerlens.session import start_stream
 from tickerlens.sinks.tables import KeyedLog
 
 
@@ -38,7 +39,8 @@ def stream_sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: s
 
 def run_top_trending(spark: SparkSession, posts: DataFrame, counts_path: str, snapshots_path: str,
                      checkpoint: str, window: str = "10 minutes", slide: str = "5 seconds", k: int = 5,
-                     available_now: bool = True, processing_time: str = "5 seconds"):
+                     available_now: bool = True, processing_time: str = "5 seconds",
+                     state_partitions: int | None = None):
     """Start the sliding top-k query (plain state: one row per window and
     ticker). Returns ``(query, counts KeyedLog)``; snapshots (timestamp, id,
     ticker, frequency, sentiment, written_at, batch_id) are appended under
@@ -54,7 +56,7 @@ def run_top_trending(spark: SparkSession, posts: DataFrame, counts_path: str, sn
     w = (stream_sliding_counts(posts, window, slide).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint).foreachBatch(per_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start(), log
+    return start_stream(w, spark, state_partitions), log
 
 
 def _snapshot(log: KeyedLog, changed: DataFrame, batch_id: int, path: str, k: int, w_ms: int, s_ms: int) -> None:
@@ -76,7 +78,8 @@ def _snapshot(log: KeyedLog, changed: DataFrame, batch_id: int, path: str, k: in
 def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: str, counts_path: str,
                            snapshots_path: str, checkpoint: str, window: str = "10 minutes",
                            slide: str = "5 seconds", k: int = 5, available_now: bool = True,
-                           processing_time: str = "5 seconds", lexicon: Lexicon = DEFAULT_LEXICON):
+                           processing_time: str = "5 seconds", lexicon: Lexicon = DEFAULT_LEXICON,
+                           state_partitions: int | None = None):
     """Pane form of the sliding top-k (STM-4 at scale).
 
     The stream keeps one state row per (ticker, slide-sized pane) instead of
@@ -124,5 +127,5 @@ def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: st
     w = (panes.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(per_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start(), counts_log
+    return start_stream(w, spark, state_partitions), counts_log
 
