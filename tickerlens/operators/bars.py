@@ -66,7 +66,8 @@ def backup_to_minute_bars(backup: DataFrame, tz: str = "America/Los_Angeles", da
     elif ticker is not None:
         b = b.where(F.col("ticker") == ticker)
     local = epoch_to_local(F.col("epoch"), tz)
-    out = b.select("ticker", *grain_parts(local, "MIN"), *[F.col(c).cast("double") for c in BAR_VALUES])
+    out = b.select("ticker", *grain_parts(local, "MIN"), *[F.col(c).cast("double") for c in BAR_VALUES],
+                   F.col("epoch").cast("long").alias("epoch"))
     if day is not None:
         out = out.where(F.col("day") == day)
     return out
@@ -79,6 +80,9 @@ def backfill_bars(bars: DataFrame, backup: DataFrame, day: int, tz: str = "Ameri
     would (JOB-9, SET-4, WIN-5, SNK-13)."""
     add = backup_to_minute_bars(backup, tz, day, ticker)
     cols = list(MINUTE_KEYS) + list(BAR_VALUES)
-    merged = (bars.select(*cols).withColumn("_v", F.lit(0))
-              .unionByName(add.select(*cols).withColumn("_v", F.lit(1))))
+    # Version: primary rows 0, backup rows their epoch, so a backup row wins
+    # and, where two backup minutes share a local minute (autumn fold), the
+    # later one wins, as sequential inserts would.
+    merged = (bars.select(*cols).withColumn("_v", F.lit(0).cast("long"))
+              .unionByName(add.select(*cols, F.col("epoch").alias("_v"))))
     return latest_per_key(merged, list(MINUTE_KEYS), "_v").drop("_v")

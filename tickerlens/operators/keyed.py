@@ -1,7 +1,7 @@
 """Keyed replacement: the latest version of every key wins (WIN-5, SNK-4).
 
-Written as ``groupBy(keys).agg(max_by(struct(values), version))`` rather than
-a row_number window: the aggregate has a partial form, so a key with many
+Written as ``groupBy(keys).agg(max_by(value, version) ...)`` rather than a
+row_number window: the aggregate has a partial form, so a key with many
 versions is reduced map-side and never sorted as one group.
 """
 
@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """One row per key: the row with the greatest ``version`` (ties: any equal row)."""
+    """One row per key: the values of the row with the greatest ``version``.
+
+    Each value column gets its own ``max_by(col, version)``. With primitive
+    columns every buffer is fixed-width, so this plans as a hash aggregate
+    (a struct-valued ``max_by`` would force a sort aggregate). Versions must
+    be unique per key, which holds for batch ids and for upserts of
+    deduplicated updates; then every column comes from the same row.
+    """
     values = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in values])
-    out = df.groupBy(*keys).agg(F.max_by(packed, F.col(version)).alias("_row"))
-    return out.select(*[F.col(c) if c in keys else F.col("_row." + c).alias(c) for c in df.columns])
+    v = F.col(version)
+    out = df.groupBy(*keys).agg(*[F.max_by(F.col(c), v).alias(c) for c in values])
+    return out.select(*df.columns)
 
 
 def upsert(existing: DataFrame, updates: DataFrame, keys: list[str], version: str | None = None) -> DataFrame:

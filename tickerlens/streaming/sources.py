@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.sources.readers import parse_posts
+from tickerlens.schemas import POST
 
 
 def stage_files(df: DataFrame, path: str, n_files: int, order_col: str, ordered: bool = False) -> str:
@@ -37,10 +37,11 @@ def stage_files(df: DataFrame, path: str, n_files: int, order_col: str, ordered:
 
 def read_post_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """Streaming posts from a folder of JSON-line files (SRC-4 via a file
-    source; a Kafka source with ``CAST(value AS STRING)`` plugs in the same way)."""
-    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
-             .load(path))
-    return parse_posts(lines)
+    source, JSON data source with the explicit schema). A bus source plugs in
+    through ``kafka_value_stream`` + ``readers.parse_posts``."""
+    return (spark.readStream.schema(POST).option("mode", "PERMISSIVE")
+            .option("maxFilesPerTrigger", max_files_per_trigger).json(path)
+            .where(F.col("text").isNotNull()))
 
 
 def kafka_value_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
