@@ -62,3 +62,14 @@ def test_message_batches_are_bounded(spark, sf_dir):
     recs = FX.message_batches_from_posts(FX.posts_from_events(FX.events(spark, sf_dir)))
     sizes = recs.select(F.size(F.from_json("value", "messages array<string>").getField("messages")).alias("n"))
     assert sizes.agg(F.max("n")).first()[0] <= FX.MESSAGES_PER_FETCH
+
+
+def test_trade_files_csv_equal_line_parse(spark, sf_dir):
+    from tickerlens.session import scratch_path
+
+    lines = FX.trade_lines_from_events(FX.events(spark, sf_dir))
+    path = scratch_path(spark, "t_trades")
+    lines.write.mode("overwrite").text(path)
+    a = R.read_trades(spark, path)
+    b = R.trades_from_lines(spark.read.text(path))
+    assert a.count() == 1000 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -67,6 +67,21 @@ def parse_trade_lines(lines: DataFrame) -> DataFrame:
         "board", "source", "buyer", "seller", "initiator")
 
 
+def read_trades(spark: SparkSession, path: str) -> DataFrame:
+    """Trade-line files through the CSV data source (SRC-3): positional
+    schema, surrounding blanks trimmed, empty lines skipped by the reader,
+    malformed numbers null (PERMISSIVE). Only the columns a query uses are
+    parsed. Returns the typed trade columns used by the bar operators."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField(n, T.DoubleType() if n in ("ingest_epoch", "price", "quantity")
+                                         else T.StringType()) for n in TRADE_LINE_FIELDS])
+    raw = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", True)
+           .option("ignoreTrailingWhiteSpace", True).csv(path))
+    return raw.select("ticker", F.to_timestamp_ntz(F.col("time"), F.lit("yyyy-MM-dd HH:mm:ss")).alias("time"),
+                      "price", "quantity", (F.col("ingest_epoch") * 1_000_000).cast("long").alias("seq"))
+
+
 def trades_from_lines(lines: DataFrame) -> DataFrame:
     """Typed trades for the bar operators; ``seq`` is the ingest stamp in
     microseconds (the producer stamps every line it publishes)."""
