@@ -42,6 +42,15 @@ def main():
         "sliding_top5_pane": lambda: sliding.top_per_window(sliding.sliding_counts(posts, form="pane"), 5),
         "sliding_top5_plain": lambda: sliding.top_per_window(sliding.sliding_counts(posts, form="plain"), 5),
     }
+    # Production read path: the same posts as JSON-line files (staged once,
+    # not timed) read through the JSON data source.
+    from tickerlens.session import scratch_path
+    from tickerlens.sources import readers
+
+    json_path = scratch_path(spark, "bench_post_lines")
+    fixtures.post_lines(posts).write.mode("overwrite").text(json_path)
+    batch["mention_series_hr_from_json"] = lambda: mentions.mention_series(readers.read_posts(spark, json_path), "HR")
+
     results = {}
     for name, build in batch.items():
         build().write.format("noop").mode("overwrite").save()  # warm-up
