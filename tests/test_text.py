@@ -58,3 +58,18 @@ def test_lexicon_dataframe_roundtrip(spark):
     assert set(lex.negative) == set(DEFAULT_LEXICON.negative)
     df = spark.createDataFrame([("good sell sell",)], "t string")
     assert df.select(X.post_score(F.col("t"), lex)).first()[0] == -1
+
+
+def test_malformed_times_are_rejects_not_failures(spark):
+    from tickerlens.functions.timefn import parse_local_time, parse_post_time, reformat_compact_time
+
+    posts = make_posts(spark, [(1, "Wed Jan 28 13:08:45 +0000 2015", "$AA"), (2, "garbage", "$AA"),
+                               (3, "Wed Foo 28 13:08:45 +0000 2015", "$AA"), (4, "Wed Feb 31 10:00:00 +0000 2015", "$AA"),
+                               (5, "wed JAN 28 13:59:59 +0000 2015", "$AA good")])
+    r = M.mention_series(posts, "HR").collect()
+    assert [(x.hour, x.frequency, x.sentiment) for x in r] == [(13, 2, 1)]
+    df = spark.createDataFrame([("2015-02-02 15:30:01",), ("2015-13-02 15:30:01",), ("x",)], "s string")
+    assert [x[0] is None for x in df.select(parse_local_time("s")).collect()] == [False, True, True]
+    c = spark.createDataFrame([("20150202T153001",), ("2015020T153001",)], "s string")
+    assert [x[0] for x in c.select(reformat_compact_time("s")).collect()] == ["2015-02-02 15:30:01", None]
+    assert spark.range(1).select(parse_post_time(F.lit(None).cast("string"))).first()[0] is None

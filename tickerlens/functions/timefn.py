@@ -115,11 +115,53 @@ def parts_to_timestamp(grain: str, prefix: str = "") -> Column:
                                 get("hour", 0), get("minute", 0), get("second", 0))
 
 
+def _int(c) -> Column:
+    return c.try_cast("int")
+
+
 def parse_post_time(created_at) -> Column:
-    """``EEE MMM dd HH:mm:ss Z yyyy`` -> NTZ wall clock; the offset is skipped (DAT-1, DAT-2)."""
+    """``EEE MMM dd HH:mm:ss Z yyyy`` -> NTZ wall clock; the offset field is
+    skipped (DAT-1) and the month name is matched case-insensitively (DAT-2).
+
+    Built from the space-separated fields with ``try_`` functions, so a
+    malformed value gives null instead of failing the job (even under ANSI
+    mode), and no formatter or session zone is involved."""
     p = F.split(_col(created_at), " ")
-    s = F.concat_ws(" ", F.element_at(p, 2), F.element_at(p, 3), F.element_at(p, 4), F.element_at(p, 6))
-    return F.to_timestamp_ntz(s, F.lit("MMM dd HH:mm:ss yyyy"))
+    month = F.array_position(F.array(*[F.lit(m.upper()) for m in _MONTH_NAMES]),
+                             F.upper(F.try_element_at(p, F.lit(2))))
+    hms = F.split(F.try_element_at(p, F.lit(4)), ":")
+    return F.try_make_timestamp_ntz(_int(F.try_element_at(p, F.lit(6))), month.cast("int"),
+                                    _int(F.try_element_at(p, F.lit(3))), _int(F.try_element_at(hms, F.lit(1))),
+                                    _int(F.try_element_at(hms, F.lit(2))), _int(F.try_element_at(hms, F.lit(3))))
+
+
+def _fixed_fields(s, pattern: str, spans) -> Column:
+    """NTZ from fixed-position digit fields after one shape check; a value of
+    the wrong shape or an impossible date/time gives null."""
+    c = _col(s)
+    parts = [_int(F.substring(c, a, n)) for a, n in spans]
+    return F.when(c.rlike(pattern), F.try_make_timestamp_ntz(*parts))
+
+
+def parse_local_time(s) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` -> NTZ; malformed -> null (no exception, no zone)."""
+    return _fixed_fields(F.trim(_col(s)), r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+                         ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2)))
+
+
+def parse_compact_time(s) -> Column:
+    """``yyyyMMdd'T'HHmmss`` -> NTZ; malformed -> null."""
+    return _fixed_fields(s, r"^\d{8}T\d{6}$", ((1, 4), (5, 2), (7, 2), (10, 2), (12, 2), (14, 2)))
+
+
+def format_local_time(ts, date_sep: str = "-", mid: str = " ", time_sep: str = ":") -> Column:
+    """NTZ -> ``yyyy-MM-dd HH:mm:ss`` (separators configurable) from
+    wall-clock parts, so no session zone is involved."""
+    t = _col(ts)
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    return F.concat(F.lpad(F.year(t).cast("string"), 4, "0"), F.lit(date_sep), two(F.month(t)), F.lit(date_sep),
+                    two(F.dayofmonth(t)), F.lit(mid), two(F.hour(t)), F.lit(time_sep), two(F.minute(t)),
+                    F.lit(time_sep), two(F.second(t)))
 
 
 _DAY_NAMES = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")  # dayofweek 1..7
@@ -148,13 +190,17 @@ def convert_zone(ts, from_tz: str, to_tz: str) -> Column:
 
 def parse_trade_time(s, from_tz: str = "Europe/Oslo", to_tz: str = "America/Los_Angeles") -> Column:
     """``yyyy-MM-dd HH:mm:ss`` local to ``from_tz`` -> NTZ in ``to_tz``."""
-    return convert_zone(F.to_timestamp_ntz(_col(s), F.lit("yyyy-MM-dd HH:mm:ss")), from_tz, to_tz)
+    return convert_zone(parse_local_time(s), from_tz, to_tz)
 
 
 def reformat_compact_time(s) -> Column:
-    """``yyyyMMdd'T'HHmmss`` -> ``yyyy-MM-dd HH:mm:ss`` (DAT-7); malformed -> null."""
-    t = F.try_to_timestamp(_col(s), F.lit("yyyyMMdd'T'HHmmss"))
-    return F.date_format(t, "yyyy-MM-dd HH:mm:ss")
+    """``yyyyMMdd'T'HHmmss`` -> ``yyyy-MM-dd HH:mm:ss`` (DAT-7); malformed -> null.
+    The output is cut from the validated input, so the value is parsed once."""
+    c = _col(s)
+    sub = lambda a, n: F.substring(c, a, n)
+    text = F.concat(sub(1, 4), F.lit("-"), sub(5, 2), F.lit("-"), sub(7, 2), F.lit(" "), sub(10, 2), F.lit(":"),
+                    sub(12, 2), F.lit(":"), sub(14, 2))
+    return F.when(parse_compact_time(c).isNotNull(), text)
 
 
 def floor_minutes(ts, n: int) -> Column:
@@ -162,12 +208,12 @@ def floor_minutes(ts, n: int) -> Column:
     n = 0 gives the day label ``yyyy-MM-dd`` (DAT-8). n must divide 60."""
     t = _col(ts)
     if n == 0:
-        return F.date_format(t, "yyyy-MM-dd")
+        return F.substring(format_local_time(t), 1, 10)
     if n <= 0 or 60 % n:
         raise ValueError("n must divide 60")
     m = (F.minute(t) / n).cast("int") * n
-    return F.date_format(F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), m, F.lit(0)),
-                         "yyyyMMddHHmmss")
+    block = F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), m, F.lit(0))
+    return format_local_time(block, "", "", "")
 
 
 def epoch_to_local(epoch_seconds, tz: str) -> Column:
@@ -177,6 +223,18 @@ def epoch_to_local(epoch_seconds, tz: str) -> Column:
     return convert_zone(utc, "UTC", tz)
 
 
+def wall_clock_instant(ts) -> Column:
+    """NTZ wall clock -> TIMESTAMP instant that reads the same in UTC, without
+    the session zone (event-time column for watermarks; ``window()`` then
+    aligns to wall-clock hours and days)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _col(ts)))
+
+
+def instant_wall_clock(ts) -> Column:
+    """Inverse of ``wall_clock_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), _epoch_ntz())
+
+
 def local_to_epoch_millis(ts, tz: str = "UTC") -> Column:
     """NTZ wall clock in ``tz`` -> epoch milliseconds (DAT-10, DAT-11)."""
     utc = convert_zone(_col(ts), tz, "UTC")

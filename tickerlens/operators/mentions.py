@@ -23,13 +23,15 @@ def post_times(posts: DataFrame) -> DataFrame:
 
 def mention_occurrences(posts: DataFrame, grain: str, lexicon: Lexicon = DEFAULT_LEXICON,
                         keep_text: bool = False) -> DataFrame:
-    """One row per cashtag occurrence: time parts, ticker, score of the post."""
-    ts = parse_post_time(F.col("created_at"))
-    cols = grain_parts(ts, grain) + [post_score(F.col("text"), lexicon).alias("score"),
-                                     F.explode(cashtags(F.col("text"))).alias("cashtag")]
+    """One row per cashtag occurrence: time parts, ticker, score of the post.
+    Posts whose time does not parse are rejects and are left out."""
+    timed = (posts.select(parse_post_time(F.col("created_at")).alias("_ts"), "text")
+             .where(F.col("_ts").isNotNull()))
+    cols = grain_parts(F.col("_ts"), grain) + [post_score(F.col("text"), lexicon).alias("score"),
+                                               F.explode(cashtags(F.col("text"))).alias("cashtag")]
     if keep_text:
         cols.insert(0, F.col("text"))
-    out = posts.select(*cols)
+    out = timed.select(*cols)
     keep = (["text"] if keep_text else []) + list(grain_columns(grain))
     return out.select(*keep, strip_cashtag(F.col("cashtag")).alias("ticker"), "score")
 
@@ -52,8 +54,9 @@ def mention_series_join_form(posts: DataFrame, grain: str, lexicon: Lexicon = DE
     exchange of its own.
     """
     parts = list(grain_columns(grain))
-    ts = parse_post_time(F.col("created_at"))
-    base = posts.select(*grain_parts(ts, grain), "text")
+    timed = (posts.select(parse_post_time(F.col("created_at")).alias("_ts"), "text")
+             .where(F.col("_ts").isNotNull()))
+    base = timed.select(*grain_parts(F.col("_ts"), grain), "text")
     freq = (base.select(*parts, F.explode(cashtags(F.col("text"))).alias("tag"))
             .groupBy(*parts, "tag").agg(F.count(F.lit(1)).alias("frequency")))
     words = base.select(*parts, "text", F.explode(tokens(F.col("text"))).alias("w"))

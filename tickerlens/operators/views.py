@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlens.functions.text import colour, sentiment_sign, strip_quotes
-from tickerlens.functions.timefn import (display_shift, grain_columns, local_hour_to_utc,
+from tickerlens.functions.timefn import (display_shift, format_local_time, grain_columns, local_hour_to_utc,
                                          local_to_epoch_millis, parse_post_time, parts_label,
                                          parts_to_timestamp, _epoch_ntz)
 from tickerlens.operators.keyed import latest_per_key
@@ -63,7 +63,8 @@ def trending_by_local_hour(trending_hour: DataFrame, tz: str = "America/New_York
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), parts_to_timestamp("HR"))
     w = Window.partitionBy("year", "month", "day", "hour").orderBy(F.desc("frequency"), F.asc("ticker"))
     ranked = trending_hour.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
-    return ranked.select(F.date_format(local, "yyyy_MM_dd_HH").alias("local_hour"), "ticker", "frequency",
+    label = F.regexp_replace(F.substring(format_local_time(local), 1, 13), "[- ]", "_")
+    return ranked.select(label.alias("local_hour"), "ticker", "frequency",
                          colour(F.col("sentiment")).alias("colour"), F.col("_r").cast("long").alias("rank"))
 
 
@@ -138,7 +139,7 @@ def lookback(series: DataFrame, grain: str, interval: str, display_hours: int =
     newest = with_ts.select(F.max("_ts")).scalar()
     keep = with_ts.where(F.col("_ts") > newest - F.expr(f"INTERVAL {interval}"))
     return keep.select("ticker", local_to_epoch_millis(F.col("_ts"), "UTC").alias("bucket_ms"),
-                       F.date_format(display_shift(F.col("_ts"), display_hours), "yyyy-MM-dd HH:mm").alias("display"),
+                       F.substring(format_local_time(display_shift(F.col("_ts"), display_hours)), 1, 16).alias("display"),
                        *SERIES_VALUES)
 
 

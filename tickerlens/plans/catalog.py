@@ -152,7 +152,7 @@ INGEST_EPOCH = 1704067200.0
 def _trades_from_csv(spark, d):
     lines = FX.trade_lines_from_events(FX.events(spark, d), INGEST_EPOCH)
     t = R.parse_trade_lines(lines)
-    return t.select("ingest_epoch", "ticker", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"),
+    return t.select("ingest_epoch", "ticker", TF.format_local_time(F.col("time")).alias("time"),
                     "price", "quantity", "board", "source", "buyer", "seller", "initiator")
 
 

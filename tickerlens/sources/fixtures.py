@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.functions.timefn import format_post_time
+from tickerlens.functions.timefn import format_local_time, format_post_time
 from tickerlens.schemas import TRADE_DUMP_HEADER
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -97,7 +97,7 @@ def trade_lines_from_events(ev: DataFrame, ingest_epoch: float = 1704067200.0) -
     followed by an empty line as the landing adds one (quirk Q15)."""
     t = trades_from_events(ev)
     fields = [F.format_string("%.1f", F.lit(float(ingest_epoch)) + F.col("seq")), F.col("ticker"),
-              F.date_format("time", "yyyy-MM-dd HH:mm:ss"), F.col("price").cast("string"),
+              format_local_time(F.col("time")), F.col("price").cast("string"),
               F.col("quantity").cast("string")] + [F.lit(c) for c in TRADE_CONSTANTS]
     line = F.concat_ws(",", *fields)
     return t.select(F.explode(F.array(line, F.lit(""))).alias("value"))
@@ -114,7 +114,8 @@ def trade_dump_lines(ev: DataFrame, snapshot: str = "new") -> DataFrame:
         t = t.where(F.col("seq") % 3 != 0)
     elif snapshot != "new":
         raise ValueError("snapshot must be 'new' or 'old'")
-    body = F.concat_ws(",", F.date_format("time", "yyyyMMdd'T'HHmmss"), F.col("price").cast("string"),
+    compact = format_local_time(F.col("time"), "", "T", "")
+    body = F.concat_ws(",", compact, F.col("price").cast("string"),
                        F.col("quantity").cast("string"), *[F.lit(c) for c in TRADE_CONSTANTS])
     lines = t.select("ticker", body.alias("line"))
     headers = t.select("ticker").distinct().select("ticker", F.lit(TRADE_DUMP_HEADER).alias("line"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.functions.timefn import reformat_compact_time
+from tickerlens.functions.timefn import parse_local_time, reformat_compact_time
 from tickerlens.schemas import (BACKUP_BAR, MESSAGE_RESPONSE, POST, POST_WITH_CORRUPT,
                                 TRADE_DUMP_HEADER, TRADE_LINE_FIELDS, UNIVERSE)
 
@@ -61,7 +61,7 @@ def parse_trade_lines(lines: DataFrame) -> DataFrame:
     raw = lines.where(F.length("value") > 0).select(*cols)
     return raw.select(
         F.expr("try_cast(ingest_epoch AS DOUBLE)").alias("ingest_epoch"), "ticker",
-        F.to_timestamp_ntz(F.col("time"), F.lit("yyyy-MM-dd HH:mm:ss")).alias("time"),
+        parse_local_time(F.col("time")).alias("time"),
         F.expr("try_cast(price AS DOUBLE)").alias("price"),
         F.expr("try_cast(quantity AS DOUBLE)").alias("quantity"),
         "board", "source", "buyer", "seller", "initiator")
@@ -78,7 +78,7 @@ def read_trades(spark: SparkSession, path: str) -> DataFrame:
                                          else T.StringType()) for n in TRADE_LINE_FIELDS])
     raw = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", True)
            .option("ignoreTrailingWhiteSpace", True).csv(path))
-    return raw.select("ticker", F.to_timestamp_ntz(F.col("time"), F.lit("yyyy-MM-dd HH:mm:ss")).alias("time"),
+    return raw.select("ticker", parse_local_time(F.col("time")).alias("time"),
                       "price", "quantity", (F.col("ingest_epoch") * 1_000_000).cast("long").alias("seq"))
 
 

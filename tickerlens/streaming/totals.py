@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
 from tickerlens.functions.text import cashtags, post_score, strip_cashtag
-from tickerlens.functions.timefn import grain_columns, grain_parts, normalize_grain, parse_post_time
+from tickerlens.functions.timefn import (grain_columns, grain_parts, instant_wall_clock, normalize_grain,
+                                         parse_post_time, wall_clock_instant)
 from tickerlens.session import start_stream
 from tickerlens.sinks.tables import KeyedLog
 
@@ -33,7 +34,8 @@ def stream_mention_series(posts: DataFrame, grain: str, watermark: str | None =
     g = normalize_grain(grain)
     parts = list(grain_columns(g))
     ts = parse_post_time(F.col("created_at"))
-    occ = posts.select(ts.alias("ts"), post_score(F.col("text"), lexicon).alias("score"),
+    timed = posts.select(ts.alias("ts"), "text").where(F.col("ts").isNotNull())
+    occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
                        F.explode(cashtags(F.col("text"))).alias("tag"))
     occ = occ.select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score")
     if watermark is None:
@@ -43,11 +45,11 @@ def stream_mention_series(posts: DataFrame, grain: str, watermark: str | None =
     if g not in _WINDOWS:
         raise ValueError(f"watermark mode supports {sorted(_WINDOWS)}")
     width, start = _WINDOWS[g]
-    ev = occ.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", watermark)
+    ev = occ.withColumn("event_time", wall_clock_instant(F.col("ts"))).withWatermark("event_time", watermark)
     win = F.window("event_time", width, startTime=start) if start else F.window("event_time", width)
     agg = (ev.groupBy(win.alias("w"), "ticker")
            .agg(F.count(F.lit(1)).alias("frequency"), F.sum("score").cast("long").alias("sentiment")))
-    start_ntz = F.col("w.start").cast("timestamp_ntz")
+    start_ntz = instant_wall_clock(F.col("w.start"))
     return agg.select(*grain_parts(start_ntz, g), "ticker", "frequency", "sentiment")
 
 

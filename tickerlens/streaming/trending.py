@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
 from tickerlens.functions.text import cashtags, post_score, strip_cashtag
-from tickerlens.functions.timefn import _epoch_ntz, parse_post_time
+from tickerlens.functions.timefn import _epoch_ntz, instant_wall_clock, parse_post_time, wall_clock_instant
 from tickerlens.operators.sliding import _seconds, top_per_window
 from tickerlens.session import start_stream
 from tickerlens.sinks.tables import KeyedLog
@@ -25,14 +25,15 @@ def stream_sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: s
                           watermark: str | None = None, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """ticker, window_end_ms, frequency, sentiment as a streaming aggregate."""
     ts = parse_post_time(F.col("created_at"))
-    occ = posts.select(ts.alias("ts"), post_score(F.col("text"), lexicon).alias("score"),
+    timed = posts.select(ts.alias("ts"), "text").where(F.col("ts").isNotNull())
+    occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
                        F.explode(cashtags(F.col("text"))).alias("tag"))
     occ = occ.select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score")
     if watermark is not None:
-        occ = occ.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+        occ = occ.withColumn("ts", wall_clock_instant(F.col("ts"))).withWatermark("ts", watermark)
     agg = (occ.groupBy(F.window("ts", window, slide).alias("w"), "ticker")
            .agg(F.count(F.lit(1)).alias("frequency"), F.sum("score").cast("long").alias("sentiment")))
-    end = F.col("w.end").cast("timestamp_ntz")
+    end = F.col("w.end") if watermark is None else instant_wall_clock(F.col("w.end"))
     return agg.select("ticker", F.timestamp_diff("MILLISECOND", _epoch_ntz(), end).alias("window_end_ms"),
                       "frequency", "sentiment")
 
@@ -96,7 +97,8 @@ def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: st
     counts_log = KeyedLog(spark, counts_path, ["window_end_ms", "ticker"])
 
     ts = parse_post_time(F.col("created_at"))
-    occ = posts.select(ts.alias("ts"), post_score(F.col("text"), lexicon).alias("score"),
+    timed = posts.select(ts.alias("ts"), "text").where(F.col("ts").isNotNull())
+    occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
                        F.explode(cashtags(F.col("text"))).alias("tag"))
     pane = F.floor(F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts")) / s_s)
     panes = (occ.select(strip_cashtag(F.col("tag")).alias("ticker"), pane.alias("pane"), "score")
