@@ -123,16 +123,16 @@ def parse_post_time(created_at) -> Column:
     """``EEE MMM dd HH:mm:ss Z yyyy`` -> NTZ wall clock; the offset field is
     skipped (DAT-1) and the month name is matched case-insensitively (DAT-2).
 
-    Built from the space-separated fields with ``try_`` functions, so a
-    malformed value gives null instead of failing the job (even under ANSI
-    mode), and no formatter or session zone is involved."""
-    p = F.split(_col(created_at), " ")
-    month = F.array_position(F.array(*[F.lit(m.upper()) for m in _MONTH_NAMES]),
-                             F.upper(F.try_element_at(p, F.lit(2))))
-    hms = F.split(F.try_element_at(p, F.lit(4)), ":")
-    return F.try_make_timestamp_ntz(_int(F.try_element_at(p, F.lit(6))), month.cast("int"),
-                                    _int(F.try_element_at(p, F.lit(3))), _int(F.try_element_at(hms, F.lit(1))),
-                                    _int(F.try_element_at(hms, F.lit(2))), _int(F.try_element_at(hms, F.lit(3))))
+    The format is fixed-width: one shape check, then substrings; ``try_``
+    construction turns an impossible date into null. A malformed value is a
+    reject (null), never a job failure, even under ANSI mode, and no
+    formatter or session zone is involved."""
+    c = _col(created_at)
+    shape = r"^[A-Za-z]{3} [A-Za-z]{3} \d{2} \d{2}:\d{2}:\d{2} [+-]\d{4} \d{4}$"
+    month = F.array_position(F.array(*[F.lit(m.upper()) for m in _MONTH_NAMES]), F.upper(F.substring(c, 5, 3)))
+    parts = [_int(F.substring(c, 27, 4)), month.cast("int"), _int(F.substring(c, 9, 2)),
+             _int(F.substring(c, 12, 2)), _int(F.substring(c, 15, 2)), _int(F.substring(c, 18, 2))]
+    return F.when(c.rlike(shape), F.try_make_timestamp_ntz(*parts))
 
 
 def _fixed_fields(s, pattern: str, spans) -> Column:

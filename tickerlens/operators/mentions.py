@@ -25,10 +25,13 @@ def mention_occurrences(posts: DataFrame, grain: str, lexicon: Lexicon = DEFAULT
                         keep_text: bool = False) -> DataFrame:
     """One row per cashtag occurrence: time parts, ticker, score of the post.
     Posts whose time does not parse are rejects and are left out."""
-    timed = (posts.select(parse_post_time(F.col("created_at")).alias("_ts"), "text")
-             .where(F.col("_ts").isNotNull()))
+    # Rejects (unparseable time) drop out inside the generator: explode of a
+    # null array emits no row. A Filter here would be pushed below the
+    # projection that builds the time and evaluate it twice.
+    timed = posts.select(parse_post_time(F.col("created_at")).alias("_ts"), "text")
+    tags = F.when(F.col("_ts").isNotNull(), cashtags(F.col("text")))
     cols = grain_parts(F.col("_ts"), grain) + [post_score(F.col("text"), lexicon).alias("score"),
-                                               F.explode(cashtags(F.col("text"))).alias("cashtag")]
+                                               F.explode(tags).alias("cashtag")]
     if keep_text:
         cols.insert(0, F.col("text"))
     out = timed.select(*cols)
@@ -54,12 +57,11 @@ def mention_series_join_form(posts: DataFrame, grain: str, lexicon: Lexicon = DE
     exchange of its own.
     """
     parts = list(grain_columns(grain))
-    timed = (posts.select(parse_post_time(F.col("created_at")).alias("_ts"), "text")
-             .where(F.col("_ts").isNotNull()))
-    base = timed.select(*grain_parts(F.col("_ts"), grain), "text")
-    freq = (base.select(*parts, F.explode(cashtags(F.col("text"))).alias("tag"))
+    timed = posts.select(parse_post_time(F.col("created_at")).alias("_ts"), "text")
+    base = timed.select(*grain_parts(F.col("_ts"), grain), "text", F.col("_ts").isNotNull().alias("_ok"))
+    freq = (base.select(*parts, F.explode(F.when(F.col("_ok"), cashtags(F.col("text")))).alias("tag"))
             .groupBy(*parts, "tag").agg(F.count(F.lit(1)).alias("frequency")))
-    words = base.select(*parts, "text", F.explode(tokens(F.col("text"))).alias("w"))
+    words = base.select(*parts, "text", F.explode(F.when(F.col("_ok"), tokens(F.col("text")))).alias("w"))
     by_text = (words.groupBy(*parts, "text")
                .agg(F.sum(lexicon.polarity(F.col("w"))).alias("s")))
     senti = (by_text.select(*parts, "s", F.explode(cashtags(F.col("text"))).alias("tag"))

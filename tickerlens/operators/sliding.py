@@ -29,10 +29,9 @@ def _seconds(spec: str) -> int:
 
 def occurrences_at_time(posts: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """One row per cashtag occurrence: ts (NTZ), ticker, score."""
-    timed = (posts.select(parse_post_time(F.col("created_at")).alias("ts"), "text")
-             .where(F.col("ts").isNotNull()))
-    return (timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
-                         F.explode(cashtags(F.col("text"))).alias("tag"))
+    timed = posts.select(parse_post_time(F.col("created_at")).alias("ts"), "text")
+    tags = F.when(F.col("ts").isNotNull(), cashtags(F.col("text")))  # rejects emit no row
+    return (timed.select("ts", post_score(F.col("text"), lexicon).alias("score"), F.explode(tags).alias("tag"))
             .select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score"))
 
 

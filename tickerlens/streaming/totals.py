@@ -34,9 +34,9 @@ def stream_mention_series(posts: DataFrame, grain: str, watermark: str | None =
     g = normalize_grain(grain)
     parts = list(grain_columns(g))
     ts = parse_post_time(F.col("created_at"))
-    timed = posts.select(ts.alias("ts"), "text").where(F.col("ts").isNotNull())
+    timed = posts.select(ts.alias("ts"), "text")
     occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
-                       F.explode(cashtags(F.col("text"))).alias("tag"))
+                       F.explode(F.when(F.col("ts").isNotNull(), cashtags(F.col("text")))).alias("tag"))
     occ = occ.select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score")
     if watermark is None:
         return (occ.select(*grain_parts(F.col("ts"), g), "ticker", "score")

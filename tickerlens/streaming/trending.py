@@ -25,9 +25,9 @@ def stream_sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: s
                           watermark: str | None = None, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """ticker, window_end_ms, frequency, sentiment as a streaming aggregate."""
     ts = parse_post_time(F.col("created_at"))
-    timed = posts.select(ts.alias("ts"), "text").where(F.col("ts").isNotNull())
+    timed = posts.select(ts.alias("ts"), "text")
     occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
-                       F.explode(cashtags(F.col("text"))).alias("tag"))
+                       F.explode(F.when(F.col("ts").isNotNull(), cashtags(F.col("text")))).alias("tag"))
     occ = occ.select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score")
     if watermark is not None:
         occ = occ.withColumn("ts", wall_clock_instant(F.col("ts"))).withWatermark("ts", watermark)
@@ -97,9 +97,9 @@ def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: st
     counts_log = KeyedLog(spark, counts_path, ["window_end_ms", "ticker"])
 
     ts = parse_post_time(F.col("created_at"))
-    timed = posts.select(ts.alias("ts"), "text").where(F.col("ts").isNotNull())
+    timed = posts.select(ts.alias("ts"), "text")
     occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
-                       F.explode(cashtags(F.col("text"))).alias("tag"))
+                       F.explode(F.when(F.col("ts").isNotNull(), cashtags(F.col("text")))).alias("tag"))
     pane = F.floor(F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts")) / s_s)
     panes = (occ.select(strip_cashtag(F.col("tag")).alias("ticker"), pane.alias("pane"), "score")
              .groupBy("ticker", "pane")
