@@ -21,7 +21,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import components
+from tickerlens.llm.common import components, cut
 
 RULES = [
     ("allow", "com", "/"),
@@ -65,25 +65,34 @@ def address(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host, path, query))
 
 
+def _attributes(html: Column, tag: str, at: str) -> Column:
+    found = F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, at, 1))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(src, dst)`` URLs: each page and what its canonical and redirect tags
     name.  Relative targets are taken against the page's host or folder."""
     html, url = F.col(html_col), F.col(url_col)
-    found = F.concat(*(F.coalesce(F.transform(F.regexp_extract_all(html, F.lit(tag), 0), lambda t, at=at: F.regexp_extract(t, at, 1)), F.array()) for tag, at in TAG_PATTERNS.items()))
+    found = F.concat(*(_attributes(html, tag, at) for tag, at in TAG_PATTERNS.items()))
     links = pages.where(F.instr(url, "://") > 0).select(url.alias("src"), F.explode(F.array_distinct(found)).alias("link")).where("link <> ''")
-    link = F.regexp_replace("link", "&amp;", "&")
-    scheme = F.regexp_extract("src", r"^(.*?)://", 1)
-    host = host_of(F.col("src"))
-    folder = F.coalesce(F.nullif(F.regexp_extract(path_of(F.col("src")), r"^(.*/)", 1), F.lit("")), F.lit("/"))
+    parts = links.select(
+        "src",
+        F.regexp_replace("link", "&amp;", "&").alias("link"),
+        F.regexp_extract("src", r"^(.*?)://", 1).alias("scheme"),
+        host_of(F.col("src")).alias("host"),
+        path_of(F.col("src")).alias("path"),
+    ).withColumn("folder", F.coalesce(F.nullif(F.regexp_extract("path", r"^(.*/)", 1), F.lit("")), F.lit("/")))
+    link, site = F.col("link"), F.concat("scheme", F.lit("://"), "host")
     target = (
         F.when(F.instr(link, "://") > 0, link)
-        .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(scheme, F.lit("://"), host, link))
-        .when(F.startswith(link, F.lit("?")), F.concat(scheme, F.lit("://"), host, path_of(F.col("src")), link))
+        .when(F.startswith(link, F.lit("//")), F.concat("scheme", F.lit(":"), link))
+        .when(F.startswith(link, F.lit("/")), F.concat(site, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(site, "path", link))
         .when(F.startswith(link, F.lit("#")), F.col("src"))
-        .otherwise(F.concat(scheme, F.lit("://"), host, folder, link))
+        .otherwise(F.concat(site, "folder", link))
     )
-    return links.select("src", target.alias("dst"))
+    return parts.select("src", target.alias("dst"))
 
 
 def judge(urls: DataFrame, rules: DataFrame, url_col: str) -> DataFrame:
@@ -109,7 +118,8 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str) -> DataFrame:
 
 
 def rules_frame(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame([(v, h, p) for v, h, p in rules], "ruling string, host string, path string")
+    rows = [F.struct(F.lit(v).alias("ruling"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def url_verdicts(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -122,7 +132,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", ur
     columns are not read, so their names can't clash.  No pages: no rows.
     """
     given = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
-    links = link_edges(pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")))
+    links = cut(link_edges(pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))))
     edges = links.select(address(F.col("src")).alias("src"), address(F.col("dst")).alias("dst"), F.col("src").alias("u"), F.col("dst").alias("v"))
     classes = components(edges.select("src", "dst"))
     # Every spelling counts: a class is blocked if a rule blocks one of its URLs.
