@@ -11,6 +11,7 @@ finds its place from its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -35,22 +36,36 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: What the vocabulary's pre-tokenizer matches, for lower-case printable ASCII.
+ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+MEMO_LIMIT = 500_000
+
+
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> Memo:
     """Blank-free chunk of a text -> its ids as little-endian bytes.
 
     This vocabulary's tokenizer drops blanks and never joins across them, so
-    a text's ids are its chunks' ids in order, and a chunk needs encoding once.
+    a text's ids are its chunks' ids in order.  Chunks, and the parts of ASCII
+    chunks, are encoded once as long as they are remembered.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    model = tokenizer.model
 
-    def encode(chunk: bytes) -> bytes:
-        ids = tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
+    def as_bytes(ids: list[int]) -> bytes:
         return np.asarray(ids, "<u4").tobytes()
 
-    return Memo(encode)
+    parts = Memo(lambda part: as_bytes([t.id for t in model.tokenize(part)]), MEMO_LIMIT)
+
+    def encode(chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if text.isascii() and text.isprintable() and "<|" not in text:
+            return b"".join(map(parts.__getitem__, ASCII_PARTS.findall(text.lower())))
+        return as_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    return Memo(encode, MEMO_LIMIT)
 
 
 def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
