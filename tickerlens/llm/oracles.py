@@ -65,3 +65,65 @@ SELECT p.page_id, coalesce(n.host, '') AS host, coalesce(n.path, '') AS path, be
 FROM pages p LEFT JOIN nodes n ON n.url = p.url LEFT JOIN best ON best.url = p.url
 LEFT JOIN classes c ON c.node = n.node LEFT JOIN bad ON bad.component = c.component
 """
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+SUBSTRING_DEDUP = rf"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+windows AS (
+  SELECT doc_id, s, hash(words[s:s + 19]) AS h, words[s:s + 19] AS w
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS s FROM docs WHERE len(words) >= 20)
+),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+numbered AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS rn
+  FROM windows WHERE h IN (SELECT h FROM twice)
+),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS p FROM numbered WHERE rn > 1),
+by_doc AS (SELECT doc_id, list(p) AS gone, count(*) AS n FROM gone GROUP BY doc_id),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM docs WHERE doc_id IN (SELECT doc_id FROM by_doc)),
+left_over AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(b.n, 0) AS n_removed,
+  sha256(CASE WHEN b.doc_id IS NULL THEN array_to_string(d.words, ' ') ELSE coalesce(l.kept, '') END) AS kept_sha256
+FROM docs d LEFT JOIN by_doc b USING (doc_id) LEFT JOIN left_over l USING (doc_id)
+"""
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(words) - 2), i -> words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles
+  FROM docs
+),
+sizes AS (SELECT doc_id, len(shingles) AS n FROM sets),
+flat AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT r.a, w.b FROM reach r JOIN ways w ON w.a = r.b)
+SELECT s.doc_id, s.n AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM sizes s JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
+LINKED_VECTORS = r"""
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+classes AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN classes USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
