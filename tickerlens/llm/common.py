@@ -24,18 +24,19 @@ NULL_ID = -(2**63)
 U64 = np.uint64
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Checkpoints go to ``spark.checkpoint.dir``; only a session without one
-    (a test) gets a folder of its own."""
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, ``spark.checkpoint.dir``, which driver
+    and executors share; only a session without one (a test) gets its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="llm-checkpoint-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

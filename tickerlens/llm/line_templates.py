@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import binary, cut, documents_by_id, id_out
+from tickerlens.llm.common import binary, cut, documents_by_id, id_in, id_out
 
 DEPTH = 3
 MIN_TOKENS = 4
@@ -160,3 +160,18 @@ def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int =
     gone = found.where(F.struct("doc_id", "line") != F.col("keep")).groupBy("doc_id").agg(F.collect_list("line").alias("gone"))
     kept = texts.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(_without_lines(), "doc_id long, n_lines long, n_dropped long, kept_text string")
     return kept.withColumn("doc_id", id_out(F.col("doc_id")))
+
+
+def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", **parameters) -> DataFrame:
+    """``docs`` with its columns, the recurring lines taken out of the texts
+    (and ``length_col``, if there is such a column, set to their length).
+    Rows that share an id and differ in their texts get the same text, that of
+    ``drop_recurring_lines``, where it lost lines."""
+    changed = drop_recurring_lines(docs, id_col=id_col, text_col=text_col, **parameters).where("n_dropped > 0")
+    changed = changed.select(id_in("doc_id").alias("_changed_id"), F.col("kept_text").alias("_kept_text"))
+    joined = docs.join(changed, id_in(id_col) == F.col("_changed_id"), "left")
+    text = F.coalesce("_kept_text", F.col(text_col))
+    made = {text_col: text}
+    if length_col in docs.columns:
+        made[length_col] = F.when(F.col("_kept_text").isNull(), F.col(length_col)).otherwise(F.length("_kept_text").cast(docs.schema[length_col].dataType))
+    return joined.select(*(made[c].alias(c) if c in made else docs[c] for c in docs.columns))

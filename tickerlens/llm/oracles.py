@@ -95,7 +95,7 @@ WITH RECURSIVE docs AS (
 ),
 sets AS (
   SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-    ELSE list_distinct(list_transform(generate_series(1, len(words) - 2), i -> words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles
+    ELSE list_distinct([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] for i in generate_series(1, len(words) - 2)]) END AS shingles
   FROM docs
 ),
 sizes AS (SELECT doc_id, len(shingles) AS n FROM sets),
@@ -113,9 +113,9 @@ FROM sizes s JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP B
 
 LINKED_VECTORS = r"""
 WITH RECURSIVE valid AS (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in embedding if x <> 0]) > 0
 ),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)

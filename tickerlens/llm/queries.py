@@ -32,7 +32,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minmax_dedup.near_duplicates(load(spark, sf_dir, "documents"), n=3, share=(85, 100))
+    return minmax_dedup.near_duplicates(load(spark, sf_dir, "documents"), n=3, share=(85, 100), rows=5)
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
