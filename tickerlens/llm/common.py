@@ -44,8 +44,9 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def id_in(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
+def id_in(column: str | Column) -> Column:
+    column = F.col(column) if isinstance(column, str) else column
+    return F.coalesce(column.cast("long"), F.lit(NULL_ID))
 
 
 def id_out(column: Column) -> Column:

@@ -168,10 +168,10 @@ def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Rows that share an id and differ in their texts get the same text, that of
     ``drop_recurring_lines``, where it lost lines."""
     changed = drop_recurring_lines(docs, id_col=id_col, text_col=text_col, **parameters).where("n_dropped > 0")
-    changed = changed.select(id_in("doc_id").alias("_changed_id"), F.col("kept_text").alias("_kept_text"))
-    joined = docs.join(changed, id_in(id_col) == F.col("_changed_id"), "left")
-    text = F.coalesce("_kept_text", F.col(text_col))
-    made = {text_col: text}
+    changed = changed.select(id_in("doc_id").alias("id"), F.col("kept_text").alias("kept"))
+    joined = docs.join(changed, id_in(docs[id_col]) == changed["id"], "left")
+    made = {text_col: F.coalesce(changed["kept"], docs[text_col])}
     if length_col in docs.columns:
-        made[length_col] = F.when(F.col("_kept_text").isNull(), F.col(length_col)).otherwise(F.length("_kept_text").cast(docs.schema[length_col].dataType))
+        length = F.length(changed["kept"]).cast(docs.schema[length_col].dataType)
+        made[length_col] = F.when(changed["kept"].isNull(), docs[length_col]).otherwise(length)
     return joined.select(*(made[c].alias(c) if c in made else docs[c] for c in docs.columns))

@@ -239,5 +239,5 @@ def near_duplicates(
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """The rows of ``docs`` whose documents ``near_duplicates`` keeps."""
-    gone = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters).where("not kept").select(id_in("doc_id").alias("_gone_id"))
-    return docs.join(gone, id_in(id_col) == F.col("_gone_id"), "left_anti")
+    gone = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters).where("not kept").select(id_in("doc_id").alias("id"))
+    return docs.join(gone, id_in(docs[id_col]) == gone["id"], "left_anti")

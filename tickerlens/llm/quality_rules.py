@@ -200,6 +200,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns: str) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
-    bad = judge(docs, id_col, text_col, **columns).where("not kept").select(F.col("doc_id").alias("_bad_id"), F.col("row_hash").alias("_bad_row")).distinct()
-    row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return docs.join(bad, (row == F.col("_bad_row")) & F.col(id_col).cast("long").eqNullSafe(F.col("_bad_id")), "left_anti")
+    bad = judge(docs, id_col, text_col, **columns).where("not kept").select("doc_id", "row_hash").distinct()
+    doc = docs[id_col].cast("long")
+    row = F.xxhash64(doc, docs[text_col].cast("string"))
+    return docs.join(bad, (row == bad["row_hash"]) & doc.eqNullSafe(bad["doc_id"]), "left_anti")

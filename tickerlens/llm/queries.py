@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import line_templates, minmax_dedup, oracles, packing, quality_rules, secrets, substring_dedup, temperature_mixing, toxicity, url_filter, vector_range_join
+from tickerlens.llm import line_templates, minmax_dedup, oracles, packing, quality_rules, secret_scan, substring_dedup, temperature_mixing, toxicity, url_filter, vector_range_join
 from tickerlens.llm.common import load
 
 
@@ -24,7 +24,7 @@ def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_secrets(load(spark, sf_dir, "documents"))
+    return secret_scan.scan_secrets(load(spark, sf_dir, "documents"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
