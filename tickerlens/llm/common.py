@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,12 +80,52 @@ class Memo(dict):
         return value
 
 
-def word_hashes(words: list[bytes], memo: Memo) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, words), U64, len(words))
+#: Base of the polynomial word hash, and its inverse modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 2**64)
+AT_ONCE = 1 << 20
 
 
-def new_memo() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest)
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.full(n, x, U64)) for x in (BASE, INVERSE))
+
+
+def _hash_joined(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Ends in ``raw``, and hashes, of its words; ``raw`` ends with a blank."""
+    b = np.frombuffer(raw, np.uint8)
+    blank = (b == 32) | ((b >= 9) & (b <= 13))
+    starts = np.flatnonzero(~blank & np.r_[True, blank[:-1]])
+    ends = np.flatnonzero(blank & np.r_[False, ~blank[:-1]])
+    up, down = _powers(1 << max(AT_ONCE, len(b)).bit_length())
+    sums = np.cumsum((b.astype(U64) + U64(1)) * up[: len(b)])
+    before = np.where(starts > 0, sums[starts - 1], U64(0))
+    return ends, mix((sums[ends - 1] - before) * down[starts] ^ (ends - starts).astype(U64) * U64(INVERSE))
+
+
+def word_hashes(texts: list[bytes | None]) -> list[np.ndarray]:
+    """For each text the 64-bit hashes of its words: a polynomial in the bytes
+    of a word, taken from prefix sums over many texts at once."""
+    out: list[np.ndarray] = []
+    held: list[bytes] = []
+    size = 0
+
+    def flush() -> None:
+        nonlocal size
+        ends, hashes = _hash_joined(b" ".join([*held, b""]))
+        cuts = np.searchsorted(ends, np.cumsum([len(t) + 1 for t in held]) - 1, side="right")
+        out.extend(np.split(hashes, cuts[:-1]))
+        held.clear()
+        size = 0
+
+    for text in texts:
+        held.append(text or b"")
+        size += len(held[-1]) + 1
+        if size > AT_ONCE:
+            flush()
+    if held:
+        flush()
+    return out
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -119,6 +159,10 @@ def binary(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.cast(kind)
 
 
+def raw_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
+    return binary(column).to_pylist()
+
+
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, list]]:
     """Runs of rows with equal ``keys``, from batches sorted by them, as
     columns of Python values.  Holds one run and one batch at a time."""

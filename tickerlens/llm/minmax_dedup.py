@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import U64, Forest, binary, components, cut, gram_hashes, grouped, id_in, id_out, mix, new_memo, word_hashes
+from tickerlens.llm.common import U64, Forest, components, cut, gram_hashes, grouped, id_in, id_out, mix, raw_texts, word_hashes
 
 PERMUTATIONS = 60
 ROWS = 4
@@ -38,15 +38,13 @@ SEED = 20_140_801
 AT_ONCE = 1 << 14
 
 
-def lowered(raw: bytes | None) -> list[bytes]:
-    return (raw or b"").lower().split()  # bytes.lower() changes A-Z alone
+def lowered(raw: bytes | None) -> bytes:
+    return (raw or b"").lower()  # of bytes, it changes A-Z alone
 
 
-def shingle_set(words: list[bytes], memo, n: int) -> np.ndarray:
-    """Distinct shingles as sorted 64-bit hashes; fewer words than ``n`` are one."""
-    if not words:
-        return np.empty(0, U64)
-    return np.unique(gram_hashes(word_hashes(words, memo), min(n, len(words))))
+def shingle_set(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Distinct shingles of words as sorted 64-bit hashes; fewer words than ``n`` are one."""
+    return np.unique(gram_hashes(hashes, min(n, len(hashes)))) if len(hashes) else hashes
 
 
 def factors(permutations: int) -> np.ndarray:
@@ -66,8 +64,8 @@ def min_max(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     return np.concatenate([np.min(least, axis=0), np.max(most, axis=0)])
 
 
-def _digest(words: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+def _digest(text: bytes) -> bytes:
+    return hashlib.blake2b(b" ".join(text.split()), digest_size=16).digest()
 
 
 def sketches(docs: DataFrame, n: int, permutations: int = PERMUTATIONS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -76,14 +74,14 @@ def sketches(docs: DataFrame, n: int, permutations: int = PERMUTATIONS, rows: in
     for each value, ``bands`` one hash for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, multipliers = new_memo(), factors(permutations)
+        multipliers = factors(permutations)
         order = np.arange(2 * permutations).reshape(2, permutations).T.reshape(-1)  # a function's two values side by side
         for batch in batches:
             digests, counts, signatures, bands = [], [], [], []
-            for raw in binary(batch.column(1)):
-                words = lowered(raw.as_py())
-                shingles = shingle_set(words, memo, n)
-                digests.append(_digest(words))
+            texts = [lowered(raw) for raw in raw_texts(batch.column(1))]
+            for text, hashes in zip(texts, word_hashes(texts), strict=True):
+                shingles = shingle_set(hashes, n)
+                digests.append(_digest(text))
                 counts.append(len(shingles))
                 if not len(shingles):
                     signatures.append(None)
@@ -151,14 +149,12 @@ def _with_sets(n: int):
     """Rows with texts -> rows with full sets, where the text is the one that was sketched."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = new_memo()
         for batch in batches:
             keep, sets, last = [], [], (None, None, None)
-            for i, (raw, digest) in enumerate(zip(binary(batch.column("text")), batch.column("digest").to_pylist(), strict=True)):
-                raw = raw.as_py()
-                if raw != last[0]:
-                    words = lowered(raw)
-                    last = raw, _digest(words), shingle_set(words, memo, n).tobytes()
+            for i, (raw, digest) in enumerate(zip(raw_texts(batch.column("text")), batch.column("digest").to_pylist(), strict=True)):
+                if raw != last[0] or not i:
+                    text = lowered(raw)
+                    last = raw, _digest(text), shingle_set(word_hashes([text])[0], n).tobytes()
                 if last[1] == digest:
                     keep.append(i)
                     sets.append(last[2])

@@ -29,11 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import binary, documents_by_id, gram_hashes, grouped, id_out, new_memo, signed, word_hashes, words_of
+from tickerlens.llm.common import U64, documents_by_id, gram_hashes, grouped, id_out, raw_texts, signed, word_hashes, words_of
 
 WINDOW = 20
 GRAM = 8
 HOT = 1000
+#: Words of a text that fit into the low bits of a hash; longer texts take a slower way to the same minimisers.
+PLACES = 1 << 20
 #: Distinct strings that a task holds before it sends them on.
 HELD = 100_000
 UNITS = "key long, packed binary, doc_id long, start long, n long"
@@ -46,8 +48,16 @@ def super_kmers(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> t
     if len(hashes) < window:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     grams = gram_hashes(hashes, gram)
-    windows = len(hashes) - window + 1
-    at = np.lib.stride_tricks.sliding_window_view(grams, window - gram + 1).argmin(axis=1) + np.arange(windows)
+    windows, width = len(hashes) - window + 1, window - gram + 1
+    if len(grams) <= PLACES:
+        # The least of (high bits of the hash, place) by doubling spans.
+        least, span = (grams & ~U64(PLACES - 1)) | np.arange(len(grams), dtype=U64), 1
+        while span * 2 <= width:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        at = (np.minimum(least[:windows], least[width - span : width - span + windows]) & U64(PLACES - 1)).astype(np.int64)
+    else:
+        at = np.lib.stride_tricks.sliding_window_view(grams & ~U64(PLACES - 1), width).argmin(axis=1) + np.arange(windows)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     return signed(grams[at[first]]), first, np.diff(np.r_[first, windows])
 
@@ -56,11 +66,10 @@ def _minimisers(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """``(doc_id, mini, n)``: the minimisers of each text with their runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = new_memo()
         for batch in batches:
             ids, minis, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for doc, raw in zip(batch.column(0).to_pylist(), binary(batch.column(1)), strict=True):
-                mini, n = np.unique(super_kmers(word_hashes(words_of(raw.as_py()), memo), window, gram)[0], return_counts=True)
+            for doc, hashes in zip(batch.column(0).to_pylist(), word_hashes(raw_texts(batch.column(1))), strict=True):
+                mini, n = np.unique(super_kmers(hashes, window, gram)[0], return_counts=True)
                 ids.append(np.full(len(mini), doc))
                 minis.append(mini)
                 counts.append(n)
@@ -73,7 +82,6 @@ def _pack(window: int, gram: int):
     """Texts with their repeated minimisers -> units to sort, see ``UNITS``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = new_memo()
         first: dict[tuple[int, bytes], tuple[int, int, int]] = {}  # key and string: doc, start, windows
         later: list[tuple[int, int, int]] = []
 
@@ -96,10 +104,11 @@ def _pack(window: int, gram: int):
             return known is None
 
         for batch in batches:
-            for doc, raw, minis, hots in zip(batch.column("doc_id").to_pylist(), binary(batch.column("text")), batch.column("minis").to_pylist(), batch.column("hots").to_pylist(), strict=True):
+            texts = raw_texts(batch.column("text"))
+            for doc, raw, hashes, minis, hots in zip(batch.column("doc_id").to_pylist(), texts, word_hashes(texts), batch.column("minis").to_pylist(), batch.column("hots").to_pylist(), strict=True):
                 hot = dict(zip(minis, hots, strict=True))
-                words = words_of(raw.as_py())
-                for mini, start, n in zip(*(x.tolist() for x in super_kmers(word_hashes(words, memo), window, gram)), strict=True):
+                words = words_of(raw)
+                for mini, start, n in zip(*(x.tolist() for x in super_kmers(hashes, window, gram)), strict=True):
                     if mini not in hot:
                         continue
                     if not hot[mini]:
@@ -168,16 +177,21 @@ def _remove(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for raw, spans in zip(binary(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
-                words = words_of(raw.as_py())
+            for raw, spans in zip(raw_texts(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
+                words = words_of(raw)
+                if not spans:
+                    n_words.append(len(words))
+                    n_removed.append(0)
+                    kept.append(b" ".join(words))
+                    continue
                 gone = np.zeros(len(words) + 1, np.int64)
-                for span in spans or ():
+                for span in spans:
                     gone[span["start"]] += 1
                     gone[span["start"] + span["n"] + window - 1] -= 1
                 gone = gone.cumsum()[:-1] > 0
                 n_words.append(len(words))
                 n_removed.append(int(gone.sum()))
-                kept.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g) if n_removed[-1] else b" ".join(words))
+                kept.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
 
     return run
