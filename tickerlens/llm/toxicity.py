@@ -4,8 +4,9 @@ Severity has grades 0 to 3.  The labels say toxic or not; how severe a toxic
 text is follows from how many of its words are markers, words that labelled
 toxic texts use and others hardly do (see ``grades``).  The model gives
 P(grade > k) = logistic(w . x - b_k) for k = 0, 1, 2 with one weight vector
-for all thresholds and b_0 < b_1 < b_2; x are logarithms of counts of words
-and of word beginnings, so that inflected and compound forms count too.  The
+for all thresholds and b_0 < b_1 < b_2; x are log(1 + rate) of words and of
+word beginnings, so that inflected and compound forms count too, with rates in
+a hundred words, so that a long clean text isn't toxic for a chance hit.  The
 expected severity is the sum of the three probabilities.
 
 The model is fitted on the driver to at most ``MAX_LABELLED`` labelled rows,
@@ -34,9 +35,14 @@ GRADES = 4
 #: Marker words from which a toxic text has the second, and the third, grade.
 GRADE_MARKERS = (4, 8)
 NOT_A_LETTER = re.compile(r"[\W\d_]+")
+#: Texts shorter than this count as this long, where rates are taken.
+LEAST_WORDS = 50
 STEPS = 400
 RATE = 0.1
 RIDGE = 1e-3
+#: A text is called toxic from this probability on.  The labels hold some
+#: texts without a toxic word, which pulls all probabilities down.
+TOXIC_AT = 0.2
 
 
 def features_of(token: str) -> list[str]:
@@ -52,6 +58,11 @@ def counted(text: str | None, names: Memo) -> Counter:
     return found
 
 
+def strength(n: np.ndarray | int, words: int) -> np.ndarray | float:
+    """A feature's value: n hits in a text of so many words."""
+    return np.log1p(100 * n / max(words, LEAST_WORDS))
+
+
 @dataclass
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
@@ -97,11 +108,15 @@ def fit(texts: list[str | None], toxic: list[bool], max_features: int = MAX_FEAT
     names = chosen_features(rows, is_toxic, max_features)
     y = grades(rows, is_toxic, names)
     at = {n: i for i, n in enumerate(names)}
-    x = np.zeros((len(rows), len(names)))
-    for i, row in enumerate(rows):
-        for name in row.keys() & at.keys():
-            x[i, at[name]] = np.log1p(row[name])
-    above = (y[:, None] > np.arange(GRADES - 1)).astype(float)
+    # Rows without any feature differ in nothing but their grade: one row each, with a weight.
+    lengths = [len((t or "").split()) for t in texts]
+    distinct = Counter((tuple(sorted((at[f], strength(row[f], n)) for f in row.keys() & at.keys())), int(g)) for row, n, g in zip(rows, lengths, y, strict=True))
+    x = np.zeros((len(distinct), len(names)))
+    for i, (found, _) in enumerate(distinct):
+        for f, value in found:
+            x[i, f] = value
+    above = (np.array([[g] for _, g in distinct]) > np.arange(GRADES - 1)).astype(float)
+    share = np.array(list(distinct.values()))[:, None] / len(rows)
     # Parameters: weights, the first threshold, and logarithms of the gaps to the next.
     w = np.concatenate([np.zeros(len(names)), [1.0, 0.0, 0.0]])
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -109,7 +124,7 @@ def fit(texts: list[str | None], toxic: list[bool], max_features: int = MAX_FEAT
         gaps = np.exp(w[-2:])
         b = w[len(names)] + np.array([0, gaps[0], gaps.sum()])
         p = 1 / (1 + np.exp(-np.clip(x @ w[: len(names)], -50, 50)[:, None] + b))
-        wrong = (p - above) / len(rows)  # each threshold is a logistic regression with shared weights
+        wrong = (p - above) * share  # each threshold is a logistic regression with shared weights
         down = -wrong.sum(axis=0)
         grad = np.concatenate([x.T @ wrong.sum(axis=1) + RIDGE * w[: len(names)], [down.sum(), down[1:].sum() * gaps[0], down[2] * gaps[1]]])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
@@ -136,8 +151,8 @@ def severities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     """``(doc_id, severity, grade, p_toxic, toxic)``, a row for each row of ``docs``.
 
     ``severity`` is the expected grade, ``grade`` the number of thresholds
-    that the text more likely passes than not, ``toxic`` says whether it
-    passes the first.  Null and empty texts have no features, and so the
+    that the text more likely passes than not, ``toxic`` says whether
+    it passes the first with ``TOXIC_AT`` or more.  Null and empty texts have no features, and so the
     severity of the thresholds alone.  Rows that repeat, share an id or have a
     null one are scored each for itself.  Texts are scored whole.  Other
     columns are not read; no rows give no rows.
@@ -151,12 +166,13 @@ def severities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             for i, text in enumerate(batch.column(1).to_pylist()):
-                hits = [f for fs in map(known.__getitem__, (text or "").split()) if fs for f in fs]
+                tokens = (text or "").split()
+                hits = [f for fs in map(known.__getitem__, tokens) if fs for f in fs]
                 if hits:
                     which, n = np.unique(hits, return_counts=True)
-                    scores[i] = np.log1p(n) @ weights[which]
+                    scores[i] = strength(n, len(tokens)) @ weights[which]
             p = model.probabilities(scores)
-            columns = [pa.array(p.sum(axis=1)), pa.array((p >= 0.5).sum(axis=1).astype(np.int32)), pa.array(p[:, 0]), pa.array(p[:, 0] >= 0.5)]
+            columns = [pa.array(p.sum(axis=1)), pa.array((p >= 0.5).sum(axis=1).astype(np.int32)), pa.array(p[:, 0]), pa.array(p[:, 0] >= TOXIC_AT)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "severity", "grade", "p_toxic", "toxic"])
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
