@@ -42,20 +42,51 @@ def test_universe_unknown_list_raises(spark, sf_dir):
     assert tags.where(~F.col("cashtag").startswith("$")).count() == 0
 
 
-def test_universe_join_fallback_equals_inset(spark, sf_dir):
-    posts = FX.posts_from_events(FX.events(spark, sf_dir))
-    tags = U.ticker_universe(FX.universe_from_events(FX.events(spark, sf_dir)), ["B"])
-    a = U.posts_in_universe(posts, tags).select("id")
-    b = U.posts_in_universe(posts, tags, inline_max=1).select("id")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def test_posts_in_universe_needs_no_key(spark):
+    posts = spark.createDataFrame([(1, "$AA $BB $AA"), (1, "$ZZ"), (None, "$AA"), (None, "$AA"), (2, "none")],
+                                  "id long, text string")
+    for n in (1, 60_000):  # also above the old bound
+        tags = spark.range(n).select(F.concat(F.lit("$X"), F.col("id").cast("string")).alias("cashtag"))
+        tags = tags.unionByName(spark.createDataFrame([("$AA",), ("$BB",)], "cashtag string"))
+        rows = U.posts_in_universe(posts, tags).collect()
+        assert sorted(map(tuple, rows), key=repr) == [(1, "$AA $BB $AA"), (None, "$AA"), (None, "$AA")]
+
+
+def test_track_list_has_no_cap_and_can_be_dealt_out(spark):
+    tags = spark.range(1_000_500).select(F.concat(F.lit("$"), F.col("id").cast("string")).alias("cashtag"))
+    lists = U.track_list(tags, chunks=16).collect()
+    assert len(lists) == 16 and sum(r["track"].count(",") + 1 for r in lists) == 1_000_500
+
+
+def test_malformed_trade_lines(spark):
+    lines = spark.createDataFrame([("garbage",), ("",), ("1.0,AB,2015-02-02 15:30:01,99.5,10",), ("2.0,AB,oops,1,1,b,s,,,",),
+                                   ("3.0,AB,2015-02-02 15:30:02,x,1,b,s,,,",), ("4.0, ,2015-02-02 15:30:02,1,1",)], "value string")
+    good, bad = R.parse_trade_lines(lines, with_rejects=True)
+    assert [(r.ticker, r.price, r.quantity, r.board) for r in good.collect()] == [("AB", 99.5, 10.0, None)]
+    assert sorted(r.value[:3] for r in bad.collect()) == ["2.0", "3.0", "4.0", "gar"]
+    from tickerlens.operators import bars as B
+    assert B.price_bars(R.trades_from_lines(lines), "MIN").where("year is null").count() == 0
 
 
 def test_message_batches_keep_status_200(spark):
     ok = '{"response": {"status": 200}, "messages": [{"id": 1, "text": "$AB"}, {"id": 2, "text": "$CD"}]}'
     bad = '{"response": {"status": 429}, "messages": [{"id": 3, "text": "$EF"}]}'
     empty = '{"response": {"status": 200}, "messages": []}'
-    df = spark.createDataFrame([(ok,), (bad,), (empty,)], "value string")
-    assert sorted(r.id for r in R.explode_message_batches(df).collect()) == [1, 2]
+    bare = ' [{"id": 5, "text": "$AB"}, {"id": 6}, null]'
+    df = spark.createDataFrame([(ok,), (bad,), (empty,), (bare,), ("[]",), ("{x",), (None,)], "value string")
+    assert sorted(r.id for r in R.explode_message_batches(df).collect()) == [1, 2, 5, 6]
+
+
+def test_universe_layouts_and_dump_files(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("Ticker,Code,Name\n AB ,GOOG/NYSE_AB,Ab Inc\n")
+    (tmp_path / "all.csv").write_text("GOOG/NYSE_CD,Cd Inc\nGOOG/NASDAQ_EF,Ef Inc\n")
+    assert [r.Ticker for r in R.read_universe(spark, f"{tmp_path}/u.csv", "A").collect()] == ["AB"]
+    assert sorted(r.Ticker for r in R.read_universe(spark, f"{tmp_path}/all.csv", "ALL", "all").collect()) == ["CD", "EF"]
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "ABNew.csv").write_text("h\nx\n")
+    (tmp_path / "d" / "ABOld.csv").write_text("h\n")
+    new, old = (R.read_trade_dumps(spark, f"{tmp_path}/d", s) for s in ("New", "Old"))
+    assert [tuple(r) for r in R.trade_dump_diff(new, old).collect()] == [("AB", "x")]
 
 
 def test_message_batches_are_bounded(spark, sf_dir):

@@ -54,6 +54,21 @@ def test_numeric_high_low_and_sequence_order(spark):
     assert (r.hour, r.minute) == (6, 30)  # Oslo 15:30 is Pacific 06:30
 
 
+def test_ties_null_prices_and_the_fold(spark):
+    rows = [("X", "2015-02-02 15:30:01", float(i), 1.0, 7) for i in range(8)]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        r = B.price_bars(_trades(spark, order), "MIN").first()
+        assert (r.open, r.close) == (0.0, 7.0)
+    r = B.price_bars(_trades(spark, [("X", "2015-02-02 15:30:01", None, 1.0, 1), ("X", "2015-02-02 15:30:02", 5.0, 1.0, 2),
+                                     ("X", "2015-02-02 15:30:03", None, 1.0, 3)]), "MIN").first()
+    assert (r.open, r.close, r.high, r.volume) == (5.0, 5.0, 5.0, 3.0)
+    # 2015-11-01: 08:30Z is 01:30 Pacific before the fold, 09:10Z 01:10 after it.
+    r = B.price_bars(_trades(spark, [("X", "2015-11-01 09:30:00", 1.0, 1.0, 1), ("X", "2015-11-01 10:10:00", 2.0, 1.0, 2)]), "HR").collect()
+    assert [(x.hour, x.open, x.close) for x in r] == [(1, 1.0, 2.0)]
+    none = B.price_bars(_trades(spark, rows[:1]).withColumn("time", F.lit(None).cast("timestamp_ntz")), "MIN")
+    assert none.count() == 0 == B.price_bars_join_form(_trades(spark, rows[:1]).withColumn("time", F.lit(None).cast("timestamp_ntz")), "MIN").count()
+
+
 def test_bar_properties_and_rollup(spark, sf_dir):
     trades = FX.trades_from_events(FX.events(spark, sf_dir))
     m = B.price_bars(trades, "MIN")

@@ -50,14 +50,24 @@ def test_json_decoding_exposes_words(spark):
     assert M.mention_series(posts, "HR").first().sentiment == 1
 
 
-def test_lexicon_dataframe_roundtrip(spark):
-    from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
-
-    lex = Lexicon.from_df(DEFAULT_LEXICON.as_dataframe(spark))
-    assert set(lex.positive) == set(DEFAULT_LEXICON.positive)
-    assert set(lex.negative) == set(DEFAULT_LEXICON.negative)
-    df = spark.createDataFrame([("good sell sell",)], "t string")
-    assert df.select(X.post_score(F.col("t"), lex)).first()[0] == -1
+def test_lexicon_table_join_equals_inline_form(spark, sf_dir):
+    from tickerlens.functions.lexicon import DEFAULT_LEXICON
+    from tickerlens.sources import fixtures as FX
+
+    posts = FX.posts_from_events(FX.events(spark, sf_dir))
+    # Above the old bound on words, and with a repeated word.
+    table = DEFAULT_LEXICON.as_dataframe(spark)
+    table = table.unionByName(table.limit(3)).unionByName(spark.range(150_000).select(
+        F.concat(F.lit("zz"), F.col("id").cast("string")).alias("word"), F.lit(1).alias("polarity")))
+    a, b = M.mention_series(posts, "DAY"), M.mention_series_with_lexicon(posts, "DAY", table)
+    b = b.select(*a.columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_large_inline_lexicon():
+    from tickerlens.functions.lexicon import Lexicon
+
+    assert len(Lexicon(tuple(f"w{i}" for i in range(120_000)), ()).positive) == 120_000
 
 
 def test_malformed_times_are_rejects_not_failures(spark):

@@ -1,5 +1,9 @@
 """Word-polarity lexicon for post sentiment.
 
+A ``Lexicon`` holds word lists given in code and is compiled into the scan's
+expression. A lexicon that is a table, of any size, is joined instead: see
+``tickerlens.operators.mentions.mention_series_with_lexicon``.
+
 The default lists are fixed values: they must equal the surveyed system's word
 lists for results to match. They are kept as plain text, in their original
 order (including the two repeated entries, which a set ignores).
@@ -26,11 +30,6 @@ NEGATIVE_WORDS = (
 )
 # ---------------------------------------------------------------------------
 
-# A lexicon is compiled into an InSet expression evaluated per token inside
-# whole-stage codegen; beyond this many words use ``Lexicon.from_df`` + join.
-MAX_INLINE_WORDS = 100_000
-
-
 @dataclass(frozen=True)
 class Lexicon:
     positive: tuple[str, ...]
@@ -39,8 +38,6 @@ class Lexicon:
     def __post_init__(self):
         object.__setattr__(self, "positive", tuple(dict.fromkeys(self.positive)))
         object.__setattr__(self, "negative", tuple(dict.fromkeys(self.negative)))
-        if len(self.positive) + len(self.negative) > MAX_INLINE_WORDS:
-            raise ValueError("lexicon too large to inline; use a lexicon DataFrame join")
 
     def as_dataframe(self, spark) -> DataFrame:
         """``(word, polarity)`` table form of the lexicon (positive wins on overlap)."""
@@ -48,16 +45,6 @@ class Lexicon:
         rows += [(w, -1) for w in self.negative if w not in set(self.positive)]
         return spark.createDataFrame(rows, "word string, polarity int")
 
-    @staticmethod
-    def from_df(df: DataFrame, max_words: int = MAX_INLINE_WORDS) -> "Lexicon":
-        """Build from a ``(word, polarity)`` DataFrame whose size is checked first."""
-        n = df.limit(max_words + 1).count()
-        if n > max_words:
-            raise ValueError(f"lexicon has more than {max_words} words")
-        rows = df.select("word", "polarity").collect()
-        return Lexicon(tuple(r.word for r in rows if r.polarity > 0),
-                       tuple(r.word for r in rows if r.polarity < 0))
-
     def polarity(self, word):
         """+1 / -1 / 0 for a token Column (positive checked first)."""
         return (F.when(word.isin(*self.positive), F.lit(1))

@@ -2,7 +2,11 @@
 
 One scan, one hash aggregate: max, min, min_by, max_by and sum all have
 partial (map-side) forms, so the bar of a hot ticker is combined before the
-shuffle. Open/close are the first/last trade by (local time, sequence).
+shuffle. Open and close are the prices of the first and last priced trade by
+UTC instant, then sequence, then price and quantity: a total order on what
+distinguishes trades, so bars don't depend on the order of the input, and the
+repeated hour of an autumn fold is in its true order. Trades without a time
+belong to no bucket and are left out, as the inner joins of the reference do.
 """
 
 from __future__ import annotations
@@ -17,19 +21,21 @@ BAR_VALUES = ("high", "low", "open", "close", "volume")
 MINUTE_KEYS = ("ticker", "year", "month", "day", "hour", "minute")
 
 
-def _local(trades: DataFrame, from_tz: str, to_tz: str) -> DataFrame:
-    return trades.select("ticker", convert_zone(F.col("time"), from_tz, to_tz).alias("local"),
-                         "price", "quantity", "seq")
+def _local(trades: DataFrame, from_tz: str, to_tz: str, grain: str) -> DataFrame:
+    """ticker, parts in ``to_tz``, price, quantity and the order key ``ord``,
+    null for trades without a price (which ``min_by`` and ``max_by`` skip)."""
+    timed = trades.select("ticker", convert_zone(F.col("time"), from_tz, to_tz).alias("local"),
+                          convert_zone(F.col("time"), from_tz, "UTC").alias("utc"), "price", "quantity", "seq")
+    order = F.when(F.col("price").isNotNull(), F.struct("utc", "seq", "price", "quantity"))
+    return (timed.where(F.col("local").isNotNull())
+            .select("ticker", *grain_parts(F.col("local"), grain), "price", "quantity", order.alias("ord")))
 
 
 def price_bars(trades: DataFrame, grain: str, from_tz: str = "Europe/Oslo",
                to_tz: str = "America/Los_Angeles") -> DataFrame:
     """ticker, parts, high, low, open, close, volume per (ticker, bucket in ``to_tz``)."""
     parts = list(grain_columns(grain))
-    t = _local(trades, from_tz, to_tz)
-    order = F.struct(F.col("local"), F.col("seq"))
-    return (t.select("ticker", *grain_parts(F.col("local"), grain), "price", "quantity", order.alias("ord"))
-            .groupBy("ticker", *parts)
+    return (_local(trades, from_tz, to_tz, grain).groupBy("ticker", *parts)
             .agg(F.max("price").alias("high"), F.min("price").alias("low"),
                  F.min_by("price", "ord").alias("open"), F.max_by("price", "ord").alias("close"),
                  F.sum("quantity").alias("volume")))
@@ -42,9 +48,7 @@ def price_bars_join_form(trades: DataFrame, grain: str, from_tz: str = "Europe/O
     ``price_bars`` is the one-shuffle plan."""
     parts = list(grain_columns(grain))
     keys = ["ticker"] + parts
-    t = _local(trades, from_tz, to_tz)
-    t = t.select("ticker", *grain_parts(F.col("local"), grain), "price", "quantity",
-                 F.struct("local", "seq").alias("ord"))
+    t = _local(trades, from_tz, to_tz, grain)
     hi = t.groupBy(*keys).agg(F.max("price").alias("high"))
     lo = t.groupBy(*keys).agg(F.min("price").alias("low"))
     op = t.groupBy(*keys).agg(F.min_by("price", "ord").alias("open"))

@@ -70,6 +70,25 @@ def mention_series_join_form(posts: DataFrame, grain: str, lexicon: Lexicon = DE
             .select(*parts, strip_cashtag(F.col("tag")).alias("ticker"), "frequency", "sentiment"))
 
 
+def mention_series_with_lexicon(posts: DataFrame, grain: str, lexicon: DataFrame) -> DataFrame:
+    """``mention_series`` with a lexicon table ``(word, polarity)`` of any size (LEX-1).
+
+    Mentions count 1 and score 0; each token that the lexicon knows adds its
+    polarity to every mention of its post and counts 0. Both kinds of rows go
+    into one aggregate, so posts need no key and no text is shuffled."""
+    parts = list(grain_columns(grain))
+    timed = posts.select(parse_post_time(F.col("created_at")).alias("_ts"), "text")
+    tags = F.when(F.col("_ts").isNotNull(), cashtags(F.col("text")))
+    base = timed.select(*grain_parts(F.col("_ts"), grain), tags.alias("_tags"), "text")
+    mentions = base.select(*parts, F.explode("_tags").alias("tag"), F.lit(1).alias("n"), F.lit(0).alias("score"))
+    words = lexicon.groupBy("word").agg(F.max("polarity").alias("polarity"))
+    known = (base.where(F.size("_tags") > 0).select(*parts, "_tags", F.explode(tokens(F.col("text"))).alias("word"))
+             .join(words, "word"))
+    scored = known.select(*parts, F.explode("_tags").alias("tag"), F.lit(0).alias("n"), F.col("polarity").alias("score"))
+    return (mentions.unionByName(scored).groupBy(*parts, strip_cashtag(F.col("tag")).alias("ticker"))
+            .agg(F.sum("n").alias("frequency"), F.sum("score").cast("long").alias("sentiment")))
+
+
 def top_trending(series: DataFrame, grain: str, k: int | None = None,
                  distinct_frequency: bool = False) -> DataFrame:
     """Rank tickers within each bucket by frequency desc, ticker asc (WIN-1, SRT-1).

@@ -1,4 +1,8 @@
-"""Ticker universes and the track filter (SRC-6, SET-3, AGG-10, AGG-11, FLT-9, JOI-5)."""
+"""Ticker universes and the track filter (SRC-6, SET-3, AGG-10, AGG-11, FLT-9, JOI-5).
+
+No operator here depends on the size of a universe: joins are plain, and AQE
+decides by measured bytes whether a side is broadcast.
+"""
 
 from __future__ import annotations
 
@@ -6,63 +10,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerlens.functions.text import cashtags
-from tickerlens.operators.joins import bounded_values, checked_broadcast
-
-# Symbols a stream filter can track; larger universes must be joined instead.
-MAX_TRACKED = 1_000_000
 
 
-def ticker_universe(universe: DataFrame, names, known=None) -> DataFrame:
+def ticker_universe(universe: DataFrame, names) -> DataFrame:
     """Distinct ``$TICKER`` of the union of the named lists (SET-3, AGG-10).
-    An unknown list name raises, as the reference's loader does."""
+    An unknown list name raises, as the reference's loader does; the check
+    brings back one row for each requested name at most."""
     names = [names] if isinstance(names, str) else list(names)
-    if known is None:
-        known = bounded_values(universe, "list", 100_000)
-    missing = [n for n in names if n not in set(known)]
+    chosen = universe.where(F.col("list").isin(*names))
+    known = {r[0] for r in chosen.select("list").distinct().collect()}
+    missing = [n for n in names if n not in known]
     if missing:
         raise ValueError(f"unknown ticker list(s): {missing}")
-    return (universe.where(F.col("list").isin(*names))
-            .select(F.concat(F.lit("$"), F.trim(F.col("Ticker"))).alias("cashtag")).distinct())
+    return chosen.select(F.concat(F.lit("$"), F.trim(F.col("Ticker"))).alias("cashtag")).distinct()
 
 
-def track_list(tags: DataFrame) -> DataFrame:
+def track_list(tags: DataFrame, chunks: int = 1) -> DataFrame:
     """Comma-joined sorted ``$A,$B,...`` of a universe (AGG-11).
 
-    The universe is a dimension bounded by the symbol space; its size is
-    checked before it is gathered into the single output row."""
-    n = tags.limit(MAX_TRACKED + 1).count()
-    if n > MAX_TRACKED:
-        raise ValueError("universe too large for a track list")
-    return tags.agg(F.concat_ws(",", F.array_sort(F.collect_list("cashtag"))).alias("track"))
+    One list is what a track filter takes; ``chunks`` deals a universe that is
+    too large for one string over several lists by hash."""
+    joined = F.concat_ws(",", F.array_sort(F.collect_list("cashtag"))).alias("track")
+    if chunks == 1:
+        return tags.agg(joined)
+    return tags.groupBy(F.pmod(F.xxhash64("cashtag"), F.lit(chunks)).alias("chunk")).agg(joined)
 
 
-def posts_in_universe(posts: DataFrame, tags: DataFrame, inline_max: int = 50_000) -> DataFrame:
-    """Posts naming at least one cashtag of the universe (FLT-9).
+def posts_in_universe(posts: DataFrame, tags: DataFrame) -> DataFrame:
+    """Posts naming at least one cashtag of the universe, whole rows (FLT-9).
 
-    A universe of at most ``inline_max`` symbols (checked) becomes an InSet
-    probed per cashtag inside the scan's codegen stage: no shuffle of the
-    posts. A larger one is joined instead: exploded cashtags semi-join the
-    universe (broadcast only behind its own size check) and the matching post
-    ids semi-join the posts."""
-    d = tags.select("cashtag").distinct()
-    if d.limit(inline_max + 1).count() <= inline_max:
-        universe = [r[0] for r in d.collect()]
-        return posts.where(F.exists(cashtags(F.col("text")), lambda t: t.isin(*universe)))
-    hits = (posts.select("id", F.explode(cashtags(F.col("text"))).alias("cashtag"))
-            .join(checked_broadcast(d), "cashtag", "left_semi").select("id"))
-    return posts.join(hits.distinct(), "id", "left_semi")
+    The distinct cashtags of each post semi-join the universe. Rows need no
+    unique or non-null id: equal rows are grouped, and since each of them
+    matches with the same cashtags, matches divided by matched cashtags is how
+    often the row occurs."""
+    row = F.struct(*[F.col(c) for c in posts.columns])
+    named = posts.select(row.alias("post"), F.explode(F.array_distinct(cashtags(F.col("text")))).alias("cashtag"))
+    hits = named.join(tags.select("cashtag"), "cashtag", "left_semi")
+    counted = (hits.groupBy("post", "cashtag").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("post").agg(F.max("n").alias("n")))
+    copies = counted.select("post", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_copy"))
+    return copies.select("post.*")
 
 
 def trades_by_exchange(universe: DataFrame, trades: DataFrame, exchanges: dict[str, str]) -> DataFrame:
     """Trades joined to the exchange of their ticker's list (JOI-5).
 
-    ``exchanges`` maps list name -> exchange code. The universe side is small
-    and broadcast behind a row-count check; a ticker in several lists keeps
-    the smallest code so every trade appears once."""
+    ``exchanges`` maps list name -> exchange code; a ticker in several lists
+    keeps the smallest code so every trade appears once."""
     m = None
     for name, code in exchanges.items():
         m = F.when(F.col("list") == name, F.lit(code)) if m is None else m.when(F.col("list") == name, F.lit(code))
     u = (universe.where(F.col("list").isin(*exchanges.keys()))
          .select(F.trim("Ticker").alias("ticker"), m.alias("exchange"))
          .groupBy("ticker").agg(F.min("exchange").alias("exchange")))
-    return trades.join(checked_broadcast(u), "ticker", "inner")
+    return trades.join(u, "ticker", "inner")

@@ -52,19 +52,27 @@ def read_posts(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("text").isNotNull()))
 
 
-def parse_trade_lines(lines: DataFrame) -> DataFrame:
+def parse_trade_lines(lines: DataFrame, with_rejects: bool = False):
     """Comma trade lines -> ticker, time (wall clock string), price, quantity
     and the other fields, trimmed; empty lines dropped (SRC-3, FLT-1, STR-4, PRJ-5).
-    Malformed numbers become null instead of failing the job."""
+
+    Missing fields and malformed numbers or times become null; no line fails
+    the job. ``with_rejects=True`` returns ``(trades, rejects)``: trades have a
+    ticker, a time and a price, rejects hold the other non-empty lines."""
     parts = F.split(F.col("value"), ",")
-    cols = [F.trim(F.element_at(parts, i + 1)).alias(name) for i, name in enumerate(TRADE_LINE_FIELDS)]
-    raw = lines.where(F.length("value") > 0).select(*cols)
-    return raw.select(
+    cols = [F.trim(F.get(parts, i)).alias(name) for i, name in enumerate(TRADE_LINE_FIELDS)]
+    raw = lines.where(F.length("value") > 0).select("value", *cols)
+    typed = raw.select(
         F.expr("try_cast(ingest_epoch AS DOUBLE)").alias("ingest_epoch"), "ticker",
         parse_local_time(F.col("time")).alias("time"),
         F.expr("try_cast(price AS DOUBLE)").alias("price"),
         F.expr("try_cast(quantity AS DOUBLE)").alias("quantity"),
-        "board", "source", "buyer", "seller", "initiator")
+        "board", "source", "buyer", "seller", "initiator", "value")
+    if not with_rejects:
+        return typed.drop("value")
+    good = (F.length("ticker") > 0) & F.col("time").isNotNull() & F.col("price").isNotNull()
+    good = F.coalesce(good, F.lit(False))
+    return typed.where(good).drop("value"), typed.where(~good).select("value")
 
 
 def read_trades(spark: SparkSession, path: str) -> DataFrame:
@@ -95,21 +103,42 @@ def read_backup_bars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, schema=BACKUP_BAR, header=False)
 
 
-def read_universe(spark: SparkSession, path: str, list_name: str) -> DataFrame:
-    """One ticker-list CSV with header ``Ticker,Code,Name`` (SRC-6) tagged with its list name."""
-    return (spark.read.csv(path, schema=UNIVERSE, header=True, ignoreLeadingWhiteSpace=True,
-                           ignoreTrailingWhiteSpace=True)
-            .withColumn("list", F.lit(list_name)))
+def read_universe(spark: SparkSession, path: str, list_name: str, layout: str = "columns") -> DataFrame:
+    """One ticker-list CSV tagged with its list name (SRC-6). ``columns`` files
+    have a header ``Ticker,Code,Name``; ``all`` files have no header and the
+    code, ``<source>_<ticker>``, in column 1."""
+    options = {"ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+    if layout == "columns":
+        rows = spark.read.csv(path, schema=UNIVERSE, header=True, **options)
+    elif layout == "all":
+        rows = spark.read.csv(path, schema="Code string, Name string", header=False, **options)
+        rows = rows.select(F.regexp_extract("Code", r"([^_/]*)$", 1).alias("Ticker"), "Code", "Name")
+    else:
+        raise ValueError("layout must be 'columns' or 'all'")
+    return rows.withColumn("list", F.lit(list_name))
 
 
-def explode_message_batches(records: DataFrame) -> DataFrame:
-    """Per-symbol fetch responses -> one row per post (SRC-7, FLT-3, JSN-1).
+def read_trade_dumps(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """Vendor dump files ``<ticker><suffix>.csv`` (suffix ``New`` or ``Old``)
+    of a folder -> ``(ticker, line)``, the ticker from the file name."""
+    lines = spark.read.option("pathGlobFilter", f"*{suffix}.csv").text(path)
+    name = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*){suffix}\.csv$", 1)
+    return lines.select(name.alias("ticker"), F.col("value").alias("line"))
 
-    Only responses with status 200 and a non-empty message array are kept."""
-    r = records.select(F.from_json(F.col("value"), MESSAGE_RESPONSE).alias("r"))
-    ok = r.where((F.col("r.response.status") == 200) & (F.size("r.messages") > 0))
-    return (ok.select(F.explode("r.messages").alias("m"))
-            .select(*[F.col("m." + f.name).alias(f.name) for f in POST.fields]))
+
+def explode_message_batches(records: DataFrame) -> DataFrame:
+    """Per-symbol fetch results -> one row per post (SRC-7, FLT-3, JSN-1).
+
+    A record is the array of messages that the producer publishes, or the
+    whole response, of which only those with status 200 count. Empty arrays
+    and records that are neither give no row."""
+    value = F.ltrim(F.col("value"))
+    response = F.from_json(value, MESSAGE_RESPONSE)
+    array = F.from_json(value, MESSAGE_RESPONSE["messages"].dataType)
+    wrapped = F.when(response["response"]["status"] == 200, response["messages"])
+    messages = F.when(F.startswith(value, F.lit("[")), array).otherwise(wrapped)
+    posts = records.select(F.explode(messages).alias("m")).where(F.col("m").isNotNull())
+    return posts.select(*[F.col("m." + f.name).alias(f.name) for f in POST.fields])
 
 
 def publish_posts(posts: DataFrame) -> DataFrame:
