@@ -605,3 +605,138 @@ register("mention_series_sorted", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hou
 register("mention_chart_points", S.with_base(_MINUTE_SQL + """
 SELECT ticker, epoch_ms(m) AS epoch_ms, '[' || epoch_ms(m) || ',' || frequency || ']' AS point FROM minute_series"""))(
     lambda spark, d: V.chart_points(V.mention_chart(M.mention_series(posts(spark, d), "MIN"))))
+
+# ---- the same jobs over two years: month names, ISO year ends, clock changes ------------------
+
+
+def _spread_posts(spark, d):
+    return FX.posts_from_events(FX.events_over_years(FX.events(spark, d)))
+
+
+def _spread_trades(spark, d):
+    return FX.trades_from_events(FX.events_over_years(FX.events(spark, d)))
+
+
+_BAR_VALUES_SQL = f"""max(price) AS high, min(price) AS low,
+       arg_min(price, {{'u': {S.instant('time')}, 's': seq, 'p': price, 'q': quantity}}) AS open,
+       arg_max(price, {{'u': {S.instant('time')}, 's': seq, 'p': price, 'q': quantity}}) AS close,
+       sum(quantity) AS volume"""
+
+for _g in ("YEAR", "MONTH", "WEEK", "DAY", "HR"):
+    _sfx = _GRAIN_SUFFIX[_g]
+    register(f"mention_series_{_sfx}_two_years", S.with_spread_base(f"""
+x AS (SELECT 1)
+SELECT {S.part_select(_g, 'pts')}, ticker, count(*) AS frequency, CAST(sum(score) AS BIGINT) AS sentiment
+FROM occ GROUP BY ALL"""))((lambda g: lambda spark, d: M.mention_series(_spread_posts(spark, d), g))(_g))
+    register(f"bars_{_sfx}_two_years", S.with_spread_base(f"""
+x AS (SELECT 1)
+SELECT ticker, {S.part_select(_g, 'lt')}, {_BAR_VALUES_SQL}
+FROM trades GROUP BY ALL"""))((lambda g: lambda spark, d: B.price_bars(_spread_trades(spark, d), g))(_g))
+
+
+def _spread_post_times(spark, d):
+    p = M.post_times(_spread_posts(spark, d))
+    return p.select("id", "created_at", *TF.grain_parts(F.col("ts"), "SEC"))
+
+
+register("post_times_two_years", S.with_spread_base("""
+x AS (SELECT 1)
+SELECT id, strftime(pts, '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
+       CAST(year(pts) AS INTEGER) AS year, CAST(month(pts) AS INTEGER) AS month, CAST(day(pts) AS INTEGER) AS day,
+       CAST(hour(pts) AS INTEGER) AS hour, CAST(minute(pts) AS INTEGER) AS minute,
+       CAST(floor(second(pts)) AS INTEGER) AS second
+FROM posts"""))(_spread_post_times)
+
+
+def _spread_week_labels(spark, d):
+    p = M.post_times(_spread_posts(spark, d))
+    iso = TF.grain_parts(F.col("ts"), "WEEK")
+    cal = TF.grain_parts(F.col("ts"), "WEEK", week_year="calendar")
+    return p.select("id", iso[0].alias("week_year"), iso[1].alias("week"),
+                    F.concat_ws("-", cal[0], cal[1]).alias("calendar_label"))
+
+
+register("week_labels_two_years", S.with_spread_base("""
+x AS (SELECT 1)
+SELECT id, CAST(isoyear(pts) AS INTEGER) AS week_year, CAST(week(pts) AS INTEGER) AS week,
+       CAST(year(pts) AS VARCHAR) || '-' || CAST(week(pts) AS VARCHAR) AS calendar_label
+FROM posts"""))(_spread_week_labels)
+
+_TIED_SQL = """tied AS (
+  SELECT ticker, date_trunc('hour', time) AS time, CASE WHEN seq % 10 <> 0 THEN price END AS price, quantity
+  FROM trades),
+placed AS (
+  SELECT *, timezone('America/Los_Angeles', u) AS lt FROM (SELECT *, {instant} AS u FROM tied))"""
+register("bars_ties", S.with_spread_base(f"""
+{_TIED_SQL.format(instant=S.instant('time'))}
+SELECT ticker, {S.part_select('DAY', 'lt')}, max(price) AS high, min(price) AS low,
+       arg_min(price, {{'u': u, 'p': price, 'q': quantity}}) FILTER (price IS NOT NULL) AS open,
+       arg_max(price, {{'u': u, 'p': price, 'q': quantity}}) FILTER (price IS NOT NULL) AS close, sum(quantity) AS volume
+FROM placed GROUP BY ALL"""))(lambda spark, d: B.price_bars(FX.trades_with_ties(FX.events(spark, d)), "DAY"))
+
+
+def _malformed(spark, d):
+    good, bad = R.parse_trade_lines(FX.broken_trade_lines(FX.events(spark, d)), with_rejects=True)
+    good = good.select(F.lit("trade").alias("kind"), F.concat_ws(
+        "|", "ticker", TF.format_local_time(F.col("time")), F.col("price").cast("string"), F.coalesce("board", F.lit("-"))).alias("row"))
+    return good.unionByName(bad.select(F.lit("reject").alias("kind"), F.col("value").alias("row")))
+
+
+register("trades_malformed", S.with_base("""
+t AS (SELECT *, strftime(time, '%Y-%m-%d %H:%M:%S') AS tm, seq % 20 AS which FROM trades)
+SELECT 'trade' AS kind, ticker || '|' || tm || '|' || CAST(price AS VARCHAR) || '|' || CASE WHEN which = 1 THEN '-' ELSE 'b' END AS row
+FROM t WHERE which NOT IN (0, 2, 3, 4)
+UNION ALL
+SELECT 'reject', CASE which WHEN 0 THEN 'garbage' WHEN 2 THEN '1.0,' || ticker || ',' || tm || ',many,1,b,s,,,'
+       ELSE '1.0,' || ticker || ',noon,' || CAST(price AS VARCHAR) || ',1,b,s,,,' END
+FROM t WHERE which IN (0, 2, 3)"""))(_malformed)
+
+
+def _bare_messages(spark, d):
+    m = R.explode_message_batches(FX.bare_message_arrays(posts(spark, d)))
+    return m.select("id", "created_at", "text", F.col("user.name").alias("name"))
+
+
+register("message_arrays_exploded", S.with_base("""
+x AS (SELECT 1)
+SELECT id, strftime(pts, '%a %b %d %H:%M:%S +0000 %Y') AS created_at, text, uname AS name FROM posts"""))(_bare_messages)
+
+
+def _lexicon_join(spark, d):
+    from tickerlens.functions.lexicon import DEFAULT_LEXICON
+
+    return M.mention_series_with_lexicon(posts(spark, d), "HR", DEFAULT_LEXICON.as_dataframe(spark))
+
+
+register("mention_series_lexicon_join", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_lexicon_join)
+
+
+# ---- files written as their producers write them, read by the readers --------------------------
+def _universe_files(spark, d):
+    path = scratch_path(spark, "universes")
+    u = _universe(spark, d)
+    u.where("list = 'A'").select("Ticker", "Code", "Name").write.option("header", True).csv(f"{path}/A")
+    u.where("list = 'B'").select("Code", "Name").write.csv(f"{path}/ALL")
+    both = R.read_universe(spark, f"{path}/A", "A").unionByName(R.read_universe(spark, f"{path}/ALL", "B", "all"))
+    return both.select("list", "Ticker", "Code", "Name")
+
+
+register("universe_files", S.with_base(_UNIVERSE_SQL + """
+SELECT list, Ticker, 'GOOG/NYSE_' || Ticker AS Code, 'Company ' || Ticker AS Name FROM universe"""))(_universe_files)
+
+
+def _backup_files(spark, d):
+    path = scratch_path(spark, "backup")
+    b = FX.backup_bars_from_trades(trades(spark, d))
+    b.select("epoch", "close", "high", "low", "open", "volume").write.csv(path)
+    return B.backup_to_minute_bars(R.read_backup_bars(spark, path), ticker="ONE").drop("ticker")
+
+
+register("backup_files", S.with_base(f"""
+backup AS (
+  SELECT ticker, CAST(floor(epoch(timezone('Europe/Oslo', time)) / 60) AS BIGINT) * 60 AS epoch,
+         arg_max(price, {{'t': time, 's': seq}}) AS close, max(price) AS high, min(price) AS low,
+         arg_min(price, {{'t': time, 's': seq}}) AS open, CAST(count(*) AS DOUBLE) AS volume
+  FROM trades GROUP BY ALL),
+bl AS (SELECT *, timezone('America/Los_Angeles', to_timestamp(epoch)) AS loc FROM backup)
+SELECT {S.part_select('MIN', 'loc')}, high, low, open, close, volume, epoch FROM bl"""))(_backup_files)

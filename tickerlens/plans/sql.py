@@ -1,9 +1,8 @@
 """DuckDB oracle SQL building blocks.
 
 Each registered query has an independent SQL statement over the driver's
-tables. The fixture rules of ``tickerlens.sources.fixtures`` and the fixed
-word lists are restated here in SQL so the oracle shares no code path with
-the Spark side.
+tables. The fixture rules of ``tickerlens.sources.fixtures`` are restated here
+in SQL; the fixed word lists are the one thing both sides import.
 """
 
 from __future__ import annotations
@@ -60,6 +59,20 @@ def with_base(body: str) -> str:
     return "WITH " + BASE.strip() + ",\n" + body.strip()
 
 
+def instant(t: str, zone: str = "Europe/Oslo") -> str:
+    """The instant of a wall-clock time; of the two that a repeated autumn hour
+    has, the first, as the Spark side takes it."""
+    late = f"timezone('{zone}', {t})"
+    return f"CASE WHEN timezone('{zone}', {late} - INTERVAL 1 HOUR) = {t} THEN {late} - INTERVAL 1 HOUR ELSE {late} END"
+
+
+def with_spread_base(body: str) -> str:
+    """``with_base`` over events shifted by 0..730 days by id."""
+    spread = "FROM (SELECT * REPLACE (ts + to_days(CAST(event_id % 731 AS INTEGER)) AS ts) FROM events)"
+    base = BASE.strip().replace("FROM events", spread).replace("timezone('Europe/Oslo', ts)", instant("ts"))
+    return "WITH " + base + ",\n" + body.strip()
+
+
 _PART_EXPR = {
     "year": "CAST(year({t}) AS INTEGER) AS year",
     "isoyear": "CAST(isoyear({t}) AS INTEGER) AS year",

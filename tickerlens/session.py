@@ -9,7 +9,6 @@ happens in local tests.
 from __future__ import annotations
 
 import contextlib
-import os
 import tempfile
 import uuid
 
@@ -45,20 +44,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="tickerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """The path of a fresh folder under the shared checkpoint root, as the
+    session names it; what writes there makes it, through its file system."""
     root = checkpoint_root(spark)
-    path = f"{root}/tickerlens/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root}/tickerlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
 @contextlib.contextmanager

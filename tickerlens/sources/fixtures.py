@@ -33,6 +33,7 @@ UNIVERSE_LISTS = ("A", "B")   # A: even user_id, B: user_id divisible by 3
 MESSAGES_PER_FETCH = 30       # one fetch returns at most this many posts
 FAILED_FETCH_EVERY = 11       # fetch groups with fetch % 11 == 5 answer status 429
 FAILED_FETCH_AT = 5
+SPREAD_DAYS = 731         # two years, one of them a leap year
 # ------------------------------------------------------------------------------
 
 
@@ -44,6 +45,43 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def events_over_years(ev: DataFrame) -> DataFrame:
+    """``events`` shifted by 0..730 days by id, so that they meet every month,
+    two year ends and the clock changes of two years."""
+    days = (F.col("event_id") % SPREAD_DAYS).cast("int")
+    return ev.withColumn("ts", F.timestamp_add("DAY", days, F.col("ts")))
+
+
+def trades_with_ties(ev: DataFrame) -> DataFrame:
+    """Trades of ``events_over_years`` at whole hours, all with one ingest
+    stamp, every tenth without a price: open and close meet ties."""
+    t = trades_from_events(events_over_years(ev))
+    hour = F.timestamp_add("HOUR", F.timestamp_diff("HOUR", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("time")),
+                           F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return t.select("ticker", hour.alias("time"), F.when(F.col("seq") % 10 != 0, F.col("price")).alias("price"),
+                    "quantity", F.lit(0).cast("long").alias("seq"))
+
+
+def broken_trade_lines(ev: DataFrame) -> DataFrame:
+    """Trade lines of which some are short, and some have a number or a time
+    that does not parse."""
+    t = trades_from_events(ev)
+    time, price = format_local_time(F.col("time")), F.col("price").cast("string")
+    which = F.col("seq") % 20
+    line = (F.when(which == 0, F.lit("garbage"))
+            .when(which == 1, F.concat_ws(",", F.lit("1.0"), "ticker", time, price, F.lit("1")))
+            .when(which == 2, F.concat_ws(",", F.lit("1.0"), "ticker", time, F.lit("many,1,b,s,,,")))
+            .when(which == 3, F.concat_ws(",", F.lit("1.0"), "ticker", F.lit("noon"), price, F.lit("1,b,s,,,")))
+            .when(which == 4, F.lit(""))
+            .otherwise(F.concat_ws(",", F.lit("1.0"), "ticker", time, price, F.lit("1,b,s,,,"))))
+    return t.select(line.alias("value"))
+
+
+def bare_message_arrays(posts: DataFrame) -> DataFrame:
+    """What the producer publishes for each fetch: the array of messages alone."""
+    return message_batches_from_posts(posts).select(F.get_json_object("value", "$.messages").alias("value"))
+
+
 def ticker_of(user_id: Column) -> Column:
     """Three capital letters from an id (0 -> AAA, 1 -> AAB, ...)."""
     u = user_id.cast("long")
