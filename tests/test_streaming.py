@@ -80,6 +80,63 @@ def test_sliding_stream_and_snapshots(spark, sf_dir):
     assert s.where(F.col("written_at").isNull()).count() == 0
 
 
+def _times(spark, folder, *batches):
+    for i, rows in enumerate(batches):
+        lines = [('{"id": %d, "created_at": "Wed Jan 28 %s +0000 2015", "text": "%s"}' % (n, t, x),) for n, (t, x) in enumerate(rows)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(folder)
+        import time
+        time.sleep(1.1)  # the file source orders by modification time
+
+
+def test_snapshots_have_one_row_per_time_and_rank(spark):
+    """Two batches in one window, then a late one: ranks stay unique, and now does not move back."""
+    from tickerlens.operators import views as V
+
+    src, snaps = scratch_path(spark, "t_src"), scratch_path(spark, "t_uniq")
+    _times(spark, src, [("13:00:01", "$AA"), ("13:00:01", "$AA $BB")], [("13:00:03", "$BB $BB $CC")], [("12:00:00", "$DD $DD $DD $DD")])
+    for run in (STR.run_top_trending, STR.run_top_trending_panes):
+        snaps = scratch_path(spark, "t_uniq")
+        more = [scratch_path(spark, "t_panes")] if run is STR.run_top_trending_panes else []
+        q, _ = run(spark, SS.read_post_stream(spark, src, 1), *more, scratch_path(spark, "t_cnt"), snaps, scratch_path(spark, "t_uck"), k=5)
+        q.awaitTermination()
+        rows = STR.read_snapshots(spark, snaps)
+        assert rows.groupBy("timestamp", "id").count().where("count > 1").count() == 0
+        assert sorted((r.ticker, r.frequency) for r in rows.collect()) == [("AA", 2), ("BB", 3), ("CC", 1)]
+        assert [(r.ticker, r.frequency) for r in V.live_panel(rows).orderBy("position").collect()] == [("CC", 1), ("AA", 2), ("BB", 3)]
+
+
+def test_watermark_bounds_pane_state(spark):
+    src = scratch_path(spark, "t_wm")
+    _times(spark, src, *[[(f"1{h}:00:01", "$AA")] for h in range(5)], [("10:00:02", "$ZZ")])
+    q, log = STR.run_top_trending_panes(spark, SS.read_post_stream(spark, src, 1), scratch_path(spark, "t_wp"), scratch_path(spark, "t_wc"),
+                                        scratch_path(spark, "t_ws"), scratch_path(spark, "t_wck"), watermark="10 minutes")
+    q.awaitTermination()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(states) <= 2 and "ZZ" not in {r.ticker for r in log.read().select("ticker").distinct().collect()}
+
+
+def test_keyed_log_skips_uncommitted_folders(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path / "kl"), ["k"])
+    log.write_batch(spark.createDataFrame([(1, "a")], "k int, v string"), 0)
+    log.write_batch(spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), 1)
+    (tmp_path / "kl" / "batch_id=1" / "_SUCCESS").unlink()
+    assert [tuple(r) for r in log.read().collect()] == [(1, "a")] and log.history().count() == 1
+
+
+def test_partitioned_sinks_write_few_files(spark, sf_dir):
+    from tickerlens.sinks import tables as SK
+
+    series = M.mention_series(FX.posts_from_events(FX.events(spark, sf_dir)), "HR").cache()
+    path = scratch_path(spark, "t_files")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        SK.write_series(series, path, "HR")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = len(spark.read.parquet(path).inputFiles())
+    assert files <= series.select("ticker", "year", "month").distinct().count()
+
+
 def test_landing_rolls_files(spark, sf_dir):
     src = _staged(spark, sf_dir, 2)
     out = scratch_path(spark, "t_land")

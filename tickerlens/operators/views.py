@@ -75,7 +75,15 @@ def mention_chart(series_min: DataFrame, ticker: str | None = None) -> DataFrame
     ms = local_to_epoch_millis(parts_to_timestamp("MIN"), "UTC")
     return (s.select("ticker", ms.alias("epoch_ms"), "frequency",
                      sentiment_sign(F.col("sentiment")).alias("sign"))
-            .sortWithinPartitions("ticker", "epoch_ms"))
+            .orderBy("ticker", "epoch_ms"))
+
+
+def with_position(ordered: DataFrame, *keys: str) -> DataFrame:
+    """``ordered`` with ``position`` 1.. within ``keys``, in the order in which
+    its rows come out (not one that is asked for anew)."""
+    placed = ordered.withColumn("_place", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy("_place"))
+    return placed.withColumn("position", position.cast("long")).drop("_place")
 
 
 def chart_points(chart: DataFrame, y_cols=("frequency",)) -> DataFrame:
@@ -93,9 +101,14 @@ def price_mention_overlay(bars_min: DataFrame, series_min: DataFrame, ticker: st
         b, s = b.where(F.col("ticker") == ticker), s.where(F.col("ticker") == ticker)
     bms = local_to_epoch_millis(parts_to_timestamp("MIN"), bars_tz)
     sms = local_to_epoch_millis(parts_to_timestamp("MIN"), "UTC")
-    left = b.select("ticker", bms.alias("epoch_ms"), "open", "high", "low", "close")
-    right = s.select("ticker", sms.alias("epoch_ms"), "frequency")
-    return left.join(right, ["ticker", "epoch_ms"], "full_outer")
+    price = ("open", "high", "low", "close")
+    none = F.lit(None).cast("double")
+    left = b.select("ticker", bms.alias("epoch_ms"), *price, F.lit(None).cast("long").alias("frequency"))
+    right = s.select("ticker", sms.alias("epoch_ms"), *[none.alias(c) for c in price], F.col("frequency").cast("long"))
+    # Each side has a key once at most, so one grouping of both is the full
+    # outer join, with one exchange for it instead of two.
+    merged = left.unionByName(right).groupBy("ticker", "epoch_ms").agg(*[F.max(c).alias(c) for c in (*price, "frequency")])
+    return merged.orderBy("ticker", "epoch_ms")
 
 
 def _bucket(ts, unit: str, n: int):
@@ -130,17 +143,18 @@ def downsample(series: DataFrame, grain: str, unit: str, n: int) -> DataFrame:
             .agg(F.sum("frequency").alias("frequency"), F.sum("sentiment").alias("sentiment")))
 
 
-def lookback(series: DataFrame, grain: str, interval: str, display_hours: int = -5) -> DataFrame:
-    """Rows within ``interval`` of the newest bucket (FLT-10), with the fixed
-    display offset applied to a label (DAT-15). The newest bucket is a scalar
-    subquery, so the filter needs no join and no driver round trip."""
-    ts = parts_to_timestamp(grain)
-    with_ts = series.withColumn("_ts", ts)
-    newest = with_ts.select(F.max("_ts")).scalar()
-    keep = with_ts.where(F.col("_ts") > newest - F.expr(f"INTERVAL {interval}"))
-    return keep.select("ticker", local_to_epoch_millis(F.col("_ts"), "UTC").alias("bucket_ms"),
-                       F.substring(format_local_time(display_shift(F.col("_ts"), display_hours)), 1, 16).alias("display"),
-                       *SERIES_VALUES)
+def lookback(series: DataFrame, grain: str, interval: str | None, display_hours: int = -5) -> DataFrame:
+    """Rows within ``interval`` of the newest bucket, all rows for None
+    (FLT-10), with the fixed display offset applied to a label (DAT-15). The
+    newest bucket is a scalar subquery over the series, so give it the stored
+    series table rather than the raw feed, which it would scan twice."""
+    with_ts = series.withColumn("_ts", parts_to_timestamp(grain))
+    if interval is not None:
+        newest = with_ts.select(F.max("_ts")).scalar()
+        with_ts = with_ts.where(F.col("_ts") > newest - F.expr(f"INTERVAL {interval}"))
+    return with_ts.select("ticker", local_to_epoch_millis(F.col("_ts"), "UTC").alias("bucket_ms"),
+                          F.substring(format_local_time(display_shift(F.col("_ts"), display_hours)), 1, 16).alias("display"),
+                          *SERIES_VALUES)
 
 
 def merge_views(batch: DataFrame, speed: DataFrame, grain: str, cutoff, mode: str = "cutoff") -> DataFrame:
@@ -166,5 +180,5 @@ def merge_views(batch: DataFrame, speed: DataFrame, grain: str, cutoff, mode: st
     raise ValueError("mode must be cutoff, replace or add")
 
 
-__all__ = ["live_panel", "recent_posts", "trending_at", "trending_by_local_hour", "mention_chart",
+__all__ = ["with_position", "live_panel", "recent_posts", "trending_at", "trending_by_local_hour", "mention_chart",
            "price_mention_overlay", "downsample", "lookback", "merge_views", "parts_label"]

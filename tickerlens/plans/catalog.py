@@ -503,7 +503,7 @@ def _staged_posts(spark, d, n_files=8, ordered=False):
 
 def _compacted(spark, d):
     src = _staged_posts(spark, d)
-    return SK.compact_lines(spark, src, scratch_path(spark, "compacted"), 2)
+    return SK.compact_lines(spark, src, scratch_path(spark, "compacted"))
 
 
 register("compacted_lines", _LINES_SQL)(_compacted)
@@ -740,3 +740,121 @@ backup AS (
   FROM trades GROUP BY ALL),
 bl AS (SELECT *, timezone('America/Los_Angeles', to_timestamp(epoch)) AS loc FROM backup)
 SELECT {S.part_select('MIN', 'loc')}, high, low, open, close, volume, epoch FROM bl"""))(_backup_files)
+
+
+# ---- ordered outputs: the position is the place in the rows as they come out -------------------
+register("mention_chart_positions", S.with_base(_MINUTE_SQL + """
+SELECT ticker, epoch_ms(m) AS epoch_ms, frequency, CAST(sign(sentiment) AS INTEGER) AS sign,
+       row_number() OVER (PARTITION BY ticker ORDER BY m) AS position FROM minute_series"""))(
+    lambda spark, d: V.with_position(V.mention_chart(M.mention_series(posts(spark, d), "MIN")), "ticker"))
+
+register("overlay_positions", S.with_base(_MINUTE_SQL + """
+, keys AS (
+  SELECT ticker, epoch_ms(timezone('America/Los_Angeles', date_trunc('minute', lt))) AS epoch_ms FROM trades
+  UNION SELECT ticker, epoch_ms(m) FROM minute_series)
+SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY epoch_ms) AS position FROM keys"""))(
+    lambda spark, d: V.with_position(V.price_mention_overlay(
+        B.price_bars(trades(spark, d), "MIN"), M.mention_series(posts(spark, d), "MIN")), "ticker")
+    .select("ticker", "epoch_ms", "position"))
+
+register("sorted_series_positions", S.with_base(_HOURLY_SQL + """
+SELECT *, row_number() OVER (PARTITION BY year, month, day, hour ORDER BY frequency DESC, ticker) AS position FROM hourly"""))(
+    lambda spark, d: V.with_position(M.sorted_series(M.mention_series(posts(spark, d), "HR"), "HR"),
+                                     "year", "month", "day", "hour"))
+
+
+def _clustered(spark, d):
+    """Rows of the series table in the order in which its files hold them."""
+    path = scratch_path(spark, "series_order")
+    SK.write_series(M.mention_series(posts(spark, d), "HR"), path, "HR")
+    rows = spark.read.parquet(path).withColumns({"_f": F.col("_metadata.file_path"), "_p": F.col("_metadata.row_index")})
+    from pyspark.sql import Window
+
+    rows = rows.withColumn("position", F.row_number().over(Window.partitionBy("_f", "ticker").orderBy("_p")).cast("long"))
+    return rows.select("ticker", "year", "month", "day", "hour", "position")
+
+
+register("series_table_order", S.with_base(_HOURLY_SQL + """
+SELECT ticker, year, month, day, hour,
+       row_number() OVER (PARTITION BY ticker, year, month ORDER BY day DESC, hour DESC) AS position FROM hourly"""))(_clustered)
+
+for _name, _interval, _sql in (
+        ("30min", "30 MINUTES", "INTERVAL 30 MINUTE"), ("1h", "1 HOUR", "INTERVAL 1 HOUR"), ("1d", "1 DAY", "INTERVAL 1 DAY"),
+        ("15d", "15 DAYS", "INTERVAL 15 DAY"), ("1month", "1 MONTH", "INTERVAL 1 MONTH"), ("all", None, None)):
+    def _lookback(spark, d, interval=_interval):
+        path = scratch_path(spark, "series_min")
+        M.mention_series(posts(spark, d), "MIN").write.parquet(path)
+        return V.lookback(spark.read.parquet(path), "MIN", interval)
+
+    register(f"lookback_{_name}", S.with_base(_MINUTE_SQL + f"""
+SELECT ticker, epoch_ms(m) AS bucket_ms, strftime(m - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M') AS display, frequency, sentiment
+FROM minute_series""" + (f" WHERE m > (SELECT max(m) FROM minute_series) - {_sql}" if _sql else "")))(_lookback)
+
+# ---- both sides of an overlap differ, so the wrong winner shows ---------------------------------
+_OVERLAP_SQL = _HOURLY_SQL + """
+, doubled AS (
+  SELECT h.* REPLACE (frequency * 2 AS frequency) FROM hourly h WHERE make_timestamp(year, month, day, hour, 0, 0) >= TIMESTAMP '2024-01-10')"""
+
+
+def _two_versions(spark, d):
+    """The hourly series before 2024-01-20, and a newer version from 2024-01-10 on with doubled counts."""
+    series = M.mention_series(posts(spark, d), "HR")
+    at = TF.parts_to_timestamp("HR")
+    old = series.where(at < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
+    new = series.where(at >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+    return old, new.withColumn("frequency", F.col("frequency") * 2)
+
+
+def _upsert_versions(spark, d):
+    old, new = _two_versions(spark, d)
+    log = SK.KeyedLog(spark, scratch_path(spark, "upsert_versions"), ["year", "month", "day", "hour", "ticker"])
+    log.write_batch(new, 1)  # also when the older batch is written later
+    log.write_batch(old, 0)
+    return log.read()
+
+
+register("upsert_newer_wins", S.with_base(_OVERLAP_SQL + """
+SELECT * FROM doubled UNION ALL SELECT * FROM hourly
+WHERE make_timestamp(year, month, day, hour, 0, 0) < TIMESTAMP '2024-01-10'"""))(_upsert_versions)
+
+for _mode, _where_old, _where_new in (
+        ("cutoff", "< TIMESTAMP '2024-01-15'", ">= TIMESTAMP '2024-01-15'"),
+        ("replace", "< TIMESTAMP '2024-01-10'", ">= TIMESTAMP '2024-01-10'")):
+    def _merge(spark, d, mode=_mode):
+        return V.merge_views(*_two_versions(spark, d), "HR", "2024-01-15 00:00:00", mode)
+
+    register(f"merged_views_{_mode}", S.with_base(_OVERLAP_SQL + f"""
+SELECT * FROM doubled WHERE make_timestamp(year, month, day, hour, 0, 0) {_where_new}
+UNION ALL SELECT * FROM hourly WHERE make_timestamp(year, month, day, hour, 0, 0) {_where_old}"""))(_merge)
+
+
+# ---- the snapshots that the stream wrote ----------------------------------------------------------
+def _stream_panel(spark, d):
+    path = scratch_path(spark, "panel_snapshots")
+    q, _ = STRD.run_top_trending_panes(spark, SSRC.read_post_stream(spark, _staged_posts(spark, d, 8), 1),
+                                       scratch_path(spark, "panel_panes"), scratch_path(spark, "panel_counts"), path,
+                                       scratch_path(spark, "panel_ckpt"), state_partitions=_state_partitions(spark))
+    q.awaitTermination()
+    return V.live_panel(STRD.read_snapshots(spark, path))
+
+
+register("live_panel_streamed", S.with_base(_SLIDING_SQL + """
+, panel AS (
+  SELECT *, row_number() OVER (ORDER BY frequency DESC, ticker) AS r FROM counts
+  WHERE window_end_ms = (SELECT (CAST(floor(epoch(max(pts)) / 5) AS BIGINT) + 1) * 5000 FROM occ))
+SELECT CAST(row_number() OVER (ORDER BY frequency, r) AS BIGINT) AS position, ticker, frequency,
+       CASE WHEN sentiment > 0 THEN 'green' WHEN sentiment < 0 THEN 'red' ELSE 'blue' END AS colour
+FROM panel WHERE r <= 5"""))(_stream_panel)
+
+for _g in ("MIN", "DAY", "WEEK", "MONTH", "YEAR"):
+    def _stream_grain(spark, d, grain=_g):
+        q, log = STOT.run_totals(spark, SSRC.read_post_stream(spark, _staged_posts(spark, d, 3), 1), grain,
+                                 scratch_path(spark, "totals_g"), scratch_path(spark, "totals_g_ckpt"),
+                                 state_partitions=_state_partitions(spark))
+        q.awaitTermination()
+        return log.read()
+
+    register(f"stream_mention_series_{_GRAIN_SUFFIX[_g]}", S.with_base(f"""
+x AS (SELECT 1)
+SELECT {S.part_select(_g, 'pts')}, ticker, count(*) AS frequency, CAST(sum(score) AS BIGINT) AS sentiment
+FROM occ GROUP BY ALL"""))(_stream_grain)

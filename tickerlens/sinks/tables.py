@@ -18,34 +18,36 @@ from tickerlens.operators.keyed import latest_per_key
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str], sort_by: list,
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str], sort_by: list, block: list[str],
                       mode: str = "overwrite", max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
-    """Partitioned Parquet write without a repartition (a hot key is never
-    funnelled into one task): each task sorts its rows by the partition
-    columns, then the clustering order, and streams them out file by file."""
-    (df.sortWithinPartitions(*partition_by, *sort_by)
+    """Partitioned Parquet write. Rows are first spread by the partition
+    columns and ``block``, a coarser part of the key: a cold folder gets one
+    file a block, and a hot one is split over as many tasks as it has blocks.
+    Each task sorts its rows by the partition columns, then the clustering
+    order, and streams them out file by file."""
+    (df.repartition(*partition_by, *block).sortWithinPartitions(*partition_by, *sort_by)
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*partition_by).parquet(path))
 
 
+def _block(grain: str) -> list[str]:
+    """The two coarsest parts of a bucket: months (or ISO weeks) at most."""
+    return list(grain_columns(grain))[:2]
+
+
 def write_series(series: DataFrame, path: str, grain: str, mode: str = "overwrite") -> None:
     """Mention series, one folder per ticker, time descending inside (SNK-2, SRT-3)."""
-    write_partitioned(series, path, ["ticker"], [F.desc(c) for c in grain_columns(grain)], mode)
+    write_partitioned(series, path, ["ticker"], [F.desc(c) for c in grain_columns(grain)], _block(grain), mode)
 
 
 def write_bars(bars: DataFrame, path: str, grain: str, mode: str = "overwrite") -> None:
     """Price bars, one folder per ticker, time descending inside (SNK-1, SRT-3)."""
-    write_partitioned(bars, path, ["ticker"], [F.desc(c) for c in grain_columns(grain)], mode)
+    write_partitioned(bars, path, ["ticker"], [F.desc(c) for c in grain_columns(grain)], _block(grain), mode)
 
 
 def write_trending(ranked: DataFrame, path: str, grain: str, mode: str = "overwrite") -> None:
     """Rankings, one folder per bucket, frequency descending inside (SNK-3, SRT-3)."""
-    write_partitioned(ranked, path, list(grain_columns(grain)), [F.desc("frequency"), F.asc("ticker")], mode)
-
-
-def append_snapshots(snapshots: DataFrame, path: str) -> None:
-    """Append live top-k snapshot rows (SNK-6)."""
-    snapshots.write.mode("append").parquet(path)
+    write_partitioned(ranked, path, list(grain_columns(grain)), [F.desc("frequency"), F.asc("ticker")], [], mode)
 
 
 def write_results(df: DataFrame, path: str, fmt: str = "json") -> None:
@@ -53,9 +55,11 @@ def write_results(df: DataFrame, path: str, fmt: str = "json") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def compact_lines(spark: SparkSession, src: str, dst: str, n_files: int = 1) -> DataFrame:
-    """Merge many small landed text files into ``n_files`` (SNK-12)."""
-    spark.read.text(src).coalesce(n_files).write.mode("overwrite").text(dst)
+def compact_lines(spark: SparkSession, src: str, dst: str) -> DataFrame:
+    """Merge many small landed text files (SNK-12). The scan packs small files
+    into splits of ``spark.sql.files.maxPartitionBytes``, and each split
+    becomes one file, so their number follows the size of the feed."""
+    spark.read.text(src).write.mode("overwrite").text(dst)
     return spark.read.text(dst)
 
 
@@ -108,9 +112,14 @@ class KeyedLog:
         # the same batch id replaces exactly the rows it wrote before.
         df.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
 
-    def history(self) -> DataFrame:
-        """Every batch folder as written (``batch_id`` from the folder name)."""
-        return self.spark.read.parquet(self.path)
+    def history(self, after: int | None = None) -> DataFrame:
+        """The committed batch folders (later than ``after``), as written, with
+        ``batch_id`` from the folder name. A folder without its success mark,
+        of a batch that is being written or has failed, is not read."""
+        folders = [f"{self.path}/batch_id={b}" for b in self.batch_ids() if after is None or b > after]
+        if not folders:
+            raise FileNotFoundError(f"keyed log {self.path} has no such batch")
+        return self.spark.read.option("basePath", self.path).parquet(*folders)
 
     def read(self) -> DataFrame:
         v = self.snapshot_version()
@@ -120,10 +129,7 @@ class KeyedLog:
             parts.append(self.spark.read.parquet(f"{self.path}/_snapshot/version={v}")
                          .withColumn("batch_id", F.lit(v).cast("long")))
         if later:
-            inc = self.history()
-            if v is not None:
-                inc = inc.where(F.col("batch_id") > v)
-            parts.append(inc)
+            parts.append(self.history(after=v))
         if not parts:
             raise FileNotFoundError(f"keyed log {self.path} is empty")
         u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

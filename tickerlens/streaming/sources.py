@@ -44,9 +44,13 @@ def read_post_stream(spark: SparkSession, path: str, max_files_per_trigger: int
             .where(F.col("text").isNotNull()))
 
 
-def kafka_value_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Bus source: message values as strings (SRC-4). Needs the Kafka
-    connector on the classpath; the key is dropped as in the reference."""
-    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic).load()
-            .select(F.col("value").cast("string").alias("value"), "timestamp"))
+def kafka_value_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
+                       max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Bus source: message values as strings (SRC-4, STM-10). Needs the Kafka
+    connector on the classpath; the key is dropped as in the reference.
+    ``max_offsets_per_trigger`` bounds a micro-batch, as the poll size does there."""
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return reader.load().select(F.col("value").cast("string").alias("value"), "timestamp")

@@ -4,8 +4,9 @@ The stream keeps (window, ticker) counts for 10-minute windows sliding by
 5 seconds in ``update`` mode. ``foreachBatch`` upserts the changed counts
 into a keyed log and appends a top-k snapshot of the newest window the batch
 touched (rank from 0, snapshot time = window end). Ranking needs every
-ticker of that window, so the snapshot reads that one window back from the
-log (a pushed-down equality filter), never the whole table.
+ticker of that window, so the snapshot filters the log to that one window.
+Snapshots form a keyed log too: one row for each (timestamp, rank), the newest
+batch wins, and a late batch does not move the current window back.
 """
 
 from __future__ import annotations
@@ -41,46 +42,65 @@ def stream_sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: s
 def run_top_trending(spark: SparkSession, posts: DataFrame, counts_path: str, snapshots_path: str,
                      checkpoint: str, window: str = "10 minutes", slide: str = "5 seconds", k: int = 5,
                      available_now: bool = True, processing_time: str = "5 seconds",
-                     state_partitions: int | None = None):
+                     state_partitions: int | None = None, watermark: str | None = None):
     """Start the sliding top-k query (plain state: one row per window and
-    ticker). Returns ``(query, counts KeyedLog)``; snapshots (timestamp, id,
-    ticker, frequency, sentiment, written_at, batch_id) are appended under
-    ``snapshots_path``, one set per micro-batch (SNK-6, DAT-14)."""
+    ticker). Returns ``(query, counts KeyedLog)``; ``read_snapshots`` reads the
+    snapshots (timestamp, id, ticker, frequency, sentiment, written_at) under
+    ``snapshots_path`` (SNK-6, DAT-14). With a ``watermark`` old windows leave
+    the state and later data for them is dropped; without one all is kept."""
     log = KeyedLog(spark, counts_path, ["window_end_ms", "ticker"])
 
     w_ms, s_ms = _seconds(window) * 1000, _seconds(slide) * 1000
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        log.write_batch(df, batch_id)
-        _snapshot(log, df, batch_id, snapshots_path, k, w_ms, s_ms)
+        df.persist()  # written, and read again for the snapshot: one pass over the state
+        try:
+            log.write_batch(df, batch_id)
+            _snapshot(log, df, batch_id, snapshots_path, k, w_ms, s_ms)
+        finally:
+            df.unpersist()
 
-    w = (stream_sliding_counts(posts, window, slide).writeStream.outputMode("update")
+    w = (stream_sliding_counts(posts, window, slide, watermark).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint).foreachBatch(per_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return start_stream(w, spark, state_partitions), log
 
 
+def _snapshots(spark: SparkSession, path: str) -> KeyedLog:
+    return KeyedLog(spark, path, ["timestamp", "id"])
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """One set of ranks for each snapshot time (STM-7)."""
+    return _snapshots(spark, path).read()
+
+
 def _snapshot(log: KeyedLog, changed: DataFrame, batch_id: int, path: str, k: int, w_ms: int, s_ms: int) -> None:
     """Top-k of the window that ends right after the newest event of the
-    batch ("the last window as of now"), appended with its rank from 0."""
+    stream so far ("the last window as of now"), with its rank from 0."""
     last_end = changed.agg(F.max("window_end_ms")).first()[0]
     if last_end is None:
         return
     # The newest event touched windows ending up to one window length later;
     # the current window is the earliest of those that contains it.
     current_end = last_end - (w_ms - s_ms)
+    snapshots = _snapshots(log.spark, path)
+    earlier = [b for b in snapshots.batch_ids() if b < batch_id]
+    if earlier:  # the last snapshot's time is the greatest so far
+        before = snapshots.history(after=earlier[-1] - 1).where(F.col("batch_id") == earlier[-1])
+        current_end = max(current_end, before.agg(F.max("timestamp")).first()[0] or 0)
     current = log.read().where(F.col("window_end_ms") == F.lit(current_end))
     snap = top_per_window(current, k).select(
         F.col("window_end_ms").alias("timestamp"), "id", "ticker", "frequency", "sentiment",
         F.current_timestamp().alias("written_at"))
-    snap.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+    snapshots.write_batch(snap, batch_id)
 
 
 def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: str, counts_path: str,
                            snapshots_path: str, checkpoint: str, window: str = "10 minutes",
                            slide: str = "5 seconds", k: int = 5, available_now: bool = True,
                            processing_time: str = "5 seconds", lexicon: Lexicon = DEFAULT_LEXICON,
-                           state_partitions: int | None = None):
+                           state_partitions: int | None = None, watermark: str | None = None):
     """Pane form of the sliding top-k (STM-4 at scale).
 
     The stream keeps one state row per (ticker, slide-sized pane) instead of
@@ -100,10 +120,16 @@ def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: st
     timed = posts.select(ts.alias("ts"), "text")
     occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
                        F.explode(F.when(F.col("ts").isNotNull(), cashtags(F.col("text")))).alias("tag"))
-    pane = F.floor(F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts")) / s_s)
-    panes = (occ.select(strip_cashtag(F.col("tag")).alias("ticker"), pane.alias("pane"), "score")
-             .groupBy("ticker", "pane")
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("score").cast("long").alias("sc")))
+    occ = occ.select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score")
+    sums = (F.count(F.lit(1)).alias("n"), F.sum("score").cast("long").alias("sc"))
+    if watermark is None:
+        pane = F.floor(F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts")) / s_s)
+        panes = occ.select("ticker", pane.alias("pane"), "score").groupBy("ticker", "pane").agg(*sums)
+    else:  # event-time windows of one slide, which the watermark takes out of the state
+        timed = occ.withColumn("ts", wall_clock_instant(F.col("ts"))).withWatermark("ts", watermark)
+        panes = timed.groupBy("ticker", F.window("ts", slide).alias("w")).agg(*sums)
+        start = F.timestamp_diff("SECOND", _epoch_ntz(), instant_wall_clock(F.col("w.start")))
+        panes = panes.select("ticker", F.floor(start / s_s).alias("pane"), "n", "sc")
 
     def per_batch(changed: DataFrame, batch_id: int) -> None:
         changed.persist()
