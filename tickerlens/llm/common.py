@@ -20,6 +20,8 @@ BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 #: Stands for a null id inside a job, so that ids can be join keys; sorts first.
 NULL_ID = -(2**63)
+#: Tasks over which a join deals the rows of one hot key.
+SALTS = 32
 
 U64 = np.uint64
 
@@ -192,6 +194,15 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict
         yield held
 
 
+def spread_join(rows: DataFrame, small: DataFrame, keys: list[str], by: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``small``, one row a key, which is repeated for
+    ``SALTS`` salts; rows of a hot key are dealt over as many tasks, by a hash
+    of their columns ``by``."""
+    small = small.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    return rows.join(small, [*keys, "_salt"], how).drop("_salt")
+
+
 class Forest:
     """Union-find over 0..n-1, for what one task sees."""
 

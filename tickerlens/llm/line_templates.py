@@ -27,14 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import binary, cut, documents_by_id, id_in, id_out
+from tickerlens.llm.common import binary, cut, documents_by_id, id_in, id_out, spread_join
 
 DEPTH = 3
 MIN_TOKENS = 4
 MIN_DOCS = 8
 STABLE = 0.6
 FIELD = b"<*>"
-SALTS = 32
 DIGIT = re.compile(rb"[0-9]")
 
 
@@ -155,8 +154,8 @@ def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int =
     common = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     wanted = leaves.join(common, "leaf").groupBy("doc_id").agg(F.collect_list("leaf").alias("leaves"))
     lines = cut(texts.join(wanted, "doc_id").select("doc_id", "text", "leaves").mapInArrow(_lines(depth, min_tokens), LINES))
-    salted = templates(lines, depth, min_docs, stable).select("leaf", "masked", "keep", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"))
-    found = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["leaf", "masked", "salt"])
+    recurring = templates(lines, depth, min_docs, stable).select("leaf", "masked", "keep")
+    found = spread_join(lines, recurring, ["leaf", "masked"], ["doc_id"])
     gone = found.where(F.struct("doc_id", "line") != F.col("keep")).groupBy("doc_id").agg(F.collect_list("line").alias("gone"))
     kept = texts.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(_without_lines(), "doc_id long, n_lines long, n_dropped long, kept_text string")
     return kept.withColumn("doc_id", id_out(F.col("doc_id")))

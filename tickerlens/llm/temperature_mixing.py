@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import cut
+from tickerlens.llm.common import SALTS, cut
 from tickerlens.llm.quality_rules import word_array
 
 TARGET_ENTROPY = 0.95  # of the logarithm of the number of sources
@@ -30,7 +30,6 @@ MAX_REPEATS = 4.0
 BLOCK_DOCS = 1024
 HALVINGS = 5
 PASSES = 6
-SALTS = 32
 SEED = 20_260_101
 
 

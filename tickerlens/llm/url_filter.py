@@ -21,7 +21,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import components, cut
+from tickerlens.llm.common import components, cut, spread_join
 
 RULES = [
     ("allow", "com", "/"),
@@ -99,7 +99,8 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str) -> DataFrame:
     """``urls`` with host, path, rule and ruling (the longest rule that fits).
 
     Rules meet distinct hosts, not rows, so a host that holds a third of all
-    rows reaches the rules once; its rows meet its own short list of rules.
+    rows reaches the rules once; its rows, dealt over several tasks, meet its
+    own short list of rules.
     """
     rows = urls.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
     parts = F.split("host", r"\.")
@@ -114,7 +115,7 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str) -> DataFrame:
     )
     fit = F.try_element_at(F.filter("fits", lambda r: F.startswith(F.col("path"), r["prefix"])), F.lit(1))
     kept = [c for c in urls.columns if c not in ("host", "path")]
-    return rows.join(by_host, "host", "left").select(*kept, "host", "path", fit["rule"].alias("rule"), fit["ruling"].alias("ruling"))
+    return spread_join(rows, by_host, ["host"], urls.columns, "left").select(*kept, "host", "path", fit["rule"].alias("rule"), fit["ruling"].alias("ruling"))
 
 
 def rules_frame(spark: SparkSession, rules=RULES) -> DataFrame:
