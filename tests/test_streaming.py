@@ -126,7 +126,7 @@ def test_keyed_log_skips_uncommitted_folders(spark, tmp_path):
 def test_partitioned_sinks_write_few_files(spark, sf_dir):
     from tickerlens.sinks import tables as SK
 
-    series = M.mention_series(FX.posts_from_events(FX.events(spark, sf_dir)), "HR").cache()
+    series = M.mention_series(FX.posts_from_events(FX.events(spark, sf_dir)), "HR")
     path = scratch_path(spark, "t_files")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:

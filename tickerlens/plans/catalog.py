@@ -799,9 +799,8 @@ _OVERLAP_SQL = _HOURLY_SQL + """
 def _two_versions(spark, d):
     """The hourly series before 2024-01-20, and a newer version from 2024-01-10 on with doubled counts."""
     series = M.mention_series(posts(spark, d), "HR")
-    at = TF.parts_to_timestamp("HR")
-    old = series.where(at < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
-    new = series.where(at >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+    day = F.col("year") * 10_000 + F.col("month") * 100 + F.col("day")
+    old, new = series.where(day < 20_240_120), series.where(day >= 20_240_110)
     return old, new.withColumn("frequency", F.col("frequency") * 2)
 
 
@@ -835,7 +834,9 @@ def _stream_panel(spark, d):
                                        scratch_path(spark, "panel_panes"), scratch_path(spark, "panel_counts"), path,
                                        scratch_path(spark, "panel_ckpt"), state_partitions=_state_partitions(spark))
     q.awaitTermination()
-    return V.live_panel(STRD.read_snapshots(spark, path))
+    # How many older snapshots there are depends on the batches; the newest set of ranks does not.
+    snapshots = STRD.read_snapshots(spark, path)
+    return V.live_panel(snapshots.where(F.col("timestamp") == snapshots.select(F.max("timestamp")).scalar()))
 
 
 register("live_panel_streamed", S.with_base(_SLIDING_SQL + """
