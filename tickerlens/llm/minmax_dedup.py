@@ -217,13 +217,14 @@ def near_duplicates(
     spread = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     units = spread.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
     units = units.select("key", "band", "x", "y", "block", "doc_id", "signature")
-    wanted = units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_wanted(rows, least), UNIT)
+    wanted = units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id").mapInArrow(_wanted(rows, least), UNIT)
 
     texts = docs.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     needed = wanted.join(reps.select("doc_id", "digest", "signature"), "doc_id").join(texts, "doc_id")
     full = needed.select("key", "band", "x", "y", "block", "doc_id", "signature", "digest", "text")
     full = full.mapInArrow(_with_sets(n), UNIT + ", signature binary, shingles binary")
-    full = full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    # In the order of ids, so that a task that is run again finds the same forest.
+    full = full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id")
     links = full.mapInArrow(_links(rows, least, share), "src long, dst long")
 
     found = components(links).withColumnRenamed("node", "rep")

@@ -216,7 +216,9 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = G
         .groupBy("doc_id").agg(F.collect_list(F.struct("mini", "hot")).alias("found"))
         .select("doc_id", F.col("found.mini").alias("minis"), F.col("found.hot").alias("hots"))
     )
-    units = texts.join(wanted, "doc_id").select("doc_id", "text", "minis", "hots").mapInArrow(_pack(window, gram), UNITS)
+    # In the order of ids, so that a task that is run again sends the same again.
+    todo = texts.join(wanted, "doc_id").select("doc_id", "text", "minis", "hots").sortWithinPartitions("doc_id")
+    units = todo.mapInArrow(_pack(window, gram), UNITS)
     spans = units.repartition("key").sortWithinPartitions("key").mapInArrow(_sort_buckets(window), "doc_id long, start long, n long")
     by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     kept = texts.join(by_doc, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, kept_text string")

@@ -183,7 +183,7 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
         .drop("blocks", "other")
     )
     by = ["label", "dims", "cell", "x", "y"]
-    found = cut(units.repartition(*by).sortWithinPartitions(*by).mapInArrow(_links(cosine), "rep long, n long, other long"))
+    found = cut(units.repartition(*by).sortWithinPartitions(*by, "rep").mapInArrow(_links(cosine), "rep long, n long, other long"))
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     parts = components(found.where("other is not null"), "rep", "other").withColumnRenamed("node", "rep")
     of_class = (
