@@ -40,3 +40,4 @@ def test_universe_joins_leave_the_choice_to_aqe(spark, sf_dir):
 def test_pane_form_spreads_expansion(spark, sf_dir):
     p = _plan(SL.sliding_counts(FX.posts_from_events(FX.events(spark, sf_dir)), form="pane"))
     assert "REPARTITION_BY_NUM" in p
+    assert p.count("Exchange hashpartitioning") == 2  # panes, and blocks of windows; none after the expansion

@@ -94,7 +94,7 @@ def top_trending(series: DataFrame, grain: str, k: int | None = None,
     """Rank tickers within each bucket by frequency desc, ticker asc (WIN-1, SRT-1).
 
     ``k`` keeps the top k (Spark inserts a partial WindowGroupLimit before the
-    shuffle). ``distinct_frequency`` keeps one ticker per (bucket, frequency),
+    shuffle); without it a bucket is ranked block by block. ``distinct_frequency`` keeps one ticker per (bucket, frequency),
     the smallest, as a store keyed without the ticker would (WIN-6).
     """
     parts = list(grain_columns(grain))
@@ -102,11 +102,26 @@ def top_trending(series: DataFrame, grain: str, k: int | None = None,
     if distinct_frequency:
         wf = Window.partitionBy(*parts, "frequency").orderBy(F.asc("ticker"))
         s = s.withColumn("_r", F.row_number().over(wf)).where(F.col("_r") == 1).drop("_r")
+    if k is None:
+        return _ranked_in_blocks(s, parts)
     w = Window.partitionBy(*parts).orderBy(F.desc("frequency"), F.asc("ticker"))
-    ranked = s.withColumn("rank", F.row_number().over(w).cast("long"))
-    if k is not None:
-        ranked = ranked.where(F.col("rank") <= k)
-    return ranked
+    return s.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+
+
+def _ranked_in_blocks(series: DataFrame, parts: list[str]) -> DataFrame:
+    """Every ticker's rank in its bucket, without sorting a bucket in one task.
+
+    Tickers of one frequency and one two-letter beginning are a block. Blocks
+    are counted with partial sums, their first ranks are running sums over the
+    few blocks of a bucket, and only within a block are tickers sorted."""
+    block = [*parts, "frequency", "_start"]
+    rows = series.withColumn("_start", F.substring("ticker", 1, 2))
+    sizes = rows.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*parts).orderBy(F.desc("frequency"), "_start").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select(*block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy(*block).orderBy("ticker")
+    placed = rows.withColumn("_place", F.row_number().over(inside)).join(first, block)
+    return placed.select(*series.columns, (F.col("_first") + F.col("_place")).cast("long").alias("rank"))
 
 
 def trending(posts: DataFrame, grain: str, k: int | None = None, distinct_frequency: bool = False,

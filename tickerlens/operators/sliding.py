@@ -3,7 +3,7 @@
 Every event falls into window/slide windows. Two exact plans:
 
 * ``plain``: ``window(ts, window, slide)`` expands each post-ticker
-  occurrence into all its windows, then one partial+final aggregate.
+  occurrence into all its windows.
 * ``pane``: occurrences are first summed into slide-sized panes (tumbling,
   partial aggregate), and only the pane sums are expanded into windows.
   When many posts share a pane, far fewer rows are expanded.
@@ -46,36 +46,23 @@ def sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5
     occ = occurrences_at_time(posts, lexicon)
     secs = F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts"))
     pane = F.floor(secs / s)  # pane index; the pane covers [pane*s, (pane+1)*s)
+    rows = occ.select("ticker", pane.alias("pane"), F.lit(1).cast("long").alias("n"), F.col("score").cast("long").alias("sc"))
     if form == "pane":
-        panes = (occ.select("ticker", pane.alias("pane"), "score")
-                 .groupBy("ticker", "pane")
-                 .agg(F.count(F.lit(1)).alias("n"), F.sum("score").cast("long").alias("sc")))
-        # The pane table is small, so AQE would coalesce it into very few
-        # partitions right before a k-fold expansion. Spread it over a fixed
-        # number of partitions by (ticker, time block) instead: neighbouring
-        # panes of one ticker share a task, so the partial aggregate below
-        # merges their overlapping windows before the shuffle, and a hot
-        # ticker is split by block rather than landing in one task.
-        n_parts = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        block = F.floor(F.col("pane") / (block_panes or 4 * k))
-        panes = panes.repartition(n_parts, F.col("ticker"), block)
-        expanded = panes.select("ticker", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + k)).alias("end"),
-                                "n", "sc")
-        out = expanded.groupBy("ticker", "end").agg(F.sum("n").alias("frequency"), F.sum("sc").alias("sentiment"))
-    elif form == "plain":
-        # Each occurrence is expanded on its own. The expansion is moved off
-        # the scan tasks (whose size follows the input files) onto a fixed
-        # number of partitions keyed by (ticker, time block), so neighbouring
-        # occurrences of a ticker still combine map-side.
-        n_parts = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = occ.select("ticker", pane.alias("pane"), "score")
-        spread = spread.repartition(n_parts, F.col("ticker"), F.floor(F.col("pane") / (block_panes or 4 * k)))
-        expanded = spread.select("ticker", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + k)).alias("end"),
-                                 "score")
-        out = expanded.groupBy("ticker", "end").agg(F.count(F.lit(1)).alias("frequency"),
-                                                    F.sum("score").cast("long").alias("sentiment"))
-    else:
+        rows = rows.groupBy("ticker", "pane").agg(F.sum("n").alias("n"), F.sum("sc").alias("sc"))
+    elif form != "plain":
         raise ValueError("form must be 'pane' or 'plain'")
+    # Window ends are cut into blocks; a row goes to the one or two blocks in
+    # which its windows end, and is expanded there. All rows of a window are
+    # then in one task, so the counts need no exchange after the expansion,
+    # and a hot ticker is split by block. The number of partitions is fixed:
+    # AQE would size it by the rows before the k-fold expansion.
+    n_parts = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    span = block_panes or 4 * k
+    blocks = F.sequence(F.floor((F.col("pane") + 1) / span), F.floor((F.col("pane") + k) / span))
+    spread = rows.withColumn("block", F.explode(blocks)).repartition(n_parts, "ticker", "block")
+    ends = F.sequence(F.greatest(F.col("pane") + 1, F.col("block") * span), F.least(F.col("pane") + k, F.col("block") * span + (span - 1)))
+    expanded = spread.select("ticker", "block", F.explode(ends).alias("end"), "n", "sc")
+    out = expanded.groupBy("ticker", "block", "end").agg(F.sum("n").alias("frequency"), F.sum("sc").alias("sentiment"))
     return out.select("ticker", (F.col("end") * (s * 1000)).alias("window_end_ms"), "frequency", "sentiment")
 
 
