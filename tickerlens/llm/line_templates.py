@@ -152,7 +152,7 @@ def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int =
     texts = documents_by_id(docs, id_col, text_col)
     leaves = _leaves(texts, depth, min_tokens)
     common = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    wanted = leaves.join(common, "leaf").groupBy("doc_id").agg(F.collect_list("leaf").alias("leaves"))
+    wanted = spread_join(leaves, common, ["leaf"], ["doc_id"]).groupBy("doc_id").agg(F.collect_list("leaf").alias("leaves"))
     lines = cut(texts.join(wanted, "doc_id").select("doc_id", "text", "leaves").mapInArrow(_lines(depth, min_tokens), LINES))
     recurring = templates(lines, depth, min_docs, stable).select("leaf", "masked", "keep")
     found = spread_join(lines, recurring, ["leaf", "masked"], ["doc_id"])
