@@ -20,7 +20,7 @@ def _same(a, b):
 def _staged(spark, sf_dir, n=4, ordered=False):
     df = FX.post_lines(FX.posts_from_events(FX.events(spark, sf_dir)))
     df = df.withColumn("id", F.get_json_object("value", "$.id").cast("long"))
-    return SS.stage_files(df, scratch_path(spark, "t_lines"), n, "id", ordered)
+    return FX.stage_files(df, scratch_path(spark, "t_lines"), n, "id", ordered)
 
 
 def test_stream_totals_equal_batch(spark, sf_dir):

@@ -498,7 +498,7 @@ FROM posts""")
 
 def _staged_posts(spark, d, n_files=8, ordered=False):
     df = FX.post_lines(FX.posts_from_events(FX.events(spark, d)), keep=("id",))
-    return SSRC.stage_files(df, scratch_path(spark, "post_lines"), n_files, "id", ordered)
+    return FX.stage_files(df, scratch_path(spark, "post_lines"), n_files, "id", ordered)
 
 
 def _compacted(spark, d):

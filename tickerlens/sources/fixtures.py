@@ -193,3 +193,29 @@ def backup_bars_from_trades(trades: DataFrame, venue_tz: str = "Europe/Oslo") ->
             .agg(F.max_by("price", ordk).alias("close"), F.max("price").alias("high"),
                  F.min("price").alias("low"), F.min_by("price", ordk).alias("open"),
                  F.count(F.lit(1)).cast("double").alias("volume")))
+
+
+def stage_files(df: DataFrame, path: str, n_files: int, order_col: str, ordered: bool = False) -> str:
+    """Write ``df`` (one string column ``value`` plus ``order_col``) as about
+    ``n_files`` text files in ``order_col`` order.
+
+    ``ordered=True`` writes one slice per job so modification times follow
+    the order, which a file stream with a watermark needs; slice bounds come
+    from exact quantiles (a handful of scalars on the driver)."""
+    if not ordered:
+        # Hash placement is deterministic on retry and needs no sampling pass.
+        (df.repartition(n_files, order_col).sortWithinPartitions(order_col)
+         .select("value").write.mode("overwrite").text(path))
+        return path
+    probs = [i / n_files for i in range(1, n_files)]
+    bounds = df.approxQuantile(order_col, probs, 0.0) if probs else []
+    edges = [None] + bounds + [None]
+    for i in range(n_files):
+        lo, hi = edges[i], edges[i + 1]
+        part = df
+        if lo is not None:
+            part = part.where(F.col(order_col) > lo)
+        if hi is not None:
+            part = part.where(F.col(order_col) <= hi)
+        part.coalesce(1).sortWithinPartitions(order_col).select("value").write.mode("append").text(path)
+    return path

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
-from tickerlens.functions.text import cashtags, post_score, strip_cashtag
 from tickerlens.functions.timefn import (grain_columns, grain_parts, instant_wall_clock, normalize_grain,
-                                         parse_post_time, wall_clock_instant)
+                                         wall_clock_instant)
+from tickerlens.operators.sliding import occurrences_at_time
 from tickerlens.session import start_stream
 from tickerlens.sinks.tables import KeyedLog
 
@@ -33,11 +33,7 @@ def stream_mention_series(posts: DataFrame, grain: str, watermark: str | None =
     year buckets have no fixed width and are refused in that mode."""
     g = normalize_grain(grain)
     parts = list(grain_columns(g))
-    ts = parse_post_time(F.col("created_at"))
-    timed = posts.select(ts.alias("ts"), "text")
-    occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
-                       F.explode(F.when(F.col("ts").isNotNull(), cashtags(F.col("text")))).alias("tag"))
-    occ = occ.select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score")
+    occ = occurrences_at_time(posts, lexicon)
     if watermark is None:
         return (occ.select(*grain_parts(F.col("ts"), g), "ticker", "score")
                 .groupBy(*parts, "ticker")

@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
-from tickerlens.functions.text import cashtags, post_score, strip_cashtag
-from tickerlens.functions.timefn import _epoch_ntz, instant_wall_clock, parse_post_time, wall_clock_instant
-from tickerlens.operators.sliding import _seconds, top_per_window
+from tickerlens.functions.timefn import _epoch_ntz, instant_wall_clock, wall_clock_instant
+from tickerlens.operators.sliding import _seconds, occurrences_at_time, top_per_window
 from tickerlens.session import start_stream
 from tickerlens.sinks.tables import KeyedLog
 
@@ -25,11 +24,7 @@ from tickerlens.sinks.tables import KeyedLog
 def stream_sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5 seconds",
                           watermark: str | None = None, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """ticker, window_end_ms, frequency, sentiment as a streaming aggregate."""
-    ts = parse_post_time(F.col("created_at"))
-    timed = posts.select(ts.alias("ts"), "text")
-    occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
-                       F.explode(F.when(F.col("ts").isNotNull(), cashtags(F.col("text")))).alias("tag"))
-    occ = occ.select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score")
+    occ = occurrences_at_time(posts, lexicon)
     if watermark is not None:
         occ = occ.withColumn("ts", wall_clock_instant(F.col("ts"))).withWatermark("ts", watermark)
     agg = (occ.groupBy(F.window("ts", window, slide).alias("w"), "ticker")
@@ -116,11 +111,7 @@ def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: st
     panes_log = KeyedLog(spark, panes_path, ["ticker", "pane"])
     counts_log = KeyedLog(spark, counts_path, ["window_end_ms", "ticker"])
 
-    ts = parse_post_time(F.col("created_at"))
-    timed = posts.select(ts.alias("ts"), "text")
-    occ = timed.select("ts", post_score(F.col("text"), lexicon).alias("score"),
-                       F.explode(F.when(F.col("ts").isNotNull(), cashtags(F.col("text")))).alias("tag"))
-    occ = occ.select("ts", strip_cashtag(F.col("tag")).alias("ticker"), "score")
+    occ = occurrences_at_time(posts, lexicon)
     sums = (F.count(F.lit(1)).alias("n"), F.sum("score").cast("long").alias("sc"))
     if watermark is None:
         pane = F.floor(F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts")) / s_s)
