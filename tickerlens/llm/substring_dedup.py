@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlens.llm.common import U64, documents_by_id, gram_hashes, grouped, id_out, raw_texts, signed, word_hashes, words_of
@@ -210,10 +210,11 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = G
     """
     texts = documents_by_id(docs, id_col, text_col)
     minis = _minimisers(texts, window, gram)
-    repeated = minis.groupBy("mini").agg(F.sum("n").alias("total")).where("total > 1")
+    # One exchange of (id, hash, number) rows; their texts stay where they are.
+    total = F.sum("n").over(Window.partitionBy("mini"))
     wanted = (
-        minis.select("doc_id", "mini").join(repeated.select("mini", (F.col("total") > HOT).alias("hot")), "mini")
-        .groupBy("doc_id").agg(F.collect_list(F.struct("mini", "hot")).alias("found"))
+        minis.withColumn("total", total).where("total > 1")
+        .groupBy("doc_id").agg(F.collect_list(F.struct("mini", (F.col("total") > HOT).alias("hot"))).alias("found"))
         .select("doc_id", F.col("found.mini").alias("minis"), F.col("found.hot").alias("hots"))
     )
     # In the order of ids, so that a task that is run again sends the same again.
