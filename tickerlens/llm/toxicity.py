@@ -37,6 +37,8 @@ GRADE_MARKERS = (4, 8)
 NOT_A_LETTER = re.compile(r"[\W\d_]+")
 #: Texts shorter than this count as this long, where rates are taken.
 LEAST_WORDS = 50
+#: Tokens whose features the driver remembers while it fits.
+FIT_MEMO = 50_000
 STEPS = 400
 RATE = 0.1
 RIDGE = 1e-3
@@ -51,11 +53,10 @@ def features_of(token: str) -> list[str]:
     return [word, *(word[:n] + "-" for n in PREFIXES if len(word) > n)] if word else []
 
 
-def counted(text: str | None, names: Memo) -> Counter:
-    found: Counter = Counter()
-    for token in (text or "").split():
-        found.update(names[token])
-    return found
+def counted(text: str | None, names: Memo, keep: frozenset | None = None) -> Counter:
+    """How often each feature (of those in ``keep``) occurs in a text."""
+    found = Counter(f for token in (text or "").split() for f in names[token])
+    return found if keep is None else Counter({f: n for f, n in found.items() if f in keep})
 
 
 def strength(n: np.ndarray | int, words: int) -> np.ndarray | float:
@@ -74,17 +75,22 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def chosen_features(rows: list[Counter], toxic: np.ndarray, most: int = MAX_FEATURES) -> list[str]:
-    """Features in more of the toxic texts than of the others, by their G-statistic."""
-    inside, outside = Counter(), Counter()
-    for row, is_toxic in zip(rows, toxic, strict=True):
-        (inside if is_toxic else outside).update(row.keys())
+def chosen_features(texts: list[str | None], toxic: np.ndarray, names: Memo, most: int = MAX_FEATURES) -> list[str]:
+    """Features in more of the toxic texts than of the others, by their
+    G-statistic. Only features of toxic texts are held while texts are read."""
+    inside: Counter = Counter()
+    for text in (t for t, is_toxic in zip(texts, toxic, strict=True) if is_toxic):
+        inside.update(counted(text, names).keys())
+    inside = Counter({f: n for f, n in inside.items() if n >= 3})
+    outside: Counter = Counter()
+    for text in (t for t, is_toxic in zip(texts, toxic, strict=True) if not is_toxic):
+        outside.update(counted(text, names).keys() & inside.keys())
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
     scored = []
     for name, a in inside.items():
         b = outside[name]
         rate1, rate0, rate = a / n1, b / n0, (a + b) / (n1 + n0)
-        if a >= 3 and rate1 > 2 * rate0:
+        if rate1 > 2 * rate0:
             g = a * np.log(rate1 / rate) + (b * np.log(rate0 / rate) if b else 0.0)
             scored.append((-g, name))
     return [name for _, name in sorted(scored)[:most]]
@@ -103,9 +109,9 @@ def fit(texts: list[str | None], toxic: list[bool], max_features: int = MAX_FEAT
     is_toxic = np.array(toxic, bool)
     if not is_toxic.any() or is_toxic.all():
         return Model()
-    names_of = Memo(features_of)
-    rows = [counted(t, names_of) for t in texts]
-    names = chosen_features(rows, is_toxic, max_features)
+    names_of = Memo(features_of, FIT_MEMO)
+    names = chosen_features(texts, is_toxic, names_of, max_features)
+    rows = [counted(t, names_of, frozenset(names)) for t in texts]
     y = grades(rows, is_toxic, names)
     at = {n: i for i, n in enumerate(names)}
     # Rows without any feature differ in nothing but their grade: one row each, with a weight.
