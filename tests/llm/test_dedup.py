@@ -184,6 +184,17 @@ def test_one_large_group_of_near_copies(spark, block, monkeypatch):
     assert rows_of(minmax_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), n=3, share=(85, 100), rows=5)) == near_brute(rows, 3, (85, 100))
 
 
+def test_bands_equal_in_low_bytes_alone_lose_no_pair(spark):
+    """The pair's first band has equal low bytes but another hash; band 3 is the first they share."""
+    words = [f"w{i}" for i in range(100)]
+    other = ["x626" if i in (15, 99) else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words), "en", "s", 0), (2, " ".join(other), "en", "s", 0)]
+    signature, bands = zip(*((r["signature"], r["bands"]) for r in minmax_dedup.sketches(spark.createDataFrame(rows, SCHEMA), n=3, rows=5).orderBy("doc_id").collect()), strict=True)
+    assert signature[0][:5] == signature[1][:5] and [a == b for a, b in zip(*bands, strict=True)].index(True) == 3
+    found = rows_of(minmax_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), n=3, share=(85, 100), rows=5))
+    assert found == near_brute(rows, 3, (85, 100)) == [(1, 98, 1, True), (2, 98, 1, False)]
+
+
 def test_near_stage_keeps_columns_and_clean_rows(spark):
     rows = corpus(9) + [(900 + i, t, a, b, c) for i, (_, t, a, b, c) in enumerate(awkward())]
     docs = with_clashes(spark.createDataFrame(rows, SCHEMA))

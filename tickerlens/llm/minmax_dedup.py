@@ -11,8 +11,9 @@ band share a bucket.  A pair at the threshold shares none with probability
 Texts with equal word sequences are one class before anything else.  In a
 bucket, classes are compared by one-byte signatures; a pair whose estimate
 comes near the threshold is checked on the full sets in the first bucket that
-it shares, and nowhere else.  Tasks return the links that join what was apart
-(at most one fewer than their classes), never lists of pairs.  A bucket larger
+it shares, and nowhere else; whole band hashes tell which that is, since bands
+may agree in the signatures' bytes alone.  Tasks return the links that join
+what was apart (at most one fewer than their classes), never lists of pairs.  A bucket larger
 than ``BLOCK`` is dealt out as pairs of blocks, so none is gathered whole.
 """
 
@@ -101,10 +102,11 @@ def sketches(docs: DataFrame, n: int, permutations: int = PERMUTATIONS, rows: in
     return given.mapInArrow(run, "doc_id long, digest binary, n_shingles long, signature binary, bands array<long>")
 
 
-def _near(rows: dict[str, list], band_rows: int, least: float) -> Iterator[tuple[float, int, int]]:
+def _near(rows: dict[str, list], least: float) -> Iterator[tuple[float, int, int]]:
     """Pairs (estimate, i, j) of a unit whose estimate is ``least`` or more
     and whose first shared band is this unit's; across blocks where it has two."""
     signs = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(len(rows["signature"]), -1)
+    bands = np.frombuffer(b"".join(rows["bands"]), np.int64).reshape(len(signs), -1)
     block, x, y, band = np.array(rows["block"]), rows["x"][0], rows["y"][0], rows["band"][0]
     for i in range(len(signs)):
         others = np.arange(i + 1, len(signs)) if x == y else np.flatnonzero(block == y) if block[i] == x else ()
@@ -114,15 +116,28 @@ def _near(rows: dict[str, list], band_rows: int, least: float) -> Iterator[tuple
         estimate = (same.mean(axis=1) - 1 / 256) / (1 - 1 / 256)
         close = np.flatnonzero(estimate >= least)
         if len(close):
-            shared = same[close, : signs.shape[1] // band_rows * band_rows].reshape(len(close), -1, band_rows).all(axis=2)
+            shared = bands[others[close]] == bands[i]
             for k in close[shared.argmax(axis=1) == band]:
                 yield float(estimate[k]), i, int(others[k])
 
 
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+    """Units one by one, the bands of a row as bytes."""
+
+    def packed() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                flat = batch.column("bands").flatten().to_numpy()
+                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(flat.nbytes // batch.num_rows), batch.num_rows, [None, pa.py_buffer(flat.tobytes())])
+                yield batch.set_column(batch.schema.get_field_index("bands"), "bands", fixed)
+
+    return grouped(packed(), ["key", "x", "y"])
+
+
 UNIT = "key long, band int, x long, y long, block long, doc_id long"
 
 
-def _wanted(band_rows: int, least: float):
+def _wanted(least: float):
     """Units -> their rows that some near pair needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +149,8 @@ def _wanted(band_rows: int, least: float):
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-        for rows in grouped(batches, ["key", "x", "y"]):
-            picked = sorted({i for _, *pair in _near(rows, band_rows, least) for i in pair})
+        for rows in _units(batches):
+            picked = sorted({i for _, *pair in _near(rows, least) for i in pair})
             out += [tuple(rows[n][i] for n in names) for i in picked]
             if len(out) > 50_000:
                 yield made()
@@ -164,15 +179,15 @@ def _with_sets(n: int):
     return run
 
 
-def _links(band_rows: int, least: float, share: tuple[int, int]):
+def _links(least: float, share: tuple[int, int]):
     """Units with sets -> a forest of the links that hold on the full sets."""
     part, whole = share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in grouped(batches, ["key", "x", "y"]):
+        for rows in _units(batches):
             ids, forest, found = rows["doc_id"], Forest(len(rows["doc_id"])), []
             sets = [np.frombuffer(s, U64) for s in rows["shingles"]]
-            for _, i, j in sorted(_near(rows, band_rows, least), reverse=True):
+            for _, i, j in sorted(_near(rows, least), reverse=True):
                 if ids[i] == ids[j] or forest.find(i) == forest.find(j):
                     continue
                 a, b = sets[i], sets[j]
@@ -212,20 +227,20 @@ def near_duplicates(
 
     banded = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = banded.join(shared, "key").join(reps.select("doc_id", "signature"), "doc_id")
+    members = banded.join(shared, "key").join(reps.select("doc_id", "signature", "bands"), "doc_id")
     blocks = F.ceil(F.col("size") / BLOCK)
     spread = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     units = spread.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
-    units = units.select("key", "band", "x", "y", "block", "doc_id", "signature")
-    wanted = units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id").mapInArrow(_wanted(rows, least), UNIT)
+    units = units.select("key", "band", "x", "y", "block", "doc_id", "signature", "bands")
+    wanted = units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id").mapInArrow(_wanted(least), UNIT)
 
     texts = docs.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    needed = wanted.join(reps.select("doc_id", "digest", "signature"), "doc_id").join(texts, "doc_id")
-    full = needed.select("key", "band", "x", "y", "block", "doc_id", "signature", "digest", "text")
-    full = full.mapInArrow(_with_sets(n), UNIT + ", signature binary, shingles binary")
+    needed = wanted.join(reps.select("doc_id", "digest", "signature", "bands"), "doc_id").join(texts, "doc_id")
+    full = needed.select("key", "band", "x", "y", "block", "doc_id", "signature", "bands", "digest", "text")
+    full = full.mapInArrow(_with_sets(n), UNIT + ", signature binary, bands array<long>, shingles binary")
     # In the order of ids, so that a task that is run again finds the same forest.
     full = full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id")
-    links = full.mapInArrow(_links(rows, least, share), "src long, dst long")
+    links = full.mapInArrow(_links(least, share), "src long, dst long")
 
     found = components(links).withColumnRenamed("node", "rep")
     label = classes.join(found, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
