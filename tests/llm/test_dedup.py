@@ -135,6 +135,20 @@ def test_templates_generalise_fields_and_leave_prose(spark):
     assert all(r["n_lines"] - r["n_dropped"] >= 3 for r in kept.values())
 
 
+def test_outliers_break_no_template(spark):
+    """Variants of a common line, a second template and foreign lines that begin alike share one leaf."""
+    base = "all rights reserved by the owner of this site and its many good friends".split()
+    other = "all rights reserved if you sell old cars near my house on any monday".split()
+    lines = [base] * 12 + [[f"v{chr(97 + i)}" if at in (5 + i % 4, 12) else w for at, w in enumerate(base)] for i in range(5)]
+    # No masked line of the second template recurs.
+    lines += [[f"q{chr(97 + i)}" if at in (7, 10) else w for at, w in enumerate(other)] for i in range(9)]
+    foreign = [base[:3] + [f"{chr(97 + i)}{chr(97 + at)}" for at in range(11)] for i in range(3)]
+    assert {len(x) for x in lines + foreign} == {14}
+    rows = [(i, " ".join(x), "en", "s", 0) for i, x in enumerate(lines + foreign)]
+    dropped = {r["doc_id"]: r["n_dropped"] for r in line_templates.drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i for i, n in dropped.items() if not n} == {0, 17, 26, 27, 28}
+
+
 def test_line_stage_keeps_columns(spark):
     rows = log_lines() + awkward()
     docs = with_clashes(spark.createDataFrame(rows, SCHEMA))

@@ -5,9 +5,14 @@ leading tokens, where a token that holds a digit counts as a variable field
 (``<*>``).  The leaf generalises what reaches it: a position whose token is
 the same in all its lines stays, one that differs becomes ``<*>``.  If at
 least ``STABLE`` of the positions below the leading tokens stay, the leaf is
-one template; otherwise its lines only happen to begin alike, and each masked
-line is a template for itself.  A template found in ``MIN_DOCS`` documents or
-more is boilerplate: its lines are dropped but for the first one.
+one template.  Otherwise it holds several, or lines that only happen to begin
+alike: a token that ``MIN_DOCS`` documents have at its position stays, others
+become ``<*>``, and what ``MIN_DOCS`` documents then share is a template, if
+``STABLE`` of its positions stay.  A template that is as much alike to a more
+frequent one joins it, and so does every other masked line of the leaf, so that
+variants and foreign lines open no template and break none.  A template found
+in ``MIN_DOCS`` documents or more is boilerplate: its lines are dropped but for
+the first one.
 
 Generalising is "same or ``<*>``" by position, which is associative, so leaves
 are aggregated like counts, with partial results before the shuffle: a leaf
@@ -27,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import binary, cut, documents_by_id, id_in, id_out, spread_join
+from tickerlens.llm.common import SALTS, binary, cut, documents_by_id, id_in, id_out, spread_join
 
 DEPTH = 3
 MIN_TOKENS = 4
@@ -98,12 +103,96 @@ def _lines(depth: int, min_tokens: int):
     return run
 
 
+def _frequent(depth: int, stable: float):
+    """Masked lines -> their general form, where the tokens stay that are
+    frequent at their places (``info``: "place token"); empty if too few do."""
+
+    def prepare(info: list[str]):
+        stays = {x.encode() for x in info}
+
+        def place(masked: bytes, _: str | None) -> str:
+            tokens = masked.split(b" ")
+            kept = tokens[:depth] + [t if t != FIELD and b"%d %b" % (at, t) in stays else FIELD for at, t in enumerate(tokens[depth:], depth)]
+            stay, places = (sum(t != FIELD for t in x[depth:]) for x in (kept, tokens))
+            return b" ".join(kept).decode() if stay >= stable * places else ""
+
+        return place
+
+    return prepare
+
+
+def _nearest(depth: int, stable: float):
+    """Masked lines -> the template they belong to, of their leaf's templates
+    in the order of their frequency."""
+
+    def prepare(info: list[str]):
+        numbers: dict[bytes, int] = {FIELD: 0}
+        seeds = np.array([[numbers.setdefault(t, len(numbers)) for t in x.encode().split(b" ")[depth:]] for x in info], np.int64).reshape(len(info), -1)
+
+        def alike(row: np.ndarray, among: np.ndarray) -> np.ndarray:
+            equal = ((among == row) & (row != 0)).sum(axis=1)
+            return np.flatnonzero(equal >= stable * ((among != 0) | (row != 0)).sum(axis=1))
+
+        heads: list[int] = []
+        head_of = {}
+        for i, seed in enumerate(seeds):
+            found = alike(seed, seeds[heads]) if heads else ()
+            if not len(found):
+                heads.append(i)
+            head_of[i] = heads[found[0]] if len(found) else i
+        index = {x: i for i, x in enumerate(info)}
+
+        def place(masked: bytes, candidate: str | None) -> str | None:
+            at = index.get(candidate)
+            if at is None:
+                row = np.array([numbers.get(t, -1) for t in masked.split(b" ")[depth:]], np.int64)
+                found = alike(row, seeds)
+                at = int(found[0]) if len(found) else None
+            return None if at is None else info[head_of[at]]
+
+        return place
+
+    return prepare
+
+
+def _placed(rows: DataFrame, by_leaf: DataFrame, prepare) -> DataFrame:
+    """``(leaf, masked, docs, made)``: what ``prepare(info)(masked, made)``
+    gives for each row, if not null, with the ``info`` that ``by_leaf`` has.
+    The rows of a hot leaf are dealt over ``SALTS`` tasks; a leaf's info comes
+    there once, before its rows.  Leaves without info are left out."""
+    schema = "leaf long, masked string, docs long, made string"
+    salts = F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
+    rows = rows.select("leaf", F.pmod(F.xxhash64("masked"), F.lit(SALTS)).cast("int").alias("salt"), "masked", "docs", "made", F.lit(None).cast("array<string>").alias("info"))
+    infos = by_leaf.select("leaf", salts, F.lit(None).cast("string").alias("masked"), F.lit(None).cast("long").alias("docs"), F.lit(None).cast("string").alias("made"), "info")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, info, place = None, None, None
+        for batch in batches:
+            leaves, made = batch.column("leaf").to_pylist(), []
+            given = zip(leaves, binary(batch.column("masked")).to_pylist(), batch.column("made").to_pylist(), batch.column("info"), strict=True)
+            for leaf, masked, candidate, told in given:
+                if masked is None:
+                    at, info, place = leaf, told.as_py(), None
+                    made.append(None)
+                elif leaf != at:
+                    made.append(None)
+                else:
+                    place = place or prepare(info)
+                    made.append(place(masked, candidate))
+            keep = pa.array([m is not None for m in made], pa.bool_())
+            columns = [batch.column("leaf"), batch.column("masked"), batch.column("docs"), pa.array(made, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["leaf", "masked", "docs", "made"]).filter(keep)
+
+    dealt = rows.union(infos).repartition("leaf", "salt").sortWithinPartitions("leaf", "salt", F.col("masked").asc_nulls_first())
+    return dealt.mapInArrow(run, schema)
+
+
 def templates(lines: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, stable: float = STABLE) -> DataFrame:
     """Recurring templates, as ``(leaf, masked, template, n_docs, keep)``: the
     masked lines they cover, in how many documents, and the occurrence to keep."""
     here = F.struct("doc_id", "line")
     by_line = cut(lines.groupBy("leaf", "masked").agg(F.sum(F.col("first_of_line").cast("long")).alias("docs"), F.sum(F.col("first_in_leaf").cast("long")).alias("leaf_docs"), F.min(here).alias("first")))
-    tokens = by_line.select("leaf", F.posexplode(F.split("masked", " ")).alias("at", "token"))
+    tokens = by_line.select("leaf", "docs", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     by_place = tokens.groupBy("leaf", "at").agg(F.min("token").alias("low"), F.max("token").alias("high"))
     same = (F.col("low") == F.col("high")) & (F.col("low") != FIELD.decode())
     field = F.col("low") == F.col("high")  # a masked field is no sign either way
@@ -115,11 +204,24 @@ def templates(lines: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, st
         F.sum((below & ~(field & ~same)).cast("long")).alias("places"),
     )
     whole = by_line.groupBy("leaf").agg(F.sum("leaf_docs").alias("all_docs"), F.min("first").alias("all_first"))
-    leaves = leaves.join(whole, "leaf").where(F.col("all_docs") >= min_docs).withColumn("is_one", F.col("stay") >= stable * F.col("places"))
-    joined = by_line.join(leaves, "leaf")
-    n_docs = F.when(F.col("is_one"), F.col("all_docs")).otherwise(F.col("docs"))
-    found = joined.select("leaf", "masked", F.when(F.col("is_one"), F.col("general")).otherwise(F.col("masked")).alias("template"), n_docs.alias("n_docs"), F.when(F.col("is_one"), F.col("all_first")).otherwise(F.col("first")).alias("keep"))
-    return found.where(F.col("n_docs") >= min_docs)
+    leaves = cut(leaves.join(whole, "leaf").where(F.col("all_docs") >= min_docs).withColumn("is_one", F.col("stay") >= stable * F.col("places")))
+    one = leaves.where("is_one").select("leaf", F.col("general").alias("template"), F.col("all_docs").alias("n_docs"), F.col("all_first").alias("keep"))
+    found = spread_join(by_line, one, ["leaf"], ["masked"]).select("leaf", "masked", "template", "n_docs", "keep")
+
+    several = leaves.where("not is_one").select("leaf")
+    frequent = tokens.where(below & (F.col("token") != FIELD.decode())).groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
+    info = frequent.groupBy("leaf").agg(F.collect_list(F.concat_ws(" ", F.col("at").cast("string"), "token")).alias("info"))
+    info = several.join(info, "leaf", "left").select("leaf", F.coalesce("info", F.array().cast("array<string>")).alias("info"))
+    varied = spread_join(by_line.select("leaf", "masked", "docs"), several, ["leaf"], ["masked"]).withColumn("made", F.lit(None).cast("string"))
+    general = cut(_placed(varied, info, _frequent(depth, stable)))
+    seeds = general.where("made <> ''").groupBy("leaf", "made").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "made")))
+    info = seeds.groupBy("leaf").agg(F.transform(ranked, lambda x: x["made"]).alias("info"))
+    placed = cut(_placed(general, info, _nearest(depth, stable)).select("leaf", "masked", F.col("made").alias("template")))
+    # A document may have several masked lines of a template and counts once.
+    by_doc = spread_join(lines.select("doc_id", "line", "leaf", "masked"), placed, ["leaf", "masked"], ["doc_id"]).groupBy("leaf", "template", "doc_id").agg(F.min("line").alias("line"))
+    counted = by_doc.groupBy("leaf", "template").agg(F.count("*").alias("n_docs"), F.min(here).alias("keep")).where(F.col("n_docs") >= min_docs)
+    return found.union(spread_join(placed, counted, ["leaf", "template"], ["masked"]).select("leaf", "masked", "template", "n_docs", "keep"))
 
 
 def _without_lines():
