@@ -217,6 +217,34 @@ def test_near_stage_keeps_columns_and_clean_rows(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(r[0] for r in near_brute(rows, 3, (85, 100)) if r[3])
 
 
+def test_stages_work_row_by_row_where_ids_are_shared_or_null(spark):
+    rng = random.Random(12)
+    words = vocabulary(rng, 3000)
+    own = [prose(rng, words, 40).replace("\n", " ") for _ in range(8)]
+    line = "all rights reserved by the owner"
+    ids = [None, None, None, None, 5, 5, 5, 9]
+    lined = [(i, f"{t}\n{line}", "en", "s", 0) for i, t in zip(ids, own, strict=True)]
+    out = line_templates.without_recurring_lines(with_clashes(spark.createDataFrame(lined, SCHEMA))).collect()
+    assert sorted(r["text"].split("\n")[0] for r in out) == sorted(own)
+    assert sorted(map(str, (r["doc_id"] for r in out))) == sorted(map(str, ids))
+    assert sum(line in r["text"] for r in out) == 1
+    # Copies under another id, a repeated row, near copies without ids: each text stays once.
+    rows = [(i, t, "en", "s", 0) for i, t in zip(ids, own, strict=True)]
+    rows += [(1, own[5], "en", "s", 0), rows[7], rows[0], (None, own[1] + " end", "en", "s", 0), (None, "", "en", "s", 0), (None, "", "en", "s", 0)]
+    kept = minmax_dedup.keep_first(with_clashes(spark.createDataFrame(rows, SCHEMA)))
+    texts = [r["text"].removesuffix(" end") for r in kept.collect()]
+    assert sorted(texts) == sorted([*own, "", ""])
+
+
+def test_row_keys_beside_extreme_ids(spark):
+    from tickerlens.llm.common import with_row_key
+
+    for top in (7, 2**63 - 1):
+        rows = [(i, t, None, None, None) for i in (top, 3, None) for t in ("a", "b", None)]
+        keys = [r["k"] for r in with_row_key(spark.createDataFrame(rows, SCHEMA), "k").collect()]
+        assert len(set(keys)) == 9 and {top, 3, NULL} < set(keys)
+
+
 def test_min_max_estimates_are_unbiased():
     import numpy as np
 

@@ -62,6 +62,35 @@ def documents_by_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
+def with_row_key(df: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with a key ``name`` that rows share only if id and text are equal.
+
+    It is the id, for the text of an id (null is one) whose hash is least; the
+    further texts get keys that are no ids, in the order of id and hash, above
+    all ids (below them where there is no room).  Only those few are joined."""
+    text = F.col(text_col).cast("string")
+    parts = {"_row_id": id_in(id_col), "_row_a": F.xxhash64(text), "_row_b": F.xxhash64(F.lit(1), text)}
+    marks = df.select(*(c.alias(n) for n, c in parts.items()))
+    both = F.struct("_row_a", "_row_b")
+    shared = marks.groupBy("_row_id").agg(F.min(both).alias("_row_least"), F.max(both).alias("_row_most")).where("_row_least <> _row_most")
+    further = spread_join(marks, shared, ["_row_id"], ["_row_a", "_row_b"]).where(both != F.col("_row_least")).select(*parts).distinct()
+    further = cut(further.repartitionByRange(*parts).sortWithinPartitions(*parts).withColumn("_row_at", F.monotonically_increasing_id()))
+    last = further.agg(F.max("_row_at")).first()[0]
+    if last is None:
+        return df.withColumn(name, parts["_row_id"])
+    low, high = marks.where(F.col("_row_id") != NULL_ID).agg(F.min("_row_id"), F.max("_row_id")).first()
+    if (high or 0) + 1 + last < 2**63:
+        made = F.lit((high or 0) + 1) + F.col("_row_at")
+    elif low - 1 - last > NULL_ID:
+        made = F.lit(low - 1 - last) + F.col("_row_at")
+    else:
+        raise ValueError(f"no room beside the ids {low} to {high} for the keys of {last + 1} further texts")
+    found = further.select(*parts, made.alias("_row_made"))
+    on = [c == found[n] for n, c in zip(parts, (id_in(df[id_col]), F.xxhash64(df[text_col].cast("string")), F.xxhash64(F.lit(1), df[text_col].cast("string"))), strict=True)]
+    joined = df.join(found, on, "left")
+    return joined.select(*(df[c] for c in df.columns), F.coalesce(found["_row_made"], id_in(df[id_col])).alias(name))
+
+
 def words_of(text: str | bytes | None) -> list[bytes]:
     if not text:
         return []

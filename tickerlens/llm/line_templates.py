@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import SALTS, binary, cut, documents_by_id, id_in, id_out, spread_join
+from tickerlens.llm.common import SALTS, binary, cut, documents_by_id, id_in, id_out, spread_join, with_row_key
 
 DEPTH = 3
 MIN_TOKENS = 4
@@ -266,13 +266,14 @@ def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int =
 def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", **parameters) -> DataFrame:
     """``docs`` with its columns, the recurring lines taken out of the texts
     (and ``length_col``, if there is such a column, set to their length).
-    Rows that share an id and differ in their texts get the same text, that of
-    ``drop_recurring_lines``, where it lost lines."""
-    changed = drop_recurring_lines(docs, id_col=id_col, text_col=text_col, **parameters).where("n_dropped > 0")
-    changed = changed.select(id_in("doc_id").alias("id"), F.col("kept_text").alias("kept"))
-    joined = docs.join(changed, id_in(docs[id_col]) == changed["id"], "left")
-    made = {text_col: F.coalesce(changed["kept"], docs[text_col])}
+    Rows that share an id (null is one) and differ in their texts are documents
+    of their own, see ``with_row_key``; repeated rows are one document."""
+    keyed = with_row_key(docs, "_row_key", id_col, text_col)
+    changed = drop_recurring_lines(keyed, id_col="_row_key", text_col=text_col, **parameters).where("n_dropped > 0")
+    changed = changed.select(id_in("doc_id").alias("_changed"), F.col("kept_text").alias("_kept"))
+    joined = keyed.join(changed, F.col("_row_key") == F.col("_changed"), "left")
+    made = {text_col: F.coalesce(F.col("_kept"), F.col(text_col))}
     if length_col in docs.columns:
-        length = F.length(changed["kept"]).cast(docs.schema[length_col].dataType)
-        made[length_col] = F.when(changed["kept"].isNull(), docs[length_col]).otherwise(length)
-    return joined.select(*(made[c].alias(c) if c in made else docs[c] for c in docs.columns))
+        length = F.length("_kept").cast(docs.schema[length_col].dataType)
+        made[length_col] = F.when(F.col("_kept").isNull(), F.col(length_col)).otherwise(length)
+    return joined.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import U64, Forest, components, cut, gram_hashes, grouped, id_in, id_out, mix, raw_texts, word_hashes
+from tickerlens.llm.common import U64, Forest, components, cut, gram_hashes, grouped, id_in, id_out, mix, raw_texts, with_row_key, word_hashes
 
 PERMUTATIONS = 60
 ROWS = 4
@@ -250,6 +250,16 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """The rows of ``docs`` whose documents ``near_duplicates`` keeps."""
-    gone = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters).where("not kept").select(id_in("doc_id").alias("id"))
-    return docs.join(gone, id_in(docs[id_col]) == gone["id"], "left_anti")
+    """The rows of ``docs`` that ``near_duplicates`` keeps, where rows that
+    share an id (null is one) and differ in their texts are documents of their
+    own, see ``with_row_key``.  Of rows with one id and text one stays, the
+    least as JSON, unless the text is blank."""
+    keyed = with_row_key(docs, "_row_key", id_col, text_col)
+    gone = near_duplicates(keyed, id_col="_row_key", text_col=text_col, **parameters).where("not kept").select(id_in("doc_id").alias("_gone"))
+    kept = keyed.join(gone, F.col("_row_key") == F.col("_gone"), "left_anti")
+    repeated = cut(keyed.where(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]")).groupBy("_row_key").agg(F.count("*").alias("_rows")).where("_rows > 1").select("_row_key"))
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    row = F.struct(*docs.columns)
+    one = kept.join(repeated, "_row_key", "left_semi").groupBy("_row_key").agg(F.min_by(row, F.to_json(row)).alias("_row"))
+    return kept.join(repeated, "_row_key", "left_anti").select(*docs.columns).union(one.select("_row.*"))
