@@ -117,6 +117,28 @@ def statistics_brute(text):
     return len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
 
 
+def test_secrets_of_equal_payloads_are_found_at_each_place():
+    import base64
+    import gzip
+
+    escaped = base64.b64encode(b"my token%3Dabcdefgh here now").decode()
+    zipped = base64.b64encode(gzip.compress(base64.b64encode(b"my password: abcdefgh here"), mtime=0)).decode()
+    inside = base64.b64encode(f"first {escaped} then {escaped} last".encode()).decode()
+    for payload, each in ((escaped, 1), (zipped, 1), (inside, 2)):
+        once = {(s, k, e) for s, k, e in secret_scan.scan(payload.encode())[1] if k == 0}
+        _, spans, layers = secret_scan.scan(f"{payload} and\n{payload}".encode())
+        shift = len(payload) + 5
+        assert len(once) == each
+        assert {x for x in spans if x[1] == 0} == once | {(s + shift, k, e + shift) for s, k, e in once}
+        assert layers == secret_scan.scan(payload.encode())[2]
+
+
+def test_deep_chains_of_escapes_end():
+    text = "%25" + "25" * 3000 + "74oken=abcdefgh"
+    _, spans, layers = secret_scan.scan(text.encode())
+    assert layers > 3000 and (0, 0, len(text)) in spans
+
+
 def test_base_statistics(spark):
     rows = corpus(11) + awkward() + [(50, "a a a a a a a a a a a a", None, None, 0), (51, "x y\nx y\n\nx y\n", "en", "q", 0), (52, "#$ <b> " * 9, "en", "q", 0)]
     got = quality_rules.judge(with_clashes(spark.createDataFrame(rows, SCHEMA))).collect()
