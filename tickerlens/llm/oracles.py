@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tickerlens.llm.licence_scan import PHRASES, TEMPLATES
 from tickerlens.llm.url_filter import RULES, TAG_PATTERNS
 
 _VALUES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
@@ -127,3 +128,72 @@ counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN classes USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
+
+_PHRASES = ", ".join(f"('{p}', '{label}')" for p, label in PHRASES)
+_TEMPLATES = ", ".join(f"({i}, '{label}', string_split('{p}', ' '), string_split('{key}', ' '))" for i, (label, p, key) in enumerate(TEMPLATES))
+
+LICENCE_SCAN = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+flat AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS p FROM docs),
+phrases AS (SELECT string_split(phrase, ' ') AS words, label FROM (VALUES {_PHRASES}) AS v(phrase, label)),
+stands AS (
+  SELECT f.r, f.p, h.label FROM flat f JOIN phrases h ON h.words[1] = f.w JOIN docs d ON d.r = f.r
+  WHERE d.words[f.p + 1:f.p + len(h.words)] = h.words
+),
+base AS (SELECT r, count(*) AS n, min(p) AS first_word, max(p) AS last_word FROM stands GROUP BY r),
+templates(t, label, words, key) AS (VALUES {_TEMPLATES}),
+places AS (SELECT t, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS q FROM templates),
+keyed AS (SELECT t.*, (SELECT min(i) FROM unnest(generate_series(0, len(t.words))) AS g(i) WHERE t.words[i + 1:i + len(t.key)] = t.key) AS key_at FROM templates t),
+hits AS (SELECT r, w, p FROM flat WHERE w IN (SELECT w FROM places)),
+rarity AS (SELECT w, count(DISTINCT r) AS docs FROM hits GROUP BY w),
+ranked AS (
+  SELECT r, t, w, row_number() OVER (PARTITION BY r, t ORDER BY docs, w) AS rn
+  FROM (SELECT DISTINCT h.r, s.t, h.w FROM hits h JOIN places s USING (w)) JOIN rarity USING (w)
+),
+looked_up AS (SELECT r, t, w, count(*) OVER (PARTITION BY r, t) AS n FROM ranked WHERE rn <= 8),
+begins AS (
+  SELECT r, t, p - q AS begin FROM looked_up JOIN hits USING (r, w) JOIN places USING (t, w)
+  GROUP BY r, t, p - q, n HAVING 2 * count(DISTINCT w) >= n
+),
+matched AS (
+  SELECT b.r, b.t, b.begin, count(*) AS here FROM begins b JOIN places s ON s.t = b.t JOIN hits h ON h.r = b.r AND h.w = s.w AND h.p = b.begin + s.q
+  GROUP BY b.r, b.t, b.begin
+),
+found AS (
+  SELECT m.r, k.label, m.here / len(k.words) AS share FROM matched m JOIN keyed k USING (t) JOIN docs d USING (r)
+  WHERE 10 * m.here >= 8 * len(k.words) AND m.begin + key_at >= 0 AND d.words[m.begin + key_at + 1:m.begin + key_at + len(k.key)] = k.key
+),
+own AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM stands GROUP BY r),
+every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM stands UNION SELECT r, label FROM found) GROUP BY r),
+best AS (SELECT r, max(share) AS share FROM found GROUP BY r)
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(b.n, 0) AS n_base, b.first_word, b.last_word, coalesce(o.labels, '') AS base_labels, coalesce(e.labels, '') AS labels,
+  CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best.share, 0)::DOUBLE END AS score
+FROM docs d LEFT JOIN base b USING (r) LEFT JOIN own o USING (r) LEFT JOIN every e USING (r) LEFT JOIN best USING (r)
+"""
+
+FILL_IN_MIDDLE = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+),
+drawn AS (
+  SELECT doc_id, text, units, len(units) AS n, ('0x' || h[1:8])::BIGINT % (len(units) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(units) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM docs
+),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:least(a, b)], '') AS prefix,
+    array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle, array_to_string(units[greatest(a, b) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""

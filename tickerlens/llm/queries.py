@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import line_templates, minmax_dedup, oracles, packing, quality_rules, secret_scan, substring_dedup, temperature_mixing, toxicity, url_filter, vector_range_join
+from tickerlens.llm import (
+    fill_in_middle, licence_scan, line_templates, minmax_dedup, oracles, packing, quality_rules, secret_scan, substring_dedup, temperature_mixing, toxicity, url_filter,
+    vector_range_join, whitening,
+)
 from tickerlens.llm.common import load
 
 
@@ -55,6 +58,19 @@ def op10_vector_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_range_join.link_vectors(load(spark, sf_dir, "embeddings"))
 
 
+def op11_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.scan_licences(load(spark, sf_dir, "documents")).drop("passages")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(load(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256("output").alias("output_sha256"), F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, oracles.SUBSTRING_DEDUP),
     "op2_line_templates": (op2_line_templates, None),
@@ -66,4 +82,7 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_url_filter": (op9_url_filter, oracles.URL_FILTER),
     "op10_vector_range_join": (op10_vector_range_join, oracles.LINKED_VECTORS),
+    "op11_licence_scan": (op11_licence_scan, oracles.LICENCE_SCAN),
+    "op12_fill_in_middle": (op12_fill_in_middle, oracles.FILL_IN_MIDDLE),
+    "op13_whitening": (op13_whitening, None),
 }
