@@ -98,16 +98,24 @@ def words_of(text: str | bytes | None) -> list[bytes]:
 
 
 class Memo(dict):
-    """``make(key)`` remembered, for at most ``limit`` keys at a time."""
+    """``make(key)`` remembered, for at most ``limit`` keys at a time.
+
+    Keys are in two halves.  When the newer one is full it becomes the older,
+    and what the older held is forgotten; a key met again in time moves to the
+    newer half, so that common keys stay."""
 
     def __init__(self, make, limit: int = 400_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.half, self.older = make, max(1, limit // 2), {}
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,48 +36,79 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-#: What the vocabulary's pre-tokenizer matches, for lower-case printable ASCII.
-ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-MEMO_LIMIT = 500_000
+#: Letters beyond ASCII that stay one character each, and unchanged by NFC, when lower-cased.
+LETTERS, SMALL = "À-ÖØ-öø-įı-ž", "ß-öø-įı-ž"
+#: Texts of blanks, printable ASCII and those letters are split by rule.
+PLAIN = re.compile(rf"[\x20\x09-\x0D!-~{LETTERS}]*")
+#: What the vocabulary's pre-tokenizer matches in them, lower-cased.
+PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{SMALL}]+|[0-9]|[^\x20\x09-\x0Da-z0-9{SMALL}]+")
+BLANK = re.compile(r"[\x20\x09-\x0D]")
+MEMO_LIMIT = 1_000_000
+#: Characters of a text that are split at a time.
+AT_ONCE = 1 << 20
+
+
+def _slices(text: str) -> Iterator[str]:
+    """``text``, cut at blanks into slices of about ``AT_ONCE``."""
+    at = 0
+    while len(text) - at > AT_ONCE and (blank := BLANK.search(text, at + AT_ONCE)):
+        yield text[at : blank.start()]
+        at = blank.start()
+    yield text[at:] if at else text
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> Memo:
-    """Blank-free chunk of a text -> its ids as little-endian bytes.
+def text_encoder(path: str) -> Callable[[bytes], bytes]:
+    """A text's ids as little-endian bytes.
 
-    This vocabulary's tokenizer drops blanks and never joins across them, so
-    a text's ids are its chunks' ids in order.  Chunks, and the parts of ASCII
-    chunks, are encoded once as long as they are remembered.
+    This vocabulary's tokenizer drops blanks and never joins across them, nor
+    across the parts that its pre-tokenizer makes, so a text's ids are its
+    parts' ids in order.  Parts of plain texts are encoded once as long as they
+    are remembered; in others the chunks between blanks are looked at singly.
     """
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
     model = tokenizer.model
+    # How the model spells the bytes of a letter.
+    spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    spelling = {c: "".join(s for s, _ in spell.pre_tokenize_str(chr(c))) for c in range(0xC0, 0x17F)}
 
     def as_bytes(ids: list[int]) -> bytes:
         return np.asarray(ids, "<u4").tobytes()
 
-    parts = Memo(lambda part: as_bytes([t.id for t in model.tokenize(part)]), MEMO_LIMIT)
+    parts = Memo(lambda part: as_bytes([t.id for t in model.tokenize(part if part.isascii() else part.translate(spelling))]), MEMO_LIMIT)
+
+    def plain(text: str) -> bool:
+        return "<|" not in text and PLAIN.fullmatch(text) is not None
 
-    def encode(chunk: bytes) -> bytes:
-        text = chunk.decode()
-        if text.isascii() and text.isprintable() and "<|" not in text:
-            return b"".join(map(parts.__getitem__, ASCII_PARTS.findall(text.lower())))
-        return as_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
+    def by_rule(text: str) -> bytes:
+        return b"".join(map(parts.__getitem__, PARTS.findall(text.lower())))
+
+    odd = Memo(lambda chunk: as_bytes(tokenizer.encode(chunk, add_special_tokens=False).ids), MEMO_LIMIT // 10)
+
+    def encode(raw: bytes) -> bytes:
+        out = []
+        for text in _slices(raw.decode()):
+            if plain(text):
+                out.append(by_rule(text))
+            else:
+                out += [by_rule(chunk) if plain(chunk) else odd[chunk] for chunk in map(bytes.decode, text.encode().split())]
+        return b"".join(out)
 
-    return Memo(encode, MEMO_LIMIT)
+    return encode
 
 
 def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each piece of each row of ``docs``; see ``PIECES``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_encoder(path)
+        encode = text_encoder(path)
         step, end = 4 * capacity, bytes(4)
         for batch in batches:
             out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             for doc, raw in zip(batch.column(0).to_pylist(), binary(batch.column(1)), strict=True):
-                ids = b"".join([*map(ids_of.__getitem__, (raw.as_py() or b"").split()), end])
+                ids = encode(raw.as_py() or b"") + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     piece = ids[at : at + step]
                     out["doc_id"].append(doc)
