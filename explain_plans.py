@@ -40,7 +40,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session()
     from tickerlens.operators import bars, mentions, sliding, universe, views
-    from tickerlens.sinks.tables import KeyedLog, write_series
+    from tickerlens.sinks.tables import BlockTable, write_series
     from tickerlens.sources import fixtures, readers
 
     ev = fixtures.events(spark, sf_dir)
@@ -50,8 +50,10 @@ def main():
     fixtures.post_lines(posts).write.mode("overwrite").text(lines_path)
     series_path = scratch_path(spark, "plans_series")
     write_series(mentions.mention_series(posts, "MIN"), series_path, "MIN")
-    log = KeyedLog(spark, scratch_path(spark, "plans_log"), ["window_end_ms", "ticker"])
-    log.write_batch(sliding.sliding_counts(posts), 0)
+    counts = sliding.sliding_counts(posts)
+    day = F.floor(F.col("window_end_ms") / 86_400_000)
+    table = BlockTable(spark, scratch_path(spark, "plans_counts"), ["window_end_ms", "ticker"], day, counts.schema)
+    table.merge(counts, 0)
 
     cases = [
         ("mention series, hour grain (JOB-1)", mentions.mention_series(posts, "HR")),
@@ -69,8 +71,7 @@ def main():
             fixtures.universe_from_events(ev), trades, {"A": "O", "B": "N"})),
         ("chart of one ticker from the partitioned series table (SRV-4, FLT-5)",
          views.mention_chart(spark.read.parquet(series_path), "ZZZ")),
-        ("snapshot read of one window from the keyed log (STM-7)",
-         log.read().where(F.col("window_end_ms") == F.lit(1704067500000))),
+        ("read of one day of the window counts (STM-4)", table.read(("19723", "19723"))),
         ("look-back 7 days over the stored series, scalar subquery (FLT-10)",
          views.lookback(spark.read.parquet(series_path), "MIN", "7 DAYS")),
     ]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tickerlens.operators import mentions as M
 from tickerlens.operators import sliding as SL
 from tickerlens.session import scratch_path
-from tickerlens.sinks.tables import KeyedLog
+from tickerlens.sinks import tables as SK
 from tickerlens.sources import fixtures as FX
 from tickerlens.streaming import sources as SS
 from tickerlens.streaming import totals as ST
@@ -25,13 +25,12 @@ def _staged(spark, sf_dir, n=4, ordered=False):
 
 def test_stream_totals_equal_batch(spark, sf_dir):
     src = _staged(spark, sf_dir, 4)
-    q, log = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "DAY", scratch_path(spark, "t_tot"),
-                           scratch_path(spark, "t_ck"))
+    q, table = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "DAY", scratch_path(spark, "t_tot"),
+                             scratch_path(spark, "t_ck"))
     q.awaitTermination()
-    assert q.lastProgress is not None
     batch = M.mention_series(FX.posts_from_events(FX.events(spark, sf_dir)), "DAY")
-    assert _same(log.read(), batch)
-    assert log.history().select("batch_id").distinct().count() >= 4  # one micro-batch per file
+    assert _same(table.read(), batch)
+    assert table.committed() >= 3  # one micro-batch per file
 
 
 def _post(i, when, text):
@@ -52,10 +51,10 @@ def _late_feed(spark):
 
 def _late_totals(spark, watermark):
     src = _late_feed(spark)
-    q, log = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "HR", scratch_path(spark, "t_lt"),
-                           scratch_path(spark, "t_lck"), watermark=watermark)
+    q, table = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "HR", scratch_path(spark, "t_lt"),
+                             scratch_path(spark, "t_lck"), watermark=watermark)
     q.awaitTermination()
-    return {(r.hour, r.frequency, r.sentiment) for r in log.read().collect()}
+    return {(r.hour, r.frequency, r.sentiment) for r in table.read().collect()}
 
 
 def test_late_data_dropped_behind_watermark(spark):
@@ -66,61 +65,120 @@ def test_late_data_counted_without_watermark(spark):
     assert _late_totals(spark, None) == {(8, 1, 1), (10, 1, 0), (11, 3, 0)}
 
 
-def test_sliding_stream_and_snapshots(spark, sf_dir):
-    src = _staged(spark, sf_dir, 3)
-    snaps = scratch_path(spark, "t_snap")
-    q, log = STR.run_top_trending(spark, SS.read_post_stream(spark, src, 1), scratch_path(spark, "t_sl"),
-                                  snaps, scratch_path(spark, "t_slck"), k=5)
-    q.awaitTermination()
-    batch = SL.sliding_counts(FX.posts_from_events(FX.events(spark, sf_dir)))
-    assert _same(log.read(), batch)
-    s = spark.read.parquet(snaps)
-    assert s.select("batch_id").distinct().count() == 3
-    assert s.groupBy("batch_id").agg(F.max("id").alias("m")).where(F.col("m") > 4).count() == 0
-    assert s.where(F.col("written_at").isNull()).count() == 0
-
-
-def _times(spark, folder, *batches):
-    for i, rows in enumerate(batches):
-        lines = [('{"id": %d, "created_at": "Wed Jan 28 %s +0000 2015", "text": "%s"}' % (n, t, x),) for n, (t, x) in enumerate(rows)]
-        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(folder)
-        import time
-        time.sleep(1.1)  # the file source orders by modification time
-
-
-def test_snapshots_have_one_row_per_time_and_rank(spark):
-    """Two batches in one window, then a late one: ranks stay unique, and now does not move back."""
-    from tickerlens.operators import views as V
-
-    src, snaps = scratch_path(spark, "t_src"), scratch_path(spark, "t_uniq")
-    _times(spark, src, [("13:00:01", "$AA"), ("13:00:01", "$AA $BB")], [("13:00:03", "$BB $BB $CC")], [("12:00:00", "$DD $DD $DD $DD")])
-    for run in (STR.run_top_trending, STR.run_top_trending_panes):
-        snaps = scratch_path(spark, "t_uniq")
-        more = [scratch_path(spark, "t_panes")] if run is STR.run_top_trending_panes else []
-        q, _ = run(spark, SS.read_post_stream(spark, src, 1), *more, scratch_path(spark, "t_cnt"), snaps, scratch_path(spark, "t_uck"), k=5)
+def _trend(spark, arrivals, **options):
+    """(snapshots, counts, progress) of the trending stream over arrivals of
+    (posts as (time, text), tick times)."""
+    src, clock, counts, snaps, ck = (scratch_path(spark, f"t_trend_{x}") for x in ("src", "clock", "counts", "snaps", "ck"))
+    progress = []
+    for posts, ticks in arrivals:
+        lines = [(_post(n, f"Wed Jan 28 {t} +0000 2015", x),) for n, (t, x) in enumerate(posts)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(src)
+        stamps = spark.createDataFrame([(f"2015-01-28 {t}",) for t in ticks], "t string")
+        stamps.select(F.to_timestamp("t").alias("ts")).write.mode("append").parquet(clock)
+        q = STR.run_top_trending(spark, SS.read_post_stream(spark, src, 1000), counts, snaps, ck, ticks=SS.read_tick_stream(spark, clock), state_partitions=2, **options)
         q.awaitTermination()
-        rows = STR.read_snapshots(spark, snaps)
-        assert rows.groupBy("timestamp", "id").count().where("count > 1").count() == 0
-        assert sorted((r.ticker, r.frequency) for r in rows.collect()) == [("AA", 2), ("BB", 3), ("CC", 1)]
-        assert [(r.ticker, r.frequency) for r in V.live_panel(rows).orderBy("position").collect()] == [("CC", 1), ("AA", 2), ("BB", 3)]
+        progress += q.recentProgress
+    return STR.read_snapshots(spark, snaps), STR.read_counts(spark, counts), progress
+
+
+def _at(snapshots, time):
+    ms = int(snapshots.sparkSession.sql(f"SELECT unix_millis(TIMESTAMP'2015-01-28 {time}')").first()[0])
+    return [(r.id, r.ticker, r.frequency) for r in snapshots.where(F.col("timestamp") == ms).orderBy("id").collect()]
+
+
+def test_snapshots_fade_and_end_while_the_feed_is_quiet(spark):
+    first = [("13:00:01", "$AA"), ("13:00:01", "$AA $BB"), ("13:00:03", "$BB $BB $CC")]
+    late = [("12:59:00", "$DD $DD $DD $DD"), ("13:40:00", "$EE")]
+    ticks = [["13:00:10"], ["13:05:00", "13:11:00"], ["13:20:00", "13:30:00"], ["13:40:30"]]
+    snaps, counts, _ = _trend(spark, [(first, ticks[0]), ([], ticks[1]), ([], ticks[2]), (late, ticks[3])])
+    assert snaps.groupBy("timestamp", "id").count().where("count > 1").count() == 0
+    full = [(0, "BB", 3), (1, "AA", 2), (2, "CC", 1)]
+    assert _at(snaps, "13:00:05") == full and _at(snaps, "13:10:00") == full  # the window still holds them
+    assert _at(snaps, "13:10:05") == [(0, None, 0)]  # and no longer
+    assert _at(snaps, "13:25:00") == [(0, None, 0)] and _at(snaps, "13:40:05") == [(0, "EE", 1)]
+    assert snaps.where("ticker = 'DD'").count() == 0 and counts.where("ticker = 'DD'").count() == 0  # late by far
+    assert counts.where("ticker = ''").count() == 0
+
+
+def test_trending_state_and_reads_stay_flat(spark):
+    """Fifty batches of a minute each: state rows and written files per batch don't grow."""
+    src, clock, counts, snaps, ck = (scratch_path(spark, f"t_flat_{x}") for x in ("src", "clock", "counts", "snaps", "ck"))
+    for i in range(50):
+        line = _post(i, f"Wed Jan 28 13:{i:02d}:30 +0000 2015", "$AA $BB")
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(src)
+    spark.createDataFrame([], "ts timestamp").write.parquet(clock)
+    q = STR.run_top_trending(spark, SS.read_post_stream(spark, src, 1), counts, snaps, ck, window="2 minutes", slide="30 seconds",
+                             ticks=SS.read_tick_stream(spark, clock), state_partitions=1)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"]]
+    states = [[o["numRowsTotal"] for o in p["stateOperators"]] for p in batches]
+    assert len(states) >= 50 and max(map(sum, states[10:])) == max(map(sum, states[3:10]))
+    rows = STR.read_snapshots(spark, snaps)
+    assert rows.count() == 2 * rows.select("timestamp").distinct().count() >= 180
 
 
-def test_watermark_bounds_pane_state(spark):
-    src = scratch_path(spark, "t_wm")
-    _times(spark, src, *[[(f"1{h}:00:01", "$AA")] for h in range(5)], [("10:00:02", "$ZZ")])
-    q, log = STR.run_top_trending_panes(spark, SS.read_post_stream(spark, src, 1), scratch_path(spark, "t_wp"), scratch_path(spark, "t_wc"),
-                                        scratch_path(spark, "t_ws"), scratch_path(spark, "t_wck"), watermark="10 minutes")
+def test_sliding_counts_of_both_streams_equal_batch(spark, sf_dir):
+    src = _staged(spark, sf_dir, 3)
+    q, table = STR.run_sliding_counts(spark, SS.read_post_stream(spark, src, 1), scratch_path(spark, "t_sl"), scratch_path(spark, "t_slck"), slide="60 seconds")
     q.awaitTermination()
-    states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
-    assert max(states) <= 2 and "ZZ" not in {r.ticker for r in log.read().select("ticker").distinct().collect()}
+    batch = SL.sliding_counts(FX.posts_from_events(FX.events(spark, sf_dir)), slide="60 seconds")
+    assert _same(table.read(), batch)
+
+
+def _table(spark):
+    return SK.BlockTable(spark, scratch_path(spark, "t_bt"), ["day", "k"], F.col("day"), spark.createDataFrame([], "day int, k int, v long").schema)
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame(rows, "day int, k int, v long")
+
+
+def _read(table):
+    return sorted(tuple(r) for r in table.read().collect())
+
+
+def test_block_table_replay_is_idempotent(spark):
+    table = _table(spark)
+    assert _read(table) == [] and table.committed() == -1
+    table.merge(_rows(spark, (1, 1, 10), (2, 1, 20)), 0, add=True)
+    for _ in range(3):  # replays add to the state before the batch
+        table.merge(_rows(spark, (1, 1, 5), (1, 2, 7)), 1, add=True)
+    assert _read(table) == [(1, 1, 15), (1, 2, 7), (2, 1, 20)]
+    table.merge(_rows(spark, (2, 1, 1)), 2)
+    assert _read(table) == [(1, 1, 15), (1, 2, 7), (2, 1, 1)] and table.committed() == 2
+    assert sorted(tuple(r) for r in table.read(("2", "2")).collect()) == [(2, 1, 1)]
+
+
+def test_block_table_does_not_read_a_lost_commit(spark):
+    table = _table(spark)
+    table.merge(_rows(spark, (1, 1, 10)), 0, add=True)
+    lost = _rows(spark, (1, 1, 5), (2, 2, 5))
+    table._rewrite(lost.withColumn("block", F.col("day").cast("string")), ["1", "2"], 1, True)  # written, but the mark is lost
+    assert _read(table) == [(1, 1, 10)] and table.committed() == 0
+    table.merge(lost, 1, add=True)
+    assert _read(table) == [(1, 1, 15), (2, 2, 5)]
+
 
+def test_block_table_files_do_not_grow(spark):
+    table = _table(spark)
+    for i in range(12):
+        table.merge(_rows(spark, (1, i, i), (2 if i < 3 else 1, 100 + i, i)), i)
+    files = spark.read.schema(table.schema).parquet(table.data).inputFiles()
+    assert len(files) <= 4 and len(_read(table)) == 24
 
-def test_keyed_log_skips_uncommitted_folders(spark, tmp_path):
-    log = KeyedLog(spark, str(tmp_path / "kl"), ["k"])
-    log.write_batch(spark.createDataFrame([(1, "a")], "k int, v string"), 0)
-    log.write_batch(spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), 1)
-    (tmp_path / "kl" / "batch_id=1" / "_SUCCESS").unlink()
-    assert [tuple(r) for r in log.read().collect()] == [(1, "a")] and log.history().count() == 1
+
+def test_calendar_buckets_behind_a_watermark(spark):
+    """Months leave the state when their end is behind the watermark, not when the next begins."""
+    src = scratch_path(spark, "t_months")
+    for day in ("Wed Jan 28", "Sun Feb 01", "Fri Jan 30", "Sun Mar 15", "Mon Mar 16", "Tue Jan 27", "Sat Feb 07"):
+        spark.createDataFrame([(_post(1, f"{day} 10:00:00 +0000 2015", "$AA"),)], "value string").coalesce(1).write.mode("append").text(src)
+    for grain, want in (("MONTH", {(1, 2), (2, 1), (3, 2)}), ("YEAR", {(None, 7)})):
+        q, table = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), grain, scratch_path(spark, "t_mt"), scratch_path(spark, "t_mck"), watermark="5 days", state_partitions=2)
+        q.awaitTermination()
+        got = {(r.month if grain == "MONTH" else None, r.frequency) for r in table.read().collect()}
+        assert got == want
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+        assert states[-1] == 1 and max(states) == (3 if grain == "MONTH" else 1)
 
 
 def test_partitioned_sinks_write_few_files(spark, sf_dir):
@@ -147,55 +205,10 @@ def test_landing_rolls_files(spark, sf_dir):
     assert len(spark.read.text(out).inputFiles()) >= 5  # 1,000 lines at 200 per file
 
 
-def test_keyed_log_replay_is_idempotent(spark):
-    log = KeyedLog(spark, scratch_path(spark, "t_kl"), ["k"])
-    a = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    b = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
-    log.write_batch(a, 0)
-    log.write_batch(b, 1)
-    log.write_batch(b, 1)
-    assert sorted(tuple(r) for r in log.read().collect()) == [(1, "a"), (2, "B"), (3, "C")]
-    assert log.history().count() == 4
-
-
-def test_keyed_log_compaction(spark):
-    log = KeyedLog(spark, scratch_path(spark, "t_kc"), ["k"])
-    log.write_batch(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), 0)
-    log.write_batch(spark.createDataFrame([(2, "B")], "k int, v string"), 1)
-    assert log.compact() == 1 and log.snapshot_version() == 1
-    log.write_batch(spark.createDataFrame([(3, "C"), (1, "A")], "k int, v string"), 2)
-    assert sorted(tuple(r) for r in log.read().collect()) == [(1, "A"), (2, "B"), (3, "C")]
-    log.write_batch(spark.createDataFrame([(3, "c2")], "k int, v string"), 2)  # replay of batch 2
-    assert sorted(tuple(r) for r in log.read().collect()) == [(1, "a"), (2, "B"), (3, "c2")]
-    assert log.compact() == 2 and log.compact() == 2
-
-
-def test_stream_totals_with_compaction(spark, sf_dir):
-    src = _staged(spark, sf_dir, 4)
-    q, log = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "DAY", scratch_path(spark, "t_totc"),
-                           scratch_path(spark, "t_ckc"), compact_every=2)
-    q.awaitTermination()
-    assert log.snapshot_version() is not None
-    batch = M.mention_series(FX.posts_from_events(FX.events(spark, sf_dir)), "DAY")
-    assert _same(log.read(), batch)
-
-
-def test_sliding_pane_stream_equals_batch(spark, sf_dir):
-    src = _staged(spark, sf_dir, 3)
-    snaps = scratch_path(spark, "t_psnap")
-    q, log = STR.run_top_trending_panes(spark, SS.read_post_stream(spark, src, 1), scratch_path(spark, "t_pp"),
-                                        scratch_path(spark, "t_pc"), snaps, scratch_path(spark, "t_pck"), k=5)
-    q.awaitTermination()
-    batch = SL.sliding_counts(FX.posts_from_events(FX.events(spark, sf_dir)))
-    assert _same(log.read(), batch)
-    s = spark.read.parquet(snaps)
-    assert s.select("batch_id").distinct().count() == 3 and s.agg(F.max("id")).first()[0] <= 4
-
-
 def test_state_partitions_do_not_leak(spark, sf_dir):
     src = _staged(spark, sf_dir, 2)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    q, log = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "DAY", scratch_path(spark, "t_sp"),
+    q, _ = ST.run_totals(spark, SS.read_post_stream(spark, src, 1), "DAY", scratch_path(spark, "t_sp"),
                            scratch_path(spark, "t_spck"), state_partitions=3)
     q.awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before

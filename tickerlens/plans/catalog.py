@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickerlens.operators import bars as B
+from tickerlens.operators import keyed as K
 from tickerlens.operators import mentions as M
 from tickerlens.plans import sql as S
 from tickerlens.sources import fixtures as FX
@@ -479,11 +480,13 @@ def _upsert_roundtrip(spark, d):
     p = M.post_times(posts(spark, d))
     early = p.where(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")).drop("ts")
     late = p.where(F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")).drop("ts")
-    log = SK.KeyedLog(spark, scratch_path(spark, "upsert_hr"), ["year", "month", "day", "hour", "ticker"])
-    log.write_batch(M.mention_series(early, "HR"), 0)
-    log.write_batch(M.mention_series(late, "HR"), 1)
-    log.write_batch(M.mention_series(late, "HR"), 1)  # a replayed batch rewrites its own partition
-    return log.read()
+    older, newer = M.mention_series(early, "HR"), M.mention_series(late, "HR")
+    table = SK.BlockTable(spark, scratch_path(spark, "upsert_hr"), ["year", "month", "day", "hour", "ticker"],
+                          SK.time_block("HR"), older.schema)
+    table.merge(older, 0)
+    table.merge(newer, 1)
+    table.merge(newer, 1)  # a replayed batch starts from the state before it
+    return table.read()
 
 
 register("upsert_roundtrip", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_upsert_roundtrip)
@@ -528,11 +531,11 @@ def _state_partitions(spark) -> int:
 
 def _stream_totals(spark, d, watermark=None, src=None):
     src = src or _staged_posts(spark, d, 8, ordered=watermark is not None)
-    q, log = STOT.run_totals(spark, SSRC.read_post_stream(spark, src, 1), "HR", scratch_path(spark, "totals"),
-                             scratch_path(spark, "totals_ckpt"), watermark=watermark,
-                             state_partitions=_state_partitions(spark))
+    q, table = STOT.run_totals(spark, SSRC.read_post_stream(spark, src, 1), "HR", scratch_path(spark, "totals"),
+                               scratch_path(spark, "totals_ckpt"), watermark=watermark,
+                               state_partitions=_state_partitions(spark))
     q.awaitTermination()
-    return log.read().select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
+    return table.read().select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
 
 
 register("stream_mention_series_hr", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_stream_totals)
@@ -540,43 +543,144 @@ register("stream_mention_series_hr", S.with_base(_HOURLY_SQL + "\nSELECT * FROM
 
 def _stream_additive(spark, d):
     src = _staged_posts(spark, d, 8)
-    q, read = STOT.run_totals_additive(spark, SSRC.read_post_stream(spark, src, 1), "HR",
-                                       scratch_path(spark, "additive"), scratch_path(spark, "additive_ckpt"),
-                                       state_partitions=_state_partitions(spark))
+    q, table = STOT.run_totals_additive(spark, SSRC.read_post_stream(spark, src, 1), "HR",
+                                        scratch_path(spark, "additive"), scratch_path(spark, "additive_ckpt"),
+                                        state_partitions=_state_partitions(spark))
     q.awaitTermination()
-    return read().select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
+    return table.read().select("year", "month", "day", "hour", "ticker", "frequency", "sentiment")
 
 
 register("stream_mention_series_additive", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(_stream_additive)
+# Six arrivals of equal time spans. Every 97th post comes three spans late, far behind the
+# watermark; nothing is posted on the 15th, so that snapshots fade and are empty; a tick every
+# five minutes drives time.
+_SPANS, _LATE_BY, _LATE_EVERY, _QUIET_DAY = 6, 3, 97, 15
+
 register("stream_watermarked", S.with_base(_HOURLY_SQL + "\nSELECT * FROM hourly"))(
     lambda spark, d: _stream_totals(spark, d, watermark="1 hour"))
 
 
+def _late_totals(spark, d, grain, watermark):
+    """Six arrivals, every 97th post three spans late: behind the watermark, unless its bucket is still open."""
+    src, path, ckpt = (scratch_path(spark, f"late_{x}") for x in ("src", "totals", "ckpt"))
+    for arrived, _ in _spans(spark, d):
+        FX.post_lines(arrived).write.mode("append").text(src)
+        q, table = STOT.run_totals(spark, SSRC.read_post_stream(spark, src, 10_000), grain, path, ckpt, watermark=watermark,
+                                   state_partitions=_state_partitions(spark))
+        q.awaitTermination()
+    return table.read()
+
+
+def _late_sql(grain, open_at):
+    return S.with_base(f"""
+bounds AS (SELECT min(epoch(pts)::BIGINT) AS first, max(epoch(pts)::BIGINT) AS last FROM posts WHERE day(pts) <> {_QUIET_DAY}),
+spans AS (SELECT occ.*, floor((epoch(pts)::BIGINT - first) * {_SPANS} / (last - first + 1)) AS span FROM occ, bounds WHERE day(pts) <> {_QUIET_DAY})
+SELECT {S.part_select(grain, 'pts')}, ticker, count(*) AS frequency, CAST(sum(score) AS BIGINT) AS sentiment
+FROM spans WHERE NOT (id % {_LATE_EVERY} = 0 AND span + {_LATE_BY} < {_SPANS}) OR {open_at}
+GROUP BY ALL""")
+
+
 def _stream_sliding(spark, d):
     src = _staged_posts(spark, d, 8)
-    q, log = STRD.run_top_trending(spark, SSRC.read_post_stream(spark, src, 1), scratch_path(spark, "slide"),
-                                   scratch_path(spark, "snapshots"), scratch_path(spark, "slide_ckpt"),
-                                   state_partitions=_state_partitions(spark))
+    q, table = STRD.run_sliding_counts(spark, SSRC.read_post_stream(spark, src, 1), scratch_path(spark, "slide"),
+                                       scratch_path(spark, "slide_ckpt"), state_partitions=_state_partitions(spark))
     q.awaitTermination()
-    return log.read()
+    return table.read()
 
 
 register("stream_sliding_counts", S.with_base(_SLIDING_SQL + "\nSELECT * FROM counts"))(_stream_sliding)
 
 
+def _trending_run(spark, arrivals, **options):
+    """The trending stream over arrivals, each a pair of posts and ticks (ts):
+    the query is started again for each of them and goes on from its
+    checkpoint. Returns the paths of counts and snapshots."""
+    src, clock, counts, snapshots, ckpt = (scratch_path(spark, f"trending_{x}") for x in ("src", "clock", "counts", "snaps", "ckpt"))
+    for arrived, ticks in arrivals:
+        FX.post_lines(arrived).write.mode("append").text(src)
+        ticks.write.mode("append").parquet(clock)
+        q = STRD.run_top_trending(spark, SSRC.read_post_stream(spark, src, 10_000), counts, snapshots, ckpt,
+                                  state_partitions=_state_partitions(spark), ticks=SSRC.read_tick_stream(spark, clock), **options)
+        q.awaitTermination()
+    return counts, snapshots
+
+
+def _post_second():
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+
+
+def _closed_feed(spark, d, after: int):
+    """All posts, then a tick that ends the windows up to ``after`` seconds
+    after the newest post (its pane included); the watermark is 10 seconds behind it."""
+    p = posts(spark, d)
+    pane_end = (F.floor(F.max(_post_second()) / 5) + 1) * 5
+    close = M.post_times(p).agg(F.timestamp_seconds(pane_end + after + 10).alias("ts"))
+    return [(p, close.where("false")), (p.where("false"), close)]
+
+
 def _stream_sliding_panes(spark, d):
-    src = _staged_posts(spark, d, 8)
-    q, log = STRD.run_top_trending_panes(spark, SSRC.read_post_stream(spark, src, 1), scratch_path(spark, "panes"),
-                                         scratch_path(spark, "pane_counts"), scratch_path(spark, "pane_snapshots"),
-                                         scratch_path(spark, "panes_ckpt"),
-                                         state_partitions=_state_partitions(spark))
-    q.awaitTermination()
-    return log.read()
+    return STRD.read_counts(spark, _trending_run(spark, _closed_feed(spark, d, 600))[0])
+
+
+def _stream_top5(spark, d):
+    snapshots = STRD.read_snapshots(spark, _trending_run(spark, _closed_feed(spark, d, 600))[1])
+    return snapshots.where("ticker IS NOT NULL").select(
+        "ticker", F.col("timestamp").alias("window_end_ms"), "frequency", "sentiment", "id")
 
 
 register("stream_sliding_counts_panes", S.with_base(_SLIDING_SQL + "\nSELECT * FROM counts"))(_stream_sliding_panes)
-register("stream_top5", S.with_base(_TOP5_SQL + "\nSELECT * FROM top5"))(
-    lambda spark, d: SL.top_per_window(_stream_sliding(spark, d), 5))
+register("stream_top5", S.with_base(_TOP5_SQL + "\nSELECT * FROM top5"))(_stream_top5)
+
+def _spans(spark, d):
+    p = M.post_times(posts(spark, d)).where(F.dayofmonth("ts") != _QUIET_DAY).withColumn("t", _post_second())
+    first, last = p.agg(F.min("t"), F.max("t")).first()
+    seconds, step = last - first + 1, 300
+    span = F.floor((F.col("t") - first) * _SPANS / seconds)
+    late = (F.col("id") % _LATE_EVERY == 0) & (span + _LATE_BY < _SPANS)
+    p = p.withColumn("arrival", F.when(late, span + _LATE_BY).otherwise(span))
+    ticks = spark.range(0, seconds // step + 4).select(
+        F.timestamp_seconds(F.col("id") * step + first).alias("ts"),
+        F.least(F.floor(F.col("id") * step * _SPANS / seconds), F.lit(_SPANS - 1)).alias("arrival"))
+    columns = posts(spark, d).columns
+    return [(p.where(F.col("arrival") == i).select(*columns), ticks.where(F.col("arrival") == i).select("ts")) for i in range(_SPANS)]
+
+
+def _stream_snapshots(spark, d):
+    _, snapshots = _trending_run(spark, _spans(spark, d), slide="60 seconds", watermark="5 minutes")
+    return STRD.read_snapshots(spark, snapshots).drop("written_at")
+
+
+register("stream_snapshots", S.with_base(f"""
+fed AS (SELECT *, epoch(pts)::BIGINT AS t FROM occ WHERE day(pts) <> {_QUIET_DAY}),
+bounds AS (SELECT min(t) AS first, max(t) AS last FROM (SELECT epoch(pts)::BIGINT AS t FROM posts WHERE day(pts) <> {_QUIET_DAY})),
+span AS (SELECT first, last, last - first + 1 AS seconds FROM bounds),
+in_time AS (
+  SELECT f.* FROM fed f, span
+  WHERE NOT (f.id % {_LATE_EVERY} = 0 AND floor((f.t - first) * {_SPANS} / seconds) + {_LATE_BY} < {_SPANS})
+),
+ticks AS (SELECT first + unnest(generate_series(0, seconds // 300 + 3)) * 300 AS t FROM span),
+minutes AS (
+  SELECT t // 60 AS m, ticker, count(*) AS n, sum(score) AS sc FROM in_time GROUP BY ALL
+  UNION ALL SELECT DISTINCT t // 60, '', 0, 0 FROM ticks
+),
+wins AS (
+  SELECT (m + i) * 60 AS ended, ticker, sum(n) AS n, sum(sc) AS sc
+  FROM minutes, generate_series(1, 10) AS g(i) GROUP BY ALL
+),
+closed AS (SELECT * FROM wins WHERE ended <= (SELECT max(t) - 300 FROM ticks)),
+ranked AS (
+  SELECT ended, ticker, n, sc, row_number() OVER (PARTITION BY ended ORDER BY n DESC, ticker) - 1 AS r
+  FROM closed WHERE ticker <> ''
+)
+SELECT ended * 1000 AS timestamp, CAST(r AS BIGINT) AS id, ticker, CAST(n AS BIGINT) AS frequency, CAST(sc AS BIGINT) AS sentiment
+FROM ranked WHERE r < 5
+UNION ALL
+SELECT DISTINCT ended * 1000, 0, NULL, 0, 0 FROM closed WHERE ended NOT IN (SELECT ended FROM ranked)"""))(_stream_snapshots)
+
+
+# A day is closed long before its late posts come; the month is open to its end.
+register("stream_late_days", _late_sql("DAY", "false"))(lambda spark, d: _late_totals(spark, d, "DAY", "1 hour"))
+register("stream_late_months", _late_sql("MONTH", "true"))(lambda spark, d: _late_totals(spark, d, "MONTH", "1 hour"))
 
 
 def _landed(spark, d):
@@ -806,10 +910,10 @@ def _two_versions(spark, d):
 
 def _upsert_versions(spark, d):
     old, new = _two_versions(spark, d)
-    log = SK.KeyedLog(spark, scratch_path(spark, "upsert_versions"), ["year", "month", "day", "hour", "ticker"])
-    log.write_batch(new, 1)  # also when the older batch is written later
-    log.write_batch(old, 0)
-    return log.read()
+    path = scratch_path(spark, "upsert_versions")
+    for version, rows in ((1, new), (0, old)):  # also when the older version is written later
+        rows.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(path)
+    return K.latest_per_key(spark.read.parquet(path), ["year", "month", "day", "hour", "ticker"], "version").drop("version")
 
 
 register("upsert_newer_wins", S.with_base(_OVERLAP_SQL + """
@@ -829,13 +933,8 @@ UNION ALL SELECT * FROM hourly WHERE make_timestamp(year, month, day, hour, 0, 0
 
 # ---- the snapshots that the stream wrote ----------------------------------------------------------
 def _stream_panel(spark, d):
-    path = scratch_path(spark, "panel_snapshots")
-    q, _ = STRD.run_top_trending_panes(spark, SSRC.read_post_stream(spark, _staged_posts(spark, d, 8), 1),
-                                       scratch_path(spark, "panel_panes"), scratch_path(spark, "panel_counts"), path,
-                                       scratch_path(spark, "panel_ckpt"), state_partitions=_state_partitions(spark))
-    q.awaitTermination()
-    # How many older snapshots there are depends on the batches; the newest set of ranks does not.
-    snapshots = STRD.read_snapshots(spark, path)
+    # The newest window that has ended is the one that ends right after the newest post.
+    snapshots = STRD.read_snapshots(spark, _trending_run(spark, _closed_feed(spark, d, 0))[1])
     return V.live_panel(snapshots.where(F.col("timestamp") == snapshots.select(F.max("timestamp")).scalar()))
 
 
@@ -849,11 +948,11 @@ FROM panel WHERE r <= 5"""))(_stream_panel)
 
 for _g in ("MIN", "DAY", "WEEK", "MONTH", "YEAR"):
     def _stream_grain(spark, d, grain=_g):
-        q, log = STOT.run_totals(spark, SSRC.read_post_stream(spark, _staged_posts(spark, d, 3), 1), grain,
-                                 scratch_path(spark, "totals_g"), scratch_path(spark, "totals_g_ckpt"),
-                                 state_partitions=_state_partitions(spark))
+        q, table = STOT.run_totals(spark, SSRC.read_post_stream(spark, _staged_posts(spark, d, 3), 1), grain,
+                                   scratch_path(spark, "totals_g"), scratch_path(spark, "totals_g_ckpt"),
+                                   state_partitions=_state_partitions(spark))
         q.awaitTermination()
-        return log.read()
+        return table.read()
 
     register(f"stream_mention_series_{_GRAIN_SUFFIX[_g]}", S.with_base(f"""
 x AS (SELECT 1)

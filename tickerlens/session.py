@@ -9,6 +9,7 @@ happens in local tests.
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -37,11 +38,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder that the session names. A local session
+    without one gets a folder of this machine; a cluster has to name it."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tickerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -77,7 +79,8 @@ def session_conf(spark: SparkSession, conf: dict):
                 spark.conf.set(k, v)
 
 
-def start_stream(writer, spark: SparkSession, state_partitions: int | None):
-    """``writer.start()`` with the stream's shuffle/state partition count."""
-    with session_conf(spark, {"spark.sql.shuffle.partitions": state_partitions}):
+def start_stream(writer, spark: SparkSession, state_partitions: int | None, conf: dict | None = None):
+    """``writer.start()`` with the stream's shuffle/state partition count, and
+    further settings of this query alone."""
+    with session_conf(spark, {"spark.sql.shuffle.partitions": state_partitions, **(conf or {})}):
         return writer.start()

@@ -2,22 +2,30 @@
 
 Serving tables become Parquet directories partitioned for their read path
 (ticker for series and bars, time parts for rankings) and clustered inside
-each file the way the store clustered rows. Keyed replacement is a
-batch-partitioned log whose read view keeps the latest row per key.
+each file the way the store clustered rows. Keyed replacement rewrites the blocks
+of time that a batch touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickerlens.functions.timefn import grain_columns
-from tickerlens.operators.keyed import latest_per_key
+from tickerlens.functions.timefn import grain_columns, normalize_grain
 
 # Rows per output file; keeps files bounded when one ticker or hour is hot.
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+def time_block(grain: str) -> Column:
+    """The block of time that a bucket's rows are stored with: hours for
+    seconds, days up to hours, months for days, years beyond."""
+    parts = list(grain_columns(grain))
+    n = {"SEC": 4, "MIN": 3, "HR": 3, "DAY": 2}.get(normalize_grain(grain), 1)
+    return F.concat_ws("-", *[F.lpad(F.col(c).cast("string"), 4 if c == "year" else 2, "0") for c in parts[:n]])
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], sort_by: list, block: list[str],
                       mode: str = "overwrite", max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """Partitioned Parquet write. Rows are first spread by the partition
@@ -68,79 +76,94 @@ def show(df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
-class KeyedLog:
-    """A table with one live row per key (SNK-4, SNK-5).
+def write_batch(df: DataFrame, path: str, batch_id: int, block: Column) -> None:
+    """Append what a micro-batch finished, under ``block=<b>/batch_id=<n>``. A
+    replay of the batch replaces exactly the folders it wrote before, and a
+    filter on ``block`` opens the files of those blocks only."""
+    rows = df.withColumns({"block": block, "batch_id": F.lit(int(batch_id)).cast("long")})
+    (rows.hint("rebalance", F.col("block")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("block", "batch_id").parquet(path))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """A table folder without files, so that it can be read before the first write."""
+    spark.createDataFrame([], "value int, block int").write.mode("append").partitionBy("block").parquet(path)
+
+
+class BlockTable:
+    """A table with one live row per key (SNK-4, SNK-5), cut into blocks of time.
+
+    ``block`` is a column of the keys (a day, say). Merging a batch reads the
+    blocks that the batch touches, and only those, and writes them again with a
+    dynamic partition overwrite. Each block has two generations,
+    ``block=<b>/gen=<0|1>``, and a batch overwrites the one that does not hold
+    the block's state before it. So
+
+    * a write that is lost half-way never takes the state before it along;
+    * a replayed batch starts from the same state and writes the same rows,
+      also where it adds to what is there;
+    * a read takes, of each block, the newest generation up to the last batch
+      that is committed, and never part of a batch.
 
-    Layout: ``<path>/batch_id=<n>/`` holds the rows written by batch n;
-    ``<path>/_snapshot/version=<v>/`` holds all batches <= v folded to one row
-    per key. Writing a batch overwrites only its own folder, so replaying a
-    batch after a failure is idempotent. Reads take the newest complete
-    snapshot plus the batch folders after it (partition pruning on the folder
-    names) and keep the newest row per key through a partial aggregate.
-    ``compact`` writes a new snapshot version; nothing is read and written in
-    the same folder, and older folders stay as they are.
+    Files per block, and bytes read per batch, don't grow with the number of
+    batches. A frame from ``read`` is good until the second batch after it
+    rewrites what it reads. A batch has to have a greater id than the one before.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-
-    # -- file listing through the Hadoop FileSystem of the path -------------
-    def _fs_list(self, sub: str, prefix: str, need_success: bool) -> list[int]:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path + sub)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(prefix):
-                if need_success and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    continue
-                out.append(int(name[len(prefix):]))
-        return sorted(out)
-
-    def batch_ids(self) -> list[int]:
-        return self._fs_list("", "batch_id=", need_success=True)
-
-    def snapshot_version(self):
-        v = self._fs_list("/_snapshot", "version=", need_success=True)
-        return v[-1] if v else None
-
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        # Overwriting the batch's own folder is the whole commit: a replay of
-        # the same batch id replaces exactly the rows it wrote before.
-        df.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
-
-    def history(self, after: int | None = None) -> DataFrame:
-        """The committed batch folders (later than ``after``), as written, with
-        ``batch_id`` from the folder name. A folder without its success mark,
-        of a batch that is being written or has failed, is not read."""
-        folders = [f"{self.path}/batch_id={b}" for b in self.batch_ids() if after is None or b > after]
-        if not folders:
-            raise FileNotFoundError(f"keyed log {self.path} has no such batch")
-        return self.spark.read.option("basePath", self.path).parquet(*folders)
-
-    def read(self) -> DataFrame:
-        v = self.snapshot_version()
-        later = [b for b in self.batch_ids() if v is None or b > v]
-        parts = []
-        if v is not None:
-            parts.append(self.spark.read.parquet(f"{self.path}/_snapshot/version={v}")
-                         .withColumn("batch_id", F.lit(v).cast("long")))
-        if later:
-            parts.append(self.history(after=v))
-        if not parts:
-            raise FileNotFoundError(f"keyed log {self.path} is empty")
-        u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return latest_per_key(u, self.keys, "batch_id").drop("batch_id")
-
-    def compact(self):
-        """Fold everything written so far into a new snapshot version; returns it."""
-        ids = self.batch_ids()
-        v = self.snapshot_version()
-        top = max(ids + ([v] if v is not None else []), default=None)
-        if top is None or top == v:
-            return v
-        self.read().write.mode("overwrite").parquet(f"{self.path}/_snapshot/version={top}")
-        return top
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], block: Column, schema: T.StructType):
+        self.spark, self.keys, self.block = spark, list(keys), block.cast("string")
+        self.data, self.marks = f"{path.rstrip('/')}/data", f"{path.rstrip('/')}/commits"
+        self.columns = schema.names
+        self.schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("block", T.StringType()), T.StructField("gen", T.IntegerType())])
+        make_folder(spark, self.data)
+        make_folder(spark, self.marks)
+
+    def committed(self) -> int:
+        """The last batch that is committed; -1 before the first."""
+        marks = self.spark.read.schema("batch_id long, slot int").parquet(self.marks)
+        last = marks.agg(F.max("batch_id")).first()[0]
+        return -1 if last is None else last
+
+    def _rows(self, upto: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.data).where(F.col("batch_id") <= upto)
+
+    def read(self, blocks: tuple[str, str] | None = None) -> DataFrame:
+        """The live rows; ``blocks`` (first, last) prunes the others' folders."""
+        rows = self._rows(self.committed())
+        if blocks is not None:
+            rows = rows.where(F.col("block").between(*blocks))
+        newest = rows.groupBy("block").agg(F.max("batch_id").alias("batch_id"))
+        return rows.join(newest, ["block", "batch_id"], "left_semi").select(*self.columns)
+
+    def merge(self, changed: DataFrame, batch_id: int, add: bool = False) -> None:
+        """Replace the rows of equal keys by those of ``changed``, which has
+        each key once; with ``add``, add its values to theirs.
+
+        The labels of the blocks that the batch touches come to the driver, as
+        many as it spans, so that the scan opens their live folders alone."""
+        rows = changed.select(*self.columns).withColumn("block", self.block).persist()
+        try:
+            touched = [r["block"] for r in rows.select("block").distinct().collect()]
+            if touched:
+                self._rewrite(rows, touched, int(batch_id), add)
+        finally:
+            rows.unpersist()
+        mark = self.spark.range(1).select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(int(batch_id) % 2).alias("slot"))
+        mark.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(self.marks)
+
+    def _rewrite(self, rows: DataFrame, touched: list[str], batch_id: int, add: bool) -> None:
+        held = self._rows(batch_id - 1).where(F.col("block").isin(touched))
+        live = {r["block"]: r["at"]["gen"] for r in held.groupBy("block").agg(F.max(F.struct("batch_id", "gen")).alias("at")).collect()}
+        both = rows.select("block", *self.columns, F.lit(1).alias("_newer"))
+        if live:
+            folder = F.concat_ws("/", "block", F.col("gen").cast("string"))
+            before = held.where(folder.isin([f"{b}/{g}" for b, g in live.items()]))
+            both = before.select("block", *self.columns, F.lit(0).alias("_newer")).unionByName(both)
+        values = [c for c in self.columns if c not in self.keys]
+        made = [(F.sum(c) if add else F.max_by(F.col(c), F.col("_newer"))).alias(c) for c in values]
+        first = F.col("block").isin([b for b, g in live.items() if g == 0])
+        out = both.groupBy("block", *self.keys).agg(*made).select(
+            *self.columns, F.lit(batch_id).cast("long").alias("batch_id"), "block", F.when(first, 1).otherwise(0).alias("gen"))
+        # One file for a small block; a large one is split over as many tasks as it fills.
+        (out.hint("rebalance", F.col("block")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("block", "gen").parquet(self.data))

@@ -17,6 +17,11 @@ def read_post_stream(spark: SparkSession, path: str, max_files_per_trigger: int
             .where(F.col("text").isNotNull()))
 
 
+def read_tick_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Ticks (``ts``) from a folder, the staged form of ``trending.clock_ticks``."""
+    return spark.readStream.schema("ts timestamp").parquet(path)
+
+
 def kafka_value_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
                        max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Bus source: message values as strings (SRC-4, STM-10). Needs the Kafka

@@ -2,7 +2,8 @@
 
 Structured Streaming replaces ``updateStateByKey``: a stateful aggregate in
 ``update`` mode emits only the keys a micro-batch changed, and
-``foreachBatch`` upserts them into a keyed log (idempotent per batch id).
+``foreachBatch`` merges them into the blocks of time they belong to
+(idempotent per batch id).
 Totals are additive and equal the batch series (the quadratic join of the
 reference's streaming code is not reproduced, quirk Q1).
 """
@@ -13,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
-from tickerlens.functions.timefn import (grain_columns, grain_parts, instant_wall_clock, normalize_grain,
+from tickerlens.functions.timefn import (bucket_start, grain_columns, grain_parts, instant_wall_clock, normalize_grain,
                                          wall_clock_instant)
 from tickerlens.operators.sliding import occurrences_at_time
 from tickerlens.session import start_stream
-from tickerlens.sinks.tables import KeyedLog
+from tickerlens.sinks.tables import BlockTable, time_block
 
 _WINDOWS = {"SEC": ("1 second", None), "MIN": ("1 minute", None), "HR": ("1 hour", None),
             "DAY": ("1 day", None), "WEEK": ("7 days", "4 days")}  # epoch day 0 is a Thursday
@@ -28,49 +29,53 @@ def stream_mention_series(posts: DataFrame, grain: str, watermark: str | None =
     """Streaming form of ``mention_series`` (STM-3, STM-8, STM-11).
 
     Without a watermark the state is kept forever (exact parity). With one,
-    the bucket is a tumbling event-time window so late events behind the
-    watermark are dropped and old buckets leave the state (STM-9); month and
-    year buckets have no fixed width and are refused in that mode."""
+    late events behind it are dropped and old buckets leave the state (STM-9):
+    buckets of fixed width are tumbling windows; a month or a year is grouped
+    by the time at which it ends. That end carries a watermark of its own,
+    which is always ahead, and the stream's is the lesser of the two: the one
+    of the events."""
     g = normalize_grain(grain)
     parts = list(grain_columns(g))
     occ = occurrences_at_time(posts, lexicon)
+    sums = (F.count(F.lit(1)).alias("frequency"), F.sum("score").cast("long").alias("sentiment"))
     if watermark is None:
-        return (occ.select(*grain_parts(F.col("ts"), g), "ticker", "score")
-                .groupBy(*parts, "ticker")
-                .agg(F.count(F.lit(1)).alias("frequency"), F.sum("score").cast("long").alias("sentiment")))
-    if g not in _WINDOWS:
-        raise ValueError(f"watermark mode supports {sorted(_WINDOWS)}")
-    width, start = _WINDOWS[g]
+        return occ.select(*grain_parts(F.col("ts"), g), "ticker", "score").groupBy(*parts, "ticker").agg(*sums)
     ev = occ.withColumn("event_time", wall_clock_instant(F.col("ts"))).withWatermark("event_time", watermark)
-    win = F.window("event_time", width, startTime=start) if start else F.window("event_time", width)
-    agg = (ev.groupBy(win.alias("w"), "ticker")
-           .agg(F.count(F.lit(1)).alias("frequency"), F.sum("score").cast("long").alias("sentiment")))
-    start_ntz = instant_wall_clock(F.col("w.start"))
+    if g in _WINDOWS:
+        width, start = _WINDOWS[g]
+        win = F.window("event_time", width, startTime=start) if start else F.window("event_time", width)
+        agg = ev.groupBy(win.alias("w"), "ticker").agg(*sums)
+        start_ntz = instant_wall_clock(F.col("w.start"))
+    else:
+        months = 12 if g == "YEAR" else 1
+        end = F.timestamp_add("MONTH", F.lit(months), bucket_start(F.col("ts"), g))
+        ended = ev.withColumn("bucket_end", wall_clock_instant(end)).withWatermark("bucket_end", "0 seconds")
+        agg = ended.groupBy("bucket_end", "ticker").agg(*sums)
+        start_ntz = F.timestamp_add("MONTH", F.lit(-months), instant_wall_clock(F.col("bucket_end")))
     return agg.select(*grain_parts(start_ntz, g), "ticker", "frequency", "sentiment")
 
 
+def _table(spark: SparkSession, path: str, grain: str, like: DataFrame) -> BlockTable:
+    return BlockTable(spark, path, [*grain_columns(grain), "ticker"], time_block(grain), like.schema)
+
+
 def run_totals(spark: SparkSession, posts: DataFrame, grain: str, table_path: str, checkpoint: str,
                watermark: str | None = None, available_now: bool = True,
-               processing_time: str = "60 seconds", compact_every: int | None = None,
-               state_partitions: int | None = None):
-    """Start the totals query into a keyed log (SNK-5, STM-1, STM-2).
+               processing_time: str = "60 seconds", state_partitions: int | None = None):
+    """Start the totals query into a table cut by time (SNK-5, STM-1, STM-2).
 
     ``available_now`` drains what is there and stops (tests, backfills);
-    otherwise it runs on a processing-time trigger. ``compact_every`` folds
-    the keyed log into a new snapshot every n batches. Returns
-    ``(query, KeyedLog)``."""
-    keys = list(grain_columns(grain)) + ["ticker"]
-    log = KeyedLog(spark, table_path, keys)
+    otherwise it runs on a processing-time trigger. A batch reads and rewrites
+    the blocks it touches, however long the stream has run. Returns
+    ``(query, BlockTable)``."""
     agg = stream_mention_series(posts, grain, watermark)
-    def per_batch(df: DataFrame, batch_id: int) -> None:
-        log.write_batch(df, batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            log.compact()
-
+    table = _table(spark, table_path, grain, agg)
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(per_batch))
+         .foreachBatch(table.merge))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return start_stream(w, spark, state_partitions), log
+    # Two watermarks of one query (calendar grains) are allowed to a single stateful operator.
+    conf = {} if normalize_grain(grain) in _WINDOWS else {"spark.sql.streaming.statefulOperator.allowMultiple": "false"}
+    return start_stream(w, spark, state_partitions, conf), table
 
 
 def run_totals_additive(spark: SparkSession, posts: DataFrame, grain: str, table_path: str, checkpoint: str,
@@ -78,28 +83,23 @@ def run_totals_additive(spark: SparkSession, posts: DataFrame, grain: str, table
                         state_partitions: int | None = None):
     """Stateless alternative with the reference's per-batch shape (JOI-3,
     STM-8, AGG-9): each micro-batch reduces its own posts to frequency and
-    sentiment per (bucket, ticker) via the join form, writes them to its batch
-    folder (idempotent on replay), and the read view adds the pairs over all
-    batches. No state store; totals equal ``mention_series``.
-    Returns ``(query, read_fn)``."""
+    sentiment per (bucket, ticker) via the join form, and adds the pairs to the
+    blocks they belong to. A replay adds them to the state before the batch, so
+    once; what is not committed is not read. No state store; totals equal
+    ``mention_series``. Returns ``(query, BlockTable)``."""
     from tickerlens.operators.mentions import mention_series_join_form
 
-    keys = list(grain_columns(grain)) + ["ticker"]
-    path = table_path.rstrip("/")
+    table = _table(spark, table_path, grain, mention_series_join_form(spark.createDataFrame([], posts.schema), grain))
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        # The join form reads its input three times; keep the micro-batch
-        # (bounded by maxFilesPerTrigger / maxOffsetsPerTrigger) for the batch.
+        # The join form reads its input twice; keep the micro-batch (bounded by
+        # maxFilesPerTrigger / maxOffsetsPerTrigger) for the batch.
         df.persist()
         try:
-            mention_series_join_form(df, grain).write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+            table.merge(mention_series_join_form(df, grain), batch_id, add=True)
         finally:
             df.unpersist()
 
-    def read() -> DataFrame:
-        return (spark.read.parquet(path).groupBy(*keys)
-                .agg(F.sum("frequency").alias("frequency"), F.sum("sentiment").alias("sentiment")))
-
     w = posts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return start_stream(w, spark, state_partitions), read
+    return start_stream(w, spark, state_partitions), table

@@ -1,12 +1,15 @@
 """Sliding-window trending on a stream (JOB-5, STM-4..7).
 
-The stream keeps (window, ticker) counts for 10-minute windows sliding by
-5 seconds in ``update`` mode. ``foreachBatch`` upserts the changed counts
-into a keyed log and appends a top-k snapshot of the newest window the batch
-touched (rank from 0, snapshot time = window end). Ranking needs every
-ticker of that window, so the snapshot filters the log to that one window.
-Snapshots form a keyed log too: one row for each (timestamp, rank), the newest
-batch wins, and a late batch does not move the current window back.
+Two aggregations in one query. The first sums occurrences into panes of one
+slide, the second sums panes into the windows that hold them, by the panes'
+own event time; both append what the watermark has passed. A window therefore
+arrives once, whole, with all its tickers in one micro-batch, so that a batch
+ranks its own rows and reads nothing that was written before. State and work
+follow the span between the newest event and the watermark, not the uptime.
+
+``ticks`` drive time where no posts do: a tick is an occurrence of no ticker
+that counts nothing. Windows end and old counts fade while the feed is quiet,
+and a window that holds ticks alone gives an empty snapshot.
 """
 
 from __future__ import annotations
@@ -18,133 +21,123 @@ from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
 from tickerlens.functions.timefn import _epoch_ntz, instant_wall_clock, wall_clock_instant
 from tickerlens.operators.sliding import _seconds, occurrences_at_time, top_per_window
 from tickerlens.session import start_stream
-from tickerlens.sinks.tables import KeyedLog
+from tickerlens.sinks.tables import BlockTable, make_folder, write_batch
 
+COUNTS = "ticker string, window_end_ms long, frequency long, sentiment long"
+SNAPSHOTS = "timestamp long, id long, ticker string, frequency long, sentiment long, written_at timestamp"
+#: Counts and snapshots are stored by the day in which their window ends.
+BLOCK_MS = 86_400_000
+NO_TICKER = ""
 
-def stream_sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5 seconds",
-                          watermark: str | None = None, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
-    """ticker, window_end_ms, frequency, sentiment as a streaming aggregate."""
-    occ = occurrences_at_time(posts, lexicon)
-    if watermark is not None:
-        occ = occ.withColumn("ts", wall_clock_instant(F.col("ts"))).withWatermark("ts", watermark)
-    agg = (occ.groupBy(F.window("ts", window, slide).alias("w"), "ticker")
-           .agg(F.count(F.lit(1)).alias("frequency"), F.sum("score").cast("long").alias("sentiment")))
-    end = F.col("w.end") if watermark is None else instant_wall_clock(F.col("w.end"))
-    return agg.select("ticker", F.timestamp_diff("MILLISECOND", _epoch_ntz(), end).alias("window_end_ms"),
-                      "frequency", "sentiment")
+
+def clock_ticks(spark: SparkSession, every_seconds: int = 5) -> DataFrame:
+    """A tick every few seconds by the clock (DAT-14), to union with a live feed."""
+    beats = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return beats.where(F.col("value") % every_seconds == 0).select(F.col("timestamp").alias("ts"))
 
 
-def run_top_trending(spark: SparkSession, posts: DataFrame, counts_path: str, snapshots_path: str,
+def stream_window_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5 seconds",
+                         watermark: str = "10 seconds", ticks: DataFrame | None = None,
+                         lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
+    """ticker, window_end_ms, frequency, sentiment of each window, once the
+    watermark has passed its end (append mode). Windows with ticks also have a
+    row of the empty ticker, which counts 0. Posts later than the watermark
+    allows are left out."""
+    if _seconds(window) % _seconds(slide):
+        raise ValueError("window must be a multiple of slide")
+    rows = occurrences_at_time(posts, lexicon).select(
+        wall_clock_instant(F.col("ts")).alias("ts"), "ticker", F.lit(1).cast("long").alias("n"), F.col("score").cast("long").alias("sc"))
+    if ticks is not None:
+        none = F.lit(0).cast("long")
+        rows = rows.unionByName(ticks.select(F.col("ts").cast("timestamp").alias("ts"), F.lit(NO_TICKER).alias("ticker"), none.alias("n"), none.alias("sc")))
+    panes = (rows.withWatermark("ts", watermark).groupBy(F.window("ts", slide).alias("pane"), "ticker")
+             .agg(F.sum("n").alias("n"), F.sum("sc").alias("sc")))
+    timed = panes.select(F.window_time("pane").alias("at"), "ticker", "n", "sc")
+    wins = (timed.groupBy(F.window("at", window, slide).alias("w"), "ticker")
+            .agg(F.sum("n").alias("frequency"), F.sum("sc").alias("sentiment")))
+    end = F.timestamp_diff("MILLISECOND", _epoch_ntz(), instant_wall_clock(F.col("w.end")))
+    return wins.select("ticker", end.alias("window_end_ms"), "frequency", "sentiment")
+
+
+def snapshots_of(counts: DataFrame, k: int = 5) -> DataFrame:
+    """timestamp (the window's end), id (rank from 0), ticker, frequency,
+    sentiment: the top k of each window (STM-7). One without a ticker has one
+    row, of rank 0, whose ticker is null."""
+    real = F.col("ticker") != NO_TICKER
+    top = top_per_window(counts.where(real), k).select(F.col("window_end_ms").alias("timestamp"), "id", "ticker", "frequency", "sentiment")
+    none = F.lit(0).cast("long")
+    empty = counts.groupBy("window_end_ms").agg(F.max(real).alias("found")).where("not found").select(
+        F.col("window_end_ms").alias("timestamp"), none.alias("id"), F.lit(None).cast("string").alias("ticker"), none.alias("frequency"), none.alias("sentiment"))
+    return top.unionByName(empty)
+
+
+def _day(column: str):
+    return F.floor(F.col(column) / BLOCK_MS)
+
+
+def run_top_trending(spark: SparkSession, posts: DataFrame, counts_path: str | None, snapshots_path: str,
                      checkpoint: str, window: str = "10 minutes", slide: str = "5 seconds", k: int = 5,
                      available_now: bool = True, processing_time: str = "5 seconds",
-                     state_partitions: int | None = None, watermark: str | None = None):
-    """Start the sliding top-k query (plain state: one row per window and
-    ticker). Returns ``(query, counts KeyedLog)``; ``read_snapshots`` reads the
-    snapshots (timestamp, id, ticker, frequency, sentiment, written_at) under
-    ``snapshots_path`` (SNK-6, DAT-14). With a ``watermark`` old windows leave
-    the state and later data for them is dropped; without one all is kept."""
-    log = KeyedLog(spark, counts_path, ["window_end_ms", "ticker"])
-
-    w_ms, s_ms = _seconds(window) * 1000, _seconds(slide) * 1000
+                     state_partitions: int | None = None, watermark: str = "10 seconds",
+                     ticks: DataFrame | None = None, lexicon: Lexicon = DEFAULT_LEXICON):
+    """Start the sliding top-k query: a snapshot of every window as it ends
+    (SNK-6), and the counts of all tickers where ``counts_path`` is given.
+    ``read_snapshots`` and ``read_counts`` read them. Returns the query."""
+    make_folder(spark, snapshots_path)
+    if counts_path is not None:
+        make_folder(spark, counts_path)
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        df.persist()  # written, and read again for the snapshot: one pass over the state
+        df.persist()  # what left the state in this batch: counts, tops and empty windows read it
         try:
-            log.write_batch(df, batch_id)
-            _snapshot(log, df, batch_id, snapshots_path, k, w_ms, s_ms)
+            if counts_path is not None:
+                write_batch(df.where(F.col("ticker") != NO_TICKER), counts_path, batch_id, _day("window_end_ms"))
+            write_batch(snapshots_of(df, k).withColumn("written_at", F.current_timestamp()), snapshots_path, batch_id, _day("timestamp"))
         finally:
             df.unpersist()
 
-    w = (stream_sliding_counts(posts, window, slide, watermark).writeStream.outputMode("update")
+    w = (stream_window_counts(posts, window, slide, watermark, ticks, lexicon).writeStream.outputMode("append")
          .option("checkpointLocation", checkpoint).foreachBatch(per_batch))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return start_stream(w, spark, state_partitions), log
-
-
-def _snapshots(spark: SparkSession, path: str) -> KeyedLog:
-    return KeyedLog(spark, path, ["timestamp", "id"])
-
-
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """One set of ranks for each snapshot time (STM-7)."""
-    return _snapshots(spark, path).read()
-
-
-def _snapshot(log: KeyedLog, changed: DataFrame, batch_id: int, path: str, k: int, w_ms: int, s_ms: int) -> None:
-    """Top-k of the window that ends right after the newest event of the
-    stream so far ("the last window as of now"), with its rank from 0."""
-    last_end = changed.agg(F.max("window_end_ms")).first()[0]
-    if last_end is None:
-        return
-    # The newest event touched windows ending up to one window length later;
-    # the current window is the earliest of those that contains it.
-    current_end = last_end - (w_ms - s_ms)
-    snapshots = _snapshots(log.spark, path)
-    earlier = [b for b in snapshots.batch_ids() if b < batch_id]
-    if earlier:  # the last snapshot's time is the greatest so far
-        before = snapshots.history(after=earlier[-1] - 1).where(F.col("batch_id") == earlier[-1])
-        current_end = max(current_end, before.agg(F.max("timestamp")).first()[0] or 0)
-    current = log.read().where(F.col("window_end_ms") == F.lit(current_end))
-    snap = top_per_window(current, k).select(
-        F.col("window_end_ms").alias("timestamp"), "id", "ticker", "frequency", "sentiment",
-        F.current_timestamp().alias("written_at"))
-    snapshots.write_batch(snap, batch_id)
-
-
-def run_top_trending_panes(spark: SparkSession, posts: DataFrame, panes_path: str, counts_path: str,
-                           snapshots_path: str, checkpoint: str, window: str = "10 minutes",
-                           slide: str = "5 seconds", k: int = 5, available_now: bool = True,
-                           processing_time: str = "5 seconds", lexicon: Lexicon = DEFAULT_LEXICON,
-                           state_partitions: int | None = None, watermark: str | None = None):
-    """Pane form of the sliding top-k (STM-4 at scale).
-
-    The stream keeps one state row per (ticker, slide-sized pane) instead of
-    one per (ticker, window): window/slide times less state. Each micro-batch
-    upserts its changed panes, then recomputes only the windows those panes
-    touch from the pane log restricted to the batch's pane range (a pushed-down
-    range filter), upserts them into the window-count log and appends the
-    current top-k snapshot. Returns ``(query, counts KeyedLog)``."""
-    w_s, s_s = _seconds(window), _seconds(slide)
-    if w_s % s_s:
-        raise ValueError("window must be a multiple of slide")
-    n_win = w_s // s_s
-    panes_log = KeyedLog(spark, panes_path, ["ticker", "pane"])
-    counts_log = KeyedLog(spark, counts_path, ["window_end_ms", "ticker"])
+    return start_stream(w, spark, state_partitions)
+
+
+def _read(spark: SparkSession, path: str, schema: str, days: tuple[int, int] | None) -> DataFrame:
+    rows = spark.read.schema(f"{schema}, block long, batch_id long").parquet(path)
+    if days is not None:
+        rows = rows.where(F.col("block").between(*days))
+    return rows.drop("block", "batch_id")
+
 
+def read_snapshots(spark: SparkSession, path: str, days: tuple[int, int] | None = None) -> DataFrame:
+    """All snapshots, or those of some days (since 1970), whose folders alone are opened."""
+    return _read(spark, path, SNAPSHOTS, days)
+
+
+def read_counts(spark: SparkSession, path: str, days: tuple[int, int] | None = None) -> DataFrame:
+    """The counts of all finished windows, or of those that end on some days."""
+    return _read(spark, path, COUNTS, days)
+
+
+def stream_sliding_counts(posts: DataFrame, window: str = "10 minutes", slide: str = "5 seconds",
+                          lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
+    """The same counts as a running aggregate: each change of a window at once
+    (update mode), also of late posts, at the price of a state that keeps every
+    window."""
     occ = occurrences_at_time(posts, lexicon)
-    sums = (F.count(F.lit(1)).alias("n"), F.sum("score").cast("long").alias("sc"))
-    if watermark is None:
-        pane = F.floor(F.timestamp_diff("SECOND", _epoch_ntz(), F.col("ts")) / s_s)
-        panes = occ.select("ticker", pane.alias("pane"), "score").groupBy("ticker", "pane").agg(*sums)
-    else:  # event-time windows of one slide, which the watermark takes out of the state
-        timed = occ.withColumn("ts", wall_clock_instant(F.col("ts"))).withWatermark("ts", watermark)
-        panes = timed.groupBy("ticker", F.window("ts", slide).alias("w")).agg(*sums)
-        start = F.timestamp_diff("SECOND", _epoch_ntz(), instant_wall_clock(F.col("w.start")))
-        panes = panes.select("ticker", F.floor(start / s_s).alias("pane"), "n", "sc")
-
-    def per_batch(changed: DataFrame, batch_id: int) -> None:
-        changed.persist()
-        try:
-            panes_log.write_batch(changed, batch_id)
-            lo, hi = changed.agg(F.min("pane"), F.max("pane")).first()
-            if lo is None:
-                return
-            touched = (changed.select("ticker", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + n_win))
-                                      .alias("end")).distinct())
-            near = panes_log.read().where(F.col("pane").between(lo - n_win + 1, hi + n_win - 1))
-            wins = (near.select("ticker", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + n_win)).alias("end"),
-                                "n", "sc")
-                    .join(touched, ["ticker", "end"], "left_semi")
-                    .groupBy("ticker", "end").agg(F.sum("n").alias("frequency"), F.sum("sc").alias("sentiment")))
-            out = wins.select("ticker", (F.col("end") * (s_s * 1000)).alias("window_end_ms"), "frequency",
-                              "sentiment")
-            counts_log.write_batch(out, batch_id)
-            _snapshot(counts_log, out, batch_id, snapshots_path, k, w_s * 1000, s_s * 1000)
-        finally:
-            changed.unpersist()
+    agg = (occ.groupBy(F.window("ts", window, slide).alias("w"), "ticker")
+           .agg(F.count(F.lit(1)).alias("frequency"), F.sum("score").cast("long").alias("sentiment")))
+    return agg.select("ticker", F.timestamp_diff("MILLISECOND", _epoch_ntz(), F.col("w.end")).alias("window_end_ms"),
+                      "frequency", "sentiment")
 
-    w = (panes.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(per_batch))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return start_stream(w, spark, state_partitions), counts_log
 
+def run_sliding_counts(spark: SparkSession, posts: DataFrame, counts_path: str, checkpoint: str,
+                       window: str = "10 minutes", slide: str = "5 seconds", available_now: bool = True,
+                       processing_time: str = "5 seconds", state_partitions: int | None = None):
+    """Start the running form into a table cut by day. Returns ``(query, BlockTable)``."""
+    counts = stream_sliding_counts(posts, window, slide)
+    table = BlockTable(spark, counts_path, ["window_end_ms", "ticker"], F.lpad(_day("window_end_ms").cast("string"), 6, "0"), counts.schema)
+    w = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(table.merge))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return start_stream(w, spark, state_partitions), table
