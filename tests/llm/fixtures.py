@@ -7,7 +7,7 @@ import string
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names the operators use inside.
-CLASHING = ["key", "mini", "n", "leaf", "masked", "rep", "component", "_text", "_words", "size", "block", "copy", "rank", "tokens", "digest", "x0", "bin", "id"]
+CLASHING = ["row", "_a", "_id", "_row_key", "_kept", "_changed", "_gone", "kept", "text_", "a.b", "key", "mini", "n", "leaf", "masked", "rep", "component", "_text", "_words", "size", "block", "copy", "rank", "tokens", "digest", "x0", "bin", "id"]
 
 
 def vocabulary(rng: random.Random, n: int) -> list[str]:

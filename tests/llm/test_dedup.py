@@ -8,6 +8,7 @@ import re
 from collections import defaultdict
 
 import pytest
+import xxhash
 from fixtures import SCHEMA, awkward, corpus, edited, prose, rows_of, vocabulary, with_clashes
 
 from tickerlens.llm import line_templates, minmax_dedup, substring_dedup
@@ -16,16 +17,23 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NULL = -(2**63)
 
 
-def by_id(rows) -> list[tuple[int, str | None]]:
-    texts = defaultdict(list)
-    for row in rows:
-        texts[NULL if row[0] is None else row[0]].append(row[1])
-    return sorted((k, min((t for t in v if t is not None), default=None)) for k, v in texts.items())
+def key_of(row) -> tuple[int, int]:
+    """The id, and a hash of the text as Spark has it, which orders the texts of an id."""
+    text_hash = 42 if row[1] is None else xxhash.xxh64_intdigest(row[1].encode(), 42)
+    return NULL if row[0] is None else row[0], text_hash - 2**64 * (text_hash >= 2**63)
+
+
+def documents(rows) -> list[tuple[tuple[int, int], str | None]]:
+    return sorted({key_of(r): r[1] for r in rows}.items())
+
+
+def each_row(rows, found: dict) -> list[tuple]:
+    return sorted(((r[0], *found[key_of(r)]) for r in rows), key=repr)
 
 
 def windows_brute(rows, window=20):
-    seen, out = set(), []
-    for doc, text in by_id(rows):
+    seen, out = set(), {}
+    for doc, text in documents(rows):
         words = WORD.findall(text or "")
         gone = set()
         for i in range(len(words) - window + 1):
@@ -34,11 +42,22 @@ def windows_brute(rows, window=20):
                 gone.update(range(i, i + window))
             seen.add(w)
         kept = " ".join(x for i, x in enumerate(words) if i not in gone)
-        out.append((None if doc == NULL else doc, len(words), len(gone), kept))
-    return sorted(out, key=repr)
+        out[doc] = (len(words), len(gone), kept)
+    return each_row(rows, out)
+
+
+#: Ids and texts that meet in all ways: shared, null, repeated, copied under another id.
+def shared_ids(seed=31):
+    rng = random.Random(seed)
+    words = vocabulary(rng, 3000)
+    own = [prose(rng, words, 60).replace("\n", " ") for _ in range(8)]
+    ids = [None, None, None, 5, 5, 5, 9, 10]
+    rows = [(i, t, "en", "s", len(t)) for i, t in zip(ids, own, strict=True)]
+    rows += [(7, own[4], "en", "s", 1), rows[0], rows[7], rows[7], (5, own[0] + " end", "en", "s", 1), (None, own[3], "en", "s", 1)]
+    return rows + [(None, None, None, None, None), (None, "", "en", "s", 0), (5, "", "en", "s", 0), (5, None, "en", "s", 0)]
 
 
-@pytest.mark.parametrize("rows", [corpus(1), corpus(2), awkward()], ids=["corpus1", "corpus2", "awkward"])
+@pytest.mark.parametrize("rows", [corpus(1), corpus(2), awkward(), shared_ids()], ids=["corpus1", "corpus2", "awkward", "shared"])
 @pytest.mark.parametrize("hot", [1000, 1])
 def test_repeated_windows(spark, rows, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "HOT", hot)
@@ -74,7 +93,7 @@ def test_super_kmers_cover_every_window_once():
 
 def lines_brute(rows, depth=3, min_tokens=4, min_docs=8, stable=0.6):
     lines = []
-    for doc, text in by_id(rows):
+    for doc, text in documents(rows):
         for at, line in enumerate((text or "").split("\n")):
             tokens = WORD.findall(line)
             if len(tokens) >= min_tokens:
@@ -97,11 +116,11 @@ def lines_brute(rows, depth=3, min_tokens=4, min_docs=8, stable=0.6):
             if len({d for d, _ in where}) >= min_docs:
                 for doc, at in sorted(where)[1:]:
                     gone[doc].add(at)
-    out = []
-    for doc, text in by_id(rows):
+    out = {}
+    for doc, text in documents(rows):
         kept = text if not gone[doc] else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[doc])
-        out.append((None if doc == NULL else doc, len(text.split("\n")) if text else 0, len(gone[doc]), kept))
-    return sorted(out, key=repr)
+        out[doc] = (len(text.split("\n")) if text else 0, len(gone[doc]), kept)
+    return each_row(rows, out)
 
 
 def log_lines(seed=5, n=40):
@@ -119,7 +138,7 @@ def log_lines(seed=5, n=40):
     return rows
 
 
-@pytest.mark.parametrize("rows", [corpus(4), log_lines(), awkward()], ids=["corpus", "logs", "awkward"])
+@pytest.mark.parametrize("rows", [corpus(4), log_lines(), awkward(), shared_ids()], ids=["corpus", "logs", "awkward", "shared"])
 @pytest.mark.parametrize("min_docs", [2, 8])
 def test_recurring_lines(spark, rows, min_docs):
     docs = with_clashes(spark.createDataFrame(rows, SCHEMA))
@@ -154,6 +173,7 @@ def test_line_stage_keeps_columns(spark):
     docs = with_clashes(spark.createDataFrame(rows, SCHEMA))
     out = line_templates.without_recurring_lines(docs)
     assert out.columns == docs.columns and out.count() == len(rows)
+    assert {r[c] for r in out.collect() for c in docs.columns[5:]} == {"clash"}
     for r in out.where("doc_id between 20 and 30").collect():
         assert r["n_chars"] in (0, len(r["text"]))
 
@@ -163,24 +183,21 @@ def test_line_stage_keeps_columns(spark):
 
 def near_brute(rows, n, share):
     part, whole = share
-    sets, classes = {}, {}
-    for doc, text in ((NULL if r[0] is None else r[0], r[1]) for r in rows):
+    sets = {}
+    for doc, text in documents(rows):
         words = WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
-        mark = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-        if doc not in classes or mark < classes[doc]:
-            classes[doc] = mark
-            sets[doc] = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if len(words) >= n else {tuple(words)} if words else set()
+        sets[doc] = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if len(words) >= n else {tuple(words)} if words else set()
     label = {d: d for d in sets}
     ids = sorted(sets)
     links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if sets[a] and sets[b] and whole * len(sets[a] & sets[b]) >= part * len(sets[a] | sets[b])]
     for _ in ids:
         for a, b in links:
             label[a] = label[b] = min(label[a], label[b])
-    out = lambda d: None if d == NULL else d
-    return sorted(((out(d), len(sets[d]), out(label[d]), label[d] == d) for d in ids), key=repr)
+    out = lambda d: None if d[0] == NULL else d[0]
+    return each_row(rows, {d: (len(sets[d]), out(label[d]), label[d] == d) for d in ids})
 
 
-@pytest.mark.parametrize("rows", [corpus(6, 120), corpus(7, 120), awkward()], ids=["corpus1", "corpus2", "awkward"])
+@pytest.mark.parametrize("rows", [corpus(6, 120), corpus(7, 120), awkward(), shared_ids()], ids=["corpus1", "corpus2", "awkward", "shared"])
 @pytest.mark.parametrize("n, share, band_rows", [(3, (85, 100), 5), (5, (4, 5), 4)])
 def test_near_duplicates(spark, rows, n, share, band_rows):
     docs = with_clashes(spark.createDataFrame(rows, SCHEMA))
@@ -214,7 +231,9 @@ def test_near_stage_keeps_columns_and_clean_rows(spark):
     docs = with_clashes(spark.createDataFrame(rows, SCHEMA))
     out = minmax_dedup.keep_first(docs, n=3, share=(85, 100), rows=5)
     assert out.columns == docs.columns
-    assert sorted(r["doc_id"] for r in out.collect()) == sorted(r[0] for r in near_brute(rows, 3, (85, 100)) if r[3])
+    once = {key_of(r): r for r in rows}.values()  # of rows with one id and text one stays
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(r[0] for r in near_brute(once, 3, (85, 100)) if r[3])
+    assert {r[c] for r in out.collect() for c in docs.columns[5:]} == {"clash"}
 
 
 def test_stages_work_row_by_row_where_ids_are_shared_or_null(spark):
@@ -236,13 +255,16 @@ def test_stages_work_row_by_row_where_ids_are_shared_or_null(spark):
     assert sorted(texts) == sorted([*own, "", ""])
 
 
-def test_row_keys_beside_extreme_ids(spark):
-    from tickerlens.llm.common import with_row_key
+def test_row_keys_are_in_the_order_of_ids(spark):
+    from tickerlens.llm.common import rows_of_texts
 
-    for top in (7, 2**63 - 1):
-        rows = [(i, t, None, None, None) for i in (top, 3, None) for t in ("a", "b", None)]
-        keys = [r["k"] for r in with_row_key(spark.createDataFrame(rows, SCHEMA), "k").collect()]
-        assert len(set(keys)) == 9 and {top, 3, NULL} < set(keys)
+    rows = [(i, t, None, None, None) for i in (2**63 - 1, 3, -7, None) for t in ("a", "b", None)]
+    keyed = rows_of_texts(spark.createDataFrame(rows + rows[:2], SCHEMA))
+    keys = {(r["id"], r["text"]): r["key"] for r in keyed.frame.collect()}
+    assert keyed.made and keyed.repeated and len(set(keys.values())) == 12 and keyed.frame.count() == 14
+    assert [i for i, _ in sorted(keys, key=keys.get)] == sorted(i for i, _ in keys)
+    plain = rows_of_texts(spark.createDataFrame([(4, "a", None, None, None), (None, "a", None, None, None)], SCHEMA))
+    assert not plain.made and {(r["key"], r["id"]) for r in plain.frame.collect()} == {(4, 4), (NULL, NULL)}
 
 
 def test_min_max_estimates_are_unbiased():

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from fixtures import SCHEMA, awkward, corpus, rows_of, with_clashes
-from test_dedup import lines_brute, near_brute
+from test_dedup import key_of, lines_brute, near_brute
 from test_text_operators import check_packing
 
 from tickerlens.llm import common, minmax_dedup, packing, quality_rules, vector_range_join
@@ -37,12 +37,13 @@ ODD_VECTORS = [
 
 
 def vectors_brute(rows, cosine=0.93):
+    """Equal rows are one vector; of those that share an id and differ, ``n_links`` and the component alone are told."""
+    key = lambda r: (NULL if r[0] is None else r[0], repr(r[1:]))
     own = {}
-    for vec_id, v, label in rows:
-        vec_id = NULL if vec_id is None else vec_id
+    for r in rows:
+        _, v, label = r
         good = v and label is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)
-        if vec_id not in own or good:
-            own[vec_id] = (label, np.array(v, float)) if good else None
+        own[key(r)] = (label, np.array(v, float)) if good else None
     ids, links, label = sorted(own), Counter(), {i: i for i in own}
     pairs = []
     for k, a in enumerate(ids):
@@ -57,8 +58,13 @@ def vectors_brute(rows, cosine=0.93):
             label[a] = label[b] = min(label[a], label[b])
         if before == label:
             break
-    out = lambda d: None if d == NULL else d
-    return sorted(((out(i), links[i], out(label[i]), label[i] == i) for i in ids), key=repr)
+    out = lambda d: None if d[0] == NULL else d[0]
+    return sorted(((r[0], links[key(r)], out(label[key(r)]), label[key(r)] == key(r)) for r in rows), key=repr)
+
+
+def test_vectors_that_share_an_id(spark):
+    rows = [(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (None, [1.0, 0.1], 1), (None, [-1.0, 0.0], 1), (9, [0.1, 1.0], 1), (9, [0.1, 1.0], 1), (5, None, 1)]
+    assert rows_of(vector_range_join.link_vectors(spark.createDataFrame(rows, VECTORS))) == vectors_brute(rows)
 
 
 @pytest.mark.parametrize("cell, block", [(4096, 4096), (20, 4096), (50, 16)])
@@ -117,8 +123,9 @@ def test_stages_against_brute_force(spark, tmp_path):
         kept.append([tuple(r) for r in docs.collect()])
     good = {r["doc_id"] for r in quality_rules.judge(spark.createDataFrame(rows, SCHEMA)).where("kept").collect()}
     assert sorted(r[0] for r in kept[0]) == sorted(r[0] for r in rows if r[0] in good)
-    assert {r[0]: r[1] for r in kept[1]} == {d: t for d, _, _, t in lines_brute(kept[0])}
-    assert sorted(r[0] for r in kept[2]) == sorted(d for d, _, _, first in near_brute(kept[1], 5, (4, 5)) if first)
+    assert sorted(((r[0], r[1]) for r in kept[1]), key=repr) == sorted(((d, t) for d, _, _, t in lines_brute(kept[0])), key=repr)
+    once = {key_of(r): r for r in kept[1]}.values()
+    assert sorted(r[0] for r in kept[2]) == sorted(d for d, _, _, first in near_brute(once, 5, (4, 5)) if first)
     copies = Counter(r[0] for r in kept[3])
     assert set(copies) == {r[0] for r in kept[2]} and max(copies.values()) <= corpus_pipeline.MAX_REPEATS + 1
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
@@ -136,7 +143,7 @@ def test_every_query_is_registered():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    assert sorted({int(n[2 : n.index("_")]) for n in names if n.startswith("op")}) == list(range(1, 11)) and "pipeline" in names
+    assert sorted({int(n[2 : n.index("_")]) for n in names if n.startswith("op")}) == list(range(1, 14)) and "pipeline" in names
 
 
 def test_defaults_of_near_duplicates():

@@ -7,7 +7,6 @@ on UTF-8 bytes and never need a regular expression to find words.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickerlens.session import checkpoint_root
+
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 #: Stands for a null id inside a job, so that ids can be join keys; sorts first.
@@ -28,12 +29,8 @@ U64 = np.uint64
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder, ``spark.checkpoint.dir``, which driver
-    and executors share; only a session without one (a test) gets its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="llm-checkpoint-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    and executors share; only a local session without one (a test) gets its own."""
+    return checkpoint_root(spark)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -55,40 +52,61 @@ def id_out(column: Column) -> Column:
     return F.when(column != NULL_ID, column)
 
 
-def documents_by_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text)``, spread by id.  Rows that share an id (null is one
-    too) are one document; its text is the least non-null one among them."""
-    rows = df.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.groupBy("doc_id").agg(F.min("text").alias("text"))
-
-
-def with_row_key(df: DataFrame, name: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with a key ``name`` that rows share only if id and text are equal.
-
-    It is the id, for the text of an id (null is one) whose hash is least; the
-    further texts get keys that are no ids, in the order of id and hash, above
-    all ids (below them where there is no room).  Only those few are joined."""
-    text = F.col(text_col).cast("string")
-    parts = {"_row_id": id_in(id_col), "_row_a": F.xxhash64(text), "_row_b": F.xxhash64(F.lit(1), text)}
-    marks = df.select(*(c.alias(n) for n, c in parts.items()))
-    both = F.struct("_row_a", "_row_b")
-    shared = marks.groupBy("_row_id").agg(F.min(both).alias("_row_least"), F.max(both).alias("_row_most")).where("_row_least <> _row_most")
-    further = spread_join(marks, shared, ["_row_id"], ["_row_a", "_row_b"]).where(both != F.col("_row_least")).select(*parts).distinct()
-    further = cut(further.repartitionByRange(*parts).sortWithinPartitions(*parts).withColumn("_row_at", F.monotonically_increasing_id()))
-    last = further.agg(F.max("_row_at")).first()[0]
-    if last is None:
-        return df.withColumn(name, parts["_row_id"])
-    low, high = marks.where(F.col("_row_id") != NULL_ID).agg(F.min("_row_id"), F.max("_row_id")).first()
-    if (high or 0) + 1 + last < 2**63:
-        made = F.lit((high or 0) + 1) + F.col("_row_at")
-    elif low - 1 - last > NULL_ID:
-        made = F.lit(low - 1 - last) + F.col("_row_at")
-    else:
-        raise ValueError(f"no room beside the ids {low} to {high} for the keys of {last + 1} further texts")
-    found = further.select(*parts, made.alias("_row_made"))
-    on = [c == found[n] for n, c in zip(parts, (id_in(df[id_col]), F.xxhash64(df[text_col].cast("string")), F.xxhash64(F.lit(1), df[text_col].cast("string"))), strict=True)]
-    joined = df.join(found, on, "left")
-    return joined.select(*(df[c] for c in df.columns), F.coalesce(found["_row_made"], id_in(df[id_col])).alias(name))
+class Rows:
+    """The rows of a table under a key of their own.
+
+    ``frame`` has ``key``, ``id`` (``NULL_ID`` for null), what ``values`` named
+    and, if ``whole``, the row itself as one struct ``row``, so that no column
+    of it can clash.  Rows share a key only if their ids and values are equal;
+    keys are in the order of ids, and among the rows of one id of a hash of
+    their values.  Where ids are unique, which is counted first on hashes, the
+    key is the id.  ``repeated`` tells whether some key has several rows, and
+    ``made`` whether keys are other than the ids.
+    """
+
+    def __init__(self, df: DataFrame, id_col: str, values: dict[str, Column], hashed: list[str] | None = None, whole: bool = False):
+        parts = [id_in(F.col(f"`{id_col}`")).alias("id"), *(c.alias(n) for n, c in values.items())]
+        if whole:
+            parts.append(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+        rows, by = df.select(*parts), hashed or list(values)
+        marks = [F.xxhash64(*by).alias("_a"), F.xxhash64(F.lit(1), *by).alias("_b")]
+        found = rows.select("id", *marks).groupBy("id").agg(F.count("*").alias("n"), *(f(c).alias(f"{f.__name__}{c}") for c in ("_a", "_b") for f in (F.min, F.max)))
+        differ = (F.col("min_a") != F.col("max_a")) | (F.col("min_b") != F.col("max_b"))
+        told = found.agg(F.max("n").alias("most"), F.max(differ).alias("differ")).first()
+        self.repeated, self.made = (told["most"] or 0) > 1, bool(told["differ"])
+        if not self.made:
+            self.frame = rows.select(F.col("id").alias("key"), *rows.columns)
+            return
+        order = ["id", "_a", "_b"]
+        keys = rows.select("id", *marks).distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+        keys = cut(keys.withColumn("key", F.monotonically_increasing_id()))
+        self.frame = rows.withColumns({"_a": marks[0], "_b": marks[1]}).join(keys, order).select("key", *rows.columns)
+
+    def documents(self) -> DataFrame:
+        """``(doc_id, text)`` by key, each once, spread by it."""
+        return self.frame.groupBy(F.col("key").alias("doc_id")).agg(F.min("text").alias("text"))
+
+    def handed_out(self, found: DataFrame, key: str, refers: str | None = None) -> DataFrame:
+        """``found``, one row for each ``key``, as rows of the table: ids for
+        keys, also in the column ``refers``, and rows as often as they repeat."""
+        if not self.made and not self.repeated:
+            out = found
+        else:
+            ids = self.frame.select(F.col("key").alias("_key"), F.col("id").alias("_id"))
+            if refers and self.made:
+                named = ids.dropDuplicates(["_key"]).withColumnsRenamed({"_key": refers, "_id": "_refers"})
+                own = found.where(F.col(refers) == F.col(key)).withColumn("_refers", F.lit(None).cast("long"))
+                others = spread_join(found.where(F.col(refers) != F.col(key)), named, [refers], [key]).select(*own.columns)
+                found = own.unionByName(others)
+            out = found.join(ids, found[key] == ids["_key"]).withColumn(key, F.col("_id"))
+            if refers and self.made:
+                out = out.withColumn(refers, F.coalesce("_refers", "_id"))
+            out = out.select(*(c for c in found.columns if c != "_refers"))
+        return out.withColumns({c: id_out(F.col(c)) for c in (key, refers) if c})
+
+
+def rows_of_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> Rows:
+    return Rows(df, id_col, {"text": F.col(f"`{text_col}`").cast("string")}, whole=whole)
 
 
 def words_of(text: str | bytes | None) -> list[bytes]:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import SALTS, binary, cut, documents_by_id, id_in, id_out, spread_join, with_row_key
+from tickerlens.llm.common import SALTS, binary, cut, rows_of_texts, spread_join
 
 DEPTH = 3
 MIN_TOKENS = 4
@@ -240,18 +240,8 @@ def _without_lines():
     return run
 
 
-def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, stable: float = STABLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_lines, n_dropped, kept_text)``, a row for each document.
-
-    Lines end at ``\\n``; those with fewer than ``min_tokens`` tokens have no
-    template and stay.  A null text stays null and has no lines, an empty one
-    too.  Rows that share an id (null is one, the least) are one document with
-    the least of their texts.  Of a template's occurrences the first stays, by
-    id and line, so ties can't occur; equal lines of one document count as one
-    document.  Texts are taken whole, whatever their length.  Other columns
-    are not read.  An empty table gives no rows.
-    """
-    texts = documents_by_id(docs, id_col, text_col)
+def _dropped(texts: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, stable: float = STABLE) -> DataFrame:
+    """``(doc_id, n_lines, n_dropped, kept_text)`` of texts with unique ids."""
     leaves = _leaves(texts, depth, min_tokens)
     common = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     wanted = spread_join(leaves, common, ["leaf"], ["doc_id"]).groupBy("doc_id").agg(F.collect_list("leaf").alias("leaves"))
@@ -259,21 +249,39 @@ def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int =
     recurring = templates(lines, depth, min_docs, stable).select("leaf", "masked", "keep")
     found = spread_join(lines, recurring, ["leaf", "masked"], ["doc_id"])
     gone = found.where(F.struct("doc_id", "line") != F.col("keep")).groupBy("doc_id").agg(F.collect_list("line").alias("gone"))
-    kept = texts.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(_without_lines(), "doc_id long, n_lines long, n_dropped long, kept_text string")
-    return kept.withColumn("doc_id", id_out(F.col("doc_id")))
+    return texts.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(_without_lines(), "doc_id long, n_lines long, n_dropped long, kept_text string")
+
+
+def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """``(doc_id, n_lines, n_dropped, kept_text)``, a row for each row of
+    ``docs``; ``parameters`` as ``_dropped`` has them.
+
+    Lines end at ``\\n``; those with fewer than ``min_tokens`` tokens have no
+    template and stay.  A null text stays null and has no lines, an empty one
+    too.  Of a template's occurrences the first stays, by id (null is the least)
+    and line; equal lines of one document count as one document.  Rows that
+    share an id and differ in their texts are documents of their own, in the
+    order of a hash of the text; equal rows are one document, whose result each
+    of them has.  Texts are taken whole, whatever their length.  Other columns
+    are not read, so their names can't clash.  An empty table gives no rows.
+    """
+    rows = rows_of_texts(docs, id_col, text_col)
+    return rows.handed_out(_dropped(rows.documents(), **parameters), "doc_id")
 
 
 def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", **parameters) -> DataFrame:
     """``docs`` with its columns, the recurring lines taken out of the texts
     (and ``length_col``, if there is such a column, set to their length).
-    Rows that share an id (null is one) and differ in their texts are documents
-    of their own, see ``with_row_key``; repeated rows are one document."""
-    keyed = with_row_key(docs, "_row_key", id_col, text_col)
-    changed = drop_recurring_lines(keyed, id_col="_row_key", text_col=text_col, **parameters).where("n_dropped > 0")
-    changed = changed.select(id_in("doc_id").alias("_changed"), F.col("kept_text").alias("_kept"))
-    joined = keyed.join(changed, F.col("_row_key") == F.col("_changed"), "left")
-    made = {text_col: F.coalesce(F.col("_kept"), F.col(text_col))}
+
+    Rows are told apart as in ``drop_recurring_lines``, which also says what
+    nulls, empty texts and ties give.  A row travels as one struct, so a column
+    may have any name.  An empty table gives no rows.
+    """
+    rows = rows_of_texts(docs, id_col, text_col, whole=True)
+    changed = _dropped(rows.documents(), **parameters).where("n_dropped > 0").select(F.col("doc_id").alias("key"), F.col("kept_text").alias("kept"))
+    joined = rows.frame.select("key", "row").join(changed, "key", "left")
+    made = {text_col: F.coalesce(F.col("kept"), F.col("row").getField(text_col))}
     if length_col in docs.columns:
-        length = F.length("_kept").cast(docs.schema[length_col].dataType)
-        made[length_col] = F.when(F.col("_kept").isNull(), F.col(length_col)).otherwise(length)
-    return joined.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))
+        length = F.length("kept").cast(docs.schema[length_col].dataType)
+        made[length_col] = F.when(F.col("kept").isNull(), F.col("row").getField(length_col)).otherwise(length)
+    return joined.select(*(made.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

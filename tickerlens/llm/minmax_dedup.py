@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import U64, Forest, components, cut, gram_hashes, grouped, id_in, id_out, mix, raw_texts, with_row_key, word_hashes
+from tickerlens.llm.common import U64, Forest, Rows, components, cut, gram_hashes, grouped, id_in, mix, raw_texts, rows_of_texts, spread_join, word_hashes
 
 PERMUTATIONS = 60
 ROWS = 4
@@ -206,20 +206,30 @@ def _links(least: float, share: tuple[int, int]):
 def near_duplicates(
     docs: DataFrame, n: int = 5, share: tuple[int, int] = (4, 5), permutations: int = PERMUTATIONS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, a row for each document.
+    """``(doc_id, n_shingles, component_id, kept)``, a row for each row of ``docs``.
 
     Documents are linked where the Jaccard similarity of their sets of
     lower-cased ``n``-word shingles is ``share`` (a fraction) or more;
     ``component_id`` is the least id that links reach, ``kept`` marks it.
 
     Null, empty and blank texts have empty sets and are linked with nothing,
-    so each stays.  Fewer than ``n`` words are one shingle.  Rows that share an
-    id (null is one, the least) are one document with the text whose digest is
-    least.  Equal texts are linked.  Texts are taken whole.  Other columns are
-    not read.  An empty table gives no rows.
+    so each stays.  Fewer than ``n`` words are one shingle.  Equal texts are
+    linked.  A null id is the least.  Rows that share an id and differ in their
+    texts are documents of their own; of those in one component the first by a
+    hash of the text is kept.  Equal rows are one document, whose result each of
+    them has.  Texts are taken whole.  Other columns are not read, so their
+    names can't clash.  An empty table gives no rows.
     """
+    found = rows_of_texts(docs, id_col, text_col)
+    out = _components(found, n, share, permutations, rows)
+    return found.handed_out(out, "doc_id", "component_id").select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _components(given: Rows, n: int = 5, share: tuple[int, int] = (4, 5), permutations: int = PERMUTATIONS, rows: int = ROWS) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` by key."""
     least = share[0] / share[1] - MARGIN
-    sketch = sketches(docs, n, permutations, rows, id_col, text_col)
+    texts = given.frame.select(F.col("key").alias("doc_id"), "text")
+    sketch = sketches(texts, n, permutations, rows)
     one = F.min(F.struct("digest", "n_shingles", "signature", "bands"))
     sketch = cut(sketch.groupBy("doc_id").agg(one.alias("s")).select("doc_id", "s.*"))
     classes = sketch.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
@@ -234,7 +244,8 @@ def near_duplicates(
     units = units.select("key", "band", "x", "y", "block", "doc_id", "signature", "bands")
     wanted = units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "doc_id").mapInArrow(_wanted(least), UNIT)
 
-    texts = docs.select(id_in(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if given.repeated:
+        texts = given.documents()
     needed = wanted.join(reps.select("doc_id", "digest", "signature", "bands"), "doc_id").join(texts, "doc_id")
     full = needed.select("key", "band", "x", "y", "block", "doc_id", "signature", "bands", "digest", "text")
     full = full.mapInArrow(_with_sets(n), UNIT + ", signature binary, bands array<long>, shingles binary")
@@ -244,22 +255,26 @@ def near_duplicates(
 
     found = components(links).withColumnRenamed("node", "rep")
     label = classes.join(found, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = sketch.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(label, "digest", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return out.select(id_out(F.col("doc_id")).alias("doc_id"), "n_shingles", id_out(F.col("component_id")).alias("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    # Texts without words belong to no class and don't meet in the join; a class of many copies is dealt out.
+    told = spread_join(sketch.where("n_shingles > 0").select("doc_id", "n_shingles", "digest"), label, ["digest"], ["doc_id"])
+    blank = sketch.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = told.select("doc_id", "n_shingles", F.col("component").alias("component_id")).unionByName(blank)
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, where rows that
-    share an id (null is one) and differ in their texts are documents of their
-    own, see ``with_row_key``.  Of rows with one id and text one stays, the
-    least as JSON, unless the text is blank."""
-    keyed = with_row_key(docs, "_row_key", id_col, text_col)
-    gone = near_duplicates(keyed, id_col="_row_key", text_col=text_col, **parameters).where("not kept").select(id_in("doc_id").alias("_gone"))
-    kept = keyed.join(gone, F.col("_row_key") == F.col("_gone"), "left_anti")
-    repeated = cut(keyed.where(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]")).groupBy("_row_key").agg(F.count("*").alias("_rows")).where("_rows > 1").select("_row_key"))
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    row = F.struct(*docs.columns)
-    one = kept.join(repeated, "_row_key", "left_semi").groupBy("_row_key").agg(F.min_by(row, F.to_json(row)).alias("_row"))
-    return kept.join(repeated, "_row_key", "left_anti").select(*docs.columns).union(one.select("_row.*"))
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with their columns.
+
+    Rows are told apart as there, which also says what nulls, empty texts and
+    ties give; of rows with one id and text one stays, the least as JSON, unless
+    the text is blank.  A row travels as one struct, so a column may have any
+    name.  An empty table gives no rows.
+    """
+    given = rows_of_texts(docs, id_col, text_col, whole=True)
+    gone = _components(given, **parameters).where("not kept").select(F.col("doc_id").alias("key"))
+    kept = given.frame.join(gone, "key", "left_anti")
+    if given.repeated:
+        worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+        one = kept.where(worded).groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+        kept = kept.where(F.col("text").isNull() | ~worded).select("row").unionByName(one)
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

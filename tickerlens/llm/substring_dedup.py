@@ -26,10 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import U64, documents_by_id, gram_hashes, grouped, id_out, raw_texts, signed, word_hashes, words_of
+from tickerlens.llm.common import U64, gram_hashes, grouped, raw_texts, rows_of_texts, signed, spread_join, word_hashes, words_of
 
 WINDOW = 20
 GRAM = 8
@@ -198,22 +198,24 @@ def _remove(window: int):
 
 
 def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept_text)``, a row for each document;
-    ``kept_text`` is the words that stay, joined by one blank.
+    """``(doc_id, n_words, n_removed, kept_text)``, a row for each row of
+    ``docs``; ``kept_text`` is the words that stay, joined by one blank.
 
     A null text has no words, nor has an empty one; texts shorter than a
-    window lose nothing.  Rows that share an id (null is one, the least) are
-    one document with the least of their texts.  Of equal windows the first
-    stays, by id and then by place, so ties can't occur.  Texts are taken
-    whole, whatever their length.  Other columns are not read.  An empty table
-    gives no rows.
+    window lose nothing.  Of equal windows the first stays, by id (null is the
+    least) and then by place.  Rows that share an id and differ in their texts
+    are documents of their own, in the order of a hash of the text; equal rows
+    are one document, whose result each of them has.  Texts are taken whole,
+    whatever their length.  Other columns are not read, so their names can't
+    clash.  An empty table gives no rows.
     """
-    texts = documents_by_id(docs, id_col, text_col)
+    rows = rows_of_texts(docs, id_col, text_col)
+    texts = rows.documents()
     minis = _minimisers(texts, window, gram)
-    # One exchange of (id, hash, number) rows; their texts stay where they are.
-    total = F.sum("n").over(Window.partitionBy("mini"))
+    # Rows of (id, hash, number), summed up before they meet; their texts stay where they are.
+    often = minis.groupBy("mini").agg(F.sum("n").alias("total")).where("total > 1")
     wanted = (
-        minis.withColumn("total", total).where("total > 1")
+        spread_join(minis, often, ["mini"], ["doc_id"])
         .groupBy("doc_id").agg(F.collect_list(F.struct("mini", (F.col("total") > HOT).alias("hot"))).alias("found"))
         .select("doc_id", F.col("found.mini").alias("minis"), F.col("found.hot").alias("hots"))
     )
@@ -223,4 +225,4 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = G
     spans = units.repartition("key").sortWithinPartitions("key").mapInArrow(_sort_buckets(window), "doc_id long, start long, n long")
     by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     kept = texts.join(by_doc, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, kept_text string")
-    return kept.withColumn("doc_id", id_out(F.col("doc_id")))
+    return rows.handed_out(kept, "doc_id")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import components, cut, grouped, id_in, id_out
+from tickerlens.llm.common import Rows, components, cut, grouped, spread_join
 
 CELL = 4096
 BLOCK = 4096
@@ -47,9 +47,9 @@ def unit_vector(values: list | None) -> np.ndarray | None:
     return v / math.sqrt(float(v @ v)) + 0.0  # + 0.0: no negative zeros, which would tell equal vectors apart
 
 
-def _prepared(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """``(vec_id, label, dims, digest, vec)``: unit vectors as bytes, null for
-    those that link with nothing."""
+def _prepared(rows: DataFrame) -> DataFrame:
+    """``(vec_id, label, dims, digest, vec)`` by key: unit vectors as bytes,
+    null for those that link with nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,8 +63,7 @@ def _prepared(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) ->
                 vecs.append(raw)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dims, pa.int32()), pa.array(digests, pa.binary()), pa.array(vecs, pa.binary())], ["vec_id", "label", "dims", "digest", "vec"])
 
-    given = vectors.select(id_in(id_col).alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.col(vec_col).cast("array<double>").alias("v"))
-    return given.mapInArrow(run, "vec_id long, label long, dims int, digest binary, vec binary")
+    return rows.select(F.col("key").alias("vec_id"), "label", "values").mapInArrow(run, "vec_id long, label long, dims int, digest binary, vec binary")
 
 
 def choose_pivots(reps: DataFrame, cell: int = CELL, most: int = MAX_PIVOTS) -> dict[tuple[int, int], np.ndarray]:
@@ -160,18 +159,23 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
     ``n_links`` counts a vector's links, ``component_id`` is the least id that
     links reach, ``kept`` marks it.  Null labels, and vectors that are null,
     empty, zero or hold a null or a non-finite value, link with nothing.
-    Vectors of unequal length are never linked.  Rows that share an id (null
-    is one, the least) are one vector, the one with the least label and bytes
-    (nulls last).  Other columns are not read; no rows give no rows.
+    Vectors of unequal length are never linked.  A null id is the least.  Rows
+    that share an id and differ in label or values are vectors of their own; of
+    those in one component the first by a hash of them is kept.  Equal rows are
+    one vector, whose result each of them has.  Other columns are not read, so
+    their names can't clash; no rows give no rows.
     """
     radius = math.sqrt(2 - 2 * cosine)
-    rows = _prepared(vectors, id_col, vec_col, label_col)
-    valid = F.col("vec").isNotNull()
-    rows = rows.groupBy("vec_id").agg(F.min(F.when(valid, F.struct("label", "dims", "digest", "vec"))).alias("r"))
-    rows = cut(rows.select("vec_id", "r.*"))
+    values = F.col(f"`{vec_col}`").cast("array<double>")
+    given = Rows(vectors, id_col, {"label": F.col(f"`{label_col}`").cast("long"), "values": values})
+    rows = _prepared(given.frame)
+    if given.repeated:
+        one = F.min(F.struct("label", "dims", "digest", "vec"))
+        rows = rows.groupBy("vec_id").agg(one.alias("r")).select("vec_id", "r.*")
+    rows = cut(rows)
     # Proportional vectors are linked too, but as other vectors: a class is equal values.
     classes = rows.where("vec is not null").groupBy("label", "dims", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    chosen = rows.join(classes, ["label", "dims", "digest"]).where("vec_id = rep").select("label", "dims", "rep", "copies", "vec")
+    chosen = rows.join(classes.select(F.col("rep").alias("vec_id"), "copies"), "vec_id").select("label", "dims", F.col("vec_id").alias("rep"), "copies", "vec")
     chosen = cut(chosen)
     dealt = cut(chosen.mapInArrow(_dealt(choose_pivots(chosen), radius), UNIT))
     sizes = dealt.groupBy("label", "dims", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
@@ -190,6 +194,9 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
         classes.join(counts, "rep", "left").join(parts, "rep", "left")
         .select("label", "dims", "digest", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     )
-    out = rows.join(of_class, ["label", "dims", "digest"], "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-    return out.select(id_out(F.col("vec_id")).alias("vec_id"), "n_links", id_out(F.col("component_id")).alias("component_id"), (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    # What links with nothing is in no class and doesn't meet in the join; a class of many copies is dealt out.
+    linked = spread_join(rows.where("vec is not null").select("vec_id", "label", "dims", "digest"), of_class, ["label", "dims", "digest"], ["vec_id"])
+    alone = rows.where("vec is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = linked.select("vec_id", "n_links", F.col("component").alias("component_id")).unionByName(alone)
+    out = out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return given.handed_out(out, "vec_id", "component_id").select("vec_id", "n_links", "component_id", "kept")
