@@ -104,6 +104,75 @@ def test_work_ends_on_cycles_and_noise():
     assert secret_scan.scan(bomb.encode())[2] >= 1
 
 
+def found_in(text: str) -> set[tuple[str, int, int]]:
+    raw = text.encode()
+    spans = secret_scan._as_text(raw, secret_scan.scan(raw)[1])
+    return {(k, int(a), int(b)) for k, a, b in (x.split(":") for x in spans.split(",") if x)}
+
+
+def wrapped(raw: bytes, width: int = 76, between: str = "\n") -> str:
+    run = b64(raw)
+    return between.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+def test_every_member_of_compressed_data():
+    import bz2
+    import lzma
+
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        run = b64(pack(b"nothing here") + pack(SECRET.encode()) + pack(b"nor here"))
+        assert found_in(f"é {run}.") == {("assign", 2, 2 + len(run))}, pack
+        cut = b64(pack((SECRET + "\n" + "".join(map(chr, range(40, 120)))).encode())[:-3])
+        assert found_in(cut) in ({("assign", 0, len(cut))}, set() if pack in (bz2.compress, lzma.compress) else None)
+
+
+def test_unpacked_data_of_any_length(monkeypatch):
+    monkeypatch.setattr(secret_scan, "PIECE", 5000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 200)
+    monkeypatch.setattr(secret_scan, "STEP", 700)
+    for at in (0, 4980, 5000, 23_456):
+        run = b64(gzip.compress(b"-" * at + SECRET.encode() + b"-" * 9000))
+        assert found_in(run) == {("assign", 0, len(run))}
+
+
+@pytest.mark.parametrize("between", ["\n", "\r\n", "\n    "])
+def test_wrapped_base64(between):
+    filler = "a line of words that goes on and on, " * 4
+    text = "é\n" + wrapped(f"{filler}{SECRET} {filler}".encode(), 76, between) + "\nThen words follow."
+    spans = found_in(text)
+    assert len(spans) == 1
+    kind, start, end = spans.pop()
+    assert kind == "assign"
+    joined = "".join(text[start:end].split())
+    assert SECRET.encode() in b"".join(base64.b64decode(joined[i:] + "=" * (-len(joined[i:]) % 4)) for i in [0])
+    packed = "x\n" + wrapped(gzip.compress((" ".join(map(str, random.Random(1).sample(range(10**6), 60))) + " " + SECRET).encode()), 64, between) + "\nThen words follow."
+    assert [k for k, *_ in found_in(packed)] == ["assign"]
+
+
+@pytest.mark.parametrize("before", ["cb/", "key_", "a-", "data/v1_x-", "abc", "ab", "q"])
+def test_base64_behind_other_characters(before):
+    run = b64(f"the {SECRET} of the day".encode())
+    spans = found_in(f"u {before}{run} v")
+    assert [k for k, *_ in spans] == ["assign"]
+    _, start, end = spans.pop()
+    assert 2 <= start < end <= 2 + len(before) + len(run) and end - start <= len(b64(SECRET.encode())) + 8
+
+
+def test_layers_are_counted_once():
+    text = f"{b64(SECRET.encode() * 2)} {b64(b64(SECRET.encode() * 2).encode())}"
+    assert secret_scan.scan(text.encode())[2] == 2
+
+
+def test_long_runs_are_read_in_time():
+    import time
+
+    began = time.perf_counter()
+    for text in ("x" * 300_000, ("y" * 76 + "\n") * 4000, "/".join(["z" * 15] * 4000), "é" * 10 + f"{SECRET} " * 20_000):
+        secret_scan.scan(text.encode())
+        found_in(text)
+    assert time.perf_counter() - began < 60
+
+
 # ---------------------------------------------------------------- quality
 
 
