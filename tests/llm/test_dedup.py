@@ -91,13 +91,13 @@ def test_super_kmers_cover_every_window_once():
 # ------------------------------------------------------------------ lines
 
 
-def lines_brute(rows, depth=3, min_tokens=4, min_docs=8, stable=0.6):
+def lines_brute(rows, depth=3, min_tokens=4, min_docs=8, stable=0.6, long_tokens=20, long_docs=3, short_docs=64):
     lines = []
     for doc, text in documents(rows):
         for at, line in enumerate((text or "").split("\n")):
             tokens = WORD.findall(line)
-            if len(tokens) >= min_tokens:
-                lines.append((doc, at, tuple("<*>" if re.search("[0-9]", t) else t for t in tokens)))
+            if tokens:
+                lines.append((doc, at, tuple("<*>" if len(tokens) >= min_tokens and re.search("[0-9]", t) else t for t in tokens)))
     leaves = defaultdict(list)
     for doc, at, tokens in lines:
         leaves[len(tokens), tokens[:depth]].append((doc, at, tokens))
@@ -112,10 +112,21 @@ def lines_brute(rows, depth=3, min_tokens=4, min_docs=8, stable=0.6):
         groups = defaultdict(list)
         for doc, at, tokens in found:
             groups[None if stay >= stable * places else tokens].append((doc, at))
-        for where in groups.values():
-            if len({d for d, _ in where}) >= min_docs:
+        tokens = len(found[0][2])
+        need = short_docs if tokens < min_tokens else min_docs
+        for general, where in groups.items():
+            if len({d for d, _ in where}) >= need:
                 for doc, at in sorted(where)[1:]:
                     gone[doc].add(at)
+            elif tokens >= long_tokens:  # by the very line
+                exact = defaultdict(list)
+                for doc, at, masked in found:
+                    if general is None or masked == general:
+                        exact[masked].append((doc, at))
+                for same in exact.values():
+                    if len({d for d, _ in same}) >= long_docs:
+                        for doc, at in sorted(same)[1:]:
+                            gone[doc].add(at)
     out = {}
     for doc, text in documents(rows):
         kept = text if not gone[doc] else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[doc])
@@ -168,6 +179,20 @@ def test_outliers_break_no_template(spark):
     assert {i for i, n in dropped.items() if not n} == {0, 17, 26, 27, 28}
 
 
+def test_long_and_short_lines(spark):
+    rng = random.Random(17)
+    words = vocabulary(rng, 2000)
+    long = " ".join(rng.choices(words, k=60))
+    rows = [(i, "\n".join([prose(rng, words, 9).replace("\n", " "), *([long] if i % 10 == 3 else []), "Home", *(["Next page"] if i < 30 else []), f"page {i}", "7"]), "en", "s", 0) for i in range(70)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = line_templates.drop_recurring_lines(docs)
+    assert rows_of(out) == lines_brute(rows)
+    kept = "\n".join(r["kept_text"] for r in out.collect()).split("\n")
+    assert kept.count(long) == 1 and kept.count("Home") == 1 and kept.count("7") == 1 and kept.count("Next page") == 30
+    assert sum(x.startswith("page ") for x in kept) == 70
+    assert rows_of(line_templates.drop_recurring_lines(docs, long_docs=8, short_docs=20)) == lines_brute(rows, long_docs=8, short_docs=20)
+
+
 def test_line_stage_keeps_columns(spark):
     rows = log_lines() + awkward()
     docs = with_clashes(spark.createDataFrame(rows, SCHEMA))

@@ -12,7 +12,10 @@ become ``<*>``, and what ``MIN_DOCS`` documents then share is a template, if
 frequent one joins it, and so does every other masked line of the leaf, so that
 variants and foreign lines open no template and break none.  A template found
 in ``MIN_DOCS`` documents or more is boilerplate: its lines are dropped but for
-the first one.
+the first one.  A line of ``LONG_TOKENS`` tokens or more recurs by chance in no
+corpus, so it is boilerplate in ``LONG_DOCS`` documents already, by its masked
+tokens; one shorter than ``MIN_TOKENS`` has no shape to go by and is
+boilerplate by its very words in ``SHORT_DOCS`` documents.
 
 Generalising is "same or ``<*>``" by position, which is associative, so leaves
 are aggregated like counts, with partial results before the shuffle: a leaf
@@ -37,6 +40,8 @@ from tickerlens.llm.common import SALTS, binary, cut, rows_of_texts, spread_join
 DEPTH = 3
 MIN_TOKENS = 4
 MIN_DOCS = 8
+LONG_TOKENS, LONG_DOCS = 20, 3
+SHORT_DOCS = 64
 STABLE = 0.6
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
@@ -52,27 +57,28 @@ def leaf_of(tokens: list[bytes], depth: int) -> int:
 
 
 def parsed(raw: bytes | None, depth: int, min_tokens: int) -> Iterator[tuple[int, int, list[bytes]]]:
-    """``(line number, leaf, masked tokens)`` of the lines long enough to have a template."""
+    """``(line number, leaf, masked tokens)`` of the lines with tokens; those
+    too short for a template keep their digits."""
     for at, line in enumerate((raw or b"").split(b"\n")):
-        tokens = line.split()
-        if len(tokens) >= min_tokens:
-            tokens = masked(tokens)
+        if tokens := line.split():
+            tokens = masked(tokens) if len(tokens) >= min_tokens else tokens
             yield at, leaf_of(tokens, depth), tokens
 
 
 def _leaves(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """``(doc_id, leaf)``: the distinct leaves of each document."""
+    """``(doc_id, leaf, tokens)``: the distinct leaves of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, leaves = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            ids, leaves, tokens = ([np.empty(0, np.int64)] for _ in range(3))
             for doc, raw in zip(batch.column(0).to_pylist(), binary(batch.column(1)), strict=True):
-                own = {leaf for _, leaf, _ in parsed(raw.as_py(), depth, min_tokens)}
+                own = {leaf: len(line) for _, leaf, line in parsed(raw.as_py(), depth, min_tokens)}
                 ids.append(np.full(len(own), doc, np.int64))
                 leaves.append(np.fromiter(own, np.int64, len(own)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(leaves))], ["doc_id", "leaf"])
+                tokens.append(np.fromiter(own.values(), np.int64, len(own)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (ids, leaves, tokens)], ["doc_id", "leaf", "tokens"])
 
-    return docs.mapInArrow(run, "doc_id long, leaf long")
+    return docs.mapInArrow(run, "doc_id long, leaf long, tokens long")
 
 
 LINES = "doc_id long, line int, leaf long, masked string, first_in_leaf boolean, first_of_line boolean"
@@ -187,7 +193,7 @@ def _placed(rows: DataFrame, by_leaf: DataFrame, prepare) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
-def templates(lines: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, stable: float = STABLE) -> DataFrame:
+def templates(lines: DataFrame, depth: int, min_tokens: int, min_docs: int, long_tokens: int, long_docs: int, short_docs: int, stable: float) -> DataFrame:
     """Recurring templates, as ``(leaf, masked, template, n_docs, keep)``: the
     masked lines they cover, in how many documents, and the occurrence to keep."""
     here = F.struct("doc_id", "line")
@@ -204,7 +210,8 @@ def templates(lines: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, st
         F.sum((below & ~(field & ~same)).cast("long")).alias("places"),
     )
     whole = by_line.groupBy("leaf").agg(F.sum("leaf_docs").alias("all_docs"), F.min("first").alias("all_first"))
-    leaves = cut(leaves.join(whole, "leaf").where(F.col("all_docs") >= min_docs).withColumn("is_one", F.col("stay") >= stable * F.col("places")))
+    need = F.when(F.size(F.split("general", " ")) < min_tokens, short_docs).otherwise(min_docs)
+    leaves = cut(leaves.join(whole, "leaf").where(F.col("all_docs") >= need).withColumn("is_one", F.col("stay") >= stable * F.col("places")))
     one = leaves.where("is_one").select("leaf", F.col("general").alias("template"), F.col("all_docs").alias("n_docs"), F.col("all_first").alias("keep"))
     found = spread_join(by_line, one, ["leaf"], ["masked"]).select("leaf", "masked", "template", "n_docs", "keep")
 
@@ -221,7 +228,11 @@ def templates(lines: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, st
     # A document may have several masked lines of a template and counts once.
     by_doc = spread_join(lines.select("doc_id", "line", "leaf", "masked"), placed, ["leaf", "masked"], ["doc_id"]).groupBy("leaf", "template", "doc_id").agg(F.min("line").alias("line"))
     counted = by_doc.groupBy("leaf", "template").agg(F.count("*").alias("n_docs"), F.min(here).alias("keep")).where(F.col("n_docs") >= min_docs)
-    return found.union(spread_join(placed, counted, ["leaf", "template"], ["masked"]).select("leaf", "masked", "template", "n_docs", "keep"))
+    found = found.union(spread_join(placed, counted, ["leaf", "template"], ["masked"]).select("leaf", "masked", "template", "n_docs", "keep"))
+    # Long lines that no template covers go by themselves.
+    alone = by_line.where((F.size(F.split("masked", " ")) >= long_tokens) & (F.col("docs") >= long_docs))
+    alone = alone.select("leaf", "masked", F.col("masked").alias("template"), F.col("docs").alias("n_docs"), F.col("first").alias("keep"))
+    return found.union(alone.join(found.select("leaf", "masked"), ["leaf", "masked"], "left_anti"))
 
 
 def _without_lines():
@@ -240,13 +251,17 @@ def _without_lines():
     return run
 
 
-def _dropped(texts: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, stable: float = STABLE) -> DataFrame:
+def _dropped(
+    texts: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS,
+    short_docs: int = SHORT_DOCS, stable: float = STABLE,
+) -> DataFrame:
     """``(doc_id, n_lines, n_dropped, kept_text)`` of texts with unique ids."""
     leaves = _leaves(texts, depth, min_tokens)
-    common = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    wanted = spread_join(leaves, common, ["leaf"], ["doc_id"]).groupBy("doc_id").agg(F.collect_list("leaf").alias("leaves"))
+    need = F.when(F.col("tokens") < min_tokens, short_docs).when(F.col("tokens") >= long_tokens, min(long_docs, min_docs)).otherwise(min_docs)
+    common = leaves.groupBy("leaf").agg(F.count("*").alias("n"), F.max("tokens").alias("tokens")).where(F.col("n") >= need).select("leaf")
+    wanted = spread_join(leaves.drop("tokens"), common, ["leaf"], ["doc_id"]).groupBy("doc_id").agg(F.collect_list("leaf").alias("leaves"))
     lines = cut(texts.join(wanted, "doc_id").select("doc_id", "text", "leaves").mapInArrow(_lines(depth, min_tokens), LINES))
-    recurring = templates(lines, depth, min_docs, stable).select("leaf", "masked", "keep")
+    recurring = templates(lines, depth, min_tokens, min_docs, long_tokens, long_docs, short_docs, stable).select("leaf", "masked", "keep")
     found = spread_join(lines, recurring, ["leaf", "masked"], ["doc_id"])
     gone = found.where(F.struct("doc_id", "line") != F.col("keep")).groupBy("doc_id").agg(F.collect_list("line").alias("gone"))
     return texts.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(_without_lines(), "doc_id long, n_lines long, n_dropped long, kept_text string")
