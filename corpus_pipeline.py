@@ -24,8 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines of recurring templates, but for their first."""
-    return line_templates.without_recurring_lines(docs)
+    """Texts without the lines of recurring templates, but for their first.
+    Long lines that a few documents share are left: most of them stand in
+    copies, which the next stage takes as a whole.  Nulls, empty and long texts,
+    ties, repeated rows, clashing names and an empty table: see there."""
+    return line_templates.without_recurring_lines(docs, long_docs=line_templates.MIN_DOCS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
