@@ -26,10 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import U64, gram_hashes, grouped, raw_texts, rows_of_texts, signed, spread_join, word_hashes, words_of
+from tickerlens.llm.common import U64, gram_hashes, grouped, raw_texts, rows_of_texts, signed, word_hashes, words_of
 
 WINDOW = 20
 GRAM = 8
@@ -212,10 +212,10 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = G
     rows = rows_of_texts(docs, id_col, text_col)
     texts = rows.documents()
     minis = _minimisers(texts, window, gram)
-    # Rows of (id, hash, number), summed up before they meet; their texts stay where they are.
-    often = minis.groupBy("mini").agg(F.sum("n").alias("total")).where("total > 1")
+    # One exchange of (id, hash, number) rows; their texts stay where they are.
+    total = F.sum("n").over(Window.partitionBy("mini"))
     wanted = (
-        spread_join(minis, often, ["mini"], ["doc_id"])
+        minis.withColumn("total", total).where("total > 1")
         .groupBy("doc_id").agg(F.collect_list(F.struct("mini", (F.col("total") > HOT).alias("hot"))).alias("found"))
         .select("doc_id", F.col("found.mini").alias("minis"), F.col("found.hot").alias("hots"))
     )
