@@ -104,3 +104,52 @@ def test_trade_files_csv_equal_line_parse(spark, sf_dir):
     a = R.read_trades(spark, path)
     b = R.trades_from_lines(spark.read.text(path))
     assert a.count() == 1000 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_tagged_posts_in_one_scan(spark, tmp_path):
+    good = '{"id": 1, "created_at": "%s", "text": "$AB"}' % T0
+    lines = spark.createDataFrame([(good,), ("{broken",), ('{"id": "x", "created_at": "%s", "text": "a"}' % T0,), ("  ",),
+                                   ('{"id": 2, "created_at": "%s"}' % T0,), ('{"id": 3, "created_at": "noon", "text": ""}',),
+                                   ('{"id": 4, "text": "no time"}',), (None,), (good,)], "value string")
+    lines.write.text(f"{tmp_path}/in")
+    tagged = R.tag_posts(spark.read.text(f"{tmp_path}/in"))
+    assert R.write_tagged(tagged, f"{tmp_path}/out") == {"json": 2, "text": 1, "time": 2, "good": 2}
+    out = spark.read.parquet(f"{tmp_path}/out")
+    rows = sorted((r.status, r.id) for r in out.where("status <> 'json'").collect())
+    assert rows == [("good", 1), ("good", 1), ("text", 2), ("time", 3), ("time", 4)]
+    assert out.where("status = 'good' AND value IS NULL").count() == 2
+    assert {r.value for r in out.where("status = 'json'").collect()} >= {"{broken"}
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_line_numbers_across_splits(spark, tmp_path):
+    import random
+
+    rng = random.Random(5)
+    files = {n: ["".join(rng.choices("abc", k=rng.randrange(0, 40))) for _ in range(500)] for n in ("A", "B")}
+    for n, rows in files.items():
+        (tmp_path / f"{n}.csv").write_text("\n".join(rows) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997b")
+    try:
+        got = R.number_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for n, rows in files.items():
+        mine = sorted((r.line_no, r.value) for r in got if r.file.endswith(f"{n}.csv"))
+        assert mine == list(enumerate(rows))
+
+
+def test_numbered_dump_keeps_arrival_order(spark):
+    from tickerlens.operators.bars import price_bars
+
+    line = "20240105T100000,%s,1.0,b,s,,,"
+    new = spark.createDataFrame([("AB", line % p, n) for n, p in enumerate((5.0, 9.0, 3.0, 9.0, 4.0))]
+                                + [("AB", "20240105T100000,7.0,1.0", 9)], "ticker string, line string, line_no long")
+    old = spark.createDataFrame([("AB", line % 5.0)], "ticker string, line string")
+    out, bad = R.normalize_trade_dump(new, old, 1704067200.0, with_rejects=True)
+    assert [r.line for r in bad.collect()] == ["20240105T100000,7.0,1.0"]
+    assert sorted(r.ingest_epoch for r in out.collect()) == ["1704067200.000001", "1704067200.000002", "1704067200.000004"]
+    bar = price_bars(R.trades_from_lines(out), "HR").collect()
+    assert [(b.open, b.high, b.low, b.close) for b in bar] == [(9.0, 9.0, 3.0, 4.0)]

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import make_posts
@@ -110,3 +111,14 @@ def test_single_symbol_backup_needs_ticker(spark):
     r = B.backup_to_minute_bars(backup, "America/Los_Angeles", day=26, ticker="MSFT").first()
     assert (r.ticker, r.day, r.hour, r.minute, r.close) == ("MSFT", 26, 6, 34, 113.2751)
     assert B.backup_to_minute_bars(backup, day=27, ticker="MSFT").count() == 0
+
+
+def test_series_fold_to_coarser_grains(spark, sf_dir):
+    posts = FX.posts_from_events(FX.events_over_years(FX.events(spark, sf_dir)))
+    day = M.mention_series(posts, "DAY")
+    for grain in ("WEEK", "MONTH", "YEAR"):
+        want, got = M.mention_series(posts, grain), M.fold_series(day, "DAY", grain)
+        assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+    for grain, to in (("WEEK", "MONTH"), ("MONTH", "WEEK"), ("DAY", "HR"), ("WEEK", "YEAR")):
+        with pytest.raises(ValueError):
+            M.fold_series(day, grain, to)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tickerlens.functions.lexicon import DEFAULT_LEXICON, Lexicon
 from tickerlens.functions.text import author_importance as _importance
 from tickerlens.functions.text import cashtags, post_score, strip_cashtag, tokens
-from tickerlens.functions.timefn import grain_columns, grain_parts, parse_post_time
+from tickerlens.functions.timefn import (grain_columns, grain_parts, normalize_grain, parse_post_time,
+                                         parts_to_timestamp)
 
 
 def post_times(posts: DataFrame) -> DataFrame:
@@ -47,6 +48,24 @@ def mention_series(posts: DataFrame, grain: str, lexicon: Lexicon = DEFAULT_LEXI
             .agg(F.count(F.lit(1)).alias("frequency"), F.sum("score").cast("long").alias("sentiment")))
 
 
+def fold_series(series: DataFrame, grain: str, to_grain: str) -> DataFrame:
+    """A coarser series from a finer one, sums of its sums: posts are not read
+    again. Weeks cross months, so they fold from days or finer."""
+    have, want = grain_columns(grain), grain_columns(to_grain)
+    if normalize_grain(to_grain) == "WEEK" and "day" in have:
+        cols = grain_parts(parts_to_timestamp(grain), "WEEK")
+    elif normalize_grain(grain) != "WEEK" and have[:len(want)] == want:
+        cols = [F.col(c) for c in want]
+    else:
+        raise ValueError(f"{to_grain} does not fold from {grain}")
+    return (series.select(*cols, "ticker", "frequency", "sentiment").groupBy(*want, "ticker")
+            .agg(F.sum("frequency").alias("frequency"), F.sum("sentiment").alias("sentiment")))
+
+
+#: Each grain and the one that it folds from; the finest is counted from posts.
+FOLDS = (("HR", "MIN"), ("DAY", "HR"), ("WEEK", "DAY"), ("MONTH", "DAY"), ("YEAR", "MONTH"))
+
+
 def mention_series_join_form(posts: DataFrame, grain: str, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """The same series computed the reference's way, for parity (JOI-1, AGG-2, ARR-2).
 

@@ -435,7 +435,7 @@ UNION ALL
 SELECT b.* FROM bars b ANTI JOIN bk USING (ticker, year, month, day, hour, minute)"""))(_backfill)
 
 # ---- sinks: write, read back ---------------------------------------------------------------
-from tickerlens.session import scratch_path  # noqa: E402
+from tickerlens.session import scratch_path, start_stream  # noqa: E402
 from tickerlens.sinks import tables as SK  # noqa: E402
 from tickerlens.streaming import landing as SLAND  # noqa: E402
 from tickerlens.streaming import sources as SSRC  # noqa: E402
@@ -958,3 +958,115 @@ for _g in ("MIN", "DAY", "WEEK", "MONTH", "YEAR"):
 x AS (SELECT 1)
 SELECT {S.part_select(_g, 'pts')}, ticker, count(*) AS frequency, CAST(sum(score) AS BIGINT) AS sentiment
 FROM occ GROUP BY ALL"""))(_stream_grain)
+
+
+# ---- one pass: tagged posts, all grains; files by bytes; order of arrival ----------------------
+def _tagged_rows(tagged):
+    good = F.concat_ws("|", F.col("id").cast("string"), TF.format_local_time(F.col("ts")), "text")
+    return tagged.select("status", F.when(F.col("status") == "good", good).otherwise(F.col("value")).alias("row"))
+
+
+def _posts_tagged(spark, d):
+    path = scratch_path(spark, "tagged")
+    R.write_tagged(R.tag_posts(FX.broken_post_lines(FX.events(spark, d))), path)
+    return _tagged_rows(spark.read.parquet(path))
+
+
+def _stream_posts_tagged(spark, d):
+    src, out = scratch_path(spark, "broken"), scratch_path(spark, "tagged_stream")
+    FX.stage_files(FX.broken_post_lines(FX.events(spark, d)), src, 8, "id")
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", 4).load(src)
+    tagged = R.count_status(R.tag_posts(lines), "posts")
+    w = (tagged.writeStream.format("parquet").partitionBy("status").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "tagged_ckpt")).trigger(availableNow=True))
+    start_stream(w, spark, _state_partitions(spark)).awaitTermination()
+    return _tagged_rows(spark.read.parquet(out))
+
+
+_TAGGED_SQL = S.with_base("""
+t AS (
+  SELECT *, id % 20 AS which, strftime(pts, '%a %b %d %H:%M:%S +0000 %Y') AS made FROM posts),
+r AS (
+  SELECT CASE which WHEN 0 THEN 'json' WHEN 1 THEN 'text' WHEN 2 THEN 'time' WHEN 3 THEN 'time' ELSE 'good' END AS status,
+         CASE WHEN which = 0 THEN '{"id": ' || id || ', "text": '
+              WHEN which < 4 THEN '{"id":' || id
+                   || CASE which WHEN 1 THEN ',"created_at":"' || made || '"'
+                                 WHEN 2 THEN ',"created_at":"noon","text":"' || text || '"'
+                                 ELSE ',"text":"' || text || '"' END
+                   || ',"user":{"followers_count":' || followers || ',"friends_count":' || friends
+                   || ',"description":"fixture account","name":"' || uname || '"}}'
+              ELSE id || '|' || strftime(pts, '%Y-%m-%d %H:%M:%S') || '|' || text END AS row
+  FROM t WHERE which <> 4)
+SELECT status, row FROM r""")
+register("posts_tagged", _TAGGED_SQL)(_posts_tagged)
+register("stream_posts_tagged", _TAGGED_SQL)(_stream_posts_tagged)
+
+
+def _all_grains(spark, d):
+    tables = SK.write_all_grains(_spread_posts(spark, d), scratch_path(spark, "all_grains"))
+    out = None
+    for grain, t in tables.items():
+        rows = t.select(F.lit(grain).alias("grain"), TF.format_local_time(TF.parts_to_timestamp(grain)).alias("bucket"),
+                        "ticker", "frequency", "sentiment")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+register("series_all_grains", S.with_spread_base("x AS (SELECT 1)" + " UNION ALL ".join(f"""
+SELECT '{_g}' AS grain, strftime(date_trunc('{_unit}', pts), '%Y-%m-%d %H:%M:%S') AS bucket, ticker,
+       count(*) AS frequency, CAST(sum(score) AS BIGINT) AS sentiment
+FROM occ GROUP BY ALL""" for _g, _unit in (("MIN", "minute"), ("HR", "hour"), ("DAY", "day"), ("WEEK", "week"),
+                                         ("MONTH", "month"), ("YEAR", "year")))))(_all_grains)
+
+
+_ROLL = 20_000  # bytes, so that a block of the fixture has several files
+
+
+def _landed_by_bytes(spark, d):
+    lines = FX.post_lines(FX.posts_from_events(FX.events(spark, d), keep=("ts",)), keep=("ts",))
+    path = scratch_path(spark, "landed_bytes")
+    SLAND.write_byte_files(SLAND.byte_files(lines, F.col("ts"), 0, _ROLL, deals=1), path)
+    return (spark.read.schema("value string, file string").text(path).groupBy("file")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.octet_length("value") + 1).alias("n_bytes")))
+
+
+register("landed_by_bytes", _LINES_SQL.replace("SELECT '{", "SELECT ts, '{").replace("x AS (SELECT 1)", "lines AS (")
+         + f""" JOIN ev ON event_id = id),
+run AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS block, strlen(value) + 1 AS b,
+         sum(strlen(value) + 1) OVER (PARTITION BY date_trunc('day', ts) ORDER BY ts, value
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM lines)
+SELECT block || '_' || CAST((upto - b) // {_ROLL} AS BIGINT) AS file, count(*) AS n_lines, CAST(sum(b) AS BIGINT) AS n_bytes
+FROM run GROUP BY 1""")(_landed_by_bytes)
+
+
+def _stream_landed_by_bytes(spark, d):
+    out = scratch_path(spark, "landed_bytes_stream")
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", 4).load(_staged_posts(spark, d, 8))
+    SLAND.land_by_bytes(lines, out, scratch_path(spark, "landed_bytes_ckpt"), max_bytes=100_000,
+                        state_partitions=_state_partitions(spark)).awaitTermination()
+    return spark.read.text(out).select("value")
+
+
+register("stream_landed_by_bytes", _LINES_SQL)(_stream_landed_by_bytes)
+
+
+def _bars_arrival(spark, d):
+    ev = FX.events(spark, d)
+    read = lambda e, name: R.number_lines(spark, FX.dump_folder(e, scratch_path(spark, name)),
+                                          "value string, ticker string").withColumnRenamed("value", "line")
+    new, old = read(ev, "dump_new"), read(ev.where(F.col("event_id") % 3 != 0), "dump_old")
+    return B.price_bars(R.trades_from_lines(R.normalize_trade_dump(new, old, INGEST_EPOCH)), "DAY")
+
+
+register("bars_arrival_order", S.with_base(f"""
+seen AS (
+  SELECT ticker, date_trunc('hour', time) AS time, price, quantity, min(seq) AS seq, bool_or(seq % 3 <> 0) AS was
+  FROM trades GROUP BY ticker, date_trunc('hour', time), price, quantity),
+placed AS (
+  SELECT *, timezone('America/Los_Angeles', timezone('Europe/Oslo', time)) AS lt FROM seen WHERE NOT was)
+SELECT ticker, {S.part_select('DAY', 'lt')}, max(price) AS high, min(price) AS low,
+       arg_min(price, {{'t': time, 's': seq}}) AS open, arg_max(price, {{'t': time, 's': seq}}) AS close,
+       sum(quantity) AS volume
+FROM placed GROUP BY ALL"""))(_bars_arrival)

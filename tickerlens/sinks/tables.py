@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerlens.functions.timefn import grain_columns, normalize_grain
+from tickerlens.operators.mentions import FOLDS, fold_series, mention_series
 
 # Rows per output file; keeps files bounded when one ticker or hour is hot.
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -48,6 +49,23 @@ def write_series(series: DataFrame, path: str, grain: str, mode: str = "overwrit
     write_partitioned(series, path, ["ticker"], [F.desc(c) for c in grain_columns(grain)], _block(grain), mode)
 
 
+def write_all_grains(posts: DataFrame, path: str) -> dict[str, DataFrame]:
+    """The six series tables ``<path>/<grain>``, MIN to YEAR (JOB-1, SNK-2).
+
+    Posts are scanned and shuffled once, for the minutes; each coarser table
+    folds from the one before it as stored, which is smaller at every step."""
+    spark = posts.sparkSession
+
+    def stored(series: DataFrame, grain: str) -> DataFrame:
+        write_series(series, f"{path}/{grain}", grain)
+        return spark.read.schema(series.schema).parquet(f"{path}/{grain}")
+
+    tables = {"MIN": stored(mention_series(posts, "MIN"), "MIN")}
+    for grain, finer in FOLDS:
+        tables[grain] = stored(fold_series(tables[finer], finer, grain), grain)
+    return tables
+
+
 def write_bars(bars: DataFrame, path: str, grain: str, mode: str = "overwrite") -> None:
     """Price bars, one folder per ticker, time descending inside (SNK-1, SRT-3)."""
     write_partitioned(bars, path, ["ticker"], [F.desc(c) for c in grain_columns(grain)], _block(grain), mode)

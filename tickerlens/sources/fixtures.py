@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlens.functions.timefn import format_local_time, format_post_time
-from tickerlens.schemas import TRADE_DUMP_HEADER
+from tickerlens.schemas import POST, TRADE_DUMP_HEADER
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -77,6 +77,30 @@ def broken_trade_lines(ev: DataFrame) -> DataFrame:
     return t.select(line.alias("value"))
 
 
+def broken_post_lines(ev: DataFrame) -> DataFrame:
+    """Post lines of which some are no JSON, some have no text or no time that
+    parses, and some are blank."""
+    p = posts_from_events(ev)
+    which = F.col("id") % 20
+    time = F.when(which == 2, "noon").when(which != 3, F.col("created_at"))
+    whole = F.to_json(F.struct("id", time.alias("created_at"), F.when(which != 1, F.col("text")).alias("text"), "user"))
+    line = (F.when(which == 0, F.concat(F.lit('{"id": '), "id", F.lit(', "text": ')))
+            .when(which == 4, F.lit(" ")).otherwise(whole))
+    return p.select("id", line.alias("value"))
+
+
+def dump_folder(ev: DataFrame, path: str) -> str:
+    """A vendor's whole dump with times of full hours, as files in the order of
+    arrival in a folder for each ticker."""
+    t = trades_from_events(ev)
+    hour = F.concat(F.substring(format_local_time(F.col("time"), "", "T", ""), 1, 11), F.lit("0000"))
+    line = F.concat_ws(",", hour, F.col("price").cast("string"), F.col("quantity").cast("string"),
+                       *[F.lit(c) for c in TRADE_CONSTANTS])
+    (t.select("ticker", "seq", line.alias("value")).repartition("ticker").sortWithinPartitions("ticker", "seq")
+     .drop("seq").write.partitionBy("ticker").text(path))
+    return path
+
+
 def bare_message_arrays(posts: DataFrame) -> DataFrame:
     """What the producer publishes for each fetch: the array of messages alone."""
     return message_batches_from_posts(posts).select(F.get_json_object("value", "$.messages").alias("value"))
@@ -101,8 +125,8 @@ def _phrase(event_type: Column) -> Column:
     return c.otherwise(F.lit(""))
 
 
-def posts_from_events(ev: DataFrame) -> DataFrame:
-    """posts: id, created_at (feed format), text, user{...}."""
+def posts_from_events(ev: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """posts: id, created_at (feed format), text, user{...}, and ``keep`` of ``ev``."""
     tk = ticker_of(F.col("user_id"))
     extra = F.when(F.col("event_id") % REPEAT_EVERY == 0,
                    F.concat(F.lit(" $"), tk, F.lit(f"x ${HOT_TICKER}"))).otherwise(F.lit(""))
@@ -114,13 +138,13 @@ def posts_from_events(ev: DataFrame) -> DataFrame:
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("name"),
     )
     return ev.select(F.col("event_id").alias("id"), format_post_time(F.col("ts")).alias("created_at"),
-                     text.alias("text"), user.alias("user"))
+                     text.alias("text"), user.alias("user"), *keep)
 
 
 def post_lines(posts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The raw feed: one JSON document per line in ``value`` (SNK-8 shape),
     plus any ``keep`` columns carried alongside."""
-    return posts.select(F.to_json(F.struct(*[F.col(c) for c in posts.columns])).alias("value"), *keep)
+    return posts.select(F.to_json(F.struct(*[F.col(f.name) for f in POST.fields])).alias("value"), *keep)
 
 
 def trades_from_events(ev: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ no Python per row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickerlens.functions.timefn import parse_local_time, reformat_compact_time
+from tickerlens.functions.timefn import parse_local_time, parse_post_time, reformat_compact_time
 from tickerlens.schemas import (BACKUP_BAR, MESSAGE_RESPONSE, POST, POST_WITH_CORRUPT,
                                 TRADE_DUMP_HEADER, TRADE_LINE_FIELDS, UNIVERSE)
 
@@ -42,6 +42,46 @@ def parse_posts(lines: DataFrame, with_rejects: bool = False):
     return good.where(F.col("text").isNotNull()), parsed.where(bad).select("value")
 
 
+#: What ``tag_posts`` says of a line, in the order of its checks.
+POST_STATUS = ("json", "text", "time", "good")
+
+
+def tag_posts(lines: DataFrame) -> DataFrame:
+    """JSON post lines in ``value``, batch or stream -> the post fields, ``ts``
+    (the parsed time), ``value`` and ``status``, in one pass (SRC-2, FLT-1, Q5).
+
+    ``status`` is the first check that a line fails, ``json`` (it does not parse,
+    or a field has another type), ``text`` or ``time`` (missing or unparseable),
+    else ``good``. Every line that is not blank comes out once. ``value`` is kept
+    for rejects only, so that good rows don't carry their text twice."""
+    parsed = (lines.where(F.length(F.trim("value")) > 0)
+              .select("value", F.from_json("value", POST_WITH_CORRUPT,
+                                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+                      .alias("j")))
+    timed = parsed.select("value", "j", parse_post_time(F.col("j.created_at")).alias("ts"))
+    status = (F.when(F.col("j").isNull() | F.col("j._corrupt_record").isNotNull(), "json")
+              .when(F.col("j.text").isNull(), "text").when(F.col("ts").isNull(), "time").otherwise("good"))
+    out = timed.select(*[F.col("j." + f.name).alias(f.name) for f in POST.fields], "ts", "value",
+                       status.alias("status"))
+    return out.withColumn("value", F.when(F.col("status") != "good", F.col("value")))
+
+
+def count_status(tagged: DataFrame, observation: Observation | str) -> DataFrame:
+    """``tagged`` with its lines counted by status while they pass. A batch
+    takes an ``Observation``; a stream takes a name, and its progress reports
+    hold the counts of each micro-batch under it."""
+    counts = [F.count_if(F.col("status") == s).alias(s) for s in POST_STATUS]
+    return tagged.observe(observation, *counts)
+
+
+def write_tagged(tagged: DataFrame, path: str) -> dict[str, int]:
+    """Good posts and rejects into one table with a folder for each status:
+    one scan writes both, and the counts come from the same pass."""
+    seen = Observation()
+    count_status(tagged, seen).write.mode("overwrite").partitionBy("status").parquet(path)
+    return dict(seen.get)
+
+
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """JSON-line post files (path or glob) through the JSON data source with
     the explicit schema: each line is parsed once, only the columns a query
@@ -87,15 +127,20 @@ def read_trades(spark: SparkSession, path: str) -> DataFrame:
     raw = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", True)
            .option("ignoreTrailingWhiteSpace", True).csv(path))
     return raw.select("ticker", parse_local_time(F.col("time")).alias("time"),
-                      "price", "quantity", (F.col("ingest_epoch") * 1_000_000).cast("long").alias("seq"))
+                      "price", "quantity", _stamp_micros().alias("seq"))
 
 
 def trades_from_lines(lines: DataFrame) -> DataFrame:
     """Typed trades for the bar operators; ``seq`` is the ingest stamp in
     microseconds (the producer stamps every line it publishes)."""
     t = parse_trade_lines(lines)
-    return t.select("ticker", "time", "price", "quantity",
-                    (F.col("ingest_epoch") * 1_000_000).cast("long").alias("seq"))
+    return t.select("ticker", "time", "price", "quantity", _stamp_micros().alias("seq"))
+
+
+def _stamp_micros():
+    """The ingest stamp in whole microseconds (rounded: a double holds a stamp
+    of this century to a quarter of one)."""
+    return F.round(F.col("ingest_epoch") * 1_000_000).cast("long")
 
 
 def read_backup_bars(spark: SparkSession, path: str) -> DataFrame:
@@ -126,6 +171,24 @@ def read_trade_dumps(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     return lines.select(name.alias("ticker"), F.col("value").alias("line"))
 
 
+def number_lines(spark: SparkSession, path: str, schema: str = "value string") -> DataFrame:
+    """Text files of a path or glob -> their columns, ``file`` and ``line_no``,
+    a dense number from 0 over the lines of a file (blank ones included).
+
+    A scan numbers the rows of a split without a gap; lines are counted per
+    split, and running sums over a file's splits give each split its offset.
+    Only that small table is joined to the lines, which stay where they are."""
+    raw = (spark.read.schema(schema).text(path)
+           .select("*", F.col("_metadata.file_path").alias("file"),
+                   F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id")))
+    splits = raw.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (raw.join(offsets, ["file", "_start"])
+            .withColumn("line_no", F.col("_before") + F.col("_id") - F.col("_first"))
+            .drop("_start", "_id", "_first", "_before"))
+
+
 def explode_message_batches(records: DataFrame) -> DataFrame:
     """Per-symbol fetch results -> one row per post (SRC-7, FLT-3, JSN-1).
 
@@ -153,6 +216,16 @@ def trade_dump_diff(new_lines: DataFrame, old_lines: DataFrame) -> DataFrame:
     return new_lines.select("ticker", "line").subtract(old_lines.select("ticker", "line"))
 
 
+def numbered_dump_diff(new_lines: DataFrame, old_lines: DataFrame) -> DataFrame:
+    """``trade_dump_diff`` that keeps ``line_no``, the first one of equal lines:
+    one aggregate over both dumps, reduced before its exchange."""
+    new = new_lines.select("ticker", "line", "line_no", F.lit(False).alias("_old"))
+    old = old_lines.select("ticker", "line", F.lit(None).cast("long").alias("line_no"), F.lit(True).alias("_old"))
+    seen = (new.unionByName(old).groupBy("ticker", "line")
+            .agg(F.min("line_no").alias("line_no"), F.max("_old").alias("_old")))
+    return seen.where(~F.col("_old")).drop("_old")
+
+
 def normalize_trade_dump(new_lines: DataFrame, old_lines: DataFrame, ingest_epoch: float,
                          with_rejects: bool = False):
     """Vendor dumps -> published trade lines (JOB-8).
@@ -160,13 +233,24 @@ def normalize_trade_dump(new_lines: DataFrame, old_lines: DataFrame, ingest_epoc
     diff -> arity check (8 fields) -> time ``yyyyMMdd'T'HHmmss`` reformatted ->
     ingest stamp and ticker prefixed -> comma-joined ``value`` plus the typed
     10 fields (FLT-4, DAT-7, PRJ-6, STR-5, SNK-9). All tickers in one DataFrame.
+
+    Where the new lines carry ``line_no`` (``number_lines``), a line's stamp is
+    the fetch's plus that many microseconds, so trades of one second keep the
+    order in which the vendor lists them (Q3).
     """
-    diff = trade_dump_diff(new_lines, old_lines)
+    numbered = "line_no" in new_lines.columns
+    diff = numbered_dump_diff(new_lines, old_lines) if numbered else trade_dump_diff(new_lines, old_lines)
+    if numbered:
+        micros = F.lit(round(ingest_epoch * 1_000_000)) + F.col("line_no")
+        stamp = F.concat_ws(".", F.floor(micros / 1_000_000).cast("string"),
+                            F.lpad((micros % 1_000_000).cast("string"), 6, "0"))
+    else:
+        stamp = F.format_string("%.1f", F.lit(float(ingest_epoch)))
     parts = F.split(F.col("line"), ",")
     good = (F.size(parts) == 8) & (F.col("line") != F.lit(TRADE_DUMP_HEADER))
     checked = diff.withColumn("_p", parts).withColumn("_t", reformat_compact_time(F.element_at("_p", 1)))
     ok = checked.where(good & F.col("_t").isNotNull())
-    fields = [F.format_string("%.1f", F.lit(float(ingest_epoch))).alias("ingest_epoch"), F.col("ticker"),
+    fields = [stamp.alias("ingest_epoch"), F.col("ticker"),
               F.col("_t").alias("time")] + [F.element_at("_p", i).alias(n) for i, n in
                                             zip(range(2, 9), TRADE_LINE_FIELDS[3:])]
     out = ok.select(*fields)

@@ -3,15 +3,16 @@
 The text sink with a checkpoint replaces the consumer loop: offsets are
 committed with the files of each micro-batch (no commit-before-flush gap,
 quirk Q14), files roll at ``max_records_per_file`` lines, and each line goes
-under the folder of its time block (DAT-8 label).
+under the folder of its time block (DAT-8 label). ``land_by_bytes`` rolls by
+bytes instead, into files named ``<block>_<n>``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.functions.timefn import floor_minutes
+from tickerlens.functions.timefn import floor_minutes, wall_clock_instant
 from tickerlens.session import start_stream
 
 
@@ -28,3 +29,54 @@ def land_raw(stream: DataFrame, path: str, checkpoint: str, block_minutes: int =
          .option("maxRecordsPerFile", max_records_per_file).partitionBy("block"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return start_stream(w, stream.sparkSession, state_partitions)
+
+
+#: Fixed value: a landed file is closed once it holds this many bytes.
+ROLL_BYTES = 10_000_000
+
+
+def byte_files(lines: DataFrame, time: Column, block_minutes: int = 15, max_bytes: int = ROLL_BYTES,
+               deals: int = 16) -> DataFrame:
+    """``value`` and ``file``, ``<block>_<n>``: the lines of a time block, cut
+    where its running bytes (a line end each) pass a multiple of ``max_bytes``,
+    so a file ends at most one line beyond its share.
+
+    Lines run in the order of seconds; those of one second are dealt over
+    ``deals`` slices by hash, so a busy second is not one task. Slices are summed
+    first, running sums over a block's slices give the offsets, and each slice
+    runs on from its own: no block is gathered in one place."""
+    t = lines.select(F.col("value").cast("string").alias("value"), time.cast("timestamp_ntz").alias("_t"))
+    cut = t.select("value", "_t", floor_minutes(F.col("_t"), block_minutes).alias("block"),
+                   F.unix_seconds(wall_clock_instant(F.col("_t"))).alias("_s"),
+                   F.pmod(F.xxhash64("value"), F.lit(deals)).alias("_d"),
+                   (F.octet_length("value") + 1).cast("long").alias("_b"))
+    keys = ["block", "_s", "_d"]
+    sums = cut.groupBy(*keys).agg(F.sum("_b").alias("_sum"))
+    across = Window.partitionBy("block").orderBy("_s", "_d").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*keys, F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*keys).orderBy("_t", "value").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_before") + F.coalesce(F.sum("_b").over(inside), F.lit(0))
+    number = F.floor(start / max_bytes).cast("string")
+    return cut.join(offsets, keys).select("value", F.concat_ws("_", "block", number).alias("file"))
+
+
+def write_byte_files(files: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One folder a file of ``byte_files``, with the one text file in it."""
+    files.repartition("file").write.mode(mode).partitionBy("file").text(path)
+
+
+def land_by_bytes(stream: DataFrame, path: str, checkpoint: str, block_minutes: int = 15,
+                  max_bytes: int = ROLL_BYTES, time_col: str | None = None, available_now: bool = True,
+                  processing_time: str = "60 seconds", state_partitions: int | None = None):
+    """``land_raw`` with files that roll by bytes. Each micro-batch numbers its
+    files from 0 under its own folder ``batch=<id>``, which a replay writes anew.
+    Without ``time_col`` the start of the micro-batch labels its lines."""
+    t = F.col(time_col) if time_col else F.current_timestamp()
+    stamped = stream.select("value", t.cast("timestamp_ntz").alias("_t"))
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        write_byte_files(byte_files(batch, F.col("_t"), block_minutes, max_bytes), f"{path}/batch={batch_id}")
+
+    w = stamped.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return start_stream(w, stream.sparkSession, state_partitions)
