@@ -153,3 +153,23 @@ def test_numbered_dump_keeps_arrival_order(spark):
     assert sorted(r.ingest_epoch for r in out.collect()) == ["1704067200.000001", "1704067200.000002", "1704067200.000004"]
     bar = price_bars(R.trades_from_lines(out), "HR").collect()
     assert [(b.open, b.high, b.low, b.close) for b in bar] == [(9.0, 9.0, 3.0, 4.0)]
+
+
+@pytest.mark.parametrize("n", [0, 10, 60_000, 1_000_000])
+def test_sketched_universe_equals_exact_join(spark, n):
+    letter = lambda c, d: F.char((F.lit(65) + F.floor(c / d) % 26).cast("long"))
+    word = lambda c: F.concat(F.lit("$"), *[letter(c, 26 ** i) for i in range(5)])
+    tags = spark.range(n).select(word(F.col("id") * 7).alias("cashtag"))
+    posts = spark.range(0, 3000).select(
+        (F.col("id") % 50).alias("id"), F.when(F.col("id") % 11 != 0, F.concat(
+            word(F.col("id") * 13 % 9000), F.lit(" and "), word(F.col("id") * 977), F.lit(" $"))).alias("text"),
+        F.lit(None).cast("string").alias("likely"))
+    named = posts.where(F.col("text").isNotNull()).select(
+        "id", "text", F.explode(F.regexp_extract_all("text", F.lit(r"\$[A-Z]+"), 0)).alias("cashtag"))
+    want = {tuple(r) for r in named.join(tags, "cashtag", "left_semi").select("id", "text").collect()}
+    got = U.posts_in_universe(posts, tags)
+    assert got.columns == ["id", "text", "likely"]
+    rows = [(r.id, r.text) for r in got.collect()]
+    all_rows = [(r.id, r.text) for r in posts.collect()]
+    assert sorted(rows) == sorted(r for r in all_rows if r in want)
+    assert (n == 0) == (not rows)
