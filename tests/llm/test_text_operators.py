@@ -460,6 +460,17 @@ def test_severity_is_ordered():
     assert score(0) < 0.3 < score(2) < score(6) < score(30)
 
 
+def test_toxicity_counts_in_tasks_equal_a_plain_fit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    rows = sorted(docs.join(labels, "doc_id").collect(), key=lambda r: r["doc_id"])
+    plain = toxicity.fit([r["text"] for r in rows], [bool(r["toxic"]) for r in rows])
+    model = toxicity.fit_to_labels(docs, labels)
+    assert plain.weights and list(model.weights) == list(plain.weights)
+    np.testing.assert_allclose(list(model.weights.values()), list(plain.weights.values()), rtol=1e-6, atol=1e-9)
+    np.testing.assert_allclose(model.thresholds, plain.thresholds, rtol=1e-6)
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = with_clashes(spark.createDataFrame(awkward(), SCHEMA))
     labels = spark.createDataFrame([(None, 1), (1, None), (2, 1), (2, 0), (4, 0)], "doc_id long, toxic int")

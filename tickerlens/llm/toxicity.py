@@ -9,9 +9,11 @@ word beginnings, so that inflected and compound forms count too, with rates in
 a hundred words, so that a long clean text isn't toxic for a chance hit.  The
 expected severity is the sum of the three probabilities.
 
-The model is fitted on the driver to at most ``MAX_LABELLED`` labelled rows,
-picked by a hash of their ids, and to the ``MAX_FEATURES`` features that tell
-the classes apart best.  Scoring reads every word of every text.
+The model is fitted to at most ``MAX_LABELLED`` labelled rows, picked by a hash
+of their ids, and to the ``MAX_FEATURES`` features that tell the classes apart
+best.  Features are counted in tasks; the driver gets the chosen names and each
+labelled row's counts of them, never a text.  Scoring reads every word of every
+text.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlens.llm.common import Memo
+from tickerlens.llm.common import Memo, cut
 
 MAX_LABELLED = 8000
 MAX_FEATURES = 512
@@ -112,10 +114,14 @@ def fit(texts: list[str | None], toxic: list[bool], max_features: int = MAX_FEAT
     names_of = Memo(features_of, FIT_MEMO)
     names = chosen_features(texts, is_toxic, names_of, max_features)
     rows = [counted(t, names_of, frozenset(names)) for t in texts]
+    return fit_counts(names, rows, [len((t or "").split()) for t in texts], is_toxic, steps)
+
+
+def fit_counts(names: list[str], rows: list[Counter], lengths: list[int], is_toxic: np.ndarray, steps: int = STEPS) -> Model:
+    """``fit`` to each text's counts of the chosen features and its words."""
     y = grades(rows, is_toxic, names)
     at = {n: i for i, n in enumerate(names)}
     # Rows without any feature differ in nothing but their grade: one row each, with a weight.
-    lengths = [len((t or "").split()) for t in texts]
     distinct = Counter((tuple(sorted((at[f], strength(row[f], n)) for f in row.keys() & at.keys())), int(g)) for row, n, g in zip(rows, lengths, y, strict=True))
     x = np.zeros((len(distinct), len(names)))
     for i, (found, _) in enumerate(distinct):
@@ -140,17 +146,64 @@ def fit(texts: list[str | None], toxic: list[bool], max_features: int = MAX_FEAT
     return Model({n: float(w[i]) for i, n in enumerate(names)}, tuple(map(float, b)))
 
 
+def telling_features(labelled: DataFrame, n_toxic: int, n_clean: int, most: int = MAX_FEATURES) -> list[str]:
+    """``chosen_features`` of ``(text, toxic)`` rows, counted by Spark: the
+    driver gets at most ``most`` names."""
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = Memo(features_of, FIT_MEMO)
+        for batch in batches:
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                found = list(counted(text.as_py(), names))
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([toxic] * len(found), pa.bool_())], ["name", "toxic"])
+
+    seen = labelled.select("text", "toxic").mapInArrow(distinct, "name string, toxic boolean")
+    a, b = F.col("a"), F.col("b")
+    rate1, rate0, rate = a / n_toxic, b / n_clean, (a + b) / (n_toxic + n_clean)
+    counts = seen.groupBy("name").agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
+    telling = counts.where((a >= 3) & (rate1 > 2 * rate0))
+    g = a * F.log(rate1 / rate) + F.when(b > 0, b * F.log(rate0 / rate)).otherwise(0.0)
+    return [r["name"] for r in telling.orderBy(F.desc(g), "name").limit(most).collect()]
+
+
+def feature_counts(labelled: DataFrame, names: list[str]) -> DataFrame:
+    """``(doc_id, toxic, words, found)``: a text's words, and its counts of
+    ``names`` by their place."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {n: i for i, n in enumerate(names)}
+        known, keep = Memo(features_of, FIT_MEMO), frozenset(names)
+        for batch in batches:
+            texts = [t.as_py() or "" for t in batch.column(2)]
+            found = [[(at[f], n) for f, n in counted(t, known, keep).items()] for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(t.split()) for t in texts], pa.int64()), pa.array(found, pa.map_(pa.int32(), pa.int64()))],
+                ["doc_id", "toxic", "words", "found"])
+
+    return labelled.select("doc_id", "toxic", "text").mapInArrow(count, "doc_id long, toxic boolean, words long, found map<int,bigint>")
+
+
 def fit_to_labels(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fitted to at most ``max_labelled`` labelled rows.  Null ids and labels
-    are left out; a document with several labels is toxic if one says so."""
+    are left out; a document with several labels is toxic if one says so.
+
+    The driver gets at most ``MAX_FEATURES`` counts for each of these rows,
+    however long their texts are."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg((F.max(F.col(label_col).cast("int")) > 0).alias("toxic"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # The sample's ids are bounded by max_labelled, so they can go to every task.
-    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    labelled = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    labelled = cut(labelled)  # read twice below
+    n_toxic, n_clean = labelled.agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first()
+    if not n_toxic or not n_clean:
+        return Model()
+    names = telling_features(labelled, n_toxic, n_clean)
+    rows = feature_counts(labelled, names).collect()
     rows.sort(key=lambda r: r["doc_id"])
-    return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
+    found = [Counter({names[i]: n for i, n in r["found"].items()}) for r in rows]
+    return fit_counts(names, found, [r["words"] for r in rows], np.array([r["toxic"] for r in rows], bool))
 
 
 def severities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
