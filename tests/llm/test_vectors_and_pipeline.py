@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import SCHEMA, awkward, corpus, rows_of, with_clashes
 from test_dedup import key_of, lines_brute, near_brute
@@ -67,9 +69,10 @@ def test_vectors_that_share_an_id(spark):
     assert rows_of(vector_range_join.link_vectors(spark.createDataFrame(rows, VECTORS))) == vectors_brute(rows)
 
 
-@pytest.mark.parametrize("cell, block", [(4096, 4096), (20, 4096), (50, 16)])
-def test_linked_vectors(spark, cell, block, monkeypatch):
+@pytest.mark.parametrize("cell, block, row_cost", [(4096, 4096, 500), (20, 4096, 0), (50, 16, 0)])
+def test_linked_vectors(spark, cell, block, row_cost, monkeypatch):
     monkeypatch.setattr(vector_range_join, "BLOCK", block)
+    monkeypatch.setattr(vector_range_join, "ROW_COST", row_cost)
     monkeypatch.setattr(vector_range_join.choose_pivots, "__defaults__", (cell, 4096))
     rows = vectors(1) + ODD_VECTORS
     out = vector_range_join.link_vectors(with_clashes(spark.createDataFrame(rows, VECTORS)))
@@ -89,13 +92,44 @@ def test_replication_is_enough():
     assert goes.mean() < 0.9
 
 
+def unit_rows(rng, n, dims):
+    x = rng.normal(size=(n, dims))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_pivots_by_the_least_work(spark):
+    """Many pivots where vectors cluster, one where each would go to every cell."""
+    rng = np.random.default_rng(4)
+    noise, centres = unit_rows(rng, 2000, 64), unit_rows(rng, 20, 64)
+    near = centres[rng.integers(20, size=2000)] + 0.005 * rng.normal(size=(2000, 64))
+    rows = [(1, 64, i, 1, v.tobytes()) for i, v in enumerate(noise)]
+    rows += [(2, 64, 10_000 + i, 1, (v / np.linalg.norm(v)).tobytes()) for i, v in enumerate(near)]
+    frame = spark.createDataFrame(rows, "label long, dims int, rep long, copies long, vec binary")
+    chosen = vector_range_join.choose_pivots(frame, math.sqrt(2 - 2 * 0.93), cell=20)
+    assert len(chosen[1, 64]) == 1 and len(chosen[2, 64]) > 10
+
+
+def test_vectors_are_sent_in_slices():
+    """What goes to every cell leaves a task in bounded batches, all of it."""
+    x = unit_rows(np.random.default_rng(5), 700, 8)
+    batch = pa.RecordBatch.from_pydict({"label": [1] * 700, "dims": [8] * 700, "rep": list(range(700)), "copies": [1] * 700, "vec": [v.tobytes() for v in x]})
+    out = list(vector_range_join._dealt({(1, 8): x[:40]}, 2.0)([batch]))
+    assert max(len(b) for b in out) <= vector_range_join.SENT
+    seen = [pair for b in out for pair in zip(b.column("rep").to_pylist(), b.column("cell").to_pylist(), strict=True)]
+    assert len(seen) == len(set(seen)) == 700 * 40 and sum(sum(b.column("home").to_pylist()) for b in out) == 700
+
+
 def test_no_vectors(spark):
     assert vector_range_join.link_vectors(spark.createDataFrame([], VECTORS)).collect() == []
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot_share", [512, 4, 1])
+def test_components(spark, hot_share, monkeypatch):
+    """All nodes hot, the centre of a star alone, and none."""
+    monkeypatch.setattr(common, "HOT_SHARE", hot_share)
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)] + [(5, 5)]
+    edges += [(500, 400 + i) for i in range(80)]
     label = {x: x for e in edges if e[0] != e[1] for x in e}
     for _ in label:
         for a, b in edges:

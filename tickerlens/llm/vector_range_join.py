@@ -12,8 +12,9 @@ dealt out as pairs of blocks.
 Equal vectors are one class from the start.  A task returns a number of links
 for each of its vectors and a forest of the links it found, never the pairs.
 
-Pivots are a sample of the vectors, at most about ``MAX_PIVOTS``; they decide
-where work is done, not what is found.
+Pivots are some of the vectors, at most about ``MAX_PIVOTS``; how many, and
+which, is the choice that makes the least work on a sample.  They decide where
+work is done, not what is found.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ from tickerlens.llm.common import Rows, components, cut, grouped, spread_join
 CELL = 4096
 BLOCK = 4096
 MAX_PIVOTS = 4096
+SLICE = 512  # rows whose distances to all pivots are held at a time
+SENT = 8192  # rows sent to cells at a time
+ROW_COST = 500  # a row sent to a cell, in pairs compared there
 SLACK = 1e-9
 UNIT = "label long, dims int, cell long, rep long, copies long, home boolean, vec binary"
 
@@ -66,24 +70,61 @@ def _prepared(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("key").alias("vec_id"), "label", "values").mapInArrow(run, "vec_id long, label long, dims int, digest binary, vec binary")
 
 
-def choose_pivots(reps: DataFrame, cell: int = CELL, most: int = MAX_PIVOTS) -> dict[tuple[int, int], np.ndarray]:
-    """By label and dimension, about one vector in ``cell``, at most about
-    ``most`` altogether, picked by a hash of their ids."""
+def far_apart(x: np.ndarray, most: int) -> np.ndarray:
+    """Rows of ``x``, each the furthest from all before it."""
+    if not len(x):
+        return np.zeros(0, int)
+    at, off = [0], 2 - 2 * (x @ x[0])
+    while len(at) < most and off.max() > SLACK:
+        at.append(int(off.argmax()))
+        np.minimum(off, 2 - 2 * (x @ x[at[-1]]), out=off)
+    return np.array(at)
+
+
+def work_of(x: np.ndarray, pivots: np.ndarray, radius: float, scale: float) -> float:
+    """The work that ``scale`` times the rows of ``x`` make with ``pivots``: pairs
+    compared in cells, and rows sent, each as dear as ``ROW_COST`` pairs."""
+    sent = np.zeros(len(pivots))
+    for at in range(0, len(x), SLICE):
+        sent += cells_of(x[at : at + SLICE], pivots, radius)[1].sum(axis=0)
+    sent *= scale
+    return float((sent**2).sum() + ROW_COST * (sent * np.ceil(sent / BLOCK)).sum())
+
+
+def choose_pivots(reps: DataFrame, radius: float, cell: int = CELL, most: int = MAX_PIVOTS) -> dict[tuple[int, int], np.ndarray]:
+    """By label and dimension, at most about one vector in ``cell``, at most
+    about ``most`` altogether.
+
+    They come from a sample of about ``4 * most`` vectors, picked by a hash of
+    their ids.  Its first vectors by that hash, and those furthest apart, in
+    numbers that fall by fours, are tried on the sample; the least work decides.
+    """
     n = reps.count()
-    share = min(1 / cell, most / max(1, n))
+    share = min(1.0, 4 * most / max(1, n))
     scale = 1 << 40
-    sample = reps.where(F.pmod(F.xxhash64("rep"), F.lit(scale)) < int(share * scale)).select("label", "dims", "rep", "vec").orderBy("rep").collect()
+    pick = F.pmod(F.xxhash64("rep"), F.lit(scale))
+    sample = reps.where(pick < int(share * scale)).select("label", "dims", "rep", "vec", pick.alias("pick")).orderBy("pick", "rep").collect()
     by: dict[tuple[int, int], list[np.ndarray]] = {}
     for row in sample:
         by.setdefault((row["label"], row["dims"]), []).append(np.frombuffer(row["vec"]))
-    return {k: np.array(v) for k, v in by.items()}
+    chosen = {}
+    for key, vecs in by.items():
+        x = np.array(vecs)
+        number = min(math.ceil(len(x) / share / cell), math.ceil(len(x) / 4))
+        orders = [np.arange(len(x)), far_apart(x, number)] if number > 1 else [np.arange(1)]
+        tried = []
+        while number:
+            tried += [x[order[:number]] for order in orders]
+            number //= 4
+        chosen[key] = min(tried, key=lambda p: work_of(x, p, radius, 1 / share)) if len(tried) > 1 else tried[0]
+    return chosen
 
 
 def cells_of(x: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
     """The home cell of each row, and for each cell whether the row goes there."""
     near = np.maximum(0.0, 2 - 2 * (x @ pivots.T))  # squared distances
     home = near.argmin(axis=1)
-    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (pivots @ pivots.T)))[home]
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (pivots[home] @ pivots.T)))
     own = near[np.arange(len(x)), home][:, None]
     goes = near - own <= 2 * apart * radius + SLACK
     goes[np.arange(len(x)), home] = True
@@ -91,23 +132,29 @@ def cells_of(x: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarr
 
 
 def _dealt(pivots: dict[tuple[int, int], np.ndarray], radius: float):
+    """Rows -> a row for each cell they go to, by slices, so that a task holds
+    ``SLICE`` rows' distances and ``SENT`` rows of output at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pydict()
             groups: dict[tuple[int, int], list[int]] = {}
-            for i, key in enumerate(zip(rows["label"], rows["dims"], strict=True)):
+            for i, key in enumerate(zip(batch.column("label").to_pylist(), batch.column("dims").to_pylist(), strict=True)):
                 groups.setdefault(key, []).append(i)
-            for key, at in groups.items():
-                if key in pivots:
-                    x = np.array([np.frombuffer(rows["vec"][i]) for i in at])
-                    home, goes = cells_of(x, pivots[key], radius)
-                    which, cell = np.nonzero(goes)
-                else:
-                    home, which, cell = np.zeros(len(at), int), np.arange(len(at)), np.zeros(len(at), int)
-                rows_at = pa.array(np.array(at)[which])
-                part = batch.take(rows_at)
-                columns = {"label": part.column("label"), "dims": part.column("dims"), "cell": pa.array(cell, pa.int64()), "rep": part.column("rep"), "copies": part.column("copies"), "home": pa.array(home[which] == cell), "vec": part.column("vec")}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            for key, members in groups.items():
+                for start in range(0, len(members), SLICE):
+                    at = np.array(members[start : start + SLICE])
+                    part = batch.take(pa.array(at))
+                    if key in pivots:
+                        x = np.array([np.frombuffer(v) for v in part.column("vec").to_pylist()])
+                        home, goes = cells_of(x, pivots[key], radius)
+                        which, cell = np.nonzero(goes)
+                    else:
+                        home, which, cell = np.zeros(len(at), int), np.arange(len(at)), np.zeros(len(at), int)
+                    for first in range(0, len(which), SENT):
+                        some, to = which[first : first + SENT], cell[first : first + SENT]
+                        sent = part.take(pa.array(some))
+                        columns = {"label": sent.column("label"), "dims": sent.column("dims"), "cell": pa.array(to, pa.int64()), "rep": sent.column("rep"), "copies": sent.column("copies"), "home": pa.array(home[some] == to), "vec": sent.column("vec")}
+                        yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
@@ -177,7 +224,7 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
     classes = rows.where("vec is not null").groupBy("label", "dims", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     chosen = rows.join(classes.select(F.col("rep").alias("vec_id"), "copies"), "vec_id").select("label", "dims", F.col("vec_id").alias("rep"), "copies", "vec")
     chosen = cut(chosen)
-    dealt = cut(chosen.mapInArrow(_dealt(choose_pivots(chosen), radius), UNIT))
+    dealt = cut(chosen.mapInArrow(_dealt(choose_pivots(chosen, radius), radius), UNIT))
     sizes = dealt.groupBy("label", "dims", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     units = (
         dealt.join(sizes, ["label", "dims", "cell"])
