@@ -2,10 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import make_posts
+from tickerlens.operators import bars as B
 from tickerlens.operators import mentions as M
 from tickerlens.operators import views as V
 from tickerlens.sinks import tables as SK
-from tickerlens.session import scratch_path
+from tickerlens.session import scratch_path, session_conf
 from tickerlens.sources import fixtures as FX
 
 
@@ -61,6 +62,33 @@ def test_partitioned_sinks_prune(spark, sf_dir):
     assert chart.count() > 0 and chart.where(F.col("ticker") != "ZZZ").count() == 0
 
 
+def test_repeated_hours_are_told_apart(spark):
+    times = {"Sun Nov 03 05:30:00 +0000 2024": "2024_11_03_01-04", "Sun Nov 03 06:30:00 +0000 2024": "2024_11_03_01-05",
+             "Sun Nov 03 07:30:00 +0000 2024": "2024_11_03_02", "Sun Nov 03 04:30:00 +0000 2024": "2024_11_03_00",
+             "Sun Mar 10 06:30:00 +0000 2024": "2024_03_10_01", "Sun Mar 10 07:30:00 +0000 2024": "2024_03_10_03"}
+    hourly = M.mention_series(make_posts(spark, [(i, t, f"${chr(65 + i)}") for i, t in enumerate(times)]), "HR")
+    got = {r["ticker"]: r["local_hour"] for r in V.trending_by_local_hour(hourly).collect()}
+    assert got == {chr(65 + i): label for i, label in enumerate(times.values())}
+
+
+def test_colocated_overlay_has_no_exchange(spark, sf_dir):
+    """Not for the join, also where it can't broadcast; a hot ticker lies in all buckets."""
+    events = FX.events(spark, sf_dir)
+    bars, series = B.price_bars(FX.trades_from_events(events), "MIN"), M.mention_series(FX.posts_from_events(events), "MIN")
+    name = scratch_path(spark, "axis").rsplit("-", 1)[1]
+    b = SK.write_colocated(V.bars_on_axis(bars), f"bars_{name}", scratch_path(spark, "axis_b"), 6)
+    s = SK.write_colocated(V.mentions_on_axis(series), f"mentions_{name}", scratch_path(spark, "axis_s"), 6)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = V.stored_overlay(b, s)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+    assert len(b.inputFiles()) == 6
+    assert s.where(F.col("ticker") == "ZZZ").select(F.input_file_name()).distinct().count() == 6
+    want = sorted(map(tuple, V.price_mention_overlay(bars, series).collect()))
+    assert sorted(map(tuple, V.stored_overlay(b, s).collect()), key=lambda r: r[:2]) == want
+    one = [tuple(r) for r in V.stored_overlay(b, s, "ZZZ").collect()]
+    assert one == [r for r in want if r[0] == "ZZZ"]
+
+
 def test_console_sink(spark, capsys):
     SK.show(spark.createDataFrame([("AA", 1)], "ticker string, frequency int"))
     assert "AA" in capsys.readouterr().out

@@ -7,11 +7,13 @@ the (partitioned) result table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlens.functions.text import colour, sentiment_sign, strip_quotes
-from tickerlens.functions.timefn import (display_shift, format_local_time, grain_columns, local_hour_to_utc,
+from tickerlens.functions.timefn import (convert_zone, display_shift, format_local_time, grain_columns, local_hour_to_utc,
                                          local_to_epoch_millis, parse_post_time, parts_label,
                                          parts_to_timestamp, _epoch_ntz)
 from tickerlens.operators.keyed import latest_per_key
@@ -59,11 +61,19 @@ def trending_at(trending_hour: DataFrame, label: str, tz: str = "America/New_Yor
 
 def trending_by_local_hour(trending_hour: DataFrame, tz: str = "America/New_York", n: int = 10) -> DataFrame:
     """Every hour of an hourly ranking labelled in local time ``tz``, top n
-    each, coloured: the whole-table form of SRV-3."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), parts_to_timestamp("HR"))
+    each, coloured: the whole-table form of SRV-3.
+
+    Where one hour stops the scalar form, the two hours of an autumn fold stay
+    here and are told apart (DAT-12): their labels end in the hours from UTC,
+    as in ``2024_11_03_01-04`` and ``2024_11_03_01-05``."""
+    utc = parts_to_timestamp("HR")
+    local = convert_zone(utc, "UTC", tz)
+    twice = reduce(lambda a, b: a | b, [convert_zone(utc + F.expr(f"INTERVAL {h} HOUR"), "UTC", tz) == local for h in (-1, 1)])
+    off = F.timestamp_diff("HOUR", utc, local)
+    mark = F.when(twice, F.concat(F.when(off < 0, "-").otherwise("+"), F.lpad(F.abs(off).cast("string"), 2, "0"))).otherwise("")
     w = Window.partitionBy("year", "month", "day", "hour").orderBy(F.desc("frequency"), F.asc("ticker"))
     ranked = trending_hour.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
-    label = F.regexp_replace(F.substring(format_local_time(local), 1, 13), "[- ]", "_")
+    label = F.concat(F.regexp_replace(F.substring(format_local_time(local), 1, 13), "[- ]", "_"), mark)
     return ranked.select(label.alias("local_hour"), "ticker", "frequency",
                          colour(F.col("sentiment")).alias("colour"), F.col("_r").cast("long").alias("rank"))
 
@@ -92,6 +102,20 @@ def chart_points(chart: DataFrame, y_cols=("frequency",)) -> DataFrame:
                         F.to_json(F.array(F.col("epoch_ms"), *[F.col(c).cast("long") for c in y_cols])).alias("point"))
 
 
+PRICES = ("open", "high", "low", "close")
+
+
+def bars_on_axis(bars_min: DataFrame, bars_tz: str = "America/Los_Angeles") -> DataFrame:
+    """Minute bars by (ticker, epoch ms); their wall clock is in ``bars_tz`` (DAT-11)."""
+    return bars_min.select("ticker", local_to_epoch_millis(parts_to_timestamp("MIN"), bars_tz).alias("epoch_ms"), *PRICES)
+
+
+def mentions_on_axis(series_min: DataFrame) -> DataFrame:
+    """A minute series by (ticker, epoch ms) (DAT-10)."""
+    return series_min.select("ticker", local_to_epoch_millis(parts_to_timestamp("MIN"), "UTC").alias("epoch_ms"),
+                             F.col("frequency").cast("long"))
+
+
 def price_mention_overlay(bars_min: DataFrame, series_min: DataFrame, ticker: str | None = None,
                           bars_tz: str = "America/Los_Angeles") -> DataFrame:
     """OHLC and mention count of a ticker on one epoch-ms axis (SRV-5, JOI-6, DAT-11).
@@ -99,18 +123,26 @@ def price_mention_overlay(bars_min: DataFrame, series_min: DataFrame, ticker: st
     b, s = bars_min, series_min
     if ticker is not None:
         b, s = b.where(F.col("ticker") == ticker), s.where(F.col("ticker") == ticker)
-    bms = local_to_epoch_millis(parts_to_timestamp("MIN"), bars_tz)
-    sms = local_to_epoch_millis(parts_to_timestamp("MIN"), "UTC")
-    price = ("open", "high", "low", "close")
     none = F.lit(None).cast("double")
-    left = b.select("ticker", bms.alias("epoch_ms"), *price, F.lit(None).cast("long").alias("frequency"))
-    right = s.select("ticker", sms.alias("epoch_ms"), *[none.alias(c) for c in price], F.col("frequency").cast("long"))
+    left = bars_on_axis(b, bars_tz).withColumn("frequency", F.lit(None).cast("long"))
+    right = mentions_on_axis(s).select("ticker", "epoch_ms", *[none.alias(c) for c in PRICES], "frequency")
     # Each side has a key once at most, so one grouping of both is the full
     # outer join, with one exchange for it instead of two.
-    merged = left.unionByName(right).groupBy("ticker", "epoch_ms").agg(*[F.max(c).alias(c) for c in (*price, "frequency")])
+    merged = left.unionByName(right).groupBy("ticker", "epoch_ms").agg(*[F.max(c).alias(c) for c in (*PRICES, "frequency")])
     return merged.orderBy("ticker", "epoch_ms")
 
 
+def stored_overlay(bars_axis: DataFrame, mentions_axis: DataFrame, ticker: str | None = None) -> DataFrame:
+    """``price_mention_overlay`` of two stored tables that ``write_colocated``
+    bucketed alike: a full outer join without an exchange. Rows of a ticker
+    come in time order within a bucket; for one ``ticker``, whose filter
+    reaches both scans, they are sorted."""
+    if ticker is None:
+        return bars_axis.join(mentions_axis, ["ticker", "epoch_ms"], "full_outer")
+    b, s = (t.where(F.col("ticker") == ticker) for t in (bars_axis, mentions_axis))
+    return b.join(s, ["ticker", "epoch_ms"], "full_outer").orderBy("epoch_ms")
+
+
 def _bucket(ts, unit: str, n: int):
     unit = unit.lower().rstrip("s")
     if unit in ("minute", "hour", "day"):
@@ -181,4 +213,4 @@ def merge_views(batch: DataFrame, speed: DataFrame, grain: str, cutoff, mode: st
 
 
 __all__ = ["with_position", "live_panel", "recent_posts", "trending_at", "trending_by_local_hour", "mention_chart",
-           "price_mention_overlay", "downsample", "lookback", "merge_views", "parts_label"]
+           "bars_on_axis", "mentions_on_axis", "price_mention_overlay", "stored_overlay", "downsample", "lookback", "merge_views", "parts_label"]

@@ -1070,3 +1070,48 @@ SELECT ticker, {S.part_select('DAY', 'lt')}, max(price) AS high, min(price) AS l
        arg_min(price, {{'t': time, 's': seq}}) AS open, arg_max(price, {{'t': time, 's': seq}}) AS close,
        sum(quantity) AS volume
 FROM placed GROUP BY ALL"""))(_bars_arrival)
+
+
+# ---- queries on stored tables ---------------------------------------------------------------
+def _trending_stored(spark, d):
+    """The hour's folder alone is read, by its partition filter."""
+    series, path = M.mention_series(posts(spark, d), "HR"), scratch_path(spark, "trending_hr")
+    SK.write_trending(series, path, "HR")
+    return V.trending_at(spark.read.schema(series.schema).parquet(path), "2024_01_15_09", "America/New_York")
+
+
+register("trending_at_stored_hour", QUERIES["trending_at_eastern_hour"][1])(_trending_stored)
+
+
+def _colocated(spark, d):
+    """Minute bars and the minute series, bucketed alike under names of their own."""
+    sides = {"bars": V.bars_on_axis(B.price_bars(trades(spark, d), "MIN")), "mentions": V.mentions_on_axis(M.mention_series(posts(spark, d), "MIN"))}
+    made = []
+    for name, rows in sides.items():
+        path = scratch_path(spark, f"axis_{name}")
+        made.append(SK.write_colocated(rows, path.rsplit("/", 1)[1].replace("-", "_"), path, _state_partitions(spark)))
+    return made
+
+
+register("overlay_colocated", QUERIES["price_mention_overlay"][1])(lambda spark, d: V.stored_overlay(*_colocated(spark, d)))
+register("overlay_colocated_hot", f"SELECT * FROM ({QUERIES['price_mention_overlay'][1]}) WHERE ticker = 'ZZZ'")(
+    lambda spark, d: V.stored_overlay(*_colocated(spark, d), ticker="ZZZ"))
+
+register("trending_by_eastern_hour_two_years", S.with_spread_base(_HOURLY_SQL + f"""
+, l AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY year, month, day, hour ORDER BY frequency DESC, ticker) AS BIGINT) AS rank,
+         make_timestamp(year, month, day, hour, 0, 0) AS u,
+         timezone('America/New_York', timezone('UTC', make_timestamp(year, month, day, hour, 0, 0))) AS w FROM hourly)
+SELECT strftime(w, '%Y_%m_%d_%H') ||
+       CASE WHEN w IN (TIMESTAMP '2024-11-03 01:00:00', TIMESTAMP '2025-11-02 01:00:00', TIMESTAMP '2026-11-01 01:00:00')
+            THEN '-0' || date_diff('hour', w, u) ELSE '' END AS local_hour, ticker, frequency, {_COLOUR}, rank
+FROM l WHERE rank <= 10"""))(
+    lambda spark, d: V.trending_by_local_hour(M.mention_series(_spread_posts(spark, d), "HR"), "America/New_York"))
+
+register("merged_views_add", S.with_base(_OVERLAP_SQL + """
+, both AS (
+  SELECT * FROM doubled WHERE make_timestamp(year, month, day, hour, 0, 0) >= TIMESTAMP '2024-01-10'
+  UNION ALL SELECT * FROM hourly WHERE make_timestamp(year, month, day, hour, 0, 0) < TIMESTAMP '2024-01-20')
+SELECT year, month, day, hour, ticker, CAST(sum(frequency) AS BIGINT) AS frequency,
+       CAST(sum(sentiment) AS BIGINT) AS sentiment FROM both GROUP BY ALL"""))(
+    lambda spark, d: V.merge_views(*_two_versions(spark, d), "HR", None, "add"))

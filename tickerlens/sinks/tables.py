@@ -76,6 +76,20 @@ def write_trending(ranked: DataFrame, path: str, grain: str, mode: str = "overwr
     write_partitioned(ranked, path, list(grain_columns(grain)), [F.desc("frequency"), F.asc("ticker")], [], mode)
 
 
+def write_colocated(df: DataFrame, table: str, path: str, buckets: int, keys: tuple[str, ...] = ("ticker", "epoch_ms")) -> DataFrame:
+    """``df`` as the table ``table`` in ``path``, bucketed and sorted by ``keys``.
+
+    Tables with the same keys and ``buckets`` join on all keys without an
+    exchange. The time is a key too, so a ticker that holds a third of all rows
+    is spread over all buckets, and Spark's default settings see the join as
+    co-partitioned. Rows are dealt like the buckets first, so each bucket is one
+    file. For one ticker, the row groups of others are skipped, since they are
+    sorted by it."""
+    (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).format("parquet").saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def write_results(df: DataFrame, path: str, fmt: str = "json") -> None:
     """Per-grain result files, written by the executors, never collected (SNK-11)."""
     df.write.mode("overwrite").format(fmt).save(path)
