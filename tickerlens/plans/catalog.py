@@ -1109,9 +1109,9 @@ FROM l WHERE rank <= 10"""))(
     lambda spark, d: V.trending_by_local_hour(M.mention_series(_spread_posts(spark, d), "HR"), "America/New_York"))
 
 register("merged_views_add", S.with_base(_OVERLAP_SQL + """
-, both AS (
+, added AS (
   SELECT * FROM doubled WHERE make_timestamp(year, month, day, hour, 0, 0) >= TIMESTAMP '2024-01-10'
   UNION ALL SELECT * FROM hourly WHERE make_timestamp(year, month, day, hour, 0, 0) < TIMESTAMP '2024-01-20')
 SELECT year, month, day, hour, ticker, CAST(sum(frequency) AS BIGINT) AS frequency,
-       CAST(sum(sentiment) AS BIGINT) AS sentiment FROM both GROUP BY ALL"""))(
+       CAST(sum(sentiment) AS BIGINT) AS sentiment FROM added GROUP BY ALL"""))(
     lambda spark, d: V.merge_views(*_two_versions(spark, d), "HR", None, "add"))
