@@ -43,7 +43,8 @@ PLAIN = re.compile(rf"[\x20\x09-\x0D!-~{LETTERS}]*")
 #: What the vocabulary's pre-tokenizer matches in them, lower-cased.
 PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{SMALL}]+|[0-9]|[^\x20\x09-\x0Da-z0-9{SMALL}]+")
 BLANK = re.compile(r"[\x20\x09-\x0D]")
-MEMO_LIMIT = 1_000_000
+#: Parts that a worker remembers, also between tasks: some 150 bytes each.
+MEMO_LIMIT = 200_000
 #: Characters of a text that are split at a time.
 AT_ONCE = 1 << 20
 
