@@ -305,11 +305,11 @@ top5 AS (
     FROM counts) WHERE id < 5)"""
 
 register("top5_per_window", S.with_base(_TOP5_SQL + "\nSELECT * FROM top5"))(
-    lambda spark, d: SL.top_per_window(SL.sliding_counts(posts(spark, d)), 5))
+    lambda spark, d: SL.top_of_runs(SL.sliding_runs(posts(spark, d)), k=5))
 
 
 def _snapshots(spark, d):
-    t = SL.top_per_window(SL.sliding_counts(posts(spark, d)), 5)
+    t = SL.top_of_runs(SL.sliding_runs(posts(spark, d)), k=5)
     return t.select(F.col("window_end_ms").alias("timestamp"), "id", "ticker", "frequency", "sentiment")
 
 
