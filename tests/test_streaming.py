@@ -254,3 +254,34 @@ def test_stream_landing_by_bytes_replays_a_batch(spark, tmp_path):
     want = sorted(f"{i}-{j}" for i in range(3) for j in range(200))
     assert run("c1") == want
     assert run("c2") == want  # every batch once more, as after a lost commit
+
+
+def test_runs_hold_far_fewer_rows_than_windows(spark, sf_dir):
+    """Counts of sliding windows are made, ranked and stored as runs, and no window is unfolded before."""
+    posts = FX.posts_from_events(FX.events(spark, sf_dir))
+    runs, counts = SL.sliding_runs(posts), SL.sliding_counts(posts)
+    assert runs.count() * 40 < counts.count()
+    assert _same(SL.top_of_runs(runs, k=3), SL.top_per_window(counts, 3))
+    short = {"window": "70 seconds", "slide": "10 seconds"}  # seven panes; blocks that cut runs
+    cut, plain = SL.sliding_runs(posts, **short, block_panes=9), SL.sliding_counts(posts, **short, form="plain")
+    assert _same(SL.unfold_runs(cut, "10 seconds"), plain) and _same(SL.top_of_runs(cut, **short, k=2), SL.top_per_window(plain, 2))
+
+
+def test_trending_state_holds_panes_not_windows(spark):
+    posts = [(f"13:{m:02d}:{s:02d}", f"$A{chr(65 + m)}") for m in range(20) for s in range(0, 60, 5)]
+    _, counts, progress = _trend(spark, [(posts, ["13:00:00"]), ([], ["14:00:00"])])
+    states = [o["numRowsTotal"] for p in progress for o in p["stateOperators"]]
+    assert max(states) <= 400  # 240 panes and their windows' ends; one row a ticker and window were thousands
+    assert counts.count() == 20 * (120 + 11) and counts.where("frequency = 12").count() == 20 * 109
+
+
+def test_running_table_stores_panes(spark, sf_dir):
+    src = _staged(spark, sf_dir, 2)
+    path = scratch_path(spark, "t_wt")
+    q, table = STR.run_sliding_counts(spark, SS.read_post_stream(spark, src, 1), path, scratch_path(spark, "t_wtck"))
+    q.awaitTermination()
+    batch = SL.sliding_counts(FX.posts_from_events(FX.events(spark, sf_dir)))
+    stored = spark.read.parquet(f"{path}/data")
+    assert stored.groupBy("gen").count().agg(F.max("count")).first()[0] * 40 < batch.count()
+    day = F.floor(F.col("window_end_ms") / STR.BLOCK_MS)
+    assert _same(table.read(("019725", "019726")), batch.where(day.between(19725, 19726)))
