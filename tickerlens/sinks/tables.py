@@ -1,7 +1,7 @@
 """Result-table sinks (SNK-1..4, SNK-10..13).
 
 Serving tables become Parquet directories partitioned for their read path
-(ticker for series and bars, time parts for rankings) and clustered inside
+(slices of tickers for series and bars, time parts for rankings) and clustered inside
 each file the way the store clustered rows. Keyed replacement rewrites the blocks
 of time that a batch touches.
 """
@@ -44,9 +44,25 @@ def _block(grain: str) -> list[str]:
     return list(grain_columns(grain))[:2]
 
 
+#: Fixed value: tickers are dealt over so many folders, however many there are.
+SLICES = 64
+
+
+def ticker_slice(ticker) -> Column:
+    """The folder of a ticker. A filter on it beside the one on the ticker opens this folder alone."""
+    return F.pmod(F.crc32(F.encode(ticker, "UTF-8")), F.lit(SLICES)).cast("int")
+
+
+def _write_by_ticker(rows: DataFrame, path: str, grain: str, mode: str) -> None:
+    sliced = rows.withColumn("slice", ticker_slice(F.col("ticker")))
+    write_partitioned(sliced, path, ["slice"], ["ticker", *[F.desc(c) for c in grain_columns(grain)]], _block(grain), mode)
+
+
 def write_series(series: DataFrame, path: str, grain: str, mode: str = "overwrite") -> None:
-    """Mention series, one folder per ticker, time descending inside (SNK-2, SRT-3)."""
-    write_partitioned(series, path, ["ticker"], [F.desc(c) for c in grain_columns(grain)], _block(grain), mode)
+    """Mention series, one folder per slice of tickers, by ticker and time
+    descending inside (SNK-2, SRT-3). A folder per ticker took as many files as
+    there are tickers, of a few rows each."""
+    _write_by_ticker(series, path, grain, mode)
 
 
 def write_all_grains(posts: DataFrame, path: str) -> dict[str, DataFrame]:
@@ -58,7 +74,7 @@ def write_all_grains(posts: DataFrame, path: str) -> dict[str, DataFrame]:
 
     def stored(series: DataFrame, grain: str) -> DataFrame:
         write_series(series, f"{path}/{grain}", grain)
-        return spark.read.schema(series.schema).parquet(f"{path}/{grain}")
+        return spark.read.schema(series.schema).parquet(f"{path}/{grain}").select(*series.columns)
 
     tables = {"MIN": stored(mention_series(posts, "MIN"), "MIN")}
     for grain, finer in FOLDS:
@@ -67,8 +83,8 @@ def write_all_grains(posts: DataFrame, path: str) -> dict[str, DataFrame]:
 
 
 def write_bars(bars: DataFrame, path: str, grain: str, mode: str = "overwrite") -> None:
-    """Price bars, one folder per ticker, time descending inside (SNK-1, SRT-3)."""
-    write_partitioned(bars, path, ["ticker"], [F.desc(c) for c in grain_columns(grain)], _block(grain), mode)
+    """Price bars, one folder per slice of tickers, by ticker and time descending inside (SNK-1, SRT-3)."""
+    _write_by_ticker(bars, path, grain, mode)
 
 
 def write_trending(ranked: DataFrame, path: str, grain: str, mode: str = "overwrite") -> None:
