@@ -132,14 +132,17 @@ def _ranked_in_blocks(series: DataFrame, parts: list[str]) -> DataFrame:
 
     Tickers of one frequency and one two-letter beginning are a block. Blocks
     are counted with partial sums, their first ranks are running sums over the
-    few blocks of a bucket, and only within a block are tickers sorted."""
+    few blocks of a bucket, and only within a block are tickers sorted. Blocks
+    join on one struct, which is never null: for columns that could be, the
+    join would add filters, pushed down to where each of them parses a post's
+    time once more."""
     block = [*parts, "frequency", "_start"]
-    rows = series.withColumn("_start", F.substring("ticker", 1, 2))
+    rows = series.withColumn("_start", F.substring("ticker", 1, 2)).withColumn("_block", F.struct(*block))
     sizes = rows.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*parts).orderBy(F.desc("frequency"), "_start").rowsBetween(Window.unboundedPreceding, -1)
-    first = sizes.select(*block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    inside = Window.partitionBy(*block).orderBy("ticker")
-    placed = rows.withColumn("_place", F.row_number().over(inside)).join(first, block)
+    first = sizes.select(F.struct(*block).alias("_block"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy("_block").orderBy("ticker")
+    placed = rows.withColumn("_place", F.row_number().over(inside)).join(first, "_block")
     return placed.select(*series.columns, (F.col("_first") + F.col("_place")).cast("long").alias("rank"))
 
 
