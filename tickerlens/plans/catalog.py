@@ -1026,7 +1026,7 @@ def _landed_by_bytes(spark, d):
     lines = FX.post_lines(FX.posts_from_events(FX.events(spark, d), keep=("ts",)), keep=("ts",))
     path = scratch_path(spark, "landed_bytes")
     SLAND.write_byte_files(SLAND.byte_files(lines, F.col("ts"), 0, _ROLL, deals=1), path)
-    return (spark.read.schema("value string, file string").text(path).groupBy("file")
+    return (SLAND.read_byte_files(spark, path).groupBy("file")
             .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.octet_length("value") + 1).alias("n_bytes")))
 
 

@@ -9,11 +9,11 @@ bytes instead, into files named ``<block>_<n>``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerlens.functions.timefn import floor_minutes, wall_clock_instant
-from tickerlens.session import start_stream
+from tickerlens.session import session_conf, start_stream
 
 
 def land_raw(stream: DataFrame, path: str, checkpoint: str, block_minutes: int = 15,
@@ -45,24 +45,37 @@ def byte_files(lines: DataFrame, time: Column, block_minutes: int = 15, max_byte
     ``deals`` slices by hash, so a busy second is not one task. Slices are summed
     first, running sums over a block's slices give the offsets, and each slice
     runs on from its own: no block is gathered in one place."""
-    t = lines.select(F.col("value").cast("string").alias("value"), time.cast("timestamp_ntz").alias("_t"))
+    t = lines.select(F.col("value").cast("string").alias("value"), time.cast("timestamp_ntz").alias("_t")).where(F.col("_t").isNotNull())
     cut = t.select("value", "_t", floor_minutes(F.col("_t"), block_minutes).alias("block"),
                    F.unix_seconds(wall_clock_instant(F.col("_t"))).alias("_s"),
                    F.pmod(F.xxhash64("value"), F.lit(deals)).alias("_d"),
                    (F.octet_length("value") + 1).cast("long").alias("_b"))
+    # One struct is the key, which is never null: no filters of the join go down into the scan.
+    cut = cut.withColumn("_key", F.struct("block", "_s", "_d"))
     keys = ["block", "_s", "_d"]
     sums = cut.groupBy(*keys).agg(F.sum("_b").alias("_sum"))
     across = Window.partitionBy("block").orderBy("_s", "_d").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*keys).orderBy("_t", "value").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.struct(*keys).alias("_key"), F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_key").orderBy("_t", "value").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_before") + F.coalesce(F.sum("_b").over(inside), F.lit(0))
     number = F.floor(start / max_bytes).cast("string")
-    return cut.join(offsets, keys).select("value", F.concat_ws("_", "block", number).alias("file"))
+    return cut.join(offsets, "_key").select("value", F.concat_ws("_", "block", number).alias("file"))
 
 
 def write_byte_files(files: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One folder a file of ``byte_files``, with the one text file in it."""
-    files.repartition("file").write.mode(mode).partitionBy("file").text(path)
+    """One folder a file of ``byte_files``, with the one text file in it. Tasks
+    move their own files to their place (version 2 of the commit), since the
+    driver would take one folder after the other."""
+    (files.repartition("file").write.mode(mode).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy("file").text(path))
+
+
+def read_byte_files(spark: SparkSession, path: str) -> DataFrame:
+    """``value`` and ``file`` of the files in ``path``; many folders are listed
+    by a few tasks each, not by a task a folder."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    with session_conf(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": tasks}):
+        return spark.read.schema("value string, file string").text(path)
 
 
 def land_by_bytes(stream: DataFrame, path: str, checkpoint: str, block_minutes: int = 15,
