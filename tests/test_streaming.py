@@ -195,6 +195,39 @@ def test_partitioned_sinks_write_few_files(spark, sf_dir):
     assert files <= series.select("ticker", "year", "month").distinct().count()
 
 
+def test_series_folders_do_not_follow_the_tickers(spark, tmp_path):
+    from tickerlens.sinks import tables as SK
+
+    series = spark.range(2000).select(
+        F.lit(2024).alias("year"), F.lit(1).alias("month"), F.lit(1).alias("day"), F.lit(0).alias("hour"),
+        FX.ticker_of(F.col("id")).alias("ticker"), F.lit(1).cast("long").alias("frequency"), F.lit(0).cast("long").alias("sentiment"))
+    SK.write_series(series, f"{tmp_path}/series", "HR")
+    stored = spark.read.parquet(f"{tmp_path}/series")
+    assert len(stored.inputFiles()) <= SK.SLICES and _same(stored.select(*series.columns), series)
+    one = stored.where((F.col("slice") == SK.ticker_slice(F.lit("AAB"))) & (F.col("ticker") == "AAB"))
+    assert one.count() == 1
+
+
+def test_landed_files_are_listed_by_few_tasks(spark, tmp_path):
+    from tickerlens.streaming.landing import byte_files, read_byte_files, write_byte_files
+
+    rows = [(f"{i:04d}" + "x" * 95, "2024-01-05 10:00:00") for i in range(400)] + [("lost", None)]
+    lines = spark.createDataFrame(rows, "value string, at string")
+    write_byte_files(byte_files(lines, F.col("at").cast("timestamp_ntz"), 15, max_bytes=400), f"{tmp_path}/l")
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism", None)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        back = read_byte_files(spark, f"{tmp_path}/l")
+        jobs = tracker.getJobIdsForGroup("listing")
+        tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert back.select("file").distinct().count() == 100 and back.count() == 400
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism", None) == before
+
+
 def test_landing_rolls_files(spark, sf_dir):
     src = _staged(spark, sf_dir, 2)
     out = scratch_path(spark, "t_land")

@@ -632,7 +632,9 @@ register("stream_sliding_counts_panes", S.with_base(_SLIDING_SQL + "\nSELECT * F
 register("stream_top5", S.with_base(_TOP5_SQL + "\nSELECT * FROM top5"))(_stream_top5)
 
 def _spans(spark, d):
-    p = M.post_times(posts(spark, d)).where(F.dayofmonth("ts") != _QUIET_DAY).withColumn("t", _post_second())
+    # Spans go by the events' own times, which the posts repeat: filters on parsed times would parse them many times over.
+    ev = FX.events(spark, d).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    p = FX.posts_from_events(ev, keep=("ts",)).where(F.dayofmonth("ts") != _QUIET_DAY).withColumn("t", _post_second())
     first, last = p.agg(F.min("t"), F.max("t")).first()
     seconds, step = last - first + 1, 300
     span = F.floor((F.col("t") - first) * _SPANS / seconds)
