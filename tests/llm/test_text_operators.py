@@ -126,6 +126,20 @@ def test_every_member_of_compressed_data():
         assert found_in(cut) in ({("assign", 0, len(cut))}, set() if pack in (bz2.compress, lzma.compress) else None)
 
 
+def test_compressed_bytes_inside_unpacked_bytes():
+    import bz2
+    import lzma
+
+    for outer in (gzip.compress, bz2.compress):
+        for inner in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+            run = b64(outer(inner(SECRET.encode())))
+            assert found_in(f"é {run}.") == {("assign", 2, 2 + len(run))}, (outer, inner)
+    run = b64(gzip.compress(b"nothing here") + b"\xff between \xfe" + zlib.compress(SECRET.encode()))
+    assert found_in(run) == {("assign", 0, len(run))}
+    escaped = urllib.parse.quote_from_bytes(gzip.compress(SECRET.encode()), safe="")
+    assert any(k == "assign" and e == len(escaped) for k, _, e in found_in(escaped))
+
+
 def test_unpacked_data_of_any_length(monkeypatch):
     monkeypatch.setattr(secret_scan, "PIECE", 5000)
     monkeypatch.setattr(secret_scan, "OVERLAP", 200)

@@ -3,7 +3,8 @@
 A stack of layers starts with the text itself.  Each layer is scanned with
 the same patterns, and each decoding that applies to it puts a new layer on
 the stack: URL escapes, Unicode escapes, base64 runs, and compressed bytes
-(gzip, zlib, bzip2, xz; all members) inside base64 or hex runs.  Base64 that is
+(gzip, zlib, bzip2, xz; all members, at all places) inside base64 or hex runs
+and in layers that are bytes themselves, as what was compressed twice.  Base64 that is
 wrapped is joined over its line ends; a run that does not open is tried behind
 its ``/``, ``-`` and ``_`` and at the other alignments.  A layer whose content
 stands above it already is not decoded again, so the work ends, at a fixpoint,
@@ -111,8 +112,9 @@ def _decompressor(raw: bytes):
     return bz2.BZ2Decompressor() if raw[:3] == b"BZh" else lzma.LZMADecompressor()
 
 
-def _steps(raw: bytes) -> Iterator[bytes]:
-    """What ``raw`` unpacks to, member after member, up to the first fault."""
+def _steps(raw: bytes | memoryview, rest: list[int]) -> Iterator[bytes]:
+    """What ``raw`` unpacks to, member after member, up to the first fault; at
+    the end of a member, ``rest`` gets the number of bytes behind it."""
     while MAGIC.match(raw):
         d, data = _decompressor(raw), raw
         while not d.eof:
@@ -126,6 +128,7 @@ def _steps(raw: bytes) -> Iterator[bytes]:
             elif not d.eof and not data and getattr(d, "needs_input", True):
                 return  # cut off
         raw = d.unused_data.lstrip(b"\0")
+        rest.append(len(raw))
 
 
 def _pieces(steps: Iterable[bytes]) -> Iterator[bytes]:
@@ -140,6 +143,25 @@ def _pieces(steps: Iterable[bytes]) -> Iterator[bytes]:
         yield bytes(held)
 
 
+def _streams(raw: bytes) -> Iterator[tuple[bytes, int]]:
+    """Pieces of what is compressed in ``raw``, and where that begins."""
+    at = 0
+    while m := MAGIC.search(raw, at):
+        found, rest = False, []
+        for piece in _pieces(_steps(memoryview(raw)[m.start() :], rest)):
+            found = True
+            yield piece, m.start()
+        at = len(raw) - rest[-1] if found and rest else m.start() + 1
+
+
+def _is_bytes(raw: bytes) -> bool:
+    """No text at all, so that compressed data may stand in it as it is."""
+    try:
+        return not (raw.isascii() or raw.decode() is not None)
+    except UnicodeDecodeError:
+        return True
+
+
 def _is_text(raw: bytes) -> bool:
     try:
         text = raw.decode()
@@ -154,13 +176,8 @@ def _opened(raw: bytes) -> Iterator[tuple[bytes, int | None]]:
     if raw and _is_text(raw):
         yield raw, 0
         return
-    for m in MAGIC.finditer(raw):
-        found = False
-        for piece in _pieces(_steps(raw[m.start() :])):
-            found = True
-            yield piece, None
-        if found:
-            return
+    for piece, _ in _streams(raw):
+        yield piece, None
 
 
 def _decoded(run: bytes) -> bytes:
@@ -190,6 +207,9 @@ def _base64_layers(run: bytes) -> Iterator[tuple[bytes, int, int | None]]:
 
 def layers_in(raw: bytes) -> Iterator[tuple[bytes, Back]]:
     """The layers one decoding below ``raw``, each with its way back."""
+    if _is_bytes(raw):
+        for piece, start in _streams(raw):
+            yield piece, _blocks(start, len(raw), None)
     if b"%" in raw and (made := _unescape(raw, URL_ESCAPE, lambda m: bytes([int(m[1], 16)]))):
         yield made
     if (b"\\" in raw or b"&#" in raw) and (made := _unescape(raw, UNICODE_ESCAPE, _code_point)):
