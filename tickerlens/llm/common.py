@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.session import checkpoint_root
+from tickerlens.session import checkpoint_root, session_conf
 
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -34,10 +34,19 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_root(spark)
 
 
+def freed(spark: SparkSession):
+    """While this lasts, what the shuffles of a job wrote is removed when the job
+    ends, and not when the driver next collects its garbage, until when all jobs
+    of an operator would add up on the disks. For jobs run once."""
+    return session_conf(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there."""
+    """Write ``df`` to the shared checkpoint folder and go on from there; the
+    shuffles that made it are gone."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with freed(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -73,7 +82,8 @@ class Rows:
         marks = [F.xxhash64(*by).alias("_a"), F.xxhash64(F.lit(1), *by).alias("_b")]
         found = rows.select("id", *marks).groupBy("id").agg(F.count("*").alias("n"), *(f(c).alias(f"{f.__name__}{c}") for c in ("_a", "_b") for f in (F.min, F.max)))
         differ = (F.col("min_a") != F.col("max_a")) | (F.col("min_b") != F.col("max_b"))
-        told = found.agg(F.max("n").alias("most"), F.max(differ).alias("differ")).first()
+        with freed(df.sparkSession):
+            told = found.agg(F.max("n").alias("most"), F.max(differ).alias("differ")).first()
         self.repeated, self.made = (told["most"] or 0) > 1, bool(told["differ"])
         if not self.made:
             self.frame = rows.select(F.col("id").alias("key"), *rows.columns)
@@ -301,7 +311,8 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     now = cut(ordered(edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))))
 
     def print_of(df: DataFrame):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        with freed(df.sparkSession):
+            return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
     def pointing(edges: DataFrame, by: str, least: DataFrame, n: int) -> DataFrame:
         """``edges`` with ``m`` of their node ``by``, from ``least`` ``(by, m, degree)``."""
