@@ -46,7 +46,8 @@ def cut(df: DataFrame) -> DataFrame:
     shuffles that made it are gone."""
     shared_folder(df.sparkSession)
     with freed(df.sparkSession):
-        return df.checkpoint(eager=True)
+        # A frame keeps the setting under which it was made, so a new one is made here.
+        return df.select("*").checkpoint(eager=True)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
